@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from postlark.functions.measures import percent, ratio, total
 from postlark.operators.joins import ROWS_PER_SHARE, hot_key_join
+from postlark.operators.paging import post_fields
 
 METRICS = {
     "Likes": "like_count",
@@ -58,10 +59,8 @@ def _timeline(timeline_pages: DataFrame, ignore_case: bool) -> DataFrame:
 
 
 def _post_metrics(timeline: DataFrame, *keys: str) -> DataFrame:
-    posts = timeline.select(*keys, F.explode("data").alias("post"))
-    metrics = [
-        F.col(f"post.public_metrics.{field}").alias(name) for name, field in METRICS.items()
-    ]
+    posts = post_fields(timeline, "public_metrics", keep=keys)
+    metrics = [F.col(f"public_metrics.{field}").alias(name) for name, field in METRICS.items()]
     return posts.select(*keys, *metrics)
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from postlark.functions.measures import percent, ratio, topic_label, total
+from postlark.operators.paging import post_fields
 
 
 def _top(df: DataFrame, k: int | None) -> DataFrame:
@@ -86,26 +87,26 @@ def lang_share_top_topics(rows: DataFrame, topics: int = 10, languages: int = 10
     )
 
 
-def context_rows(pages: DataFrame, label_style: str = "legacy") -> DataFrame:
+def context_rows(
+    pages: DataFrame, label_style: str = "legacy", with_metrics: bool = True
+) -> DataFrame:
     """One row per (post, annotation) of search pages: ``context``, ``lang`` and metrics."""
-    posts = pages.select(F.explode("data").alias("post"))
-    annotated = posts.select(
-        F.explode("post.context_annotations").alias("topic"),
-        F.col("post.lang").alias("lang"),
-        F.col("post.public_metrics").alias("metrics"),
-    )
+    fields = ["lang", "context_annotations"] + ["public_metrics"] * with_metrics
+    posts = post_fields(pages, *fields)
+    annotated = posts.withColumn("topic", F.explode("context_annotations"))
+    metrics = ("like", "quote", "reply", "retweet") if with_metrics else ()
     return annotated.select(
         topic_label("topic", label_style).alias("context"),
         "lang",
-        F.col("metrics.like_count").alias("like"),
-        F.col("metrics.quote_count").alias("quote"),
-        F.col("metrics.reply_count").alias("reply"),
-        F.col("metrics.retweet_count").alias("retweet"),
+        *[F.col(f"public_metrics.{name}_count").alias(name) for name in metrics],
     )
 
 
 def context_lang_percent(
-    rows: DataFrame, min_percent: float = 1.0, top: int | None = 50
+    pages: DataFrame,
+    min_percent: float = 1.0,
+    top: int | None = 50,
+    label_style: str = "legacy",
 ) -> DataFrame:
     """``context``, ``topic_count``, ``lang``, ``percent`` above ``min_percent``.
 
@@ -113,7 +114,8 @@ def context_lang_percent(
     topic reaches a task, however many posts a topic has.
     """
     counts = (
-        rows.filter(F.col("context").isNotNull())
+        context_rows(pages, label_style, with_metrics=False)
+        .filter(F.col("context").isNotNull())
         .groupBy("context", "lang")
         .agg(F.count("*").alias("count"))
     )
@@ -128,8 +130,8 @@ def context_lang_percent(
     return _top(shares, top)
 
 
-def _interaction_sums(rows: DataFrame) -> DataFrame:
-    sums = rows.groupBy("context", "lang").agg(
+def _interaction_sums(pages: DataFrame, label_style: str) -> DataFrame:
+    sums = context_rows(pages, label_style).groupBy("context", "lang").agg(
         F.sum("like").alias("likes"),
         F.sum("quote").alias("quotes"),
         F.sum("reply").alias("replies"),
@@ -139,21 +141,25 @@ def _interaction_sums(rows: DataFrame) -> DataFrame:
     return sums.withColumn("interactions", total(*parts))
 
 
-def context_lang_interactions(rows: DataFrame, top: int | None = 50) -> DataFrame:
+def context_lang_interactions(
+    pages: DataFrame, top: int | None = 50, label_style: str = "legacy"
+) -> DataFrame:
     """``context``, ``lang``, ``interactions``, largest first; NULL contexts stay."""
     ranked = (
-        _interaction_sums(rows)
+        _interaction_sums(pages, label_style)
         .select("context", "lang", "interactions")
         .orderBy(F.desc("interactions"), "context", "lang")
     )
     return _top(ranked, top)
 
 
-def context_interaction_breakdown(rows: DataFrame, top: int | None = 50) -> DataFrame:
+def context_interaction_breakdown(
+    pages: DataFrame, top: int | None = 50, label_style: str = "legacy"
+) -> DataFrame:
     """The interactions with the share of each kind in percent."""
     whole = F.col("interactions")
     ranked = (
-        _interaction_sums(rows)
+        _interaction_sums(pages, label_style)
         .select(
             "context",
             "lang",

@@ -22,7 +22,7 @@ MIN_TAG_COUNT = 5
 
 
 def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tags.hashtag_base(tables.stream_posts(spark, sf_dir))
+    return tags.hashtag_base(tables.stream_posts(spark, sf_dir, "lang", "text", "entities"))
 
 
 def hashtag_base(spark, sf_dir):
@@ -46,19 +46,26 @@ def tag_sentiment_asc(spark, sf_dir):
 
 
 def multi_tag_counts(spark, sf_dir):
-    return tags.multi_tag_counts(tables.stream_posts(spark, sf_dir))
+    return tags.multi_tag_counts(tables.stream_posts(spark, sf_dir, "id", "lang", "entities"))
+
+
+def _ranked_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fields = ("id", "lang", "author_id", "entities", "public_metrics")
+    return tables.stream_posts(spark, sf_dir, *fields)
 
 
 def popular_account_tags(spark, sf_dir):
-    return tags.popular_account_tags(tables.stream_posts(spark, sf_dir))
+    return tags.popular_account_tags(_ranked_posts(spark, sf_dir))
 
 
 def popular_account_tags_distinct(spark, sf_dir):
-    return tags.popular_account_tags(tables.stream_posts(spark, sf_dir), distinct_authors=True)
+    return tags.popular_account_tags(_ranked_posts(spark, sf_dir), distinct_authors=True)
 
 
 def _topic_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return topics.lang_topic_rows(tables.stream_posts(spark, sf_dir))
+    return topics.lang_topic_rows(
+        tables.stream_posts(spark, sf_dir, "lang", "context_annotations")
+    )
 
 
 def lang_topic_rows(spark, sf_dir):
@@ -81,32 +88,38 @@ def lang_share_top_topics(spark, sf_dir):
     return topics.lang_share_top_topics(_topic_rows(spark, sf_dir))
 
 
-def _context_rows(spark: SparkSession, sf_dir: str, style: str = "legacy") -> DataFrame:
-    return topics.context_rows(tables.search_pages(spark, sf_dir), style)
+def _annotated_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tables.search_pages(spark, sf_dir, "lang", "context_annotations")
 
 
 def context_lang_percent(spark, sf_dir):
-    return topics.context_lang_percent(_context_rows(spark, sf_dir))
+    return topics.context_lang_percent(_annotated_pages(spark, sf_dir))
 
 
 def context_lang_percent_all(spark, sf_dir):
-    return topics.context_lang_percent(_context_rows(spark, sf_dir, "domain"), top=None)
+    return topics.context_lang_percent(
+        _annotated_pages(spark, sf_dir), top=None, label_style="domain"
+    )
 
 
 def context_lang_interactions(spark, sf_dir):
-    return topics.context_lang_interactions(_context_rows(spark, sf_dir))
+    return topics.context_lang_interactions(tables.search_pages(spark, sf_dir))
 
 
 def context_lang_interactions_all(spark, sf_dir):
-    return topics.context_lang_interactions(_context_rows(spark, sf_dir, "domain"), top=None)
+    return topics.context_lang_interactions(
+        tables.search_pages(spark, sf_dir), top=None, label_style="domain"
+    )
 
 
 def context_interaction_breakdown(spark, sf_dir):
-    return topics.context_interaction_breakdown(_context_rows(spark, sf_dir), top=None)
+    return topics.context_interaction_breakdown(tables.search_pages(spark, sf_dir), top=None)
 
 
 def popular_users_metrics(spark, sf_dir):
-    return engagement.popular_users_metrics(tables.stream_posts(spark, sf_dir))
+    return engagement.popular_users_metrics(
+        tables.stream_posts(spark, sf_dir, "author_id", "public_metrics")
+    )
 
 
 def _profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -149,20 +162,24 @@ def engagement_profile(spark, sf_dir):
     return engagement.engagement_profile(user_engagement(spark, sf_dir))
 
 
+def _day_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tables.stream_posts(spark, sf_dir, "text")
+
+
 def day_tweet_count(spark, sf_dir):
-    return weekday.day_post_count(tables.stream_posts(spark, sf_dir))
+    return weekday.day_post_count(_day_posts(spark, sf_dir))
 
 
 def day_word_counts(spark, sf_dir):
-    return weekday.day_word_counts(tables.stream_posts(spark, sf_dir))
+    return weekday.day_word_counts(_day_posts(spark, sf_dir))
 
 
 def day_tag_matches(spark, sf_dir):
-    return weekday.day_tag_matches_sql(tables.stream_posts(spark, sf_dir), tables.WORD_PATTERNS)
+    return weekday.day_tag_matches_sql(_day_posts(spark, sf_dir), tables.WORD_PATTERNS)
 
 
 def day_tag_matches_frame(spark, sf_dir):
-    return weekday.day_tag_matches(tables.stream_posts(spark, sf_dir), tables.WORD_PATTERNS)
+    return weekday.day_tag_matches(_day_posts(spark, sf_dir), tables.WORD_PATTERNS)
 
 
 def search_page_cursor(spark, sf_dir):

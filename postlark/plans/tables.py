@@ -1,7 +1,9 @@
 """The given tables in the shapes the operators read.
 
 Every shape is built row by row, without a join, group or sort, and takes the whole table
-and the whole text. Nested columns go through the same paths as landed posts and pages.
+and the whole text. Callers name the post fields they need: a nested value that is computed
+here cannot be pruned like a nested field of a file, and the scan should read no more
+columns than the query uses.
 """
 
 from __future__ import annotations
@@ -28,6 +30,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Spread rows over the cores when their files are planned as fewer tasks than that.
+
+    Such a scan holds less than one input split per core, so what moves is bounded by the
+    cluster and not by the data. Larger tables are read as they lie.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def _metrics(likes: Column, quotes: Column, replies: Column, retweets: Column) -> Column:
     return F.struct(
         likes.alias("like_count"),
@@ -38,10 +50,11 @@ def _metrics(likes: Column, quotes: Column, replies: Column, retweets: Column) -
 
 
 def _topic(domain_id: Column, domain: Column, entity_id: Column, entity: Column) -> Column:
+    description = F.lit("by table")
     none = F.lit(None).cast("string")
     return F.struct(
         F.struct(
-            domain_id.alias("id"), domain.alias("name"), F.lit("by table").alias("description")
+            domain_id.alias("id"), domain.alias("name"), description.alias("description")
         ).alias("domain"),
         F.struct(entity_id.alias("id"), entity.alias("name"), none.alias("description")).alias(
             "entity"
@@ -49,75 +62,78 @@ def _topic(domain_id: Column, domain: Column, entity_id: Column, entity: Column)
     )
 
 
-def stream_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``documents`` as stream posts: ``data`` and ``day``."""
-    docs = table(spark, sf_dir, "documents").withColumn(
-        "tags", F.regexp_extract_all("text", F.lit(TAG_PATTERN), F.lit(0))
+def _named_topic(domain: str, entity: Column) -> Column:
+    return F.struct(
+        F.struct(F.lit(domain).alias("name")).alias("domain"),
+        F.struct(entity.alias("name")).alias("entity"),
     )
-    source = F.col("source")
-    hashtags = F.transform("tags", lambda tag: F.struct(tag.alias("tag")))
+
+
+def stream_posts(spark: SparkSession, sf_dir: str, *fields: str) -> DataFrame:
+    """``documents`` as stream posts: ``data`` with the named fields, and ``day``."""
+    found = F.regexp_extract_all("text", F.lit(TAG_PATTERN), F.lit(0))
+    tags = F.coalesce(found, F.array().cast("array<string>"))
+    source, chars = F.col("source"), F.col("n_chars")
+    hashtags = F.transform(tags, lambda tag: F.struct(tag.alias("tag")))
     topics = F.transform(
-        "tags", lambda tag: _topic(source, F.concat(F.lit("Source "), source), F.lower(tag), tag)
-    )
-    chars = F.col("n_chars")
-    data = F.struct(
-        F.col("doc_id").cast("string").alias("id"),
-        "text",
-        "lang",
-        source.alias("author_id"),
-        F.struct(hashtags.alias("hashtags")).alias("entities"),
-        _metrics(chars % 1000, chars % 7, chars % 31, chars % 101).alias("public_metrics"),
-        topics.alias("context_annotations"),
+        tags, lambda tag: _topic(source, F.concat(F.lit("Source "), source), F.lower(tag), tag)
     )
+    metrics = _metrics(chars % 1000, chars % 7, chars % 31, chars % 101)
+    known = {
+        "id": F.col("doc_id").cast("string"),
+        "text": F.col("text"),
+        "lang": F.col("lang"),
+        "author_id": source,
+        "entities": F.struct(hashtags.alias("hashtags")),
+        "public_metrics": metrics,
+        "context_annotations": topics,
+    }
+    data = F.struct(*[known[name].alias(name) for name in fields or known])
     day = F.get(F.array(*[F.lit(name) for name in DAYS]), (F.col("doc_id") % 5).cast("int"))
+    docs = table(spark, sf_dir, "documents")
+    if not fields or {"text", "entities", "context_annotations"} & set(fields):
+        docs = spread(docs, "doc_id")
     return docs.select(data.alias("data"), day.alias("day"))
 
 
-def search_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def search_pages(spark: SparkSession, sf_dir: str, *fields: str) -> DataFrame:
     """``lineitem`` as search pages of two posts: an order post and a delivery post."""
-    lines = table(spark, sf_dir, "lineitem")
-    quantity = F.col("l_quantity").cast("bigint")
-    price = F.floor("l_extendedprice")
+    lines = spread(table(spark, sf_dir, "lineitem"), "l_orderkey")
+    quantity, number = F.col("l_quantity").cast("bigint"), F.col("l_linenumber").cast("bigint")
     part_range = (F.col("l_partkey") % 40).cast("string")
     supplier = F.col("l_suppkey").cast("string")
-    part_topic = _topic(
-        F.lit("10"), F.lit("Part range"), part_range, F.concat(F.lit("Range "), part_range)
-    )
-    supplier_topic = _topic(
-        F.lit("46"), F.lit("Supplier"), supplier, F.concat(F.lit("Supplier "), supplier)
-    )
-    number = F.col("l_linenumber").cast("bigint")
-    order_post = F.struct(
-        F.concat(F.lit("q"), quantity.cast("string")).alias("lang"),
-        _metrics(price, number, quantity, F.col("l_partkey") % 97).alias("public_metrics"),
-        F.array(part_topic, supplier_topic).alias("context_annotations"),
-    )
-    delivery_post = F.struct(
-        F.lower(F.concat("l_returnflag", "l_linestatus")).alias("lang"),
-        _metrics(quantity, F.lit(0).cast("bigint"), number, F.col("l_suppkey") % 13).alias(
-            "public_metrics"
+    part_topic = _named_topic("Part range", F.concat(F.lit("Range "), part_range))
+    supplier_topic = _named_topic("Supplier", F.concat(F.lit("Supplier "), supplier))
+    order = {
+        "lang": F.concat(F.lit("q"), quantity.cast("string")),
+        "public_metrics": _metrics(
+            F.floor("l_extendedprice"), number, quantity, F.col("l_partkey") % 97
         ),
-        F.array(supplier_topic).alias("context_annotations"),
-    )
-    return lines.select(F.array(order_post, delivery_post).alias("data"))
+        "context_annotations": F.array(part_topic, supplier_topic),
+    }
+    delivery = {
+        "lang": F.lower(F.concat("l_returnflag", "l_linestatus")),
+        "public_metrics": _metrics(
+            quantity, F.lit(0).cast("bigint"), number, F.col("l_suppkey") % 13
+        ),
+        "context_annotations": F.array(supplier_topic),
+    }
+    posts = [
+        F.struct(*[post[name].alias(name) for name in fields or post])
+        for post in (order, delivery)
+    ]
+    return lines.select(F.array(*posts).alias("data"))
 
 
 def timeline_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as timeline pages of two posts; an error event is a page without posts."""
     value, event = F.col("value"), F.col("event_id")
-    post = F.struct(
-        _metrics(F.floor(value * 100), event % 7, event % 31, F.floor(value)).alias(
-            "public_metrics"
-        )
-    )
-    reply = F.struct(
-        _metrics(F.floor(value), F.lit(0).cast("bigint"), event % 5, event % 101).alias(
-            "public_metrics"
-        )
-    )
-    data = F.when(F.col("event_type") != "error", F.array(post, reply))
+    post = _metrics(F.floor(value * 100), event % 7, event % 31, F.floor(value))
+    reply = _metrics(F.floor(value), F.lit(0).cast("bigint"), event % 5, event % 101)
+    posts = F.array(*[F.struct(metrics.alias("public_metrics")) for metrics in (post, reply)])
     return table(spark, sf_dir, "events").select(
-        F.col("user_id").cast("string").alias("username"), data.alias("data")
+        F.col("user_id").cast("string").alias("username"),
+        F.when(F.col("event_type") != "error", posts).alias("data"),
     )
 
 
