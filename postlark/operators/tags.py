@@ -126,9 +126,11 @@ def multi_tag_counts(posts: DataFrame, lang: str = "en") -> DataFrame:
         .filter(F.col("id").isNotNull())
     )
     every = tagged.select(F.explode("tags").alias("tags"), F.lit(1).alias("step"))
+    only_tag = F.when(F.size("tags") == 1, F.get("tags", F.lit(0)))
     single = (
-        tagged.groupBy("id")
-        .agg(F.sum(F.size("tags")).alias("rows"), F.min(F.get("tags", F.lit(0))).alias("tags"))
+        tagged.select("id", F.size("tags").alias("rows"), only_tag.alias("tags"))
+        .groupBy("id")
+        .agg(F.sum("rows").alias("rows"), F.min("tags").alias("tags"))
         .filter(F.col("rows") == 1)
         .select("tags", F.lit(-1).alias("step"))
     )

@@ -54,9 +54,9 @@ def lang_share_top_topics(rows: DataFrame, topics: int = 10, languages: int = 10
     """For each leading topic, its languages with the largest share of the topic.
 
     Topic totals are rolled up from the language counts, so the posts are read once and both
-    sides reuse one shuffle. For that reuse, rows without a topic id leave through an
-    aggregate (``known``): a plain NULL filter would be pushed below one of the two sides.
-    The window sees the rows of ``topics`` topics only.
+    sides reuse one shuffle. For that reuse, both sides drop rows without a topic id through
+    the aggregate ``known``: a NULL filter would be pushed below one of them. A topic without
+    an id keeps its place among the leading ones. The window sees the leading topics only.
     """
     counts = rows.groupBy("language", "context", "full_id").agg(
         F.count("*").alias("count"), F.count("full_id").alias("known")
@@ -65,13 +65,14 @@ def lang_share_top_topics(rows: DataFrame, topics: int = 10, languages: int = 10
         counts.groupBy(
             F.col("context").alias("context_topic"), F.col("full_id").alias("full_id_topic")
         )
-        .agg(F.sum("count").alias("topicCount"))
+        .agg(F.sum("count").alias("topicCount"), F.sum("known").alias("topicKnown"))
         .orderBy(F.desc("topicCount"), "context_topic", "full_id_topic")
         .limit(topics)
+        .filter(F.col("topicKnown") > 0)
     )
     shares = (
-        counts.join(F.broadcast(leading), F.col("full_id").eqNullSafe(F.col("full_id_topic")))
-        .filter(F.col("known") > 0)
+        counts.filter(F.col("known") > 0)
+        .join(F.broadcast(leading), F.col("full_id").eqNullSafe(F.col("full_id_topic")))
         .withColumn("proportion", ratio(F.col("count"), F.col("topicCount")))
     )
     by_topic = Window.partitionBy("context_topic", "full_id_topic").orderBy(

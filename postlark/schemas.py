@@ -30,6 +30,13 @@ PROFILE = (
 STREAM_POST = f"data {POST}"
 # One row per search page: ``data`` is an array of posts.
 SEARCH_PAGE = f"data ARRAY<{POST}>, meta {PAGE_META}"
+# The part of a search page that the topic reports use. A scan cannot prune below an array in
+# an array by itself, so this leaves ids and descriptions of the annotations unread.
+TOPIC_PAGE = (
+    f"data ARRAY<STRUCT<lang: STRING, public_metrics: {PUBLIC_METRICS}, "
+    "context_annotations: ARRAY<STRUCT<domain: STRUCT<name: STRING>, "
+    "entity: STRUCT<name: STRING>>>>>"
+)
 # A search page that carries the key it was requested with.
 TIMELINE_PAGE = f"username STRING, {SEARCH_PAGE}"
 # One row per profile lookup: ``data`` is an array of accounts.

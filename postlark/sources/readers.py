@@ -29,9 +29,11 @@ def read_stream_posts(spark: SparkSession, path: str, fmt: str = "parquet") -> D
     return spark.read.schema(STREAM_POST).format(fmt).load(path)
 
 
-def read_search_pages(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Search pages, one row per page."""
-    return spark.read.schema(SEARCH_PAGE).format(fmt).load(path)
+def read_search_pages(
+    spark: SparkSession, path: str, fmt: str = "parquet", schema: str = SEARCH_PAGE
+) -> DataFrame:
+    """Search pages, one row per page; ``TOPIC_PAGE`` is enough for the topic reports."""
+    return spark.read.schema(schema).format(fmt).load(path)
 
 
 def read_timeline_pages(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
