@@ -27,7 +27,7 @@ def words(text: Column, separator: str = SPACE_RUN) -> Column:
 
 def strip_punctuation(text: Column) -> Column:
     """Remove the ignored characters wherever they stand."""
-    return F.translate(text, PUNCTUATION, "")
+    return F.regexp_replace(text, f"[{PUNCTUATION}]", "")
 
 
 def content_word_count(text: Column) -> Column:
@@ -45,18 +45,28 @@ def rating_words(text: Column) -> Column:
     return F.split(strip_punctuation(F.lower(text)), ONE_SPACE)
 
 
-def word_list_rating(text: Column, positive: Iterable[str], negative: Iterable[str]) -> Column:
-    """Positive words minus negative words; a word in both lists counts as positive."""
-    positive, negative = sorted(set(positive)), sorted(set(negative))
+def _literal(word: str) -> str:
+    escaped = word.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
 
-    def add(total: Column, word: Column) -> Column:
-        return (
-            F.when(word.isin(positive), total + 1)
-            .when(word.isin(negative), total - 1)
-            .otherwise(total)
-        )
 
-    return F.aggregate(rating_words(text), F.lit(0), add)
+def word_list_rating(words_column: str, positive: Iterable[str], negative: Iterable[str]) -> Column:
+    """Positive words minus negative words in an array of words.
+
+    A word in both lists counts as positive. The lists become hash sets in the plan. They
+    are written as SQL text, because thousands of literal columns take seconds to build.
+    """
+    positive = set(positive)
+    listed = sorted(positive | set(negative))
+    if not listed:
+        return F.when(F.col(words_column).isNotNull(), F.lit(0))
+    any_list = ", ".join(map(_literal, listed))
+    good_list = ", ".join(map(_literal, sorted(positive)))
+    is_good = f"word IN ({good_list})" if good_list else "false"
+    return F.expr(
+        f"aggregate(filter(`{words_column}`, word -> word IN ({any_list})), 0, "
+        f"(total, word) -> total + if({is_good}, 1, -1))"
+    )
 
 
 def starts_with_any(word: Column, prefixes: Iterable[str], exact: Iterable[str] = ()) -> Column:

@@ -58,8 +58,18 @@ def test_strip_punctuation(spark):
     ],
 )
 def test_word_list_rating(spark, text, rating):
-    column = T.word_list_rating(F.col("text"), ["good", "envious", "a+"], ["bad", "envious"])
-    assert one(spark, text, column) == rating
+    words = spark.createDataFrame([(text,)], "text STRING").select(
+        T.rating_words(F.col("text")).alias("words")
+    )
+    column = T.word_list_rating("words", ["good", "envious", "a+"], ["bad", "envious"])
+    assert words.select(column).first()[0] == rating
+
+
+def test_word_lists_are_literals(spark):
+    words = spark.createDataFrame([(["it's", "a\\b", "%", "x"],)], "words ARRAY<STRING>")
+    for listed, rating in ((["it's"], 1), (["a\\b", "%"], 2), (["a_b", "'"], 0), ([], 0)):
+        assert words.select(T.word_list_rating("words", listed, [])).first()[0] == rating
+        assert words.select(T.word_list_rating("words", [], listed)).first()[0] == -rating
 
 
 def test_starts_with_any_takes_patterns_literally(spark):
