@@ -28,7 +28,7 @@ def search_page_cursor(pages: DataFrame, key: str = "username") -> DataFrame:
     id; ids are compared as numbers.
     """
     hit = F.col("data").isNotNull()
-    oldest = F.when(hit, F.col("meta.oldest_id").cast("bigint"))
+    oldest = F.when(hit, F.col("meta.oldest_id").try_cast("bigint"))
     return pages.groupBy(key).agg(
         F.count_if(hit).alias("hits"), F.min(oldest).cast("string").alias("until_id")
     )
@@ -38,7 +38,7 @@ def search_page_cursor_by_pattern(lines: DataFrame, key: str = "username") -> Da
     """``search_page_cursor`` from the page text alone, without parsing the posts."""
     hit = F.col("value").contains('"data":[')
     oldest = F.regexp_extract("value", r'.*oldest_id":"(\d+).*', 1)
-    known = F.when(hit & (oldest != ""), oldest.cast("bigint"))
+    known = F.when(hit, oldest.try_cast("bigint"))
     return lines.groupBy(key).agg(
         F.count_if(hit).alias("hits"), F.min(known).cast("string").alias("until_id")
     )

@@ -14,6 +14,8 @@ TABLES = (
     "benchmark labels conversations"
 ).split()
 
+SPARK_TYPES = {"VARCHAR": "string", "BIGINT": "bigint", "DOUBLE": "double"}
+
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
 
 
@@ -51,6 +53,8 @@ def test_matches_sql(spark, duck, name):
     actual = canonical(df.columns, [tuple(row) for row in df.collect()])
     result = duck.execute(oracle_sql()[name])
     columns = [column[0] for column in result.description]
+    types = {column[0]: SPARK_TYPES[str(column[1])] for column in result.description}
+    assert dict(df.dtypes) == types
     expected = canonical(columns, result.fetchall())
     assert actual[0] == expected[0]
     assert len(actual[1]) == len(expected[1]) > 0
