@@ -58,8 +58,8 @@ def context_reports(spark: SparkSession, args: argparse.Namespace) -> Reports:
     """Language shares and interactions per context of search pages."""
     pages = readers.read_search_pages(spark, args.pages, args.format, schemas.TOPIC_PAGE)
     return {
-        "tweet_count": (topics.context_lang_percent(pages), 50),
-        "interaction_count": (topics.context_lang_interactions(pages), 50),
+        "context_lang_percent": (topics.context_lang_percent(pages), 50),
+        "context_lang_interactions": (topics.context_lang_interactions(pages), 50),
     }
 
 
@@ -69,11 +69,11 @@ def user_reports(spark: SparkSession, args: argparse.Namespace) -> Reports:
     pages = readers.read_timeline_pages(spark, args.timelines)
     figures = engagement.user_engagement(profiles, pages, args.ignore_case)
     return {
-        "avgmetric": (engagement.avg_engagement_rank(figures), None),
-        "avgmetric_per_follower": (engagement.avg_engagement_per_follower_rank(figures), None),
-        "totmetric": (engagement.total_engagement_rank(figures), None),
-        "totmetric_per_follower": (engagement.total_engagement_per_follower_rank(figures), None),
-        "topuser": (engagement.engagement_profile(figures), None),
+        "avg_engagement": (engagement.avg_engagement_rank(figures), None),
+        "avg_engagement_per_follower": (engagement.avg_engagement_per_follower_rank(figures), None),
+        "total_engagement": (engagement.total_engagement_rank(figures), None),
+        "total_engagement_per_follower": (engagement.total_engagement_per_follower_rank(figures), None),
+        "engagement_profile": (engagement.engagement_profile(figures), None),
     }
 
 

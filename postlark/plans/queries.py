@@ -17,7 +17,7 @@ from postlark.streaming.landing import stream_land
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# The tables are small next to a tweet capture; a tag counts as frequent above this.
+# The tables are small next to a feed capture; a tag counts as frequent above this.
 MIN_TAG_COUNT = 5
 
 

@@ -26,8 +26,21 @@ WORD_PATTERNS: dict[str, tuple[list[str], list[str]]] = {
 }
 
 
+# The columns used of each table. Declared, so that no job has to read a footer first.
+SCHEMAS = {
+    "documents": "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT",
+    "lineitem": (
+        "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, "
+        "l_quantity DOUBLE, l_extendedprice DOUBLE, l_returnflag STRING, l_linestatus STRING"
+    ),
+    "events": "event_id BIGINT, user_id BIGINT, event_type STRING, value DOUBLE",
+    "customer": "c_custkey BIGINT, c_name STRING, c_acctbal DOUBLE",
+    "conversations": "conv_id BIGINT, turn BIGINT, role STRING, text STRING",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
