@@ -14,9 +14,13 @@ ROWS_PER_SHARE = 1_000_000
 
 
 def hot_key_join(
-    facts: DataFrame, lookup: DataFrame, key: str, rows_per_share: int = ROWS_PER_SHARE
+    facts: DataFrame,
+    lookup: DataFrame,
+    key: str,
+    rows_per_share: int = ROWS_PER_SHARE,
+    how: str = "inner",
 ) -> DataFrame:
-    """Inner join on ``key`` that spreads each hot key of ``facts`` over several tasks.
+    """Inner or left join on ``key`` that spreads each hot key of ``facts`` over several tasks.
 
     A key with more than ``rows_per_share`` rows is cut into as many shares as its row count
     asks for, and the lookup rows of that key alone are repeated once per share. Keys are
@@ -46,4 +50,4 @@ def hot_key_join(
         .withColumn("_share", F.explode(F.sequence(F.lit(0), last_share)))
         .drop("_shares")
     )
-    return spread_facts.join(spread_lookup, [key, "_share"]).drop("_share")
+    return spread_facts.join(spread_lookup, [key, "_share"], how).drop("_share")

@@ -79,12 +79,13 @@ def _rate_text_by_join(base: DataFrame, lexicon: DataFrame) -> DataFrame:
     """Ratings through a join of word counts with the list.
 
     Equal texts have equal ratings, so each text digest is rated once. Word counts are
-    summed per digest before they meet the list.
+    summed per digest before they meet the list. A text with very many copies, or the lack
+    of a text, is a hot digest when the ratings return to the rows.
     """
-    keyed = base.withColumn("_digest", F.sha2("text", 256))
+    keyed = base.withColumn("_digest", F.coalesce(F.sha2("text", 256), F.lit("")))
     rated = (
         keyed.select("_digest", "text")
-        .filter(F.col("_digest").isNotNull())
+        .filter(F.col("text").isNotNull())
         .dropDuplicates(["_digest"])
         .select("_digest", F.explode(rating_words(F.col("text"))).alias("word"))
         .groupBy("_digest", "word")
@@ -94,9 +95,8 @@ def _rate_text_by_join(base: DataFrame, lexicon: DataFrame) -> DataFrame:
         .agg(F.sum(F.col("uses") * F.col("polarity")).alias("_sum"))
     )
     rating = F.when(F.col("text").isNotNull(), F.coalesce(F.col("_sum"), F.lit(0)).cast("int"))
-    return (
-        keyed.join(rated, "_digest", "left").withColumn("rating", rating).drop("_digest", "_sum")
-    )
+    joined = hot_key_join(keyed, rated, "_digest", how="left")
+    return joined.withColumn("rating", rating).drop("_digest", "_sum")
 
 
 def tag_sentiment(

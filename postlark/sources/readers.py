@@ -67,4 +67,5 @@ def read_lexicon(spark: SparkSession, positive_path: str, negative_path: str) ->
         )
         for path, polarity in ((positive_path, 1), (negative_path, -1))
     ]
-    return lists[0].union(lists[1]).groupBy("word").agg(F.max("polarity").alias("polarity"))
+    merged = lists[0].union(lists[1]).filter(F.col("word") != "")
+    return merged.groupBy("word").agg(F.max("polarity").alias("polarity"))

@@ -27,6 +27,14 @@ def test_equals_the_plain_join(spark):
         assert sorted(rows(spread)) == sorted(rows(left.join(right, "key")))
 
 
+def test_left_join_keeps_every_fact(spark):
+    left, right = facts(spark), lookup(spark)
+    for rows_per_share in (100, 10_000):
+        spread = hot_key_join(left, right, "key", rows_per_share, how="left")
+        expected = rows(left.join(right, "key", "left"))
+        assert sorted(rows(spread), key=str) == sorted(expected, key=str)
+
+
 def test_hot_key_is_spread(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")

@@ -119,7 +119,7 @@ def test_csv_report(spark, tmp_path):
 
 
 def test_lexicon(spark, tmp_path):
-    (tmp_path / "good").write_text("good\nenvious\nnaïve\n", encoding="utf-8")
+    (tmp_path / "good").write_text("good\nenvious\n\nnaïve\n", encoding="utf-8")
     (tmp_path / "bad").write_text("bad\nenvious\n", encoding="utf-8")
     lexicon = readers.read_lexicon(spark, str(tmp_path / "good"), str(tmp_path / "bad"))
     assert dict(rows(lexicon)) == {"good": 1, "envious": 1, "naïve": 1, "bad": -1}
