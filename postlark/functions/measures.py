@@ -24,12 +24,11 @@ def total(*parts: Column) -> Column:
     return reduce(add, parts)
 
 
-def topic_label(annotation: str, style: str) -> Column:
+def topic_label(domain: Column, entity: Column, style: str) -> Column:
     """Readable topic name; NULL when a part of it is missing.
 
     ``legacy`` repeats the entity, ``name (name)``; ``domain`` is ``domain: entity``.
     """
-    domain, entity = F.col(f"{annotation}.domain.name"), F.col(f"{annotation}.entity.name")
     if style == "legacy":
         return F.concat(entity, F.lit(" ("), entity, F.lit(")"))
     if style == "domain":

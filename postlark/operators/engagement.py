@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from postlark.functions.measures import percent, ratio, total
 from postlark.operators.joins import ROWS_PER_SHARE, hot_key_join
-from postlark.operators.paging import post_fields
 
 METRICS = {
     "Likes": "like_count",
@@ -54,14 +53,16 @@ def _profile_lookup(profiles: DataFrame, ignore_case: bool) -> DataFrame:
 
 
 def _timeline(timeline_pages: DataFrame, ignore_case: bool) -> DataFrame:
+    """The pages' account and the metrics of their posts; texts are neither read nor moved."""
     key = F.lower("username") if ignore_case else F.col("username")
-    return timeline_pages.select(key.alias("_user"), "data").filter(F.col("_user").isNotNull())
+    return timeline_pages.select(
+        key.alias("_user"), F.col("data.public_metrics").alias("_metrics")
+    ).filter(F.col("_user").isNotNull())
 
 
 def _post_metrics(timeline: DataFrame, *keys: str) -> DataFrame:
-    posts = post_fields(timeline, "public_metrics", keep=keys)
-    metrics = [F.col(f"public_metrics.{field}").alias(name) for name, field in METRICS.items()]
-    return posts.select(*keys, *metrics)
+    posts = timeline.select(*keys, F.inline("_metrics"))
+    return posts.select(*keys, *[F.col(field).alias(name) for name, field in METRICS.items()])
 
 
 def post_metrics_by_user(

@@ -9,25 +9,34 @@ from postlark.functions.measures import percent, ratio, topic_label, total
 from postlark.operators.paging import post_fields
 
 
+# Output name and field of a topic's parts.
+TOPIC_FIELDS = {"desc": "description", "name": "name", "id": "id"}
+
+
 def _top(df: DataFrame, k: int | None) -> DataFrame:
     return df if k is None else df.limit(k)
 
 
-def lang_topic_rows(posts: DataFrame) -> DataFrame:
-    """One row per (post, annotation) with the topic's fields, id and label."""
+def lang_topic_rows(posts: DataFrame, with_descriptions: bool = True) -> DataFrame:
+    """One row per (post, annotation) with the topic's fields, id and label.
+
+    The fields are taken from the array before it is expanded: the scan then reads them and
+    no others, so the rankings, which need no descriptions, should leave those out.
+    """
+    fields = TOPIC_FIELDS if with_descriptions else {"name": "name", "id": "id"}
+    parts = {
+        f"{part}_{short}": F.col(f"data.context_annotations.{part}.{field}")
+        for part in ("domain", "entity")
+        for short, field in fields.items()
+    }
     annotated = posts.filter(F.col("data.context_annotations").isNotNull()).select(
-        F.col("data.lang").alias("language"), F.explode("data.context_annotations").alias("topic")
+        F.col("data.lang").alias("language"),
+        F.inline(F.arrays_zip(*parts.values())).alias(*parts),
     )
     return annotated.select(
-        "language",
-        F.col("topic.domain.description").alias("domain_desc"),
-        F.col("topic.domain.name").alias("domain_name"),
-        F.col("topic.domain.id").alias("domain_id"),
-        F.col("topic.entity.description").alias("entity_desc"),
-        F.col("topic.entity.name").alias("entity_name"),
-        F.col("topic.entity.id").alias("entity_id"),
-        F.concat("topic.domain.id", F.lit("."), "topic.entity.id").alias("full_id"),
-        topic_label("topic", "domain").alias("context"),
+        "*",
+        F.concat("domain_id", F.lit("."), "entity_id").alias("full_id"),
+        topic_label(F.col("domain_name"), F.col("entity_name"), "domain").alias("context"),
     )
 
 
@@ -97,7 +106,9 @@ def context_rows(
     annotated = posts.withColumn("topic", F.explode("context_annotations"))
     metrics = ("like", "quote", "reply", "retweet") if with_metrics else ()
     return annotated.select(
-        topic_label("topic", label_style).alias("context"),
+        topic_label(
+            F.col("topic.domain.name"), F.col("topic.entity.name"), label_style
+        ).alias("context"),
         "lang",
         *[F.col(f"public_metrics.{name}_count").alias(name) for name in metrics],
     )

@@ -62,14 +62,13 @@ def popular_account_tags_distinct(spark, sf_dir):
     return tags.popular_account_tags(_ranked_posts(spark, sf_dir), distinct_authors=True)
 
 
-def _topic_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return topics.lang_topic_rows(
-        tables.stream_posts(spark, sf_dir, "lang", "context_annotations")
-    )
+def _topic_rows(spark: SparkSession, sf_dir: str, with_descriptions: bool = False) -> DataFrame:
+    posts = tables.stream_posts(spark, sf_dir, "lang", "context_annotations")
+    return topics.lang_topic_rows(posts, with_descriptions)
 
 
 def lang_topic_rows(spark, sf_dir):
-    return _topic_rows(spark, sf_dir)
+    return _topic_rows(spark, sf_dir, with_descriptions=True)
 
 
 def lang_topic_ranking(spark, sf_dir):

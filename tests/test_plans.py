@@ -58,6 +58,21 @@ def test_pages_are_pruned_before_they_are_expanded(spark, files, whole_plans):
     assert "public_metrics" in read and "text:string" not in read
 
 
+def test_rankings_leave_descriptions_unread(spark, files, whole_plans):
+    posts = readers.read_stream_posts(spark, f"{files}/stream")
+    read = scan(topics.lang_topic_ranking(topics.lang_topic_rows(posts, False))).split("ReadSchema")[1]
+    assert "entity:struct<id:string,name:string>" in read
+    assert "description" not in read and "text:string" not in read
+
+
+def test_timeline_join_moves_metrics_only(spark, files, whole_plans):
+    pages = readers.read_timeline_pages(spark, f"{files}/pages", "parquet")
+    profiles = spark.createDataFrame([("n", "u", 1.0)], "name STRING, username STRING, Followers_Millions DOUBLE")
+    text = plan(engagement.post_metrics_by_user(profiles, pages))
+    reads = [line for line in text.splitlines() if "FileScan parquet" in line]
+    assert reads and not [line for line in reads if "text:string" in line]
+
+
 def test_reports_take_their_top_rows_without_a_full_sort(spark, files):
     pages = readers.read_search_pages(spark, f"{files}/pages")
     for report in (topics.context_lang_percent(pages), topics.context_lang_interactions(pages)):
