@@ -68,13 +68,14 @@ def user_reports(spark: SparkSession, args: argparse.Namespace) -> Reports:
     profiles = engagement.user_profiles(readers.read_profile_pages(spark, args.profiles))
     pages = readers.read_timeline_pages(spark, args.timelines)
     figures = engagement.user_engagement(profiles, pages, args.ignore_case)
-    return {
-        "avg_engagement": (engagement.avg_engagement_rank(figures), None),
-        "avg_engagement_per_follower": (engagement.avg_engagement_per_follower_rank(figures), None),
-        "total_engagement": (engagement.total_engagement_rank(figures), None),
-        "total_engagement_per_follower": (engagement.total_engagement_per_follower_rank(figures), None),
-        "engagement_profile": (engagement.engagement_profile(figures), None),
+    reports = {
+        "avg_engagement": engagement.avg_engagement_rank,
+        "avg_engagement_per_follower": engagement.avg_engagement_per_follower_rank,
+        "total_engagement": engagement.total_engagement_rank,
+        "total_engagement_per_follower": engagement.total_engagement_per_follower_rank,
+        "engagement_profile": engagement.engagement_profile,
     }
+    return {name: (report(figures), None) for name, report in reports.items()}
 
 
 def day_reports(spark: SparkSession, args: argparse.Namespace) -> Reports:
@@ -91,7 +92,7 @@ def day_reports(spark: SparkSession, args: argparse.Namespace) -> Reports:
 def cursors(spark: SparkSession, args: argparse.Namespace) -> Reports:
     """Hits and continuation id per request key of landed page text."""
     lines = readers.read_page_lines(spark, args.pages)
-    pages = parse_pages(lines, schemas.TIMELINE_PAGE)
+    pages = parse_pages(lines, f"username STRING, {schemas.CURSOR_PAGE}")
     return {"cursors": (search_page_cursor(pages), None)}
 
 

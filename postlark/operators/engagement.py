@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from postlark.functions.measures import percent, ratio, total
 from postlark.operators.joins import ROWS_PER_SHARE, hot_key_join
+from postlark.operators.paging import page_fields
 
 METRICS = {
     "Likes": "like_count",
@@ -34,11 +35,11 @@ def popular_users_metrics(posts: DataFrame) -> DataFrame:
 
 def user_profiles(profile_pages: DataFrame) -> DataFrame:
     """``name``, ``username`` and unrounded ``Followers_Millions`` of each account."""
-    accounts = profile_pages.select(F.explode("data").alias("account"))
+    accounts = page_fields(profile_pages, "name", "username", "public_metrics.followers_count")
     return accounts.select(
-        F.col("account.name").alias("name"),
-        F.col("account.username").alias("username"),
-        (F.col("account.public_metrics.followers_count") / 1_000_000).alias("Followers_Millions"),
+        "name",
+        "username",
+        (F.col("followers_count") / 1_000_000).alias("Followers_Millions"),
     )
 
 

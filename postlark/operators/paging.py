@@ -44,14 +44,13 @@ def search_page_cursor_by_pattern(lines: DataFrame, key: str = "username") -> Da
     )
 
 
-def post_fields(pages: DataFrame, *fields: str, keep: tuple[str, ...] = ()) -> DataFrame:
-    """One row per post of a page, with the named fields as columns.
+def page_fields(pages: DataFrame, *fields: str) -> DataFrame:
+    """One row per element of ``data``, with the named fields as columns.
 
     The fields are picked from the array before it is expanded, so that the scan reads them
-    and no others; after an ``explode`` of whole posts it would read them entirely.
+    and no others; after an ``explode`` of whole elements it would read them entirely.
     """
-    picked = F.arrays_zip(*[F.col(f"data.{name}") for name in fields])
-    return pages.select(*keep, F.inline(picked))
+    return pages.select(F.inline(F.arrays_zip(*[F.col(f"data.{name}") for name in fields])))
 
 
 def pages_to_posts(pages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:

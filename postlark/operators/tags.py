@@ -71,8 +71,9 @@ def rate_text(
         lexicon = {row.word: row.polarity for row in head}
     positive = [word for word, polarity in lexicon.items() if polarity > 0]
     negative = [word for word, polarity in lexicon.items() if polarity < 0]
+    rating = word_list_rating("_words", positive, negative)
     listed = base.withColumn("_words", rating_words(F.col("text")))
-    return listed.withColumn("rating", word_list_rating("_words", positive, negative)).drop("_words")
+    return listed.withColumn("rating", rating).drop("_words")
 
 
 def _rate_text_by_join(base: DataFrame, lexicon: DataFrame) -> DataFrame:

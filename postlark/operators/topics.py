@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from postlark.functions.measures import percent, ratio, topic_label, total
-from postlark.operators.paging import post_fields
-
+from postlark.operators.paging import page_fields
 
 # Output name and field of a topic's parts.
 TOPIC_FIELDS = {"desc": "description", "name": "name", "id": "id"}
@@ -52,7 +51,9 @@ def lang_topic_ranking(rows: DataFrame) -> DataFrame:
 def topic_ranking(rows: DataFrame, top: int | None = 20) -> DataFrame:
     """``context_topic``, ``full_id_topic``, ``topicCount``, most frequent first."""
     ranked = (
-        rows.groupBy(F.col("context").alias("context_topic"), F.col("full_id").alias("full_id_topic"))
+        rows.groupBy(
+            F.col("context").alias("context_topic"), F.col("full_id").alias("full_id_topic")
+        )
         .agg(F.count("*").alias("topicCount"))
         .orderBy(F.desc("topicCount"), "context_topic", "full_id_topic")
     )
@@ -102,7 +103,7 @@ def context_rows(
 ) -> DataFrame:
     """One row per (post, annotation) of search pages: ``context``, ``lang`` and metrics."""
     fields = ["lang", "context_annotations"] + ["public_metrics"] * with_metrics
-    posts = post_fields(pages, *fields)
+    posts = page_fields(pages, *fields)
     annotated = posts.withColumn("topic", F.explode("context_annotations"))
     metrics = ("like", "quote", "reply", "retweet") if with_metrics else ()
     return annotated.select(

@@ -182,7 +182,8 @@ def day_tag_matches_frame(spark, sf_dir):
 
 
 def search_page_cursor(spark, sf_dir):
-    return paging.search_page_cursor(paging.parse_pages(tables.page_lines(spark, sf_dir)))
+    pages = paging.parse_pages(tables.page_lines(spark, sf_dir), schemas.CURSOR_PAGE)
+    return paging.search_page_cursor(pages)
 
 
 def search_page_cursor_by_pattern(spark, sf_dir):

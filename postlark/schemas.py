@@ -37,6 +37,8 @@ TOPIC_PAGE = (
     "context_annotations: ARRAY<STRUCT<domain: STRUCT<name: STRING>, "
     "entity: STRUCT<name: STRING>>>>>"
 )
+# The part of a page that the cursors use: the parser skips everything else.
+CURSOR_PAGE = "data ARRAY<STRUCT<id: STRING>>, meta STRUCT<oldest_id: STRING>"
 # A search page that carries the key it was requested with.
 TIMELINE_PAGE = f"username STRING, {SEARCH_PAGE}"
 # One row per profile lookup: ``data`` is an array of accounts.

@@ -60,7 +60,8 @@ def test_page_conversion(spark, tmp_path):
     writers.pages_to_parquet(spark, source, target, schemas.SEARCH_PAGE)
     stored = spark.read.parquet(target)
     assert stored.columns == ["col"]
-    assert sorted(row.id for row in stored.select("col.id").collect()) == ["10", "11", "5", "8", "9"]
+    ids = sorted(int(row.id) for row in stored.select("col.id").collect())
+    assert ids == [5, 8, 9, 10, 11]
     with pytest.raises(AnalysisException):
         writers.pages_to_parquet(spark, source, target, schemas.SEARCH_PAGE)
     writers.pages_to_parquet(spark, source, target, schemas.SEARCH_PAGE, mode="overwrite")

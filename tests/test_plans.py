@@ -35,13 +35,16 @@ def whole_plans(spark):
 
 
 def test_filters_and_nested_fields_reach_the_scan(spark, files, whole_plans):
-    line = scan(tags.frequent_tags(tags.hashtag_base(readers.read_stream_posts(spark, f"{files}/stream"))))
+    posts = readers.read_stream_posts(spark, f"{files}/stream")
+    line = scan(tags.frequent_tags(tags.hashtag_base(posts)))
     assert "EqualTo(data.lang,en)" in line
-    assert "ReadSchema: struct<data:struct<lang:string,entities:struct<hashtags:array<struct<tag:string>>>>>" in line
+    entities = "entities:struct<hashtags:array<struct<tag:string>>>"
+    assert f"ReadSchema: struct<data:struct<lang:string,{entities}>>" in line
 
 
 def test_popular_users_read_metrics_only(spark, files, whole_plans):
-    line = scan(engagement.popular_users_metrics(readers.read_stream_posts(spark, f"{files}/stream")))
+    posts = readers.read_stream_posts(spark, f"{files}/stream")
+    line = scan(engagement.popular_users_metrics(posts))
     assert "text" not in line.split("ReadSchema")[1] and "entities" not in line
 
 
@@ -60,14 +63,16 @@ def test_pages_are_pruned_before_they_are_expanded(spark, files, whole_plans):
 
 def test_rankings_leave_descriptions_unread(spark, files, whole_plans):
     posts = readers.read_stream_posts(spark, f"{files}/stream")
-    read = scan(topics.lang_topic_ranking(topics.lang_topic_rows(posts, False))).split("ReadSchema")[1]
+    ranking = topics.lang_topic_ranking(topics.lang_topic_rows(posts, False))
+    read = scan(ranking).split("ReadSchema")[1]
     assert "entity:struct<id:string,name:string>" in read
     assert "description" not in read and "text:string" not in read
 
 
 def test_timeline_join_moves_metrics_only(spark, files, whole_plans):
     pages = readers.read_timeline_pages(spark, f"{files}/pages", "parquet")
-    profiles = spark.createDataFrame([("n", "u", 1.0)], "name STRING, username STRING, Followers_Millions DOUBLE")
+    columns = "name STRING, username STRING, Followers_Millions DOUBLE"
+    profiles = spark.createDataFrame([("n", "u", 1.0)], columns)
     text = plan(engagement.post_metrics_by_user(profiles, pages))
     reads = [line for line in text.splitlines() if "FileScan parquet" in line]
     assert reads and not [line for line in reads if "text:string" in line]
