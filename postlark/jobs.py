@@ -105,7 +105,8 @@ def convert(spark: SparkSession, args: argparse.Namespace) -> Reports:
 
 def land(spark: SparkSession, args: argparse.Namespace) -> Reports:
     """Feed files to Parquet, continuing behind the checkpoint."""
-    stream_land(spark, args.source, args.target, args.checkpoint, schemas.STREAM_POST)
+    paths = (args.source, args.target, args.checkpoint)
+    stream_land(spark, *paths, schemas.STREAM_POST, interval=args.interval)
     return {}
 
 
@@ -140,7 +141,8 @@ def parser() -> argparse.ArgumentParser:
     sub = job("convert", convert, "source", "target")
     sub.add_argument("--documents", default="posts", choices=sorted(DOCUMENT_SCHEMAS))
     sub.add_argument("--expand", action="store_true", help="one row per element of data")
-    job("land", land, "source", "target", "checkpoint")
+    sub = job("land", land, "source", "target", "checkpoint")
+    sub.add_argument("--interval", help="keep running and look for files this often")
     return top
 
 

@@ -45,3 +45,8 @@ TIMELINE_PAGE = f"username STRING, {SEARCH_PAGE}"
 PROFILE_PAGE = f"data ARRAY<{PROFILE}>"
 # Lines that are not valid JSON go into this column when a reader is asked to keep them.
 CORRUPT_RECORD = "_corrupt_record"
+
+
+def keeping_corrupt(schema: str) -> str:
+    """The schema with the column for lines that are not valid JSON."""
+    return f"{schema}, {CORRUPT_RECORD} STRING"

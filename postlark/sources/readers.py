@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postlark.schemas import (
-    CORRUPT_RECORD,
     PROFILE_PAGE,
     SEARCH_PAGE,
     STREAM_POST,
     TIMELINE_PAGE,
+    keeping_corrupt,
 )
 
 
@@ -20,7 +20,7 @@ def read_json(
     spark: SparkSession, path: str | list[str], schema: str, keep_corrupt: bool = False
 ) -> DataFrame:
     """JSON lines from a file or folder; broken lines stay in ``_corrupt_record`` on request."""
-    declared = f"{schema}, {CORRUPT_RECORD} STRING" if keep_corrupt else schema
+    declared = keeping_corrupt(schema) if keep_corrupt else schema
     return spark.read.schema(declared).option("mode", "PERMISSIVE").json(path)
 
 

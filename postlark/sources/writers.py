@@ -35,9 +35,9 @@ def json_to_parquet(
     target: str,
     schema: str,
     mode: str = "errorifexists",
-    keep_corrupt: bool = False,
+    keep_corrupt: bool = True,
 ) -> None:
-    """Convert whole JSON documents, one row per document."""
+    """Convert whole JSON documents, one row per document, broken lines included."""
     write_parquet(read_json(spark, source, schema, keep_corrupt), target, mode)
 
 

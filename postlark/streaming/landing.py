@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from postlark.schemas import keeping_corrupt
+
 RECORDS_PER_FILE = 100_000
 
 
@@ -13,10 +15,13 @@ def feed_stream(
     source: str,
     schema: str | None = None,
     files_per_trigger: int = 1_000,
+    keep_corrupt: bool = True,
 ) -> DataFrame:
     """Feed files as a stream: parsed with ``schema``, or raw lines in ``value`` without one."""
     reader = spark.readStream.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.text(source) if schema is None else reader.schema(schema).json(source)
+    if schema is None:
+        return reader.text(source)
+    return reader.schema(keeping_corrupt(schema) if keep_corrupt else schema).json(source)
 
 
 def land(
@@ -25,20 +30,24 @@ def land(
     checkpoint: str,
     fmt: str = "parquet",
     records_per_file: int = RECORDS_PER_FILE,
+    interval: str | None = None,
 ) -> StreamingQuery:
-    """Start landing everything that has arrived, in files of limited length, and then stop.
+    """Start landing a stream in files of limited length.
 
-    The checkpoint remembers the files already landed: a restart, also after a failure,
-    continues behind them, and the sink's log keeps a repeated batch from landing twice.
+    Without an ``interval`` the query lands what has arrived and stops by itself; with one,
+    such as ``"1 minute"``, it keeps looking for new files. The checkpoint remembers the
+    files already landed: a restart, also after a failure, continues behind them, and the
+    sink's log keeps a repeated batch from landing twice.
     """
-    return (
+    writer = (
         stream.writeStream.format(fmt)
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
         .option("maxRecordsPerFile", records_per_file)
-        .trigger(availableNow=True)
-        .start(target)
     )
+    if interval is None:
+        return writer.trigger(availableNow=True).start(target)
+    return writer.trigger(processingTime=interval).start(target)
 
 
 def stream_land(
@@ -50,7 +59,8 @@ def stream_land(
     fmt: str = "parquet",
     records_per_file: int = RECORDS_PER_FILE,
     files_per_trigger: int = 1_000,
+    interval: str | None = None,
 ) -> None:
-    """Land the files of a feed folder and wait until they are written."""
+    """Land the files of a feed folder and wait until the query ends."""
     stream = feed_stream(spark, source, schema, files_per_trigger)
-    land(stream, target, checkpoint, fmt, records_per_file).awaitTermination()
+    land(stream, target, checkpoint, fmt, records_per_file, interval).awaitTermination()

@@ -5,6 +5,7 @@ import pytest
 from helpers import post, stream, topic
 
 from postlark import jobs
+from postlark.schemas import CORRUPT_RECORD
 
 def report(folder):
     found = []
@@ -54,7 +55,9 @@ def test_pages(spark, tmp_path):
     assert report(tmp_path / "out/context_lang_percent") == [["E (E)", "1", "en", "100.0"]]
     jobs.main(["convert", source, str(tmp_path / "whole"), "--documents", "search"])
     jobs.main(["convert", source, str(tmp_path / "each"), "--documents", "search", "--expand"])
-    assert spark.read.parquet(str(tmp_path / "whole")).columns == ["data", "meta"]
+    whole = spark.read.parquet(str(tmp_path / "whole"))
+    assert whole.columns == ["data", "meta", CORRUPT_RECORD]
+    assert whole.filter(whole[CORRUPT_RECORD].isNull()).count() == whole.count() == 1
     assert spark.read.parquet(str(tmp_path / "each")).columns == ["col"]
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from postlark import schemas, session
 from postlark.operators import paging, tags
 from postlark.sources import readers, writers
-from postlark.streaming.landing import stream_land
+from postlark.streaming.landing import feed_stream, land, stream_land
 
 PAGES = [
     ("k1", {"data": [post("9"), post("8")], "meta": {"newest_id": "9", "oldest_id": "8"}}),
@@ -68,12 +68,12 @@ def test_page_conversion(spark, tmp_path):
     assert spark.read.parquet(target).count() == 5
 
 
-def test_document_conversion_keeps_broken_lines_on_request(spark, tmp_path):
+def test_document_conversion_keeps_broken_lines(spark, tmp_path):
     folder = tmp_path / "feed"
     source = write_lines(folder, [{"data": post("1", tags=["a"])}, {"data": post("2", tags=None)}])
     (folder / "broken.json").write_text('{"data": {"id": "3"\n')
     target = str(tmp_path / "documents")
-    writers.json_to_parquet(spark, source, target, schemas.STREAM_POST, keep_corrupt=True)
+    writers.json_to_parquet(spark, source, target, schemas.STREAM_POST)
     stored = spark.read.parquet(target)
     assert stored.count() == 3
     assert stored.filter(F.col(schemas.CORRUPT_RECORD).isNotNull()).count() == 1
@@ -86,18 +86,39 @@ def test_stream_landing_continues_behind_its_checkpoint(spark, tmp_path):
     target, checkpoint = str(tmp_path / "landed"), str(tmp_path / "checkpoint")
     source = write_lines(folder, [{"data": post(str(n))} for n in range(25)])
 
-    def land():
+    def landed():
         stream_land(
             spark, source, target, checkpoint, schemas.STREAM_POST, records_per_file=10,
             files_per_trigger=1,
         )
         return spark.read.parquet(target)
 
-    assert land().count() == 25
-    files = land().select(F.input_file_name().alias("file")).groupBy("file").count()
+    assert landed().count() == 25
+    files = landed().select(F.input_file_name().alias("file")).groupBy("file").count()
     assert sorted(count for _, count in rows(files)) == [5, 10, 10]
     write_lines(folder, [{"data": post(str(n))} for n in range(25, 32)])
-    assert sorted(int(r.id) for r in land().select("data.id").collect()) == list(range(32))
+    assert sorted(int(r.id) for r in landed().select("data.id").collect()) == list(range(32))
+
+
+def test_stream_landing_keeps_broken_lines_and_running(spark, tmp_path):
+    folder = tmp_path / "feed"
+    source = write_lines(folder, [{"data": post("1")}])
+    (folder / "broken.json").write_text("{broken\n")
+    target, checkpoint = str(tmp_path / "landed"), str(tmp_path / "checkpoint")
+    query = land(
+        feed_stream(spark, source, schemas.STREAM_POST), target, checkpoint, interval="1 second"
+    )
+    try:
+        query.processAllAvailable()
+        write_lines(folder, [{"data": post("2")}])
+        query.processAllAvailable()
+        assert query.isActive
+    finally:
+        query.stop()
+    landed = spark.read.parquet(target)
+    assert landed.count() == 3
+    broken = landed.filter(F.col(schemas.CORRUPT_RECORD).isNotNull())
+    assert [row[schemas.CORRUPT_RECORD] for row in broken.collect()] == ["{broken"]
 
 
 def test_stream_landing_of_raw_lines(spark, tmp_path):

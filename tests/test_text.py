@@ -1,3 +1,6 @@
+import itertools
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -18,6 +21,31 @@ SPLITS = [
 ]
 
 
+def java_split(text, separator):
+    """Split that keeps empty words except those at the end, as the JVM does."""
+    found = re.split(separator, text)
+    if len(found) == 1:
+        return found
+    while found and found[-1] == "":
+        found.pop()
+    return found
+
+
+def test_words_of_every_short_text(spark):
+    texts = ["".join(t) for n in range(6) for t in itertools.product(" a\n@", repeat=n)]
+    df = spark.createDataFrame([(text,) for text in texts], "text STRING").select(
+        "text",
+        T.words(F.col("text")).alias("runs"),
+        T.words(F.col("text"), T.ONE_SPACE).alias("singles"),
+        T.content_word_count(F.col("text")).alias("length"),
+    )
+    for row in df.collect():
+        runs = java_split(row.text, " +")
+        assert row.runs == runs
+        assert row.singles == java_split(row.text, " ")
+        assert row.length == sum("@" not in word for word in runs)
+
+
 def one(spark, text, column):
     return spark.createDataFrame([(text,)], "text STRING").select(column).first()[0]
 
