@@ -45,11 +45,10 @@ def tag_reports(spark: SparkSession, args: argparse.Namespace) -> Reports:
 def topic_reports(spark: SparkSession, args: argparse.Namespace) -> Reports:
     """Languages by topic and engagement by author of stream posts."""
     posts = readers.read_stream_posts(spark, args.posts)
-    rows = topics.lang_topic_rows(posts, with_descriptions=False)
     return {
-        "lang_topics": (topics.lang_topic_ranking(rows), None),
-        "topics": (topics.topic_ranking(rows), 20),
-        "lang_shares": (topics.lang_share_top_topics(rows), None),
+        "lang_topics": (topics.lang_topic_ranking(posts), None),
+        "topics": (topics.topic_ranking(posts), 20),
+        "lang_shares": (topics.lang_share_top_topics(posts), None),
         "popular_users": (engagement.popular_users_metrics(posts), None),
     }
 

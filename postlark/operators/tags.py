@@ -101,13 +101,17 @@ def _rate_text_by_join(base: DataFrame, lexicon: DataFrame) -> DataFrame:
 
 
 def tag_sentiment(
-    base: DataFrame, lexicon: DataFrame | dict[str, int], descending: bool = True
+    base: DataFrame,
+    lexicon: DataFrame | dict[str, int],
+    descending: bool = True,
+    max_inline: int = MAX_INLINE_WORDS,
 ) -> DataFrame:
     """``hashtag``, ``rating``: mean rating of the posts of each tag, best or worst first."""
-    rated = rate_text(base, lexicon).select("rating", F.explode("hashtag").alias("hashtag"))
+    rated = rate_text(base, lexicon, max_inline)
     mean = F.col("mean")
     return (
-        rated.groupBy("hashtag")
+        rated.select("rating", F.explode("hashtag").alias("hashtag"))
+        .groupBy("hashtag")
         .agg(F.avg("rating").alias("mean"))
         .orderBy(mean.desc() if descending else mean.asc(), "hashtag")
         .select("hashtag", F.round("mean", 2).alias("rating"))

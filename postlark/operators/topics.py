@@ -8,21 +8,16 @@ from pyspark.sql import functions as F
 from postlark.functions.measures import percent, ratio, topic_label, total
 from postlark.operators.paging import page_fields
 
-# Output name and field of a topic's parts.
-TOPIC_FIELDS = {"desc": "description", "name": "name", "id": "id"}
-
-
 def _top(df: DataFrame, k: int | None) -> DataFrame:
     return df if k is None else df.limit(k)
 
 
-def lang_topic_rows(posts: DataFrame, with_descriptions: bool = True) -> DataFrame:
-    """One row per (post, annotation) with the topic's fields, id and label.
+def _topic_rows(posts: DataFrame, fields: dict[str, str]) -> DataFrame:
+    """One row per (post, annotation), with the named fields only.
 
-    The fields are taken from the array before it is expanded: the scan then reads them and
-    no others, so the rankings, which need no descriptions, should leave those out.
+    The fields are picked from the array before it is expanded, so that the scan reads them
+    and no others.
     """
-    fields = TOPIC_FIELDS if with_descriptions else {"name": "name", "id": "id"}
     parts = {
         f"{part}_{short}": F.col(f"data.context_annotations.{part}.{field}")
         for part in ("domain", "entity")
@@ -39,28 +34,38 @@ def lang_topic_rows(posts: DataFrame, with_descriptions: bool = True) -> DataFra
     )
 
 
-def lang_topic_ranking(rows: DataFrame) -> DataFrame:
+def lang_topic_rows(posts: DataFrame) -> DataFrame:
+    """One row per (post, annotation) with the topic's fields, id and label."""
+    return _topic_rows(posts, {"desc": "description", "name": "name", "id": "id"})
+
+
+def _topic_keys(posts: DataFrame) -> DataFrame:
+    """The topic rows without the descriptions, which no ranking needs."""
+    return _topic_rows(posts, {"name": "name", "id": "id"})
+
+
+def lang_topic_ranking(posts: DataFrame) -> DataFrame:
     """``language``, ``context``, ``full_id``, ``count``, most frequent first."""
     return (
-        rows.groupBy("language", "context", "full_id")
+        _topic_keys(posts)
+        .groupBy("language", "context", "full_id")
         .agg(F.count("*").alias("count"))
         .orderBy(F.desc("count"), "language", "context", "full_id")
     )
 
 
-def topic_ranking(rows: DataFrame, top: int | None = 20) -> DataFrame:
+def topic_ranking(posts: DataFrame, top: int | None = 20) -> DataFrame:
     """``context_topic``, ``full_id_topic``, ``topicCount``, most frequent first."""
     ranked = (
-        rows.groupBy(
-            F.col("context").alias("context_topic"), F.col("full_id").alias("full_id_topic")
-        )
+        _topic_keys(posts)
+        .groupBy(F.col("context").alias("context_topic"), F.col("full_id").alias("full_id_topic"))
         .agg(F.count("*").alias("topicCount"))
         .orderBy(F.desc("topicCount"), "context_topic", "full_id_topic")
     )
     return _top(ranked, top)
 
 
-def lang_share_top_topics(rows: DataFrame, topics: int = 10, languages: int = 10) -> DataFrame:
+def lang_share_top_topics(posts: DataFrame, topics: int = 10, languages: int = 10) -> DataFrame:
     """For each leading topic, its languages with the largest share of the topic.
 
     Topic totals are rolled up from the language counts, so the posts are read once and both
@@ -68,8 +73,10 @@ def lang_share_top_topics(rows: DataFrame, topics: int = 10, languages: int = 10
     the aggregate ``known``: a NULL filter would be pushed below one of them. A topic without
     an id keeps its place among the leading ones. The window sees the leading topics only.
     """
-    counts = rows.groupBy("language", "context", "full_id").agg(
-        F.count("*").alias("count"), F.count("full_id").alias("known")
+    counts = (
+        _topic_keys(posts)
+        .groupBy("language", "context", "full_id")
+        .agg(F.count("*").alias("count"), F.count("full_id").alias("known"))
     )
     leading = (
         counts.groupBy(

@@ -240,6 +240,7 @@ SELECT tag AS hashtag, {_round("avg(length)", 2)} AS "avgLength" FROM lengths
 GROUP BY tag HAVING count(*) > {MIN_TAG_COUNT}""",
     "tag_sentiment_desc": _SENTIMENT,
     "tag_sentiment_asc": _SENTIMENT,
+    "tag_sentiment_joined": _SENTIMENT,
     "lang_topic_rows": f"WITH {_TOPIC_ROWS} SELECT * FROM topic_rows",
     "lang_topic_ranking": f"""
 WITH {_TOPIC_ROWS}
@@ -297,6 +298,7 @@ FROM sums""",
 WITH {_PROFILES}
 SELECT name, username, followers AS "Followers_Millions" FROM profiles""",
     "tweet_metrics_by_user": f"WITH {_USER_POSTS} SELECT * FROM user_posts",
+    "tweet_metrics_by_user_salted": f"WITH {_USER_POSTS} SELECT * FROM user_posts",
     "user_engagement": _engagement("*"),
     "avg_engagement_rank": _engagement(_AVG_COLUMNS),
     "avg_engagement_per_follower_rank": _engagement(_AVG_COLUMNS),

@@ -45,6 +45,13 @@ def tag_sentiment_asc(spark, sf_dir):
     return tags.tag_sentiment(_base(spark, sf_dir), DEFAULT_LEXICON, descending=False)
 
 
+def tag_sentiment_joined(spark, sf_dir):
+    """The way long word lists take: the list is joined instead of held in the plan."""
+    listed = ", ".join(f"('{word}', {polarity})" for word, polarity in DEFAULT_LEXICON.items())
+    words = spark.sql(f"SELECT * FROM VALUES {listed} AS lexicon(word, polarity)")
+    return tags.tag_sentiment(_base(spark, sf_dir), words, max_inline=0)
+
+
 def multi_tag_counts(spark, sf_dir):
     return tags.multi_tag_counts(tables.stream_posts(spark, sf_dir, "id", "lang", "entities"))
 
@@ -62,29 +69,28 @@ def popular_account_tags_distinct(spark, sf_dir):
     return tags.popular_account_tags(_ranked_posts(spark, sf_dir), distinct_authors=True)
 
 
-def _topic_rows(spark: SparkSession, sf_dir: str, with_descriptions: bool = False) -> DataFrame:
-    posts = tables.stream_posts(spark, sf_dir, "lang", "context_annotations")
-    return topics.lang_topic_rows(posts, with_descriptions)
+def _annotated_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tables.stream_posts(spark, sf_dir, "lang", "context_annotations")
 
 
 def lang_topic_rows(spark, sf_dir):
-    return _topic_rows(spark, sf_dir, with_descriptions=True)
+    return topics.lang_topic_rows(_annotated_posts(spark, sf_dir))
 
 
 def lang_topic_ranking(spark, sf_dir):
-    return topics.lang_topic_ranking(_topic_rows(spark, sf_dir))
+    return topics.lang_topic_ranking(_annotated_posts(spark, sf_dir))
 
 
 def topic_ranking_top(spark, sf_dir):
-    return topics.topic_ranking(_topic_rows(spark, sf_dir))
+    return topics.topic_ranking(_annotated_posts(spark, sf_dir))
 
 
 def topic_ranking(spark, sf_dir):
-    return topics.topic_ranking(_topic_rows(spark, sf_dir), top=None)
+    return topics.topic_ranking(_annotated_posts(spark, sf_dir), top=None)
 
 
 def lang_share_top_topics(spark, sf_dir):
-    return topics.lang_share_top_topics(_topic_rows(spark, sf_dir))
+    return topics.lang_share_top_topics(_annotated_posts(spark, sf_dir))
 
 
 def _annotated_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -135,6 +141,13 @@ def tweet_metrics_by_user(spark, sf_dir):
     )
 
 
+def tweet_metrics_by_user_salted(spark, sf_dir):
+    """With so few rows per share that many accounts are hot keys."""
+    return engagement.post_metrics_by_user(
+        _profiles(spark, sf_dir), tables.timeline_pages(spark, sf_dir), rows_per_share=50
+    )
+
+
 def user_engagement(spark, sf_dir):
     return engagement.user_engagement(
         _profiles(spark, sf_dir), tables.timeline_pages(spark, sf_dir)
@@ -243,6 +256,7 @@ QUERIES: dict[str, Query] = {
     "avg_tweet_length_by_tag": avg_tweet_length_by_tag,
     "tag_sentiment_desc": tag_sentiment_desc,
     "tag_sentiment_asc": tag_sentiment_asc,
+    "tag_sentiment_joined": tag_sentiment_joined,
     "lang_topic_rows": lang_topic_rows,
     "lang_topic_ranking": lang_topic_ranking,
     "topic_ranking_top": topic_ranking_top,
@@ -259,6 +273,7 @@ QUERIES: dict[str, Query] = {
     "context_interaction_breakdown": context_interaction_breakdown,
     "user_profiles": user_profiles,
     "tweet_metrics_by_user": tweet_metrics_by_user,
+    "tweet_metrics_by_user_salted": tweet_metrics_by_user_salted,
     "user_engagement": user_engagement,
     "avg_engagement_rank": avg_engagement_rank,
     "avg_engagement_per_follower_rank": avg_engagement_per_follower_rank,

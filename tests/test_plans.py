@@ -63,8 +63,7 @@ def test_pages_are_pruned_before_they_are_expanded(spark, files, whole_plans):
 
 def test_rankings_leave_descriptions_unread(spark, files, whole_plans):
     posts = readers.read_stream_posts(spark, f"{files}/stream")
-    ranking = topics.lang_topic_ranking(topics.lang_topic_rows(posts, False))
-    read = scan(ranking).split("ReadSchema")[1]
+    read = scan(topics.lang_topic_ranking(posts)).split("ReadSchema")[1]
     assert "entity:struct<id:string,name:string>" in read
     assert "description" not in read and "text:string" not in read
 
@@ -93,8 +92,8 @@ def test_word_counts_read_the_text_once(spark, files):
 
 
 def test_leading_topics_read_the_posts_once(spark, files):
-    rows = topics.lang_topic_rows(readers.read_stream_posts(spark, f"{files}/stream"))
-    shares = topics.lang_share_top_topics(rows)
+    posts = readers.read_stream_posts(spark, f"{files}/stream")
+    shares = topics.lang_share_top_topics(posts)
     shares.collect()
     final = plan(shares).split("== Initial Plan ==")[0]
     assert final.count("FileScan parquet") == 1 and "ReusedExchange" in final

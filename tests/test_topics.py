@@ -6,20 +6,21 @@ from postlark.operators import topics
 
 
 @pytest.fixture
-def topic_rows(spark):
+def posts(spark):
     sports = topic("Sport", "Ball", "1", "10")
     music = topic("Music", "Song", "2", "20")
     nameless = topic("Music", None, "2", None)
-    posts = (
+    made = (
         [post(lang="en", topics=[sports])] * 3
         + [post(lang="fr", topics=[sports, music])]
         + [post(lang="de", topics=[nameless])] * 6
         + [post(lang="en", topics=None), post(lang="en", topics=[])]
     )
-    return topics.lang_topic_rows(stream(spark, posts))
+    return stream(spark, made)
 
 
-def test_rows(topic_rows):
+def test_rows(posts):
+    topic_rows = topics.lang_topic_rows(posts)
     assert topic_rows.columns == [
         "language", "domain_desc", "domain_name", "domain_id", "entity_desc", "entity_name",
         "entity_id", "full_id", "context",
@@ -30,26 +31,26 @@ def test_rows(topic_rows):
     assert topic_rows.count() == 11
 
 
-def test_rankings(topic_rows):
-    assert rows(topics.lang_topic_ranking(topic_rows)) == [
+def test_rankings(posts):
+    assert rows(topics.lang_topic_ranking(posts)) == [
         ("de", None, None, 6),
         ("en", "Sport: Ball", "1.10", 3),
         ("fr", "Music: Song", "2.20", 1),
         ("fr", "Sport: Ball", "1.10", 1),
     ]
     ranking = [(None, None, 6), ("Sport: Ball", "1.10", 4), ("Music: Song", "2.20", 1)]
-    assert rows(topics.topic_ranking(topic_rows)) == ranking
-    assert rows(topics.topic_ranking(topic_rows, top=1)) == ranking[:1]
+    assert rows(topics.topic_ranking(posts)) == ranking
+    assert rows(topics.topic_ranking(posts, top=1)) == ranking[:1]
 
 
-def test_language_shares_of_leading_topics(topic_rows):
-    shares = rows(topics.lang_share_top_topics(topic_rows, topics=2))
+def test_language_shares_of_leading_topics(posts):
+    shares = rows(topics.lang_share_top_topics(posts, topics=2))
     # The topic without an id takes the first place but has no rows.
     assert shares == [
         ("Sport: Ball", "1.10", 4, "en", 3, 0.75),
         ("Sport: Ball", "1.10", 4, "fr", 1, 0.25),
     ]
-    assert len(rows(topics.lang_share_top_topics(topic_rows, topics=3, languages=1))) == 2
+    assert len(rows(topics.lang_share_top_topics(posts, topics=3, languages=1))) == 2
 
 
 def pages(spark):
