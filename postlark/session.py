@@ -1,14 +1,17 @@
-"""Session settings and the shared scratch folder."""
+"""Session settings and tables in the shared scratch folder."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
+# Used where that setting is empty, as in tests. Without a scheme Spark places it on the session's
+# default file system, which all executors share.
+DEFAULT_SCRATCH = "/tmp/postlark-scratch"
+
 # Adaptive execution sizes reducers from the measured map output and splits skewed join
 # partitions; the library leaves partition counts to it.
 ADAPTIVE_CONF = {
@@ -34,13 +37,22 @@ def local_session(cpus: int | str = 8, app: str = "postlark", memory: str = "8g"
 
 
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh path in the shared folder that the cluster names in ``spark.checkpoint.dir``.
+    """A fresh path in the folder of ``spark.checkpoint.dir``, else on the default file system."""
+    shared = spark.conf.get(CHECKPOINT_CONF, None) or DEFAULT_SCRATCH
+    return f"{shared.rstrip('/')}/postlark/{purpose}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """Write ``df`` to the scratch folder and read it back.
 
-    Only a local master may go without that setting; it then gets a temporary folder.
+    This cuts the lineage: a lost executor costs the tasks it was running, not what came before.
     """
-    shared = spark.conf.get(CHECKPOINT_CONF, None)
-    if shared:
-        return f"{shared.rstrip('/')}/postlark/{purpose}-{uuid.uuid4().hex}"
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"{CHECKPOINT_CONF} must name a shared folder on a cluster")
-    return f"{tempfile.mkdtemp(prefix='postlark-')}/{purpose}"
+    path = scratch_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder, on whatever file system it lies."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

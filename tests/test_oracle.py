@@ -6,7 +6,9 @@ import os
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from postlark.plans.oracles import ORACLES
+from postlark.plans.queries import QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 TABLES = (
@@ -39,7 +41,7 @@ def canonical(columns, rows):
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
 def test_entry(spark):
@@ -47,11 +49,11 @@ def test_entry(spark):
     assert entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_matches_sql(spark, duck, name):
-    df = queries()[name](spark, SF_DIR)
+    df = QUERIES[name](spark, SF_DIR)
     actual = canonical(df.columns, [tuple(row) for row in df.collect()])
-    result = duck.execute(oracle_sql()[name])
+    result = duck.execute(ORACLES[name])
     columns = [column[0] for column in result.description]
     types = {column[0]: SPARK_TYPES[str(column[1])] for column in result.description}
     assert dict(df.dtypes) == types
