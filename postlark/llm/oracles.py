@@ -6,14 +6,14 @@ LINE_DEDUP = r"""
 WITH lined AS (
   SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents
 ), placed AS (
-  SELECT doc_id, lines, unnest(range(1, len(lines) - 1)) AS at FROM lined WHERE len(lines) >= 3
+  SELECT doc_id, lines, unnest(range(1, len(lines) - 1)) AS pos FROM lined WHERE len(lines) >= 3
 ), windows AS (
-  SELECT doc_id, at, array_to_string(lines[at:at + 2], chr(10)) AS win FROM placed
+  SELECT doc_id, pos, array_to_string(list_slice(lines, pos, pos + 2), chr(10)) AS win FROM placed
 ), ranked AS (
-  SELECT doc_id, at, row_number() OVER (PARTITION BY win ORDER BY doc_id, at) AS nth
+  SELECT doc_id, pos, row_number() OVER (PARTITION BY win ORDER BY doc_id, pos) AS nth
   FROM windows WHERE regexp_matches(win, '\S')
 ), covered AS (
-  SELECT doc_id, list(DISTINCT at + k) AS gone
+  SELECT doc_id, list(DISTINCT pos + k) AS gone
   FROM ranked, (SELECT unnest([0, 1, 2]) AS k) WHERE nth > 1 GROUP BY doc_id
 ), kept AS (
   SELECT lined.doc_id, lines, CASE WHEN gone IS NULL THEN lines ELSE list_filter(
