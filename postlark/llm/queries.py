@@ -6,7 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from postlark.llm import compression_classifier, line_dedup, mixing, quality_rules
+from postlark.llm import (
+    bpe,
+    compression_classifier,
+    line_dedup,
+    mixing,
+    ngram_join,
+    quality_rules,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,9 +45,25 @@ def compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compression_classifier.verdicts(documents(spark, sf_dir), labels(spark, sf_dir))
 
 
+def byte_bpe() -> bpe.Vocabulary:
+    import public_tokenizers
+
+    return bpe.Vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def byte_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode(documents(spark, sf_dir), byte_bpe())
+
+
+def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.linked(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": quality_rule_verdicts,
     "op2_source_mixing": source_mixing,
     "op5_line_dedup": repeated_lines,
+    "op7_ngram_jaccard": near_duplicates,
     "op8_compression_classifier": compression_quality,
+    "op10_byte_bpe": byte_bpe_round_trip,
 }
