@@ -13,6 +13,8 @@ from postlark.llm import (
     mixing,
     ngram_join,
     quality_rules,
+    token_counts,
+    toxicity,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,10 +61,26 @@ def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.linked(documents(spark, sf_dir))
 
 
+def toxic_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.verdicts(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
+def unigram_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No unigram vocabulary is at hand, so the pieces and scores of another model serve as one."""
+    import public_tokenizers
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    return token_counts.counts(
+        documents(spark, sf_dir), token_counts.sentencepiece_vocabulary(path)
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": quality_rule_verdicts,
     "op2_source_mixing": source_mixing,
+    "op3_toxicity": toxic_documents,
     "op5_line_dedup": repeated_lines,
+    "op6_token_counts": unigram_token_counts,
     "op7_ngram_jaccard": near_duplicates,
     "op8_compression_classifier": compression_quality,
     "op10_byte_bpe": byte_bpe_round_trip,
