@@ -7,12 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from postlark.llm import (
+    bm25,
     bpe,
     compression_classifier,
     line_dedup,
     mixing,
     ngram_join,
     quality_rules,
+    suffix_dedup,
     token_counts,
     toxicity,
 )
@@ -75,13 +77,25 @@ def unigram_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def long_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digest(documents(spark, sf_dir))
+
+
+def top_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents nearest to each one whose id is divisible by 50, itself included."""
+    docs = documents(spark, sf_dir)
+    return bm25.top_documents(docs, bm25.every_nth(docs))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": quality_rule_verdicts,
     "op2_source_mixing": source_mixing,
     "op3_toxicity": toxic_documents,
+    "op4_suffix_dedup": long_repeats,
     "op5_line_dedup": repeated_lines,
     "op6_token_counts": unigram_token_counts,
     "op7_ngram_jaccard": near_duplicates,
     "op8_compression_classifier": compression_quality,
+    "op9_bm25_top_k": top_documents,
     "op10_byte_bpe": byte_bpe_round_trip,
 }
