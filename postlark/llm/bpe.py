@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,10 +36,11 @@ from tokenizers import Tokenizer, pre_tokenizers
 from postlark.session import stored
 
 # Bounds of the broadcast table.
-MAX_TABLE_WORDS = 1 << 21
+MAX_TABLE_WORDS = 1 << 19
 MAX_WORD_BYTES = 32
 
 _ID = np.dtype("<u4")
+_AT_ONCE = 2048
 
 
 def split_pattern(specials: list[str]) -> str:
@@ -83,6 +85,8 @@ class Vocabulary:
 
     def encoder(self) -> Tokenizer:
         """Encodes single words: special tokens are ordinary text, and nothing is split."""
+        # A task has one core.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         tokenizer = Tokenizer.from_str(self.text)
         tokenizer.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         tokenizer.encode_special_tokens = True
@@ -104,12 +108,16 @@ def words(text: Column, vocabulary: Vocabulary) -> Column:
 
 
 def _ids(own: list[str], encoder: Tokenizer, specials: dict[str, int]) -> list[bytes]:
-    """The packed ids of each word."""
-    found = encoder.encode_batch(own, add_special_tokens=False)
-    return [
-        np.array([specials[word]] if word in specials else one.ids, dtype=_ID).tobytes()
-        for word, one in zip(own, found, strict=True)
-    ]
+    """The packed ids of each word, a few words at a time, as their encodings are large."""
+    out = []
+    for first in range(0, len(own), _AT_ONCE):
+        some = own[first : first + _AT_ONCE]
+        found = encoder.encode_batch(some, add_special_tokens=False)
+        out += [
+            np.array([specials[word]] if word in specials else one.ids, dtype=_ID).tobytes()
+            for word, one in zip(some, found, strict=True)
+        ]
+    return out
 
 
 def word_table(
@@ -219,7 +227,7 @@ def _digests(split: pa.ListArray, table: IdTable, pieces: Pieces, encode) -> tup
     """Number of ids, hash of the ids and hash of the decoded text, of each list of words."""
     flat = pc.dictionary_encode(split.flatten())
     own, own_bounds = table.ids_of(flat.dictionary, encode)
-    codes = flat.indices.to_numpy().astype(np.int64)
+    codes = flat.indices.to_numpy()
     offsets = split.offsets.to_numpy().astype(np.int64)
     offsets = offsets - offsets[0]
     sizes, id_hashes, text_hashes = [], [], []
