@@ -11,10 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from postlark import schemas
 from postlark.operators import engagement, tags, topics, weekday
-from postlark.operators.paging import parse_pages, search_page_cursor
+from postlark.operators.paging import key_pages_by_path, parse_pages, search_page_cursor
+from postlark.session import stored
 from postlark.sources import readers, writers
 from postlark.sources.lexicon import DEFAULT_LEXICON
-from postlark.streaming.landing import stream_land
+from postlark.streaming.landing import MAX_FILE_AGE, stream_land
 
 Reports = dict[str, tuple[DataFrame, int | None]]
 
@@ -30,13 +31,17 @@ def tag_reports(spark: SparkSession, args: argparse.Namespace) -> Reports:
     """Text length, sentiment, co-use and popular-account tags of stream posts."""
     posts = readers.read_stream_posts(spark, args.posts)
     base = tags.hashtag_base(posts, args.lang)
+    if bool(args.positive) != bool(args.negative):
+        raise ValueError("--positive and --negative go together")
     lexicon = DEFAULT_LEXICON
-    if args.positive and args.negative:
+    if args.positive:
         lexicon = readers.read_lexicon(spark, args.positive, args.negative)
+    # The texts are rated once, and both rankings sort what is stored.
+    means = stored(tags.mean_ratings(base, lexicon), "tag-ratings")
     return {
         "avg_length": (tags.avg_length_by_tag(base, args.min_count), None),
-        "sentiment_best": (tags.tag_sentiment(base, lexicon), None),
-        "sentiment_worst": (tags.tag_sentiment(base, lexicon, descending=False), None),
+        "sentiment_best": (tags.ranked_ratings(means), None),
+        "sentiment_worst": (tags.ranked_ratings(means, descending=False), None),
         "multi_tag": (tags.multi_tag_counts(posts, args.lang), None),
         "popular_account_tags": (tags.popular_account_tags(posts, args.lang, args.top_n), None),
     }
@@ -66,7 +71,8 @@ def user_reports(spark: SparkSession, args: argparse.Namespace) -> Reports:
     """Engagement of the accounts in profile and timeline pages."""
     profiles = engagement.user_profiles(readers.read_profile_pages(spark, args.profiles))
     pages = readers.read_timeline_pages(spark, args.timelines)
-    figures = engagement.user_engagement(profiles, pages, args.ignore_case)
+    # The timelines are read once, and the five rankings sort what is stored.
+    figures = stored(engagement.user_engagement(profiles, pages, args.ignore_case), "engagement")
     reports = {
         "avg_engagement": engagement.avg_engagement_rank,
         "avg_engagement_per_follower": engagement.avg_engagement_per_follower_rank,
@@ -82,16 +88,20 @@ def day_reports(spark: SparkSession, args: argparse.Namespace) -> Reports:
     paths = dict(capture.split("=", 1) for capture in args.captures)
     posts = readers.read_daily_captures(spark, paths)
     return {
-        "posts": (weekday.day_post_count(posts, args.max_rows), None),
-        "words": (weekday.day_word_counts(posts, args.max_rows), None),
-        "tags": (weekday.day_tag_matches_sql(posts, max_rows=args.max_rows), None),
+        "posts": (weekday.day_post_count(posts), None),
+        "words": (weekday.day_word_counts(posts), None),
+        "tags": (weekday.day_tag_matches_sql(posts), None),
     }
 
 
 def cursors(spark: SparkSession, args: argparse.Namespace) -> Reports:
     """Hits and continuation id per request key of landed page text."""
-    lines = readers.read_page_lines(spark, args.pages)
-    pages = parse_pages(lines, f"username STRING, {schemas.CURSOR_PAGE}")
+    if args.key_pattern:
+        found = readers.read_search_pages(spark, args.pages, "json", schemas.CURSOR_PAGE)
+        pages = key_pages_by_path(found, args.key_pattern)
+    else:
+        lines = readers.read_page_lines(spark, args.pages)
+        pages = parse_pages(lines, f"username STRING, {schemas.CURSOR_PAGE}")
     return {"cursors": (search_page_cursor(pages), None)}
 
 
@@ -105,7 +115,8 @@ def convert(spark: SparkSession, args: argparse.Namespace) -> Reports:
 def land(spark: SparkSession, args: argparse.Namespace) -> Reports:
     """Feed files to Parquet, continuing behind the checkpoint."""
     paths = (args.source, args.target, args.checkpoint)
-    stream_land(spark, *paths, schemas.STREAM_POST, interval=args.interval)
+    age = args.max_file_age
+    stream_land(spark, *paths, schemas.STREAM_POST, interval=args.interval, max_file_age=age)
     return {}
 
 
@@ -135,13 +146,14 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--ignore-case", action="store_true")
     sub = job("days", day_reports)
     sub.add_argument("captures", nargs="+", metavar="day=path")
-    sub.add_argument("--max-rows", type=int)
-    job("cursors", cursors, "pages")
+    sub = job("cursors", cursors, "pages")
+    sub.add_argument("--key-pattern", help="regular expression: its group is the key in the path")
     sub = job("convert", convert, "source", "target")
     sub.add_argument("--documents", default="posts", choices=sorted(DOCUMENT_SCHEMAS))
     sub.add_argument("--expand", action="store_true", help="one row per element of data")
     sub = job("land", land, "source", "target", "checkpoint")
     sub.add_argument("--interval", help="keep running and look for files this often")
+    sub.add_argument("--max-file-age", default=MAX_FILE_AGE, help="older files are not landed")
     return top
 
 

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest number of rows that may be broadcast with a hint. Callers must know the bound
-# from a limit in the plan, not from the data at hand.
-MAX_BROADCAST_ROWS = 100_000
+# Largest number of hot keys. Rows of one share grow with the input beyond it, so that fewer
+# keys than this can have more rows than a share.
+MAX_HOT_KEYS = 100_000
 
 # Rows of one key that a single task should receive.
 ROWS_PER_SHARE = 1_000_000
@@ -24,20 +24,20 @@ def hot_key_join(
 
     A key with more than ``rows_per_share`` rows is cut into as many shares as its row count
     asks for, and the lookup rows of that key alone are repeated once per share. Keys are
-    counted with map-side partial aggregation over the key column only. The list of hot keys
-    is broadcast and therefore limited; a key beyond the limit is joined unsplit. The lookup
-    has no hint, Spark picks its strategy by size.
+    counted with map-side partial aggregation over the key column only. A share has at least
+    one ``MAX_HOT_KEYS``-th of all rows, so fewer keys than that can be hot and their list may
+    be broadcast. The lookup has no hint, Spark picks its strategy by size.
 
     The share of a row depends on its content and its input partition, so a repeated task
     sends every row to the same share again, and copies of one row still spread out.
     """
+    sizes = facts.groupBy(key).agg(F.count("*").alias("_rows"))
+    every = sizes.agg(F.sum("_rows")).scalar()
+    share_rows = F.greatest(F.lit(rows_per_share), F.ceil(every / MAX_HOT_KEYS))
     hot = F.broadcast(
-        facts.groupBy(key)
-        .agg(F.count("*").alias("_rows"))
-        .filter(F.col("_rows") > rows_per_share)
-        .orderBy(F.desc("_rows"), key)
-        .limit(MAX_BROADCAST_ROWS)
-        .select(key, F.ceil(F.col("_rows") / rows_per_share).cast("int").alias("_shares"))
+        sizes.filter(F.col("_rows") > share_rows).select(
+            key, F.ceil(F.col("_rows") / share_rows).cast("int").alias("_shares")
+        )
     )
     row_hash = F.xxhash64(F.spark_partition_id(), *[F.col(name) for name in facts.columns])
     share = F.when(F.col("_shares") > 1, F.pmod(row_hash, F.col("_shares"))).otherwise(0)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postlark.schemas import SEARCH_PAGE
+from postlark.schemas import CORRUPT_RECORD, LINE, SEARCH_PAGE
 
 
 def parse_pages(lines: DataFrame, schema: str = SEARCH_PAGE) -> DataFrame:
@@ -58,6 +58,22 @@ def pages_to_posts(pages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     return pages.select(*keep, F.explode("data").alias("col"))
 
 
+def page_elements(documents: DataFrame) -> DataFrame:
+    """The elements of parsed pages without loss: ``col``, ``_line`` and ``_corrupt_record``.
+
+    ``_line`` is the JSON text of the element. A line that is not valid JSON stays as a row
+    without an element.
+    """
+    texts = F.from_json(LINE, "data ARRAY<STRING>")["data"]
+    none = F.lit(None).cast(documents.schema["data"].dataType.elementType)
+    broken = F.array(F.struct(none.alias("data"), F.col(LINE).alias("_texts")))
+    elements = F.when(F.col(CORRUPT_RECORD).isNotNull(), broken).otherwise(
+        F.arrays_zip("data", "_texts")
+    )
+    rows = documents.withColumn("_texts", texts).select(F.inline(elements), CORRUPT_RECORD)
+    return rows.select(F.col("data").alias("col"), F.col("_texts").alias(LINE), CORRUPT_RECORD)
+
+
 def stream_shape(posts: DataFrame) -> DataFrame:
     """Expanded posts in the stream shape, so that the tag and topic operators take them."""
     return posts.withColumnRenamed("col", "data")

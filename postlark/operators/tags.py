@@ -11,10 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postlark.functions.text import content_word_count, rating_words, word_list_rating
-from postlark.operators.joins import MAX_BROADCAST_ROWS, hot_key_join
-
-# A longer word list leaves the plan and becomes a join.
-MAX_INLINE_WORDS = 20_000
+from postlark.operators.joins import ROWS_PER_SHARE, hot_key_join
 
 
 def _tagged(posts: DataFrame, lang: str) -> DataFrame:
@@ -56,19 +53,17 @@ def avg_length_by_tag(base: DataFrame, min_count: int = 100) -> DataFrame:
 
 
 def rate_text(
-    base: DataFrame, lexicon: DataFrame | dict[str, int], max_inline: int = MAX_INLINE_WORDS
+    base: DataFrame, lexicon: DataFrame | dict[str, int], rows_per_share: int = ROWS_PER_SHARE
 ) -> DataFrame:
     """Add ``rating``: positive minus negative words of ``text``, NULL for a NULL text.
 
-    ``lexicon`` is a word-to-polarity dictionary or a DataFrame (``word``, ``polarity``). Up
-    to ``max_inline`` words become hash sets inside the plan and need no shuffle; the driver
-    reads at most one word more than that. Longer lists are joined.
+    ``lexicon`` is a word-to-polarity dictionary, which becomes hash sets inside the plan and
+    needs no shuffle, or a DataFrame (``word``, ``polarity``) of any length, which is joined.
+    Both rate alike: a word counts by the sign of its polarity, and one that is listed as both
+    is positive.
     """
     if isinstance(lexicon, DataFrame):
-        head = lexicon.select("word", "polarity").take(max_inline + 1)
-        if len(head) > max_inline:
-            return _rate_text_by_join(base, lexicon)
-        lexicon = {row.word: row.polarity for row in head}
+        return _rate_text_by_join(base, lexicon, rows_per_share)
     positive = [word for word, polarity in lexicon.items() if polarity > 0]
     negative = [word for word, polarity in lexicon.items() if polarity < 0]
     rating = word_list_rating("_words", positive, negative)
@@ -76,48 +71,64 @@ def rate_text(
     return listed.withColumn("rating", rating).drop("_words")
 
 
-def _rate_text_by_join(base: DataFrame, lexicon: DataFrame) -> DataFrame:
+def _rate_text_by_join(base: DataFrame, lexicon: DataFrame, rows_per_share: int) -> DataFrame:
     """Ratings through a join of word counts with the list.
 
     Equal texts have equal ratings, so each text digest is rated once. Word counts are
-    summed per digest before they meet the list. A text with very many copies, or the lack
-    of a text, is a hot digest when the ratings return to the rows.
+    summed per digest before they meet the list, where a word of most texts is a hot key. A
+    text with very many copies is a hot digest when the ratings return to the rows; rows
+    without a text stay out of that join.
     """
-    keyed = base.withColumn("_digest", F.coalesce(F.sha2("text", 256), F.lit("")))
-    rated = (
-        keyed.select("_digest", "text")
-        .filter(F.col("text").isNotNull())
+    signs = (
+        lexicon.filter("word IS NOT NULL AND polarity <> 0")
+        .groupBy("word")
+        .agg(F.max(F.signum("polarity").cast("int")).alias("_sign"))
+    )
+    keyed = base.withColumn("_digest", F.sha2("text", 256))
+    with_text = keyed.filter(F.col("text").isNotNull())
+    uses = (
+        with_text.select("_digest", "text")
         .dropDuplicates(["_digest"])
         .select("_digest", F.explode(rating_words(F.col("text"))).alias("word"))
         .groupBy("_digest", "word")
         .agg(F.count("*").alias("uses"))
-        .join(lexicon.select("word", "polarity"), "word")
+    )
+    rated = (
+        hot_key_join(uses, signs, "word", rows_per_share)
         .groupBy("_digest")
-        .agg(F.sum(F.col("uses") * F.col("polarity")).alias("_sum"))
+        .agg(F.sum(F.col("uses") * F.col("_sign")).alias("_sum"))
     )
-    rating = F.when(F.col("text").isNotNull(), F.coalesce(F.col("_sum"), F.lit(0)).cast("int"))
-    joined = hot_key_join(keyed, rated, "_digest", how="left")
-    return joined.withColumn("rating", rating).drop("_digest", "_sum")
+    joined = hot_key_join(with_text, rated, "_digest", rows_per_share, how="left")
+    found = joined.withColumn("rating", F.coalesce(F.col("_sum"), F.lit(0)).cast("int"))
+    without = keyed.filter(F.col("text").isNull()).withColumn("rating", F.lit(None).cast("int"))
+    return found.drop("_digest", "_sum").unionByName(without.drop("_digest"))
 
 
-def tag_sentiment(
-    base: DataFrame,
-    lexicon: DataFrame | dict[str, int],
-    descending: bool = True,
-    max_inline: int = MAX_INLINE_WORDS,
-) -> DataFrame:
-    """``hashtag``, ``rating``: mean rating of the posts of each tag, best or worst first."""
-    rated = rate_text(base, lexicon, max_inline)
-    mean = F.col("mean")
+def mean_ratings(base: DataFrame, lexicon: DataFrame | dict[str, int]) -> DataFrame:
+    """``hashtag``, ``mean``: the mean rating of the posts of each tag."""
+    rated = rate_text(base, lexicon)
     return (
         rated.select("rating", F.explode("hashtag").alias("hashtag"))
         .groupBy("hashtag")
         .agg(F.avg("rating").alias("mean"))
-        .orderBy(mean.desc() if descending else mean.asc(), "hashtag")
-        .select("hashtag", F.round("mean", 2).alias("rating"))
     )
 
 
+def ranked_ratings(means: DataFrame, descending: bool = True) -> DataFrame:
+    """``hashtag``, ``rating``: mean ratings rounded, best or worst first."""
+    mean = F.col("mean")
+    return means.orderBy(mean.desc() if descending else mean.asc(), "hashtag").select(
+        "hashtag", F.round("mean", 2).alias("rating")
+    )
+
+
+def tag_sentiment(
+    base: DataFrame, lexicon: DataFrame | dict[str, int], descending: bool = True
+) -> DataFrame:
+    """``hashtag``, ``rating``: mean rating of the posts of each tag, best or worst first."""
+    return ranked_ratings(mean_ratings(base, lexicon), descending)
+
+
 def multi_tag_counts(posts: DataFrame, lang: str = "en") -> DataFrame:
     """``tags``, ``count`` over post ids that carry at least two tag rows.
 
@@ -173,10 +184,7 @@ def popular_account_tags(
         F.col("data.author_id").alias("author_id"),
         F.col("data.entities.hashtags.tag").alias("hashtags"),
     )
-    if top_n <= MAX_BROADCAST_ROWS:
-        by_popular = tagged.join(F.broadcast(authors), "author_id")
-    else:
-        by_popular = hot_key_join(tagged, authors, "author_id")
+    by_popular = hot_key_join(tagged, authors, "author_id")
     uses: Column = F.sum("factor").alias("count")
     return (
         by_popular.select(F.explode("hashtags").alias("singleTags"), "factor")

@@ -89,7 +89,7 @@ def lang_share_top_topics(posts: DataFrame, topics: int = 10, languages: int = 1
     )
     shares = (
         counts.filter(F.col("known") > 0)
-        .join(F.broadcast(leading), F.col("full_id").eqNullSafe(F.col("full_id_topic")))
+        .join(leading, F.col("full_id").eqNullSafe(F.col("full_id_topic")))
         .withColumn("proportion", ratio(F.col("count"), F.col("topicCount")))
     )
     by_topic = Window.partitionBy("context_topic", "full_id_topic").orderBy(

@@ -23,46 +23,45 @@ DAY_PATTERNS: dict[str, tuple[list[str], list[str]]] = {
 }
 
 
-def _texts(posts: DataFrame, max_rows: int | None) -> DataFrame:
-    """Day and text of the posts with a text; ``max_rows`` caps the raw rows beforehand."""
-    capture = posts if max_rows is None else posts.limit(max_rows)
-    return capture.filter(F.col("data.text").isNotNull()).select(
+def _texts(posts: DataFrame) -> DataFrame:
+    """Day and text of the posts with a text."""
+    return posts.filter(F.col("data.text").isNotNull()).select(
         "day", F.col("data.text").alias("text")
     )
 
 
-def day_post_count(posts: DataFrame, max_rows: int | None = None) -> DataFrame:
+def day_post_count(posts: DataFrame) -> DataFrame:
     """``day``, ``tweet_count``: posts with a text."""
-    return _texts(posts, max_rows).groupBy("day").agg(F.count("*").alias("tweet_count"))
+    return _texts(posts).groupBy("day").agg(F.count("*").alias("tweet_count"))
 
 
-def day_words(posts: DataFrame, max_rows: int | None = None) -> DataFrame:
+def day_words(posts: DataFrame) -> DataFrame:
     """``day``, ``word``: one row per word between single spaces."""
-    return _texts(posts, max_rows).select(
+    return _texts(posts).select(
         "day", F.explode(words(F.col("text"), ONE_SPACE)).alias("word")
     )
 
 
-def day_word_counts(posts: DataFrame, max_rows: int | None = None) -> DataFrame:
+def day_word_counts(posts: DataFrame) -> DataFrame:
     """``day``, ``word``, ``count`` and ``(% format)``: count in percent of the day's posts.
 
     Each post adds one NULL word, so the aggregate that counts the words also counts the
-    posts: the text is read and shuffled once and the post counts reuse that shuffle. There
-    is one post count per day, so broadcasting them is bounded by the days of the week.
-    ``uses`` keeps the NULL word apart after the aggregate, where no filter can move below it.
+    posts: the text is read and shuffled once and the post counts reuse that shuffle. A post
+    without a day belongs to the day NULL, as in ``day_post_count``. ``uses`` keeps the NULL
+    word apart after the aggregate, where no filter can move below it.
     """
     with_marker = F.array_append(words(F.col("text"), ONE_SPACE), F.lit(None).cast("string"))
     counts = (
-        _texts(posts, max_rows)
+        _texts(posts)
         .select("day", F.explode(with_marker).alias("word"))
         .groupBy("day", "word")
         .agg(F.count("*").alias("count"), F.count("word").alias("uses"))
     )
-    posts_per_day = counts.groupBy("day").agg(
+    posts_per_day = counts.groupBy(F.col("day").alias("_day")).agg(
         F.max(F.when(F.col("uses") == 0, F.col("count"))).alias("posts")
     )
     return (
-        counts.join(F.broadcast(posts_per_day), "day")
+        counts.join(posts_per_day, F.col("day").eqNullSafe(F.col("_day")))
         .filter(F.col("uses") > 0)
         .select("day", "word", "count", (F.col("count") * 100 / F.col("posts")).alias("(% format)"))
         .orderBy(F.desc("count"), "day", "word")
@@ -78,13 +77,11 @@ def _matches(patterns: dict[str, tuple[list[str], list[str]]]) -> Column:
 
 
 def day_tag_matches(
-    posts: DataFrame,
-    patterns: dict[str, tuple[list[str], list[str]]] = DAY_PATTERNS,
-    max_rows: int | None = None,
+    posts: DataFrame, patterns: dict[str, tuple[list[str], list[str]]] = DAY_PATTERNS
 ) -> DataFrame:
     """``day``, ``hashtag``, ``count`` of the words that match the day's patterns."""
     return (
-        day_words(posts, max_rows)
+        day_words(posts)
         .filter(_matches(patterns))
         .groupBy("day", F.col("word").alias("hashtag"))
         .agg(F.count("*").alias("count"))
@@ -93,9 +90,7 @@ def day_tag_matches(
 
 
 def day_tag_matches_sql(
-    posts: DataFrame,
-    patterns: dict[str, tuple[list[str], list[str]]] = DAY_PATTERNS,
-    max_rows: int | None = None,
+    posts: DataFrame, patterns: dict[str, tuple[list[str], list[str]]] = DAY_PATTERNS
 ) -> DataFrame:
     """``day_tag_matches`` as a parameterised SQL query over the words."""
     tests, args = [], {}
@@ -116,4 +111,4 @@ def day_tag_matches_sql(
         GROUP BY day, word
         ORDER BY count DESC, day, hashtag
     """
-    return posts.sparkSession.sql(query, args=args, words=day_words(posts, max_rows))
+    return posts.sparkSession.sql(query, args=args, words=day_words(posts))

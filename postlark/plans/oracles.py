@@ -222,9 +222,27 @@ SELECT cast(conv_id AS varchar) AS username, count(*) FILTER (role <> 'system')
        cast(min(CASE WHEN role <> 'system' THEN conv_id * 100 + turn END) AS varchar) AS until_id
 FROM conversations GROUP BY conv_id"""
 
+_CURSOR_BY_PATH = """
+SELECT cast(conv_id % 16 AS varchar) AS username, count(*) FILTER (role <> 'system') AS hits,
+       cast(min(CASE WHEN role <> 'system' THEN conv_id * 100 + turn END) AS varchar) AS until_id
+FROM conversations GROUP BY conv_id % 16"""
+
 _FLAT_POSTS = f"""
 WITH {_POSTS}
-SELECT id, lang, text, array_to_string(tags, ' ') AS tags, likes, len(tags) AS topics FROM posts"""
+SELECT id, lang, text, array_to_string(tags, ' ') AS tags, likes, len(tags) AS topics,
+       'b' || (cast(id AS bigint) % 9) AS batch, NULL::varchar AS broken
+FROM posts
+UNION ALL
+SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, '{{"data": {{"id": "' || id
+FROM posts WHERE cast(id AS bigint) % 100 = 0"""
+
+_PAGE_POSTS = """
+SELECT cast(conv_id * 100 + turn AS varchar) AS id, role AS author_id, text,
+       'b' || ((conv_id * 100 + turn) % 9) AS batch, NULL::varchar AS broken
+FROM conversations WHERE role <> 'system'
+UNION ALL
+SELECT NULL, NULL, NULL, NULL, '{"data": [{"id": "' || (conv_id * 100 + turn)
+FROM conversations WHERE role = 'system'"""
 
 ORACLES: dict[str, str] = {
     "hashtag_base": f"""
@@ -241,6 +259,7 @@ GROUP BY tag HAVING count(*) > {MIN_TAG_COUNT}""",
     "tag_sentiment_desc": _SENTIMENT,
     "tag_sentiment_asc": _SENTIMENT,
     "tag_sentiment_joined": _SENTIMENT,
+    "tag_sentiment_from_files": _SENTIMENT,
     "lang_topic_rows": f"WITH {_TOPIC_ROWS} SELECT * FROM topic_rows",
     "lang_topic_ranking": f"""
 WITH {_TOPIC_ROWS}
@@ -321,9 +340,8 @@ SELECT day, word, count, count * 100 / n AS "(% format)" FROM counts JOIN per_da
     "day_tag_matches_frame": _DAY_MATCHES,
     "search_page_cursor": _CURSOR,
     "search_page_cursor_by_pattern": _CURSOR,
-    "pages_to_tweets": """
-SELECT cast(conv_id * 100 + turn AS varchar) AS id, role AS author_id, text
-FROM conversations WHERE role <> 'system'""",
+    "search_page_cursor_by_path": _CURSOR_BY_PATH,
+    "pages_to_tweets": _PAGE_POSTS,
     "json_to_parquet": _FLAT_POSTS,
     "stream_land": _FLAT_POSTS,
     "report_csv": _context_percent("legacy", "LIMIT 50"),

@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from postlark import schemas
 from postlark.operators import engagement, paging, tags, topics, weekday
 from postlark.plans import tables
-from postlark.session import scratch_dir
+from postlark.session import remove, scratch_dir
 from postlark.sources import readers, writers
-from postlark.sources.lexicon import DEFAULT_LEXICON
+from postlark.sources.lexicon import DEFAULT_LEXICON, NEGATIVE_WORDS, POSITIVE_WORDS
 from postlark.streaming.landing import stream_land
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,7 +49,18 @@ def tag_sentiment_joined(spark, sf_dir):
     """The way long word lists take: the list is joined instead of held in the plan."""
     listed = ", ".join(f"('{word}', {polarity})" for word, polarity in DEFAULT_LEXICON.items())
     words = spark.sql(f"SELECT * FROM VALUES {listed} AS lexicon(word, polarity)")
-    return tags.tag_sentiment(_base(spark, sf_dir), words, max_inline=0)
+    return tags.tag_sentiment(_base(spark, sf_dir), words)
+
+
+def tag_sentiment_from_files(spark, sf_dir):
+    """Write the word lists as files, a word a line, and rate with what is read back."""
+    lists = {}
+    for name, listed in (("positive", POSITIVE_WORDS), ("negative", NEGATIVE_WORDS)):
+        values = ", ".join(f"('{word}')" for word in listed)
+        lists[name] = scratch_dir(spark, name)
+        spark.sql(f"SELECT * FROM VALUES {values} AS words(word)").write.text(lists[name])
+    lexicon = readers.read_lexicon(spark, lists["positive"], lists["negative"])
+    return tags.tag_sentiment(_base(spark, sf_dir), lexicon, descending=False)
 
 
 def multi_tag_counts(spark, sf_dir):
@@ -203,12 +214,29 @@ def search_page_cursor_by_pattern(spark, sf_dir):
     return paging.search_page_cursor_by_pattern(tables.page_lines(spark, sf_dir))
 
 
+def search_page_cursor_by_path(spark, sf_dir):
+    """Land the page text in a folder for each of 16 keys and take the key from the path."""
+    source = scratch_dir(spark, "keyed-pages")
+    key = (F.col("username").cast("bigint") % 16).cast("string").alias("key")
+    lines = tables.page_lines(spark, sf_dir).select("value", key)
+    lines.write.partitionBy("key").text(source)
+    pages = readers.read_search_pages(spark, f"{source}/key=*", "json", schemas.CURSOR_PAGE)
+    return paging.search_page_cursor(paging.key_pages_by_path(pages, "/key=([^/]+)/"))
+
+
 def pages_to_tweets(spark, sf_dir):
-    """Land the page text, convert it to one post per row and read that back."""
+    """Land page text, some of it broken, convert it to one post per row and read that back."""
     source, target = scratch_dir(spark, "pages"), scratch_dir(spark, "posts")
-    tables.page_lines(spark, sf_dir).select("value").write.text(source)
+    tables.landed_page_text(spark, sf_dir).write.text(source)
     writers.pages_to_parquet(spark, source, target, schemas.SEARCH_PAGE)
-    return spark.read.parquet(target).select("col.id", "col.author_id", "col.text")
+    remove(spark, source)
+    return spark.read.parquet(target).select(
+        "col.id",
+        "col.author_id",
+        "col.text",
+        F.get_json_object(schemas.LINE, "$.batch").alias("batch"),
+        F.col(schemas.CORRUPT_RECORD).alias("broken"),
+    )
 
 
 def _flat(posts: DataFrame) -> DataFrame:
@@ -218,28 +246,34 @@ def _flat(posts: DataFrame) -> DataFrame:
         "data.text",
         F.array_join("data.entities.hashtags.tag", " ").alias("tags"),
         F.col("data.public_metrics.like_count").alias("likes"),
-        F.size("data.context_annotations").cast("bigint").alias("topics"),
+        F.array_size("data.context_annotations").cast("bigint").alias("topics"),
+        F.get_json_object(schemas.LINE, "$.data.batch").alias("batch"),
+        F.col(schemas.CORRUPT_RECORD).alias("broken"),
     )
 
 
 def _landed_feed(spark: SparkSession, sf_dir: str) -> str:
+    """Posts as JSON lines with a field that no schema names, and some broken lines."""
     feed = scratch_dir(spark, "feed")
-    tables.stream_posts(spark, sf_dir).select("data").write.json(feed)
+    tables.feed_text(spark, sf_dir).write.text(feed)
     return feed
 
 
 def json_to_parquet(spark, sf_dir):
     """Land posts as JSON, convert the documents to Parquet and read that back."""
-    target = scratch_dir(spark, "documents")
-    writers.json_to_parquet(spark, _landed_feed(spark, sf_dir), target, schemas.STREAM_POST)
-    return _flat(readers.read_stream_posts(spark, target))
+    source, target = _landed_feed(spark, sf_dir), scratch_dir(spark, "documents")
+    writers.json_to_parquet(spark, source, target, schemas.STREAM_POST)
+    remove(spark, source)
+    return _flat(spark.read.parquet(target))
 
 
 def stream_landing(spark, sf_dir):
     """Land posts as JSON, stream the files to Parquet and read that back."""
     target, checkpoint = scratch_dir(spark, "landed"), scratch_dir(spark, "landing-checkpoint")
-    stream_land(spark, _landed_feed(spark, sf_dir), target, checkpoint, schemas.STREAM_POST)
-    return _flat(readers.read_stream_posts(spark, target))
+    source = _landed_feed(spark, sf_dir)
+    stream_land(spark, source, target, checkpoint, schemas.STREAM_POST)
+    remove(spark, source)
+    return _flat(spark.read.parquet(target))
 
 
 def report_csv(spark, sf_dir):
@@ -257,6 +291,7 @@ QUERIES: dict[str, Query] = {
     "tag_sentiment_desc": tag_sentiment_desc,
     "tag_sentiment_asc": tag_sentiment_asc,
     "tag_sentiment_joined": tag_sentiment_joined,
+    "tag_sentiment_from_files": tag_sentiment_from_files,
     "lang_topic_rows": lang_topic_rows,
     "lang_topic_ranking": lang_topic_ranking,
     "topic_ranking_top": topic_ranking_top,
@@ -286,6 +321,7 @@ QUERIES: dict[str, Query] = {
     "day_tag_matches_frame": day_tag_matches_frame,
     "search_page_cursor": search_page_cursor,
     "search_page_cursor_by_pattern": search_page_cursor_by_pattern,
+    "search_page_cursor_by_path": search_page_cursor_by_path,
     "pages_to_tweets": pages_to_tweets,
     "json_to_parquet": json_to_parquet,
     "stream_land": stream_landing,

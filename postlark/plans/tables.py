@@ -43,16 +43,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Spread rows over the cores when their files are planned as fewer tasks than that.
-
-    Such a scan holds less than one input split per core, so what moves is bounded by the
-    cluster and not by the data. Larger tables are read as they lie.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-
 def _metrics(likes: Column, quotes: Column, replies: Column, retweets: Column) -> Column:
     return F.struct(
         likes.alias("like_count"),
@@ -104,14 +94,12 @@ def stream_posts(spark: SparkSession, sf_dir: str, *fields: str) -> DataFrame:
     data = F.struct(*[known[name].alias(name) for name in fields or known])
     day = F.get(F.array(*[F.lit(name) for name in DAYS]), (F.col("doc_id") % 5).cast("int"))
     docs = table(spark, sf_dir, "documents")
-    if not fields or {"text", "entities", "context_annotations"} & set(fields):
-        docs = spread(docs, "doc_id")
     return docs.select(data.alias("data"), day.alias("day"))
 
 
 def search_pages(spark: SparkSession, sf_dir: str, *fields: str) -> DataFrame:
     """``lineitem`` as search pages of two posts: an order post and a delivery post."""
-    lines = spread(table(spark, sf_dir, "lineitem"), "l_orderkey")
+    lines = table(spark, sf_dir, "lineitem")
     quantity, number = F.col("l_quantity").cast("bigint"), F.col("l_linenumber").cast("bigint")
     part_range = (F.col("l_partkey") % 40).cast("string")
     supplier = F.col("l_suppkey").cast("string")
@@ -175,3 +163,36 @@ def page_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "conversations").select(
         F.col("conv_id").cast("string").alias("username"), F.to_json(page).alias("value")
     )
+
+
+def _broken(key: Column, prefix: str) -> Column:
+    """A line that ends in the middle of its JSON."""
+    return F.concat(F.lit(prefix), key.cast("string"))
+
+
+def feed_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``documents`` as lines of a feed: a post each, with a field ``batch`` that no schema names.
+
+    Every hundredth document is followed by a broken line.
+    """
+    posts = stream_posts(spark, sf_dir).select("data")
+    number = F.col("data.id").cast("bigint")
+    batch = F.concat(F.lit("b"), (number % 9).cast("string"))
+    whole = F.to_json(F.struct(F.col("data").withField("batch", batch).alias("data")))
+    cut = F.when(number % 100 == 0, _broken(number, '{"data": {"id": "'))
+    return posts.select(F.explode(F.filter(F.array(whole, cut), lambda x: x.isNotNull())))
+
+
+def landed_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``conversations`` as page text with a field ``batch`` in each post.
+
+    Each system turn is followed by a broken line.
+    """
+    turn_id = F.col("conv_id") * 100 + F.col("turn")
+    batch = F.concat(F.lit("b"), (turn_id % 9).cast("string")).alias("batch")
+    author = F.col("role").alias("author_id")
+    post = F.struct(turn_id.cast("string").alias("id"), "text", author, batch)
+    page = F.to_json(F.struct(F.when(F.col("role") != "system", F.array(post)).alias("data")))
+    cut = F.when(F.col("role") == "system", _broken(turn_id, '{"data": [{"id": "'))
+    lines = F.filter(F.array(page, cut), lambda x: x.isNotNull())
+    return table(spark, sf_dir, "conversations").select(F.explode(lines))

@@ -11,12 +11,23 @@ PUBLIC_METRICS = (
 )
 TOPIC_PART = "STRUCT<id: STRING, name: STRING, description: STRING>"
 ANNOTATIONS = f"ARRAY<STRUCT<domain: {TOPIC_PART}, entity: {TOPIC_PART}>>"
+ENTITIES = (
+    "STRUCT<hashtags: ARRAY<STRUCT<tag: STRING>>, "
+    "mentions: ARRAY<STRUCT<id: STRING, username: STRING>>, "
+    "cashtags: ARRAY<STRUCT<tag: STRING>>, "
+    "urls: ARRAY<STRUCT<url: STRING, expanded_url: STRING, display_url: STRING>>>"
+)
+# Fields that posts carry and no query reads. What is in them beyond this stays in the line.
+UNUSED_FIELDS = (
+    "conversation_id: STRING, in_reply_to_user_id: STRING, possibly_sensitive: BOOLEAN, "
+    "geo: STRUCT<place_id: STRING>, attachments: STRUCT<media_keys: ARRAY<STRING>, "
+    "poll_ids: ARRAY<STRING>>, withheld: STRUCT<copyright: BOOLEAN, country_codes: ARRAY<STRING>>"
+)
 POST = (
     "STRUCT<id: STRING, text: STRING, lang: STRING, author_id: STRING, created_at: STRING, "
-    "source: STRING, entities: STRUCT<hashtags: ARRAY<STRUCT<tag: STRING>>>, "
-    f"public_metrics: {PUBLIC_METRICS}, "
+    f"source: STRING, entities: {ENTITIES}, public_metrics: {PUBLIC_METRICS}, "
     "referenced_tweets: ARRAY<STRUCT<id: STRING, type: STRING>>, "
-    f"context_annotations: {ANNOTATIONS}>"
+    f"context_annotations: {ANNOTATIONS}, {UNUSED_FIELDS}>"
 )
 PAGE_META = (
     "STRUCT<newest_id: STRING, oldest_id: STRING, result_count: BIGINT, next_token: STRING>"
@@ -43,8 +54,10 @@ CURSOR_PAGE = "data ARRAY<STRUCT<id: STRING>>, meta STRUCT<oldest_id: STRING>"
 TIMELINE_PAGE = f"username STRING, {SEARCH_PAGE}"
 # One row per profile lookup: ``data`` is an array of accounts.
 PROFILE_PAGE = f"data ARRAY<{PROFILE}>"
-# Lines that are not valid JSON go into this column when a reader is asked to keep them.
+# Lines that are not valid JSON go into this column when documents are parsed.
 CORRUPT_RECORD = "_corrupt_record"
+# The text that a row was parsed from: fields outside the schema stay here.
+LINE = "_line"
 
 
 def keeping_corrupt(schema: str) -> str:

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postlark.schemas import (
+    CORRUPT_RECORD,
+    LINE,
     PROFILE_PAGE,
     SEARCH_PAGE,
     STREAM_POST,
@@ -16,12 +18,22 @@ from postlark.schemas import (
 )
 
 
-def read_json(
-    spark: SparkSession, path: str | list[str], schema: str, keep_corrupt: bool = False
-) -> DataFrame:
-    """JSON lines from a file or folder; broken lines stay in ``_corrupt_record`` on request."""
-    declared = keeping_corrupt(schema) if keep_corrupt else schema
-    return spark.read.schema(declared).option("mode", "PERMISSIVE").json(path)
+def parse_documents(lines: DataFrame, schema: str) -> DataFrame:
+    """JSON text in ``value`` as columns, without loss.
+
+    The line itself stays in ``_line``, with whatever fields the schema does not name, and a
+    line that is not valid JSON is a row with its text in ``_corrupt_record`` as well. Empty
+    lines are no documents.
+    """
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_RECORD}
+    page = F.from_json("value", keeping_corrupt(schema), options)
+    filled = lines.filter(F.trim("value") != "")
+    return filled.select(page.alias("page"), F.col("value").alias(LINE)).select("page.*", LINE)
+
+
+def read_documents(spark: SparkSession, path: str | list[str], schema: str) -> DataFrame:
+    """JSON lines from a file or folder as columns, without loss; see ``parse_documents``."""
+    return parse_documents(spark.read.text(path), schema)
 
 
 def read_stream_posts(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from postlark.operators.paging import pages_to_posts
-from postlark.sources.readers import read_json
+from postlark.operators.paging import page_elements
+from postlark.sources.readers import read_documents
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -30,23 +30,21 @@ def write_report_csv(
 
 
 def json_to_parquet(
-    spark: SparkSession,
-    source: str,
-    target: str,
-    schema: str,
-    mode: str = "errorifexists",
-    keep_corrupt: bool = True,
+    spark: SparkSession, source: str, target: str, schema: str, mode: str = "errorifexists"
 ) -> None:
-    """Convert whole JSON documents, one row per document, broken lines included."""
-    write_parquet(read_json(spark, source, schema, keep_corrupt), target, mode)
+    """Convert whole JSON documents, one row per document, with the line of each.
+
+    Broken lines and fields outside the schema are kept; see ``readers.parse_documents``.
+    """
+    write_parquet(read_documents(spark, source, schema), target, mode)
 
 
 def pages_to_parquet(
-    spark: SparkSession,
-    source: str,
-    target: str,
-    schema: str,
-    mode: str = "errorifexists",
+    spark: SparkSession, source: str, target: str, schema: str, mode: str = "errorifexists"
 ) -> None:
-    """Convert JSON pages, one row per element of ``data`` in the column ``col``."""
-    write_parquet(pages_to_posts(read_json(spark, source, schema)), target, mode)
+    """Convert JSON pages, one row per element of ``data`` in the column ``col``.
+
+    ``_line`` has the JSON text of the element, with all its fields. A broken line is a row
+    without an element. A page without elements has no row.
+    """
+    write_parquet(page_elements(read_documents(spark, source, schema)), target, mode)

@@ -5,23 +5,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from postlark.schemas import keeping_corrupt
+from postlark.sources.readers import parse_documents
 
 RECORDS_PER_FILE = 100_000
 
+# A file is landed however much older it is than the newest one. The checkpoint keeps the names
+# of files this long, so a feed that removes its old files may set less.
+MAX_FILE_AGE = "36500d"
+
 
 def feed_stream(
     spark: SparkSession,
     source: str,
     schema: str | None = None,
     files_per_trigger: int = 1_000,
-    keep_corrupt: bool = True,
+    max_file_age: str = MAX_FILE_AGE,
 ) -> DataFrame:
-    """Feed files as a stream: parsed with ``schema``, or raw lines in ``value`` without one."""
+    """Feed files as a stream of raw lines in ``value``, or of documents parsed with ``schema``.
+
+    Parsed documents keep their line, see ``readers.parse_documents``.
+    """
     reader = spark.readStream.option("maxFilesPerTrigger", files_per_trigger)
-    if schema is None:
-        return reader.text(source)
-    return reader.schema(keeping_corrupt(schema) if keep_corrupt else schema).json(source)
+    lines = reader.option("maxFileAge", max_file_age).text(source)
+    return lines if schema is None else parse_documents(lines, schema)
 
 
 def land(
@@ -60,7 +66,8 @@ def stream_land(
     records_per_file: int = RECORDS_PER_FILE,
     files_per_trigger: int = 1_000,
     interval: str | None = None,
+    max_file_age: str = MAX_FILE_AGE,
 ) -> None:
     """Land the files of a feed folder and wait until the query ends."""
-    stream = feed_stream(spark, source, schema, files_per_trigger)
+    stream = feed_stream(spark, source, schema, files_per_trigger, max_file_age)
     land(stream, target, checkpoint, fmt, records_per_file, interval).awaitTermination()

@@ -159,3 +159,36 @@ def test_stored_posts(stored):
     assert stored[0].count() == 20
     assert engagement.post_metrics_by_user(*stored).count() == 510
     assert engagement.post_metrics_by_user(*stored, ignore_case=True).count() == 527
+
+
+def test_the_five_rankings_differ_and_break_ties_by_name(spark):
+    accounts = profiles(
+        spark,
+        ("A", "a", 1_000_000),
+        ("B", "b", 4_000_000),
+        ("C", "c", 2_000_000),
+        ("D", "d", 2_000_000),
+        ("E", "e", 20_000_000),
+    )
+    kilo = lambda n: (n * 1000, 0, 0, 0)
+    pages = timelines(
+        spark,
+        [
+            ("a", [kilo(2), kilo(2), kilo(2)]),
+            ("b", [kilo(40)]),
+            ("c", [kilo(9)] * 10),
+            ("d", [kilo(9)] * 10),
+            ("e", [kilo(60), kilo(10)]),
+        ],
+    )
+    figures = engagement.user_engagement(accounts, pages)
+    orders = {
+        "avg_engagement_rank": "BECDA",
+        "avg_engagement_per_follower_rank": "BCDAE",
+        "total_engagement_rank": "CDEBA",
+        "total_engagement_per_follower_rank": "CDBAE",
+        "engagement_profile": "EBCDA",
+    }
+    for name, expected in orders.items():
+        ranked = getattr(engagement, name)(figures)
+        assert "".join(row.Name for row in ranked.collect()) == expected, name

@@ -2,10 +2,10 @@ import csv
 import json
 
 import pytest
-from helpers import post, stream, topic
+from helpers import plan, post, stream, topic
 
 from postlark import jobs
-from postlark.schemas import CORRUPT_RECORD
+from postlark.schemas import CORRUPT_RECORD, LINE
 
 def report(folder):
     found = []
@@ -37,6 +37,22 @@ def test_tags(posts, tmp_path):
     assert report(tmp_path / "out/popular_account_tags") == [["x", "16"], ["y", "16"]]
 
 
+def test_one_word_list_alone_is_refused(posts, tmp_path):
+    (tmp_path / "plus").write_text("day\n")
+    with pytest.raises(ValueError):
+        jobs.main(["tags", posts, "--positive", str(tmp_path / "plus")])
+
+
+def test_cursors_by_path(spark, tmp_path):
+    for user in ("ann", "bob"):
+        (tmp_path / f"user={user}").mkdir()
+        page = {"data": [post("7")], "meta": {"oldest_id": "7"}}
+        (tmp_path / f"user={user}/page.json").write_text(json.dumps(page) + "\n")
+    source, out = f"{tmp_path}/user=*", str(tmp_path / "out")
+    jobs.main(["--out", out, "cursors", source, "--key-pattern", "user=([^/]+)/"])
+    assert sorted(report(tmp_path / "out/cursors")) == [["ann", "1", "7"], ["bob", "1", "7"]]
+
+
 def test_topics_and_days(posts, tmp_path, capsys):
     jobs.main(["--out", str(tmp_path / "out"), "topics", posts])
     assert report(tmp_path / "out/topics") == [["D: E", "1.2", "4"]]
@@ -56,9 +72,9 @@ def test_pages(spark, tmp_path):
     jobs.main(["convert", source, str(tmp_path / "whole"), "--documents", "search"])
     jobs.main(["convert", source, str(tmp_path / "each"), "--documents", "search", "--expand"])
     whole = spark.read.parquet(str(tmp_path / "whole"))
-    assert whole.columns == ["data", "meta", CORRUPT_RECORD]
+    assert whole.columns == ["data", "meta", CORRUPT_RECORD, LINE]
     assert whole.filter(whole[CORRUPT_RECORD].isNull()).count() == whole.count() == 1
-    assert spark.read.parquet(str(tmp_path / "each")).columns == ["col"]
+    assert spark.read.parquet(str(tmp_path / "each")).columns == ["col", LINE, CORRUPT_RECORD]
 
 
 def test_land(spark, tmp_path):
@@ -77,6 +93,10 @@ def test_users(spark, tmp_path):
     inputs = [str(tmp_path / name) for name in ("profiles.json", "timelines.json")]
     jobs.main(["--out", str(tmp_path / "out"), "users", *inputs])
     assert report(tmp_path / "out/avg_engagement") == [["U", "2.0", "1.0"]]
+    # The reports sort one stored table: none of them reads the timelines again.
+    args = jobs.parser().parse_args(["users", *inputs])
+    for figures, _ in jobs.user_reports(spark, args).values():
+        assert "FileScan parquet" in plan(figures) and "FileScan json" not in plan(figures)
     assert report(tmp_path / "out/total_engagement") == [["U", "4.0", "2.0"]]
     profile = ["U", "2.0", "2.0", "1.0", "75.0", "0.0", "25.0", "0.0"]
     assert report(tmp_path / "out/engagement_profile") == [profile]

@@ -1,6 +1,7 @@
 from helpers import plan, rows
 from pyspark.sql import functions as F
 
+from postlark.operators import joins
 from postlark.operators.joins import hot_key_join
 
 
@@ -49,3 +50,12 @@ def test_hot_key_is_spread(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_many_hot_keys_get_larger_shares(spark, monkeypatch):
+    # With room for two hot keys, a share has half of all rows, so only the hot one is cut.
+    monkeypatch.setattr(joins, "MAX_HOT_KEYS", 2)
+    left, right = facts(spark), lookup(spark)
+    spread = hot_key_join(left, right, "key", 10, how="left")
+    expected = rows(left.join(right, "key", "left"))
+    assert sorted(rows(spread), key=str) == sorted(expected, key=str)

@@ -1,4 +1,6 @@
 import json
+import os
+import time
 from types import SimpleNamespace
 
 import pytest
@@ -59,7 +61,7 @@ def test_page_conversion(spark, tmp_path):
     target = str(tmp_path / "posts")
     writers.pages_to_parquet(spark, source, target, schemas.SEARCH_PAGE)
     stored = spark.read.parquet(target)
-    assert stored.columns == ["col"]
+    assert stored.columns == ["col", schemas.LINE, schemas.CORRUPT_RECORD]
     ids = sorted(int(row.id) for row in stored.select("col.id").collect())
     assert ids == [5, 8, 9, 10, 11]
     with pytest.raises(AnalysisException):
@@ -68,19 +70,53 @@ def test_page_conversion(spark, tmp_path):
     assert spark.read.parquet(target).count() == 5
 
 
-def test_document_conversion_keeps_broken_lines(spark, tmp_path):
+def test_conversions_lose_nothing(spark, tmp_path):
+    """Fields outside the schema and broken lines are in what is written."""
+    extra = {**post("1", tags=["a"]), "edit_controls": {"edits": 5}, "conversation_id": "77"}
     folder = tmp_path / "feed"
-    source = write_lines(folder, [{"data": post("1", tags=["a"])}, {"data": post("2", tags=None)}])
-    (folder / "broken.json").write_text('{"data": {"id": "3"\n')
+    source = write_lines(folder, [{"data": extra, "includes": {"users": [1]}}, {"data": post("2")}])
+    (folder / "broken.json").write_text('{"data": {"id": "3"\n\n')
     target = str(tmp_path / "documents")
     writers.json_to_parquet(spark, source, target, schemas.STREAM_POST)
     stored = spark.read.parquet(target)
     assert stored.count() == 3
-    assert stored.filter(F.col(schemas.CORRUPT_RECORD).isNotNull()).count() == 1
+    broken = stored.filter(F.col(schemas.CORRUPT_RECORD).isNotNull())
+    assert [row[schemas.LINE] for row in broken.collect()] == ['{"data": {"id": "3"']
+    (first,) = stored.filter("data.id = '1'").collect()
+    assert first.data.conversation_id == "77"
+    assert json.loads(first[schemas.LINE])["data"]["edit_controls"] == {"edits": 5}
+    assert json.loads(first[schemas.LINE])["includes"] == {"users": [1]}
     expected = spark.read.schema(schemas.STREAM_POST).json(f"{source}/part-0.json")
     assert expected.subtract(stored.select("data")).count() == 0
 
 
+def test_page_expansion_loses_nothing(spark, tmp_path):
+    extra = {**post("1"), "note_tweet": {"text": "long"}}
+    folder = tmp_path / "pages"
+    source = write_lines(folder, [{"data": [extra, post("2")]}, {"meta": {"result_count": 0}}])
+    (folder / "broken.json").write_text('{"data": [{"id": "3"\n')
+    target = str(tmp_path / "posts")
+    writers.pages_to_parquet(spark, source, target, schemas.SEARCH_PAGE)
+    found = {row.col.id if row.col else None: row for row in spark.read.parquet(target).collect()}
+    assert set(found) == {"1", "2", None}
+    assert json.loads(found["1"][schemas.LINE])["note_tweet"] == {"text": "long"}
+    assert found[None][schemas.CORRUPT_RECORD] == '{"data": [{"id": "3"'
+
+
+def test_old_files_that_arrive_late_are_landed(spark, tmp_path):
+    folder = tmp_path / "feed"
+    target, checkpoint = str(tmp_path / "landed"), str(tmp_path / "checkpoint")
+    source = write_lines(folder, [{"data": post("1")}])
+    stream_land(spark, source, target, checkpoint, schemas.STREAM_POST)
+    write_lines(folder, [{"data": post("2")}])
+    ten_days_ago = time.time() - 10 * 86_400
+    os.utime(folder / "part-1.json", (ten_days_ago, ten_days_ago))
+    write_lines(folder, [{"data": post("3")}])
+    stream_land(spark, source, target, checkpoint, schemas.STREAM_POST)
+    landed = spark.read.parquet(target).select("data.id").collect()
+    assert sorted(row.id for row in landed) == ["1", "2", "3"]
+
+
 def test_stream_landing_continues_behind_its_checkpoint(spark, tmp_path):
     folder = tmp_path / "feed"
     target, checkpoint = str(tmp_path / "landed"), str(tmp_path / "checkpoint")
@@ -147,20 +183,25 @@ def test_lexicon(spark, tmp_path):
     assert dict(rows(lexicon)) == {"good": 1, "envious": 1, "naïve": 1, "bad": -1}
 
 
-def session_stand_in(master, **conf):
+def session_stand_in(**conf):
     return SimpleNamespace(
-        conf=SimpleNamespace(get=lambda key, default=None: conf.get(key, default)),
-        sparkContext=SimpleNamespace(master=master),
+        conf=SimpleNamespace(get=lambda key, default=None: conf.get(key, default))
     )
 
 
 def test_scratch_uses_the_folder_the_session_names():
-    named = session_stand_in("spark://host", **{session.CHECKPOINT_CONF: "/shared/folder/"})
+    named = session_stand_in(**{session.CHECKPOINT_CONF: "/shared/folder/"})
     first, second = (session.scratch_dir(named, "pages") for _ in range(2))
     assert first != second and first.startswith("/shared/folder/postlark/pages-")
 
 
-def test_scratch_needs_a_shared_folder_on_a_cluster():
-    with pytest.raises(ValueError):
-        session.scratch_dir(session_stand_in("spark://host"), "pages")
-    assert session.scratch_dir(session_stand_in("local[2]"), "pages").endswith("/pages")
+def test_scratch_falls_back_on_the_default_file_system():
+    path = session.scratch_dir(session_stand_in(), "pages")
+    assert path.startswith(f"{session.DEFAULT_SCRATCH}/postlark/pages-")
+
+
+def test_scratch_folders_can_be_removed(spark, tmp_path):
+    path = str(tmp_path / "gone")
+    spark.range(3).write.parquet(path)
+    session.remove(spark, path)
+    assert not (tmp_path / "gone").exists()

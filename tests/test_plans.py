@@ -4,9 +4,9 @@ import pytest
 from helpers import frame, plan, post, stream, topic
 from pyspark.sql import functions as F
 
-from __spark_entry__ import queries
 from postlark import schemas
 from postlark.operators import engagement, tags, topics, weekday
+from postlark.plans.queries import QUERIES
 from postlark.sources import readers
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -99,8 +99,9 @@ def test_leading_topics_read_the_posts_once(spark, files):
     assert final.count("FileScan parquet") == 1 and "ReusedExchange" in final
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_queries_stay_in_the_jvm(spark, name):
-    text = plan(queries()[name](spark, SF_DIR))
+    text = plan(QUERIES[name](spark, SF_DIR))
     for operator in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin", "Scan ExistingRDD"):
         assert operator not in text
+    assert "REPARTITION_BY_NUM" not in text

@@ -10,13 +10,6 @@ SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
 
 
-def test_only_scans_of_few_tasks_are_spread(spark):
-    docs = tables.table(spark, SF_DIR, "documents")
-    assert "Exchange hashpartitioning(doc_id" in plan(tables.spread(docs, "doc_id"))
-    wide = spark.range(0, 1000, 1, 8)
-    assert "Exchange" not in plan(tables.spread(wide, "id"))
-
-
 @pytest.mark.parametrize("name", sorted(tables.SCHEMAS))
 def test_declared_columns_are_those_of_the_files(spark, name):
     stored = dict(spark.read.parquet(f"{SF_DIR}/{name}.parquet").dtypes)

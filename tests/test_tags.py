@@ -3,10 +3,11 @@ import random
 import re
 
 import pytest
-from helpers import post, rows, stream
+from helpers import plan, post, rows, stream
 from pyspark.sql import functions as F
 
 from postlark.operators import tags
+from postlark.operators.joins import hot_key_join
 from postlark.sources import readers
 from postlark.sources.lexicon import DEFAULT_LEXICON, NEGATIVE_WORDS, POSITIVE_WORDS
 
@@ -98,13 +99,53 @@ def test_long_word_lists_are_joined_with_the_same_result(spark):
     texts = [" ".join(rng.choices(words, k=rng.randint(0, 12))) for _ in range(150)]
     df = base(spark, [(text, ["t"]) for text in [*texts, *texts[:40], None, "", "   "]])
     lexicon = spark.createDataFrame(list(DEFAULT_LEXICON.items()), "word STRING, polarity INT")
-    inline = tags.rate_text(df, lexicon)
-    joined = tags.rate_text(df, lexicon, max_inline=10)
-    assert "_digest" not in joined.columns
+    inline = tags.rate_text(df, DEFAULT_LEXICON)
+    joined = tags.rate_text(df, lexicon, rows_per_share=50)
+    assert joined.columns == inline.columns
     key = str
     assert sorted(rows(inline), key=key) == sorted(rows(joined), key=key)
 
 
+def test_weights_and_repeated_words_rate_alike(spark):
+    texts = ["good bad", "good good odd", "both", "none", "", None]
+    df = base(spark, [(text, ["t"]) for text in texts])
+    listed = [("good", 3), ("good", 1), ("bad", -7), ("odd", 0), ("both", -1), ("both", 2)]
+    lexicon = spark.createDataFrame([*listed, (None, 1)], "word STRING, polarity INT")
+    inline = tags.rate_text(df, {"good": 3, "bad": -7, "odd": 0, "both": 2})
+    expected = {"good bad": 0, "good good odd": 2, "both": 1, "none": 0, "": 0, None: None}
+    assert {row.text: row.rating for row in inline.collect()} == expected
+    assert {row.text: row.rating for row in tags.rate_text(df, lexicon).collect()} == expected
+
+
+def test_a_common_word_is_spread_over_tasks(spark):
+    texts = [f"the {n}" for n in range(2000)]
+    df = base(spark, [(text, ["t"]) for text in texts])
+    lexicon = spark.createDataFrame([("the", 1), ("7", -1)], "word STRING, polarity INT")
+    uses = df.select(F.sha2("text", 256).alias("_digest"), F.explode(F.split("text", " ")).alias("word"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = hot_key_join(uses, lexicon, "word", 100)
+        sizes = joined.filter("word = 'the'").groupBy(F.spark_partition_id().alias("p")).count()
+        counts = [count for _, count in rows(sizes)]
+        assert sum(counts) == 2000 and max(counts) < 1000
+        rated = tags.rate_text(df, lexicon, rows_per_share=100)
+        assert "_share" in plan(rated)
+        assert rated.agg(F.sum("rating")).first()[0] == 1999
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_best_and_worst_are_opposite_orders(spark):
+    df = base(spark, [("good", ["b"]), ("good", ["a"]), ("bad", ["c"]), ("good bad bad bad", ["d"])])
+    lexicon = {"good": 1, "bad": -1}
+    best = rows(tags.tag_sentiment(df, lexicon))
+    worst = rows(tags.tag_sentiment(df, lexicon, descending=False))
+    assert best == [("a", 1.0), ("b", 1.0), ("c", -1.0), ("d", -2.0)]
+    assert worst == [("d", -2.0), ("c", -1.0), ("a", 1.0), ("b", 1.0)]
+
+
 STORED = os.environ.get("STORED_RESULTS")
 DOCUMENTS = "/root/testdata/sf0.001/documents.parquet"
 
@@ -197,8 +238,3 @@ def test_popular_accounts_count_once_per_leading_post(ranked):
 def test_popular_accounts_can_be_distinct(ranked):
     result = rows(tags.popular_account_tags(ranked, top_n=4, distinct_authors=True))
     assert result == [("a", 2), ("b", 1), ("c", 1)]
-
-
-def test_popular_accounts_beyond_the_broadcast_bound(ranked, monkeypatch):
-    monkeypatch.setattr(tags, "MAX_BROADCAST_ROWS", 1)
-    assert rows(tags.popular_account_tags(ranked, top_n=4)) == [("a", 4), ("b", 2), ("c", 1)]

@@ -52,10 +52,13 @@ def test_matches(spark, form):
     ]
 
 
-def test_row_cap(spark):
-    capped = weekday.day_post_count(captures(spark), max_rows=3)
-    assert capped.agg(F.sum("tweet_count")).first()[0] <= 3
-    assert rows(weekday.day_post_count(captures(spark), max_rows=100))
+def test_posts_without_a_day_stay(spark):
+    posts = stream(spark, [post(text="a b"), post(text="a")])
+    posts = posts.withColumn("day", F.lit(None).cast("string")).union(captures(spark))
+    assert (None, 2) in rows(weekday.day_post_count(posts))
+    counts = rows(weekday.day_word_counts(posts))
+    assert (None, "a", 2, 100.0) in counts and (None, "b", 1, 50.0) in counts
+    assert ("thursday", "#TBT", 2, 100.0) in counts
 
 
 def test_captures_per_folder_and_per_partition(spark, tmp_path):
