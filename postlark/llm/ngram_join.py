@@ -38,6 +38,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,7 +50,7 @@ SHINGLE = 5
 PERCENT = 75
 BANDS = 8
 GROUP_SIZE = 32
-COUNT_BITS = 18
+COUNT_BITS = 22
 
 _MULTIPLIERS = words.mix(np.arange(1, 2 * BANDS + 1, dtype=np.uint64)) | np.uint64(1)
 
@@ -85,10 +86,11 @@ def similar(a: np.ndarray, b: np.ndarray) -> bool:
     return 100 * shared >= PERCENT * (len(a) + len(b) - shared) and shared > 0
 
 
-def _shared(a: np.ndarray, b: np.ndarray) -> int:
-    if len(a) > len(b):
+def _shared(a: np.ndarray, b: np.ndarray, within: bool = False) -> int:
+    """How many of the tokens of one sorted set are in the other; ``within``: those of ``a``."""
+    if len(a) > len(b) and not within:
         a, b = b, a
-    if not len(a):
+    if not len(a) or not len(b):
         return 0
     at = np.searchsorted(b, a)
     at[at == len(b)] = 0
@@ -105,19 +107,18 @@ def _band_keys(tokens: np.ndarray) -> list[int]:
     return pairs.view(np.int64).tolist()
 
 
-_COUNTED = "doc_id bigint, n_shingles bigint, sig binary, bands array<bigint>, " \
-    "place binary, seen binary"
+_COUNTED = "doc_id bigint, n_shingles bigint, sig binary, bands array<bigint>, seen binary"
 
 
 def described(docs: DataFrame, count_bits: int = COUNT_BITS) -> DataFrame:
     """Size, signature and band keys of every set; and, from each task, token counts.
 
-    The rows of counts have no signature. Tokens are counted in ``2 ** count_bits`` cells by the
-    top bits of the hash.
+    The rows of counts have ``seen``, and nothing else. Tokens are counted in ``2 ** count_bits``
+    cells by the top bits of the hash.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells = np.zeros(1 << count_bits, dtype=np.int64)
+        cells = np.zeros(1 << count_bits, dtype=np.uint32)
         shift = np.uint64(64 - count_bits)
         for batch in batches:
             sizes, sigs, bands, every = [], [], [], [np.empty(0, dtype=np.uint64)]
@@ -127,51 +128,48 @@ def described(docs: DataFrame, count_bits: int = COUNT_BITS) -> DataFrame:
                 sigs.append(np.array([tokens.sum(), turned.sum()], dtype=np.uint64).tobytes())
                 bands.append(_band_keys(tokens) if len(tokens) else [])
                 every.append(tokens)
-            at = (np.concatenate(every) >> shift).astype(np.int64)
-            cells += np.bincount(at, minlength=len(cells))
+            at, times = np.unique(np.concatenate(every) >> shift, return_counts=True)
+            cells[at.astype(np.int64)] += times.astype(np.uint32)
             yield _batch(batch.column(0), sizes, sigs, bands)
-        place = np.flatnonzero(cells)
-        yield _batch([None], [0], [None], [None],
-                     place.astype(np.uint32).tobytes(), cells[place].astype(np.int64).tobytes())
+        yield _batch([None], [0], [None], [None], _pack(cells))
 
     return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, _COUNTED)
 
 
-def _batch(ids, sizes, sigs, bands, place=None, seen=None) -> pa.RecordBatch:
-    n = len(sizes)
+def _batch(ids, sizes, sigs, bands, seen=None) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [
             pa.array(ids, pa.int64()) if isinstance(ids, list) else ids,
             pa.array(sizes, pa.int64()),
             pa.array(sigs, pa.binary()),
             pa.array(bands, pa.list_(pa.int64())),
-            pa.array([place] * n, pa.binary()),
-            pa.array([seen] * n, pa.binary()),
+            pa.array([seen] * len(sizes), pa.binary()),
         ],
-        names=["doc_id", "n_shingles", "sig", "bands", "place", "seen"],
+        names=["doc_id", "n_shingles", "sig", "bands", "seen"],
     )
 
 
+def _pack(cells: np.ndarray) -> bytes:
+    return zstandard.compress(cells.tobytes(), 1)
+
+
 def token_counts(rows: DataFrame, count_bits: int = COUNT_BITS) -> np.ndarray:
     """The sum of all tasks' token counts: a table of fixed size.
 
-    Tasks' tables are added up on the executors, and one row of each partition arrives here.
+    Tables are added up on the executors first, so that at most 16 of them reach the driver.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells = np.zeros(1 << count_bits, dtype=np.int64)
+        cells = np.zeros(1 << count_bits, dtype=np.uint32)
         for batch in batches:
-            for place, seen in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                cells[np.frombuffer(place, dtype=np.uint32)] += np.frombuffer(seen, dtype=np.int64)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.arange(len(cells))), pa.array(cells)], names=["cell", "n"]
-        )
-
-    tables = rows.where("place IS NOT NULL").select("place", "seen").coalesce(16)
-    summed = tables.mapInArrow(run, "cell bigint, n bigint").where("n > 0")
-    found = summed.groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(1 << count_bits, dtype=np.int64)
-    out[found["cell"].to_numpy()] = found["n"].to_numpy()
+            for seen in batch.column(0):
+                cells += np.frombuffer(zstandard.decompress(seen.as_py()), dtype=np.uint32)
+        yield pa.RecordBatch.from_arrays([pa.array([_pack(cells)])], names=["seen"])
+
+    tables = rows.where("seen IS NOT NULL").select("seen").coalesce(16)
+    out = np.zeros(1 << count_bits, dtype=np.uint32)
+    for row in tables.mapInArrow(run, "seen binary").toLocalIterator():
+        out += np.frombuffer(zstandard.decompress(row["seen"]), dtype=np.uint32)
     return out
 
 
@@ -228,14 +226,16 @@ def _unpack(data: bytes) -> np.ndarray:
     return np.frombuffer(data, dtype=np.uint64)
 
 
-def _compared(pairs: DataFrame, sets: DataFrame, others: DataFrame, test) -> DataFrame:
+def _compared(
+    pairs: DataFrame, sets: DataFrame, others: DataFrame, test, unpack=_unpack
+) -> DataFrame:
     """The pairs ``a``-``b`` whose two packed sets pass ``test``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             left, right = (batch.column(i) for i in (2, 3))
             passed = [
-                test(_unpack(left[i].as_py()), _unpack(right[i].as_py())) for i in range(len(left))
+                test(unpack(left[i].as_py()), unpack(right[i].as_py())) for i in range(len(left))
             ]
             yield batch.select(["a", "b"]).filter(pa.array(passed, pa.bool_()))
 
@@ -312,11 +312,29 @@ def candidates(docs: DataFrame, rows: DataFrame, groups: DataFrame) -> DataFrame
     return stored(pairs.select(F.col("rep").alias("a"), "grp").distinct(), "queries")
 
 
+def shortened(sets: DataFrame) -> DataFrame:
+    """The sets with half of each token's bits, which can only make two sets share more."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            packed = [_short(_unpack(data.as_py())).tobytes() for data in batch.column(1)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(packed, pa.binary())], names=["doc_id", "tokens"]
+            )
+
+    return sets.mapInArrow(run, "doc_id bigint, tokens binary")
+
+
+def _short(tokens: np.ndarray) -> np.ndarray:
+    """Sorted, as the top bits of sorted tokens; equal ones stay, so that no set gets smaller."""
+    return (tokens >> np.uint64(32)).astype(np.uint32)
+
+
 def group_unions(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """The union of the tokens of each group, as ``doc_id`` (the group) and ``tokens``."""
+    """The union of the shortened tokens of each group, as ``doc_id`` (the group) and ``tokens``."""
 
     def run(table: pa.Table) -> pa.Table:
-        packed = [_unpack(data) for data in table["tokens"].to_pylist()]
+        packed = [np.frombuffer(data, dtype=np.uint32) for data in table["tokens"].to_pylist()]
         union = np.unique(np.concatenate(packed))
         return pa.table({"doc_id": table["grp"].slice(0, 1), "tokens": [union.tobytes()]})
 
@@ -333,12 +351,14 @@ def cross_links(docs: DataFrame, rows: DataFrame, groups: DataFrame) -> DataFram
     )
     ids = _ids(asked, "a").unionByName(_ids(members, "rep"))
     sets = sets_of(docs, ids)
-    unions = stored(group_unions(members, sets), "unions")
+    short = stored(shortened(sets), "short-sets")
+    unions = stored(group_unions(members, short), "unions")
     opened = _compared(
         asked.withColumnRenamed("grp", "b"),
-        sets,
+        short,
         unions,
-        lambda query, union: _shared(query, union) >= _needed(len(query)),
+        lambda query, union: _shared(query, union, within=True) >= _needed(len(query)),
+        lambda data: np.frombuffer(data, dtype=np.uint32),
     )
     opened = stored(opened.withColumnRenamed("b", "grp"), "open-groups")
     sizes = groups.select(F.col("rep").alias("a"), F.col("n_shingles").alias("_n"))
@@ -352,7 +372,7 @@ def cross_links(docs: DataFrame, rows: DataFrame, groups: DataFrame) -> DataFram
 def linked(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``n_shingles`` and ``component_id`` of every row."""
     rows = stored(described(docs), "shingle-rows")
-    own = rows.where("place IS NULL")
+    own = rows.where("seen IS NULL")
     sets = own.where("doc_id IS NOT NULL AND n_shingles > 0")
     firsts = stored(sets.groupBy("sig").agg(F.min("doc_id").alias("rep")), "classes")
     members = stored(
