@@ -165,7 +165,12 @@ def _bytes(batch, buf, found) -> pa.RecordBatch:
         for a, n in zip(found["start"].tolist(), found["size"].tolist(), strict=True)
     ]
     return pa.RecordBatch.from_arrays(
-        [pa.array(found["key"]), pa.array(own, pa.binary())], names=["key", "data"]
+        [
+            pa.array(found["anchor"]),
+            pa.array([_sig(d) for d in own], pa.int64()),
+            pa.array(own, pa.binary()),
+        ],
+        names=["anchor", "sig", "data"],
     )
 
 
@@ -202,6 +207,8 @@ def repeated_stretches(data: list[bytes], counts: list[int]) -> list[list[tuple[
     ``counts`` says how often each segment occurs. Only the strings that a segment stands for count,
     not those that start in its last bytes and belong to other segments.
     """
+    if not data:
+        return []
     sizes = np.array([len(d) for d in data], dtype=np.int64)
     starts = np.concatenate([[0], np.cumsum(sizes + 1)])
     text = np.frombuffer(b"\0".join(data) + b"\0", dtype=np.uint8).astype(np.int16) + 1
@@ -232,17 +239,18 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _sorted_shard(table: pa.Table) -> pa.Table:
-    """The stretches of the segments of one shard."""
-    own = {}
-    for anchor, sig, count, data in zip(*[c.to_pylist() for c in table.columns], strict=True):
-        if _sig(data) == sig:
-            own[anchor, sig] = (count, data)
-    found = repeated_stretches([d for _, d in own.values()], [c for c, _ in own.values()])
+def _sorted_shard(variants: pa.Table, data: pa.Table) -> pa.Table:
+    """The stretches of the segments of one shard: ``variants`` has their numbers."""
+    columns = [variants[name].to_pylist() for name in ("anchor", "sig", "n")]
+    counts = {(anchor, sig): n for anchor, sig, n in zip(*columns, strict=True)}
+    columns = [data[name].to_pylist() for name in ("anchor", "sig", "data")]
+    own = {(a, s): d for a, s, d in zip(*columns, strict=True) if (a, s) in counts}
+    keys = sorted(own)
+    found = repeated_stretches([own[key] for key in keys], [counts[key] for key in keys])
     return pa.table(
         {
-            "anchor": pa.array([key[0] for key in own], pa.int64()),
-            "sig": pa.array([key[1] for key in own], pa.int64()),
+            "anchor": pa.array([key[0] for key in keys], pa.int64()),
+            "sig": pa.array([key[1] for key in keys], pa.int64()),
             "starts": pa.array([[s for s, _ in spans] for spans in found], pa.list_(pa.int64())),
             "ends": pa.array([[e for _, e in spans] for spans in found], pa.list_(pa.int64())),
         }
@@ -282,13 +290,12 @@ def _by_shards(docs: DataFrame, variants: DataFrame) -> DataFrame:
     total = variants.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
     shards = max(1, -(-int(total) // SHARD_BYTES))
     bitmap = docs.sparkSession.sparkContext.broadcast(sieve.sieve(variants.select("key")))
-    data = _scan(docs, "key bigint, data binary", _bytes, bitmap, by_place=True)
-    placed = variants.join(data, "key").withColumn(
-        "shard", F.pmod(F.xxhash64("anchor"), F.lit(shards))
-    )
-    return placed.groupBy("shard").applyInArrow(
-        lambda table: _sorted_shard(table.select(["anchor", "sig", "n", "data"])),
-        "anchor bigint, sig bigint, starts array<bigint>, ends array<bigint>",
+    data = _scan(docs, "anchor bigint, sig bigint, data binary", _bytes, bitmap, by_place=True)
+    shard = F.pmod(F.xxhash64("anchor"), F.lit(shards)).alias("shard")
+    numbers = variants.select("anchor", "sig", "n", shard).groupBy("shard")
+    texts = data.select("*", shard).groupBy("shard")
+    return numbers.cogroup(texts).applyInArrow(
+        _sorted_shard, "anchor bigint, sig bigint, starts array<bigint>, ends array<bigint>"
     ).where(F.size("starts") > 0)
 
 
