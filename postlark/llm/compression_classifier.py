@@ -152,7 +152,11 @@ def fit(
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", name: str = "score") -> DataFrame:
-    """Every row as it is, with the probability of good text in the new column ``name``."""
+    """Every row as it is, with the probability of good text in the column ``name``.
+
+    A column of that name is replaced.
+    """
+    docs = docs.drop(name)
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

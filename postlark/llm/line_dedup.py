@@ -22,6 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from postlark.llm.rows import whole_row, with_text
 from postlark.session import stored
 
 WINDOW = 3
@@ -85,7 +86,7 @@ def later_occurrences(docs: DataFrame, size: int = WINDOW) -> DataFrame:
 
 
 def dedup(docs: DataFrame, size: int = WINDOW) -> DataFrame:
-    """Every row with ``_kept``: its lines that stay, and ``_n_lines``."""
+    """Every row, as the struct ``_row``, with ``_kept``: its lines that stay, and ``_n_lines``."""
     own_text = Window.partitionBy("_id", "_text").orderBy("_at")
     before = F.coalesce(F.lag("_at").over(own_text) + size, F.lit(0))
     gaps = (
@@ -105,38 +106,42 @@ def dedup(docs: DataFrame, size: int = WINDOW) -> DataFrame:
             (F.max("_at") + size).alias("_end"),
         )
     )
-    keyed = docs.withColumns({"_hash": F.xxhash64("text")})
-    same = keyed["doc_id"].eqNullSafe(gaps["_id"]) & (keyed["_hash"] == gaps["_text"])
-    lines = _lines()
+    # The row is kept as one value, whatever its columns are called.
+    keyed = docs.select(
+        whole_row(docs).alias("_row"),
+        F.col("doc_id").alias("_own_id"),
+        F.col("text").alias("_own_text"),
+        F.xxhash64("text").alias("_hash"),
+    )
+    same = F.col("_own_id").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_text"))
+    lines = _lines("_own_text")
     pieces = F.flatten(
         F.transform("_gaps", lambda g: F.slice(lines, g["_from"] + 1, g["_size"]))
     )
     rest = F.slice(lines, F.col("_end") + 1, F.greatest(F.size(lines) - F.col("_end"), F.lit(0)))
     kept = F.when(F.col("_end").isNull(), lines).otherwise(F.concat(pieces, rest))
     return keyed.join(gaps, same, "left").select(
-        *[keyed[name] for name in docs.columns],
-        kept.alias("_kept"),
-        F.size(lines).cast("bigint").alias("_n_lines"),
+        "_row", kept.alias("_kept"), F.size(lines).cast("bigint").alias("_n_lines")
     )
 
 
 def deduplicated(docs: DataFrame, size: int = WINDOW) -> DataFrame:
     """The documents with what stays of their text; a text of which nothing stays goes."""
-    changed = F.size("_kept") < F.col("_n_lines")
-    text = F.when(changed, F.array_join("_kept", "\n")).otherwise(F.col("text"))
-    out = dedup(docs, size).where(~F.coalesce(changed & (F.size("_kept") == 0), F.lit(False)))
-    return out.withColumns({"text": text, "n_chars": F.length(text).cast("bigint")}).select(
-        docs.columns
-    )
+    changed = F.coalesce(F.size("_kept") < F.col("_n_lines"), F.lit(False))
+    kept = F.array_join("_kept", "\n")
+    text = F.when(changed, kept).otherwise(F.col("_row.text"))
+    found = dedup(docs, size).where(~(changed & (F.size("_kept") == 0)))
+    return with_text(found.select(F.col("_row"), text.alias("_new")), docs)
 
 
 def digest(docs: DataFrame, size: int = WINDOW) -> DataFrame:
     """Id, lines, removed lines, and a hash of the text that stays."""
     kept = F.coalesce(F.array_join("_kept", "\n"), F.lit(""))
-    n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.col("_n_lines"))
-    n_kept = F.when(F.col("text").isNull(), 0).otherwise(F.size("_kept"))
+    has_text = F.col("_row.text").isNotNull()
+    n_lines = F.when(has_text, F.col("_n_lines")).otherwise(0)
+    n_kept = F.when(has_text, F.size("_kept")).otherwise(0)
     return dedup(docs.select("doc_id", "text"), size).select(
-        "doc_id",
+        "_row.doc_id",
         n_lines.cast("bigint").alias("n_lines"),
         (n_lines - n_kept).cast("bigint").alias("n_removed"),
         F.sha2(kept, 256).alias("kept_sha256"),

@@ -27,6 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from postlark.llm.rows import whole_row, with_text
 from postlark.session import stored
 
 WEIGHTS = (5, 2, 1)
@@ -272,7 +273,7 @@ def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFram
 
     The first row of a document has the words of all blocks that are taken at least once, the
     second those of blocks taken twice or more, and so on. White space after a word stays. All
-    columns of ``docs`` are kept; ``n_chars`` is counted anew.
+    columns of ``docs`` are kept; ``n_chars`` is counted anew where the text changed.
     """
     laid, blocks = mix(docs, block_words)
     turns = pieces(laid, blocks, block_words).where("times > 0 AND _words > 0")
@@ -281,18 +282,23 @@ def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFram
         F.array_sort(F.collect_list(F.struct("_from", "_words"))).alias("_pieces")
     )
     lists = lists.select(*[F.col(name).alias(f"_{name}_") for name in _ROW], "_pieces")
+    # The row is kept as one value, whatever its columns are called.
+    keyed = docs.select(
+        whole_row(docs).alias("_row"),
+        "doc_id",
+        "source",
+        F.xxhash64("text").alias("_text"),
+    )
     equal = Window.partitionBy("doc_id", "_text", "source").orderBy(F.lit(1))
-    keyed = docs.withColumn("_text", F.xxhash64("text"))
     keyed = keyed.withColumn("_copy", F.row_number().over(equal))
     same = keyed["_text"] == lists["__text_"]
     for name in ("doc_id", "source", "_copy"):
         same = same & keyed[name].eqNullSafe(lists[f"_{name}_"])
-    spaced = F.regexp_extract_all("text", F.lit(WORD + r"[\x20\x09-\x0D]*"), F.lit(0))
+    spaced = F.regexp_extract_all(
+        F.col("_row.text"), F.lit(WORD + r"[\x20\x09-\x0D]*"), F.lit(0)
+    )
     words = F.flatten(
         F.transform("_pieces", lambda p: F.slice("_spaced", p["_from"] + 1, p["_words"]))
     )
-    text = F.array_join(words, "")
     joined = keyed.join(lists, same).withColumn("_spaced", spaced)
-    return joined.withColumns({"text": text, "n_chars": F.length(text).cast("bigint")}).select(
-        docs.columns
-    )
+    return with_text(joined.select("_row", F.array_join(words, "").alias("_new")), docs)

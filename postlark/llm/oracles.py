@@ -13,21 +13,59 @@ WITH lined AS (
   SELECT doc_id, pos, row_number() OVER (PARTITION BY win ORDER BY doc_id, pos) AS nth
   FROM windows WHERE regexp_matches(win, '\S')
 ), covered AS (
-  SELECT doc_id, list(DISTINCT pos + k) AS gone
-  FROM ranked, (SELECT unnest([0, 1, 2]) AS k) WHERE nth > 1 GROUP BY doc_id
+  SELECT DISTINCT doc_id, pos + k AS pos
+  FROM ranked, (SELECT unnest([0, 1, 2]) AS k) WHERE nth > 1
+), single AS (
+  SELECT doc_id, unnest(range(1, len(lines) + 1)) AS pos, unnest(lines) AS line FROM lined
+), marked AS (
+  SELECT single.doc_id, single.pos, line, covered.pos IS NOT NULL AS gone
+  FROM single LEFT JOIN covered ON single.doc_id = covered.doc_id AND single.pos = covered.pos
 ), kept AS (
-  SELECT lined.doc_id, lines, CASE WHEN gone IS NULL THEN lines ELSE list_filter(
-    list_transform(range(1, len(lines) + 1), i ->
-      CASE WHEN list_contains(gone, i) THEN NULL ELSE lines[i] END), x -> x IS NOT NULL
-  ) END AS stay
-  FROM lined LEFT JOIN covered ON lined.doc_id = covered.doc_id
+  SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed,
+    string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone) AS stay
+  FROM marked GROUP BY doc_id
 )
-SELECT doc_id, coalesce(len(lines), 0)::BIGINT AS n_lines,
-  coalesce(len(lines) - len(stay), 0)::BIGINT AS n_removed,
-  sha256(coalesce(array_to_string(stay, chr(10)), '')) AS kept_sha256
-FROM kept
+SELECT documents.doc_id, coalesce(n_lines, 0)::BIGINT AS n_lines,
+  coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(stay, '')) AS kept_sha256
+FROM documents LEFT JOIN kept ON documents.doc_id = kept.doc_id
+"""
+
+NGRAM_JACCARD = r"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words
+  FROM documents
+), placed AS (
+  SELECT doc_id, words, unnest(range(1, greatest(len(words) - 3, 2))) AS pos
+  FROM split WHERE len(words) > 0
+), shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(list_slice(words, pos, pos + 4), ' ') AS shingle
+  FROM placed
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n_both
+  FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id < b.doc_id
+  GROUP BY a.doc_id, b.doc_id
+), links AS (
+  SELECT x, y FROM shared JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+  WHERE 100 * n_both >= 75 * (p.n + q.n - n_both)
+), edges AS (
+  SELECT x, y FROM links UNION SELECT y, x FROM links
+), reached(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION
+  SELECT reached.doc_id, edges.y FROM reached JOIN edges ON reached.other = edges.x
+)
+SELECT documents.doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles,
+  min(other) AS component_id
+FROM documents JOIN reached ON documents.doc_id = reached.doc_id
+LEFT JOIN sizes ON documents.doc_id = sizes.doc_id
+GROUP BY documents.doc_id
 """
 
 ORACLES: dict[str, str] = {
     "op5_line_dedup": LINE_DEDUP,
+    "op7_ngram_jaccard": NGRAM_JACCARD,
 }
