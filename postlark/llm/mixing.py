@@ -81,7 +81,8 @@ def targets(sized: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     share = F.col("_weight") * F.col("_level")
     target = F.coalesce(F.least(F.col("_limit"), share), F.col("_limit"))
     blocks = F.ceil(F.col("source_size") / block_words).cast("bigint")
-    slots = F.round(F.col("target") * F.col("blocks") / F.col("source_size")).cast("bigint")
+    per_word = F.try_divide(F.col("blocks"), F.col("source_size"))
+    slots = F.round(F.col("target") * per_word).cast("bigint")
     filled = (
         rows.withColumn("target", target)
         .withColumn("blocks", blocks)
