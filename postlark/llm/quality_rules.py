@@ -127,7 +127,7 @@ def _votes(value: int, when: Column) -> Column:
 
 
 def rules() -> dict[str, Column]:
-    """The rules over the counts. Each votes one way only, so abstaining says little."""
+    """The rules over the counts. Each votes one way only, or abstains."""
     per_word = lambda name: F.try_divide(F.col(name), F.col("n_words"))
     symbols, marks = per_word("n_symbols"), per_word("n_marks")
     repeats, variety = per_word("n_repeat_words"), per_word("n_distinct_words")
@@ -187,15 +187,17 @@ class LabelModel:
                 break
         return model
 
-    def log_odds(self) -> tuple[float, np.ndarray]:
-        """Prior log odds of good, and what the cast vote of each rule adds."""
+    def log_odds(self) -> tuple[float, np.ndarray, np.ndarray]:
+        """Prior log odds of good, and what each rule adds when it votes and when it abstains."""
         start = float(np.log(self.prior) - np.log1p(-self.prior))
-        return start, np.log(self.rates[:, 1]) - np.log(self.rates[:, 0])
+        bad, good = self.rates[:, 0], self.rates[:, 1]
+        return start, np.log(good) - np.log(bad), np.log1p(-good) - np.log1p(-bad)
 
     def posterior(self, votes: np.ndarray) -> np.ndarray:
-        """Probability of good. A rule that abstains adds nothing."""
-        start, adds = self.log_odds()
-        return 1 / (1 + np.exp(-np.clip(start + (votes != 0) @ adds, -700, 700)))
+        """Probability of good."""
+        start, cast, abstained = self.log_odds()
+        total = start + (votes != 0) @ cast + (votes == 0) @ abstained
+        return 1 / (1 + np.exp(-np.clip(total, -700, 700)))
 
 
 def fit(voted: DataFrame, names: list[str]) -> LabelModel:
@@ -214,10 +216,10 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
         "quality-votes",
     )
     names = [f"vote_{name}" for name in rules()]
-    start, adds = fit(voted, names).log_odds()
+    start, cast, abstained = fit(voted, names).log_odds()
     total = F.lit(start)
-    for name, add in zip(names, adds.tolist(), strict=True):
-        total = total + F.when(F.col(name) != 0, add).otherwise(0.0)
+    for name, vote, none in zip(names, cast.tolist(), abstained.tolist(), strict=True):
+        total = total + F.when(F.col(name) != 0, vote).otherwise(none)
     return voted.withColumn("quality", 1 / (1 + F.exp(-total)))
 
 

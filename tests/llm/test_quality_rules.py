@@ -48,7 +48,7 @@ def test_em_finds_which_rules_to_trust():
     patterns, counts = np.unique(votes, axis=0, return_counts=True)
     model = quality_rules.LabelModel.fit(patterns, counts.astype(float))
     assert abs(model.prior - 0.85) < 0.1
-    _, adds = model.log_odds()
+    _, adds, _ = model.log_odds()
     assert adds[0] < -2 and adds[1] < -2 and adds[3] > 2
     assert abs(adds[2]) < min(-adds[0], -adds[1]) / 2
     right = (model.posterior(votes) >= 0.5) == truth
