@@ -49,7 +49,21 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     """
     path = scratch_dir(df.sparkSession, purpose)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables made by ``stored`` that nothing reads any more.
+
+    Spark drops the shuffle files of finished queries when the driver's JVM collects garbage,
+    which may take long on a quiet driver, so that is asked for as well.
+    """
+    for table in tables:
+        remove(table.sparkSession, table.scratch_path)
+    if tables:
+        tables[0].sparkSession.sparkContext._jvm.System.gc()
 
 
 def remove(spark: SparkSession, path: str) -> None:
