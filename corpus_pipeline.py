@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from postlark.llm import bpe, compression_classifier, line_dedup, mixing, ngram_join
 from postlark.llm.queries import byte_bpe, documents, labels
-from postlark.session import stored
+from postlark.session import discard, stored
 
 QUALITY_THRESHOLD = 0.3
 
@@ -62,6 +62,9 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The result of the last stage over the whole ``documents`` table."""
     docs = documents(spark, sf_dir)
+    before = []
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
+        discard(*before)
+        before = [docs]
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postlark.session import stored
+from postlark.session import discard, stored
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -15,15 +15,15 @@ def components(edges: DataFrame) -> DataFrame:
     of that label, so labels travel in leaps; rounds end when no label changes. Labels and edges
     are stored tables, so that adaptive execution can split a node with very many edges.
     """
-    both = edges.select("a", "b").where("a <> b")
-    both = stored(both.unionByName(both.select(F.col("b").alias("a"), F.col("a").alias("b"))
-                                   ).distinct(), "edges")
-    labels = stored(both.groupBy(F.col("a").alias("node")).agg(
-        F.least(F.min("b"), F.col("node")).alias("label")), "labels")
+    own = edges.select("a", "b").where("a <> b")
+    both = own.unionByName(own.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    both = stored(both.distinct(), "edges")
+    label = F.least(F.min("b"), F.col("node")).alias("label")
+    labels = stored(both.groupBy(F.col("a").alias("node")).agg(label), "labels")
     while True:
         seen = both.join(labels.withColumnRenamed("node", "b"), "b")
-        near = stored(seen.groupBy(F.col("a").alias("node")).agg(F.min("label").alias("_near")),
-                      "nearest")
+        near = seen.groupBy(F.col("a").alias("node")).agg(F.min("label").alias("_near"))
+        near = stored(near, "nearest")
         closer = stored(
             labels.join(near, "node").select(
                 "node", F.col("label").alias("_was"), F.least("label", "_near").alias("label")
@@ -37,6 +37,8 @@ def components(edges: DataFrame) -> DataFrame:
             ),
             "labels",
         )
-        labels = after.select("node", "label")
-        if after.where("label <> _was").isEmpty():
-            return labels.withColumnRenamed("label", "component")
+        done = after.where("label <> _was").isEmpty()
+        discard(labels, near, closer, *[both] * done)
+        labels = after
+        if done:
+            return labels.select("node", F.col("label").alias("component"))

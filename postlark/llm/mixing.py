@@ -282,24 +282,33 @@ def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFram
     lists = turns.groupBy(*_ROW, "_turn").agg(
         F.array_sort(F.collect_list(F.struct("_from", "_words"))).alias("_pieces")
     )
-    lists = lists.select(*[F.col(name).alias(f"_{name}_") for name in _ROW], "_pieces")
+    # Documents and lists meet by a key of two hashes, so that texts move once. The lists of equal
+    # rows come together; each row takes those of its own number.
+    keys = ["_k1", "_k2"]
+    row = [F.col(name) for name in ("doc_id", "_text", "source")]
+    lists = lists.select(*_row_keys(*row), "_copy", "_pieces").groupBy(*keys).agg(
+        F.collect_list(F.struct("_copy", "_pieces")).alias("_lists")
+    )
     # The row is kept as one value, whatever its columns are called.
     keyed = docs.select(
         whole_row(docs).alias("_row"),
-        "doc_id",
-        "source",
-        F.xxhash64("text").alias("_text"),
+        *_row_keys(F.col("doc_id"), F.xxhash64("text"), F.col("source")),
     )
-    equal = Window.partitionBy("doc_id", "_text", "source").orderBy(F.lit(1))
+    equal = Window.partitionBy(*keys).orderBy(F.lit(1))
     keyed = keyed.withColumn("_copy", F.row_number().over(equal))
-    same = keyed["_text"] == lists["__text_"]
-    for name in ("doc_id", "source", "_copy"):
-        same = same & keyed[name].eqNullSafe(lists[f"_{name}_"])
+    own = F.filter("_lists", lambda item: item["_copy"] == F.col("_copy"))
     spaced = F.regexp_extract_all(
         F.col("_row.text"), F.lit(WORD + r"[\x20\x09-\x0D]*"), F.lit(0)
     )
     words = F.flatten(
-        F.transform("_pieces", lambda p: F.slice("_spaced", p["_from"] + 1, p["_words"]))
+        F.transform("_list._pieces", lambda p: F.slice("_spaced", p["_from"] + 1, p["_words"]))
     )
-    joined = keyed.join(lists, same).withColumn("_spaced", spaced)
+    joined = keyed.join(lists, keys).withColumn("_spaced", spaced)
+    joined = joined.withColumn("_list", F.explode(own))
     return with_text(joined.select("_row", F.array_join(words, "").alias("_new")), docs)
+
+
+def _row_keys(doc_id: Column, text_hash: Column, source: Column) -> list[Column]:
+    """Two hashes that tell rows apart, null or not."""
+    parts = [doc_id, text_hash, source, doc_id.isNull(), source.isNull()]
+    return [F.xxhash64(*parts).alias("_k1"), F.xxhash64(F.lit(SEED), *parts).alias("_k2")]

@@ -15,6 +15,8 @@ compared member by member.
    tokens first, by counts of all tokens in a table of fixed size. Tokens of those prefixes that
    two families have are the matrix's columns; a class becomes a query for each group of another
    family with which it shares one.
+   A query that asks a large family is first compared with a few members of it; one link is enough
+   to join it to the family, and spares the rest.
 4. A group qualifies if the query shares at least ceil(0.75 n) tokens with its union. The members
    of qualifying groups are compared with the query exactly.
 5. All links together give the connected components.
@@ -39,18 +41,21 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from postlark.llm import sieve, words
 from postlark.llm.graph import components
-from postlark.session import stored
+from postlark.session import discard, stored
 
 SHINGLE = 5
 PERCENT = 75
 BANDS = 8
 GROUP_SIZE = 32
 COUNT_BITS = 22
+# Families of this many groups are first tried with a few members.
+LARGE_FAMILY = 4
+TRIES = 16
 
 _MULTIPLIERS = words.mix(np.arange(1, 2 * BANDS + 1, dtype=np.uint64)) | np.uint64(1)
 
@@ -244,20 +249,31 @@ def _compared(
     return both.select("a", "b", "_a", "_b").mapInArrow(run, "a bigint, b bigint")
 
 
+def _near_in_size(a: str, b: str) -> Column:
+    """Whether sets of these sizes can be similar."""
+    return (100 * F.col(a) >= PERCENT * F.col(b)) & (100 * F.col(b) >= PERCENT * F.col(a))
+
+
 def family_links(docs: DataFrame, classes: DataFrame) -> DataFrame:
     """Links of classes with the smallest class that has the same key in some band."""
-    keys = classes.select(F.col("rep").alias("a"), F.posexplode("bands").alias("band", "key"))
+    keys = classes.select(
+        F.col("rep").alias("a"), "n_shingles", F.posexplode("bands").alias("band", "key")
+    )
+    first = F.min(F.struct(F.col("a").alias("b"), F.col("n_shingles").alias("_n")))
     leaders = stored(
         keys.groupBy("band", "key")
-        .agg(F.min("a").alias("b"), F.max("a").alias("_last"))
-        .where("b <> _last")
-        .drop("_last"),
+        .agg(first.alias("_first"), F.max("a").alias("_last"))
+        .where("_first.b <> _last")
+        .select("band", "key", "_first.*"),
         "band-leaders",
     )
-    pairs = keys.join(leaders, ["band", "key"]).where("a <> b").select("a", "b").distinct()
+    pairs = keys.join(leaders, ["band", "key"]).where("a <> b")
+    pairs = pairs.where(_near_in_size("n_shingles", "_n")).select("a", "b").distinct()
     pairs = stored(pairs, "band-pairs")
     sets = sets_of(docs, _ids(pairs, "a", "b"))
-    return stored(_compared(pairs, sets, sets, similar), "family-links")
+    links = stored(_compared(pairs, sets, sets, similar), "family-links")
+    discard(leaders, pairs, sets)
+    return links
 
 
 def _ids(df: DataFrame, *names: str) -> DataFrame:
@@ -269,22 +285,31 @@ def _ids(df: DataFrame, *names: str) -> DataFrame:
 
 
 def grouped(classes: DataFrame, families: DataFrame) -> DataFrame:
-    """``rep``, its size, its family, and its group: families cut to about ``GROUP_SIZE``."""
+    """``rep``, its size, its family, and its group: families cut to about ``GROUP_SIZE``.
+
+    ``parts`` is the number of groups of the family.
+    """
     sizes = families.groupBy("component").count()
     sized = families.join(sizes, "component")
     parts = F.ceil(F.col("count") / GROUP_SIZE)
     group = F.xxhash64("component", F.pmod(F.xxhash64("node"), parts))
-    placed = sized.select(F.col("node").alias("rep"), "component", group.alias("grp"))
+    placed = sized.select(
+        F.col("node").alias("rep"), "component", group.alias("grp"), parts.alias("_parts")
+    )
     return classes.select("rep", "n_shingles").join(placed, "rep", "left").select(
         "rep",
         "n_shingles",
         F.coalesce("component", "rep").alias("family"),
         F.coalesce("grp", F.xxhash64("rep", F.lit(0))).alias("grp"),
+        F.coalesce("_parts", F.lit(1).cast("bigint")).alias("parts"),
     )
 
 
 def candidates(docs: DataFrame, rows: DataFrame, groups: DataFrame) -> DataFrame:
-    """``a``, a class, and ``grp``, a group of a smaller family that shares a prefix token."""
+    """``a``, a class, and ``grp``, a group of a smaller family that shares a prefix token.
+
+    ``other`` is that family and ``parts`` the number of its groups.
+    """
     context = docs.sparkSession.sparkContext
     counts = context.broadcast(token_counts(rows))
     repeated = prefix_tokens(docs, counts).groupBy("token").count().where("count > 1")
@@ -292,24 +317,54 @@ def candidates(docs: DataFrame, rows: DataFrame, groups: DataFrame) -> DataFrame
     bitmap = context.broadcast(sieve.sieve(repeated))
     own = prefix_tokens(docs, counts, bitmap).withColumnRenamed("doc_id", "rep")
     own = stored(own.join(groups, "rep"), "prefix-tokens")
-    between = (
+    discard(repeated)
+    between = stored(
         own.groupBy("token")
         .agg(F.min("family").alias("_first"), F.max("family").alias("_last"))
         .where("_first <> _last")
-        .select("token")
+        .select("token"),
+        "family-tokens",
     )
-    matrix = stored(own.join(stored(between, "family-tokens"), "token"), "token-groups")
-    columns = matrix.groupBy("token", "grp", "family").agg(
+    matrix = stored(own.join(between, "token"), "token-groups")
+    discard(own, between)
+    columns = matrix.groupBy("token", "grp", "family", "parts").agg(
         F.min("n_shingles").alias("_least"), F.max("n_shingles").alias("_most")
     )
-    columns = stored(columns.withColumnRenamed("family", "_other"), "token-columns")
+    columns = stored(columns.withColumnRenamed("family", "other"), "token-columns")
     fits = (100 * F.col("_most") >= PERCENT * F.col("n_shingles")) & (
         PERCENT * F.col("_least") <= 100 * F.col("n_shingles")
     )
-    pairs = matrix.drop("grp").join(columns, "token").where(
-        (F.col("family") > F.col("_other")) & fits
+    pairs = matrix.drop("grp", "parts").join(columns, "token").where(
+        (F.col("family") > F.col("other")) & fits
     )
-    return stored(pairs.select(F.col("rep").alias("a"), "grp").distinct(), "queries")
+    asked = pairs.select(F.col("rep").alias("a"), "grp", "other", "parts").distinct()
+    asked = stored(asked, "queries")
+    discard(matrix, columns)
+    return asked
+
+
+def tried(docs: DataFrame, groups: DataFrame, asked: DataFrame) -> DataFrame:
+    """Links of queries with a few members of each large family that they ask.
+
+    One link joins the query to the family, and then its other members need not be compared. A
+    near copy of a large family nearly always finds one among ``TRIES`` members.
+    """
+    large = asked.where(F.col("parts") >= LARGE_FAMILY).select("a", "other").distinct()
+    members = groups.where(F.col("parts") >= LARGE_FAMILY)
+    turn = Window.partitionBy("family").orderBy(F.xxhash64("rep", F.lit(1)), "rep")
+    # A few members of each large family, spread over it by the query's hash.
+    numbered = members.withColumn("_at", F.row_number().over(turn) - 1)
+    sizes = members.groupBy(F.col("family").alias("other")).agg(F.count("*").alias("_size"))
+    step = F.explode(F.sequence(F.lit(0), F.lit(TRIES - 1)))
+    picks = large.join(sizes, "other").withColumn("_step", step)
+    at = F.pmod(F.xxhash64("a", "_step"), F.col("_size")).cast("int")
+    picks = picks.select("a", "other", at.alias("_at"))
+    found = numbered.select(F.col("family").alias("other"), "_at", F.col("rep").alias("b"))
+    pairs = stored(picks.join(found, ["other", "_at"]).select("a", "b").distinct(), "tries")
+    sets = sets_of(docs, _ids(pairs, "a", "b"))
+    links = stored(_compared(pairs, sets, sets, similar), "tried-links")
+    discard(pairs, sets)
+    return links
 
 
 def shortened(sets: DataFrame) -> DataFrame:
@@ -345,12 +400,16 @@ def group_unions(members: DataFrame, sets: DataFrame) -> DataFrame:
 def cross_links(docs: DataFrame, rows: DataFrame, groups: DataFrame) -> DataFrame:
     """Links between classes of different families."""
     asked = candidates(docs, rows, groups)
+    links = tried(docs, groups, asked)
+    known = links.join(groups.select(F.col("rep").alias("b"), F.col("family").alias("other")), "b")
+    known = stored(known.select("a", "other").distinct(), "tried-families")
+    asked = asked.join(known, ["a", "other"], "left_anti").select("a", "grp")
+    asked = stored(asked, "open-queries")
     members = stored(
         groups.join(asked.select("grp").distinct(), "grp").select("grp", "rep", "n_shingles"),
         "members",
     )
-    ids = _ids(asked, "a").unionByName(_ids(members, "rep"))
-    sets = sets_of(docs, ids)
+    sets = sets_of(docs, _ids(asked, "a").unionByName(_ids(members, "rep")))
     short = stored(shortened(sets), "short-sets")
     unions = stored(group_unions(members, short), "unions")
     opened = _compared(
@@ -361,12 +420,14 @@ def cross_links(docs: DataFrame, rows: DataFrame, groups: DataFrame) -> DataFram
         lambda data: np.frombuffer(data, dtype=np.uint32),
     )
     opened = stored(opened.withColumnRenamed("b", "grp"), "open-groups")
+    discard(asked, known, short, unions)
     sizes = groups.select(F.col("rep").alias("a"), F.col("n_shingles").alias("_n"))
-    fits = (100 * F.col("n_shingles") >= PERCENT * F.col("_n")) & (
-        100 * F.col("_n") >= PERCENT * F.col("n_shingles")
-    )
-    pairs = opened.join(members.withColumnRenamed("rep", "b"), "grp").join(sizes, "a").where(fits)
-    return _compared(stored(pairs.select("a", "b"), "open-pairs"), sets, sets, similar)
+    pairs = opened.join(members.withColumnRenamed("rep", "b"), "grp").join(sizes, "a")
+    pairs = pairs.where(_near_in_size("n_shingles", "_n")).select("a", "b")
+    pairs = stored(pairs, "open-pairs")
+    more = stored(_compared(pairs, sets, sets, similar), "cross-links")
+    discard(opened, pairs, members, sets)
+    return links.unionByName(more)
 
 
 def linked(docs: DataFrame) -> DataFrame:
@@ -386,21 +447,25 @@ def linked(docs: DataFrame) -> DataFrame:
         "class-rows",
     )
     family = family_links(docs, classes)
-    groups = stored(grouped(classes, components(family)), "groups")
+    families = components(family)
+    groups = stored(grouped(classes, families), "groups")
     across = cross_links(docs, rows, groups)
     same_id = members.select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    links = stored(family.unionByName(across).unionByName(same_id), "links")
-    found = components(links).withColumnRenamed("node", "doc_id")
-    labelled = own.select("doc_id", "n_shingles").join(found, "doc_id", "left")
-    return labelled.select(
-        "doc_id",
-        "n_shingles",
-        F.coalesce("component", "doc_id").alias("component_id"),
+    found = components(family.unionByName(across).unionByName(same_id))
+    labelled = own.select("doc_id", "n_shingles").join(
+        found.withColumnRenamed("node", "doc_id"), "doc_id", "left"
     )
+    out = stored(
+        labelled.select(
+            "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")
+        ),
+        "linked",
+    )
+    discard(rows, firsts, members, classes, family, groups)
+    return out
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The documents without those linked, directly or not, to one with a smaller id."""
     gone = linked(docs).where("component_id < doc_id").select(F.col("doc_id").alias("_gone"))
-    gone = stored(gone.distinct(), "near-copies")
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    return docs.join(gone.distinct(), docs["doc_id"] == F.col("_gone"), "left_anti")

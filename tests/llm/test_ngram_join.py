@@ -4,6 +4,7 @@ import pytest
 from corpus import LOWER, collected, documents, empty, near_copies, odd_documents, with_clashes, words
 
 from postlark.llm import graph, ngram_join
+from postlark.session import stored
 
 
 def shingles(text):
@@ -55,11 +56,19 @@ def test_links_between_families_are_found(spark, rows, monkeypatch):
     monkeypatch.setattr(
         ngram_join,
         "family_links",
-        lambda docs, classes: docs.sparkSession.createDataFrame([], "a bigint, b bigint"),
+        lambda docs, classes: stored(classes.limit(0).selectExpr("rep AS a", "rep AS b"), "none"),
     )
     assert collected(ngram_join.linked(documents(spark, rows))) == sorted(brute(rows), key=repr)
 
 
+def test_trying_large_families_first_changes_nothing(spark, rows, monkeypatch):
+    monkeypatch.setattr(ngram_join, "GROUP_SIZE", 2)
+    monkeypatch.setattr(ngram_join, "LARGE_FAMILY", 1)
+    monkeypatch.setattr(ngram_join, "BANDS", 1)
+    monkeypatch.setattr(ngram_join, "TRIES", 2)
+    assert collected(ngram_join.linked(documents(spark, rows))) == sorted(brute(rows), key=repr)
+
+
 def test_coarse_counts_and_small_groups_change_nothing(spark, rows, monkeypatch):
     monkeypatch.setattr(ngram_join, "GROUP_SIZE", 2)
     monkeypatch.setattr(ngram_join.sieve, "BITS", 8)
