@@ -38,7 +38,7 @@ B = 0.75
 TOP = 10
 EVERY = 50
 SHARD_DOCS = 8192
-BLOCK_DOCS = 32
+BLOCK_DOCS = 128
 QUERY_BLOCK = 1024
 
 _INDEX = "n_docs bigint, n_words bigint, ids binary, lengths binary, terms binary, " \
