@@ -35,6 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,10 +43,11 @@ from postlark.llm import induced, sieve, words
 from postlark.session import stored
 
 LENGTH = 200
-GRAM = 64
+GRAM = 32
 SHARD_BYTES = 1 << 20
 MAX_VARIANTS = 4096
-CHUNK_BYTES = 1 << 19
+# Small enough for a processor's cache.
+CHUNK_BYTES = 1 << 17
 
 
 def _sliding_least(keys: np.ndarray, width: int) -> np.ndarray:
@@ -76,10 +78,11 @@ def segments(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     # The top bits are the hash, the others make the last of equal ones the least.
     keys = (turned & ~mask) | (mask - np.arange(n, dtype=np.uint64))
     anchor = (mask - (_sliding_least(keys, width) & mask)).astype(np.int64)
-    starts = np.arange(len(anchor))
-    rows = np.searchsorted(offsets, starts, side="right") - 1
-    inside = starts + LENGTH <= offsets[1:][rows]
-    starts, rows, anchor = starts[inside], rows[inside], anchor[inside]
+    # Only strings within one text count.
+    whole = np.maximum(np.diff(offsets) - LENGTH + 1, 0)
+    rows = np.repeat(np.arange(len(whole)), whole)
+    starts = np.arange(len(rows)) + np.repeat(offsets[:-1] - (np.cumsum(whole) - whole), whole)
+    anchor = anchor[starts]
     if not len(starts):
         return rows, starts, starts, starts.view(np.uint64)
     first = np.flatnonzero(np.append(True, (anchor[1:] != anchor[:-1]) | (rows[1:] != rows[:-1])))
@@ -111,6 +114,7 @@ def _scan(docs: DataFrame, schema: str, make, bitmap=None, by_place: bool = Fals
         for batch in batches:
             ids = batch.column(0).cast(pa.int64()).fill_null(-1).to_numpy()
             hashes = batch.column(1).to_numpy()
+            made = []
             for first, buf, offsets in words.chunks(batch.column(2), CHUNK_BYTES):
                 rows, starts, sizes, anchors = segments(buf, offsets)
                 at = starts - offsets[rows]
@@ -128,7 +132,9 @@ def _scan(docs: DataFrame, schema: str, make, bitmap=None, by_place: bool = Fals
                     "key": keys,
                     "anchor": anchors.view(np.int64),
                 }
-                yield make(batch, buf, found)
+                made.append(make(batch, buf, found))
+            if made:
+                yield from pa.Table.from_batches(made).combine_chunks().to_batches()
 
     return _texts(docs).mapInArrow(run, schema)
 
@@ -322,12 +328,23 @@ def removals(docs: DataFrame, max_variants: int = MAX_VARIANTS) -> DataFrame:
     return texts.join(found, same, "left").select("doc_id", "text", "found")
 
 
-def _spans(found) -> list[tuple[int, int]]:
-    spans = []
-    for item in found or []:
-        at = item["at"]
-        spans += [(at + s, at + e) for s, e in zip(item["starts"], item["ends"], strict=True)]
-    return merged(spans)
+def _merged_lists(found: pa.ListArray) -> Iterator[np.ndarray]:
+    """For each row, its stretches in the text, merged, as an array of starts and ends."""
+    items = found.flatten()
+    at, starts, ends = (items.field(i) for i in range(3))
+    sizes = np.diff(starts.offsets.to_numpy())
+    shift = np.repeat(at.to_numpy(), sizes)
+    begin, end = (x.flatten().to_numpy() + shift for x in (starts, ends))
+    first = np.concatenate([[0], np.cumsum(sizes)])
+    counts = pc.fill_null(pc.list_value_length(found), 0).to_numpy()
+    bounds = first[np.concatenate([[0], np.cumsum(counts)])]
+    for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+        order = np.argsort(begin[a:b], kind="stable")
+        starts, ends = begin[a:b][order], np.maximum.accumulate(end[a:b][order])
+        new = np.ones(b - a, dtype=bool)
+        new[1:] = starts[1:] > ends[:-1]
+        last = np.append(np.flatnonzero(new)[1:] - 1, b - a - 1) if b > a else new
+        yield np.stack([starts[new], ends[last]], axis=1)
 
 
 def digest(docs: DataFrame, max_variants: int = MAX_VARIANTS) -> DataFrame:
@@ -336,15 +353,13 @@ def digest(docs: DataFrame, max_variants: int = MAX_VARIANTS) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for text, found in zip(batch.column(1), batch.column(2), strict=True):
+            for text, spans in zip(batch.column(1), _merged_lists(batch.column(2)), strict=True):
                 data = (text.as_py() or "").encode()
-                spans = _spans(found.as_py())
-                kept, last = hashlib.sha256(), 0
-                for start, end in spans:
+                kept, last, gone = hashlib.sha256(), 0, 0
+                for start, end in spans.tolist():
                     kept.update(data[last:start])
-                    last = end
+                    last, gone = end, gone + end - start
                 kept.update(data[last:])
-                gone = sum(end - start for start, end in spans)
                 out.append((len(data), gone, len(spans), kept.hexdigest()))
             columns = list(zip(*out, strict=True)) or [[]] * 4
             yield pa.RecordBatch.from_arrays(
