@@ -36,7 +36,7 @@ from tokenizers import Tokenizer, pre_tokenizers
 from postlark.session import stored
 
 # Bounds of the broadcast table.
-MAX_TABLE_WORDS = 1 << 19
+MAX_TABLE_WORDS = 1 << 18
 MAX_WORD_BYTES = 32
 
 _ID = np.dtype("<u4")
@@ -219,8 +219,9 @@ def _arrow_bytes(table: pa.Table) -> bytes:
     return sink.getvalue().to_pybytes()
 
 
-# Texts whose ids are laid out at a time.
-_SLICE = 512
+# Texts whose words are looked up at a time, and whose ids are laid out at a time.
+_LOOKED_UP = 2048
+_SLICE = 256
 
 
 def _digests(split: pa.ListArray, table: IdTable, pieces: Pieces, encode) -> tuple[list, ...]:
@@ -257,11 +258,15 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, max_words: int = MAX_TABLE_W
             return _ids(own, encoder, vocabulary.specials)
 
         for batch in batches:
-            found = _digests(batch.column(1), ids_of, pieces, encode_words)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(found[0], pa.int64()), *map(pa.array, found[1:])],
-                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
+            for first in range(0, batch.num_rows, _LOOKED_UP):
+                some = batch.slice(first, _LOOKED_UP)
+                found = _digests(some.column(1), ids_of, pieces, encode_words)
+                arrays = [pa.array(found[0], pa.int64()), *map(pa.array, found[1:])]
+                yield pa.RecordBatch.from_arrays(
+                    [some.column(0), *arrays],
+                    names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+                )
+                pa.default_memory_pool().release_unused()
 
     split = docs.select("doc_id", words(F.col("text"), vocabulary).alias("words"))
     kind = docs.schema["doc_id"].dataType.simpleString()
