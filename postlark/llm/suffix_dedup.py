@@ -43,7 +43,7 @@ from postlark.llm import induced, sieve, words
 from postlark.session import stored
 
 LENGTH = 200
-GRAM = 32
+GRAM = 64
 SHARD_BYTES = 1 << 20
 MAX_VARIANTS = 4096
 # Small enough for a processor's cache.
