@@ -15,6 +15,7 @@ from postlark.llm import (
     ngram_join,
     quality_rules,
     suffix_dedup,
+    token_alignment,
     token_counts,
     toxicity,
 )
@@ -87,6 +88,16 @@ def top_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bm25.top_documents(docs, bm25.every_nth(docs))
 
 
+def aligned_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_alignment.digest(
+        documents(spark, sf_dir),
+        token_alignment.ByteLevel(public_tokenizers.path("byte_bpe_50k.json")),
+        token_alignment.SentencePieces(public_tokenizers.path("piece_bpe_32k.model")),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": quality_rule_verdicts,
     "op2_source_mixing": source_mixing,
@@ -98,4 +109,5 @@ QUERIES: dict[str, Query] = {
     "op8_compression_classifier": compression_quality,
     "op9_bm25_top_k": top_documents,
     "op10_byte_bpe": byte_bpe_round_trip,
+    "op11_token_alignment": aligned_tokens,
 }
