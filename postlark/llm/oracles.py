@@ -65,7 +65,62 @@ LEFT JOIN sizes ON documents.doc_id = sizes.doc_id
 GROUP BY documents.doc_id
 """
 
+COLLOCATIONS = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), split AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda w: w <> '') AS words
+  FROM pieces
+), f1 AS (
+  SELECT lang, word AS w1, count(*) AS n
+  FROM (SELECT lang, unnest(words) AS word FROM split) GROUP BY ALL
+), f2 AS (
+  SELECT lang, p[1] AS w1, p[2] AS w2, count(*) AS n
+  FROM (SELECT lang, unnest(list_transform(range(1, len(words)),
+    lambda i: [words[i], words[i + 1]])) AS p FROM split)
+  GROUP BY ALL
+), f3 AS (
+  SELECT lang, p[1] AS w1, p[2] AS w2, p[3] AS w3, count(*) AS n
+  FROM (SELECT lang, unnest(list_transform(range(1, len(words) - 1),
+    lambda i: [words[i], words[i + 1], words[i + 2]])) AS p FROM split)
+  GROUP BY ALL HAVING count(*) >= 10
+), totals AS (
+  SELECT lang, sum(n)::BIGINT AS n FROM f1 GROUP BY lang
+), longest AS (
+  SELECT lang, w1, w2, max(n) AS n FROM (
+    SELECT lang, w1, w2, n FROM f3 UNION ALL SELECT lang, w2, w3, n FROM f3) GROUP BY ALL
+), cuts AS (
+  SELECT f2.lang, f2.w1 || ' ' || f2.w2 AS phrase, f2.n AS a, 1 AS k, x.n AS l, y.n AS r
+  FROM f2 JOIN f1 x ON x.lang = f2.lang AND x.w1 = f2.w1
+  JOIN f1 y ON y.lang = f2.lang AND y.w1 = f2.w2
+  LEFT JOIN longest g ON g.lang = f2.lang AND g.w1 = f2.w1 AND g.w2 = f2.w2
+  WHERE f2.n >= 10 AND (g.n IS NULL OR 100 * g.n < 50 * f2.n)
+  UNION ALL
+  SELECT f3.lang, f3.w1 || ' ' || f3.w2 || ' ' || f3.w3, f3.n, 1, x.n, y.n
+  FROM f3 JOIN f1 x ON x.lang = f3.lang AND x.w1 = f3.w1
+  JOIN f2 y ON y.lang = f3.lang AND y.w1 = f3.w2 AND y.w2 = f3.w3
+  UNION ALL
+  SELECT f3.lang, f3.w1 || ' ' || f3.w2 || ' ' || f3.w3, f3.n, 2, x.n, y.n
+  FROM f3 JOIN f2 x ON x.lang = f3.lang AND x.w1 = f3.w1 AND x.w2 = f3.w2
+  JOIN f1 y ON y.lang = f3.lang AND y.w1 = f3.w3
+), scored AS (
+  SELECT *, (1000000::HUGEINT * a * a // (l::HUGEINT * r))::BIGINT AS score FROM cuts
+), lowest AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS place FROM scored
+), ranked AS (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+    phrase, a, l, r, score
+  FROM lowest WHERE place = 1
+)
+SELECT ranked.lang, rank, phrase, a, l, r, totals.n, score
+FROM ranked JOIN totals ON totals.lang = ranked.lang WHERE rank <= 2000
+"""
+
 ORACLES: dict[str, str] = {
     "op5_line_dedup": LINE_DEDUP,
     "op7_ngram_jaccard": NGRAM_JACCARD,
+    "op12_phrase_collocations": COLLOCATIONS,
 }

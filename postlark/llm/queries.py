@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from postlark.llm import (
     bm25,
     bpe,
+    collocations,
     compression_classifier,
     line_dedup,
     mixing,
@@ -98,6 +99,10 @@ def aligned_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": quality_rule_verdicts,
     "op2_source_mixing": source_mixing,
@@ -110,4 +115,5 @@ QUERIES: dict[str, Query] = {
     "op9_bm25_top_k": top_documents,
     "op10_byte_bpe": byte_bpe_round_trip,
     "op11_token_alignment": aligned_tokens,
+    "op12_phrase_collocations": phrase_collocations,
 }
