@@ -14,6 +14,7 @@ from postlark.llm import (
     line_dedup,
     mixing,
     ngram_join,
+    pii,
     quality_rules,
     suffix_dedup,
     token_alignment,
@@ -103,6 +104,10 @@ def phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(documents(spark, sf_dir))
 
 
+def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": quality_rule_verdicts,
     "op2_source_mixing": source_mixing,
@@ -116,4 +121,5 @@ QUERIES: dict[str, Query] = {
     "op10_byte_bpe": byte_bpe_round_trip,
     "op11_token_alignment": aligned_tokens,
     "op12_phrase_collocations": phrase_collocations,
+    "op13_pii": personal_data,
 }

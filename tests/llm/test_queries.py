@@ -25,6 +25,7 @@ CONTRACTS = {
     "op10_byte_bpe": "doc_id n_tokens ids_sha256 decoded_sha256",
     "op11_token_alignment": "doc_id n_a n_b n_groups n_links n_best count_sum groups_sha256",
     "op12_phrase_collocations": "lang rank phrase a l r n score",
+    "op13_pii": "doc_id n_email n_ip n_card n_phone base_sha256 spans",
 }
 
 
