@@ -66,7 +66,28 @@ def discard(*tables: DataFrame) -> None:
         tables[0].sparkSession.sparkContext._jvm.System.gc()
 
 
+def _located(spark: SparkSession, path: str):
+    """A path and the file system it lies on."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a scratch folder, on whatever file system it lies."""
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    target, system = _located(spark, path)
+    system.delete(target, True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    target, system = _located(spark, path)
+    return system.exists(target)
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder; none if there is no such folder."""
+    target, system = _located(spark, path)
+    if not system.exists(target):
+        return []
+    found = [entry for entry in system.listStatus(target) if entry.isDirectory()]
+    names = [entry.getPath().getName() for entry in found]
+    return [name for name in names if not name.startswith(("_", "."))]

@@ -20,12 +20,20 @@ def feed_stream(
     schema: str | None = None,
     files_per_trigger: int = 1_000,
     max_file_age: str = MAX_FILE_AGE,
+    archive: str | None = None,
 ) -> DataFrame:
     """Feed files as a stream of raw lines in ``value``, or of documents parsed with ``schema``.
 
     Parsed documents keep their line, see ``readers.parse_documents``.
+
+    With an ``archive`` folder, files move there once a later batch has landed. Together with a
+    short ``max_file_age`` the checkpoint then keeps the names of few files: older names are
+    forgotten, and their files are gone from the source. A file that arrives with an older date than
+    that is not landed, and as only landed files move, it is still there.
     """
     reader = spark.readStream.option("maxFilesPerTrigger", files_per_trigger)
+    if archive is not None:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     lines = reader.option("maxFileAge", max_file_age).text(source)
     return lines if schema is None else parse_documents(lines, schema)
 
