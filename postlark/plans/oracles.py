@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from postlark.plans.queries import MIN_TAG_COUNT
+from postlark.plans.queries import EVERY, MIN_TAG_COUNT
 from postlark.plans.tables import DAYS, TAG_PATTERN, WORD_PATTERNS
 from postlark.sources.lexicon import DEFAULT_LEXICON
 
@@ -244,6 +244,61 @@ UNION ALL
 SELECT NULL, NULL, NULL, NULL, '{"data": [{"id": "' || (conv_id * 100 + turn)
 FROM conversations WHERE role = 'system'"""
 
+_FEED_FIELDS = f"""
+WITH {_POSTS},
+lines AS (
+    SELECT id AS post, to_json({{'data': {{
+        'id': id, 'text': text, 'lang': lang, 'author_id': author_id,
+        'entities': {{'hashtags': list_transform(tags, lambda t: {{'tag': t}})}},
+        'public_metrics': {{'like_count': likes, 'quote_count': quotes, 'reply_count': replies,
+                            'retweet_count': retweets}},
+        'context_annotations': list_transform(tags, lambda t: {{
+            'domain': {{'id': author_id, 'name': 'Source ' || author_id,
+                        'description': 'by table'}},
+            'entity': {{'id': lower(t), 'name': t}}}}),
+        'batch': 'b' || (cast(id AS bigint) % 9)}}}}) AS line
+    FROM posts
+),
+found AS (
+    SELECT post, CASE fullkey WHEN '$' THEN '$'
+                 ELSE substr(regexp_replace(fullkey, '\\[\\d+\\]', '[]', 'g'), 3) END AS field,
+           CASE t.type WHEN 'VARCHAR' THEN 'string' WHEN 'UBIGINT' THEN 'bigint'
+                       ELSE lower(t.type) END AS type
+    FROM lines, json_tree(line) t WHERE t.type <> 'NULL'
+)
+SELECT field, type, count(DISTINCT post) AS documents, count(*) AS values FROM found GROUP BY ALL
+UNION ALL
+SELECT '$', 'broken', count(*), count(*) FROM posts WHERE cast(id AS bigint) % 100 = 0"""
+
+_ROTATED = """
+WITH lines AS (
+    SELECT count(*) + count(*) FILTER (doc_id % 100 = 0) AS n FROM documents
+)
+SELECT number // 100 AS file, count(*) AS lines
+FROM (SELECT unnest(range(1, n + 1)) AS number FROM lines) GROUP BY ALL"""
+
+# A late post counts if its day had not ended two days before the latest post on time.
+_DAILY = f"""
+WITH marks AS (
+    SELECT max(ts) FILTER (event_id % {EVERY} <> 0) - INTERVAL 2 DAY AS before,
+           max(ts) - INTERVAL 2 DAY AS after
+    FROM events
+)
+SELECT cast(cast(ts AS date) AS varchar) AS day, count(*) AS tweet_count
+FROM events, marks
+WHERE event_type IS NOT NULL
+  AND (event_id % {EVERY} <> 0 OR date_trunc('day', ts) + INTERVAL 1 DAY > before)
+GROUP BY cast(ts AS date), after
+HAVING date_trunc('day', min(ts)) + INTERVAL 1 DAY <= after"""
+
+_DISTINCT_POSTS = f"""
+WITH feed AS (
+    SELECT * FROM events
+    UNION ALL SELECT * FROM events WHERE event_id % {EVERY} = 0
+    UNION ALL SELECT * FROM events WHERE event_id % {EVERY} = 0
+)
+SELECT DISTINCT ON (event_id) cast(event_id AS varchar) AS id, event_type AS text FROM feed"""
+
 ORACLES: dict[str, str] = {
     "hashtag_base": f"""
 WITH {_POSTS}
@@ -345,4 +400,11 @@ SELECT day, word, count, count * 100 / n AS "(% format)" FROM counts JOIN per_da
     "json_to_parquet": _FLAT_POSTS,
     "stream_land": _FLAT_POSTS,
     "report_csv": _context_percent("legacy", "LIMIT 50"),
+    "feed_fields": _FEED_FIELDS,
+    "json_to_parquet_discovered": _FLAT_POSTS,
+    "stream_rotate": _ROTATED,
+    "stream_rotate_posts": _FLAT_POSTS,
+    "stream_daily_counts": _DAILY,
+    "stream_distinct_posts": _DISTINCT_POSTS,
+    "search_page_cursor_stream": _CURSOR,
 }

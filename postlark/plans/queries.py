@@ -4,16 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postlark import schemas
 from postlark.operators import engagement, paging, tags, topics, weekday
 from postlark.plans import tables
 from postlark.session import remove, scratch_dir
-from postlark.sources import readers, writers
+from postlark.sources import discovery, readers, writers
 from postlark.sources.lexicon import DEFAULT_LEXICON, NEGATIVE_WORDS, POSITIVE_WORDS
-from postlark.streaming.landing import stream_land
+from postlark.streaming import cursors, event_time
+from postlark.streaming.landing import feed_stream, stream_land
+from postlark.streaming.rotation import Rotation, rotate
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -239,7 +241,10 @@ def pages_to_tweets(spark, sf_dir):
     )
 
 
-def _flat(posts: DataFrame) -> DataFrame:
+def _flat(posts: DataFrame, batch: Column | None = None) -> DataFrame:
+    """Posts in a flat form; ``batch`` is in the line unless a schema has named it."""
+    if batch is None:
+        batch = F.get_json_object(schemas.LINE, "$.data.batch")
     return posts.select(
         "data.id",
         "data.lang",
@@ -247,7 +252,7 @@ def _flat(posts: DataFrame) -> DataFrame:
         F.array_join("data.entities.hashtags.tag", " ").alias("tags"),
         F.col("data.public_metrics.like_count").alias("likes"),
         F.array_size("data.context_annotations").cast("bigint").alias("topics"),
-        F.get_json_object(schemas.LINE, "$.data.batch").alias("batch"),
+        batch.alias("batch"),
         F.col(schemas.CORRUPT_RECORD).alias("broken"),
     )
 
@@ -276,6 +281,101 @@ def stream_landing(spark, sf_dir):
     return _flat(spark.read.parquet(target))
 
 
+def feed_fields(spark, sf_dir):
+    """The fields of landed posts, their types and counts, found without a schema."""
+    return discovery.field_counts(tables.feed_text(spark, sf_dir).toDF("value"))
+
+
+def json_to_parquet_discovered(spark, sf_dir):
+    """Land posts as JSON, find their schema, convert with it and read that back."""
+    source, target = _landed_feed(spark, sf_dir), scratch_dir(spark, "documents")
+    writers.json_to_parquet(spark, source, target, discovery.read_schema(spark, source))
+    remove(spark, source)
+    return _flat(spark.read.parquet(target), F.col("data.batch"))
+
+
+def _rotated(spark: SparkSession, sf_dir: str) -> Rotation:
+    """Land the feed in three runs, in files of 100 lines; the first one has 99."""
+    feed, target = scratch_dir(spark, "feed"), scratch_dir(spark, "rotated")
+    checkpoint = scratch_dir(spark, "rotation-checkpoint")
+    rotation = Rotation(spark, target, checkpoint, lines_per_file=100, first_file_lines=99)
+    lines = tables.feed_text(spark, sf_dir).toDF("value")
+    for run in range(3):
+        own = lines.where(F.pmod(F.xxhash64("value"), F.lit(3)) == run)
+        own.write.mode("append").text(feed)
+        rotate(feed_stream(spark, feed), rotation, checkpoint).awaitTermination()
+    rotation.close()
+    remove(spark, feed)
+    return rotation
+
+
+def stream_rotate(spark, sf_dir):
+    """``file``, ``lines``: how long the files of a rotated feed are."""
+    return _rotated(spark, sf_dir).files().groupBy("file").agg(F.count("*").alias("lines"))
+
+
+def stream_rotate_posts(spark, sf_dir):
+    """The posts in the files of a rotated feed."""
+    lines = _rotated(spark, sf_dir).files().select("value")
+    return _flat(readers.parse_documents(lines, schemas.STREAM_POST))
+
+
+# A post whose number is divisible by this comes late, or a second time.
+EVERY = 50
+
+
+def _timed_feed(spark: SparkSession, feed: str) -> DataFrame:
+    return event_time.timed(feed_stream(spark, feed, schemas.STREAM_POST))
+
+
+def stream_daily_counts(spark, sf_dir):
+    """``day``, ``tweet_count`` of closed days: posts in two runs, and those that come late."""
+    feed, target = scratch_dir(spark, "feed"), scratch_dir(spark, "days")
+    checkpoint = scratch_dir(spark, "days-checkpoint")
+    posts = tables.timed_posts(spark, sf_dir)
+    late = F.col("number") % EVERY == 0
+    for run in (~late, late):
+        posts.where(run).select("value").write.mode("append").text(feed)
+        counts = event_time.daily_counts(_timed_feed(spark, feed))
+        event_time.append(counts, target, checkpoint).awaitTermination()
+    remove(spark, feed)
+    days = spark.read.schema(counts.schema).parquet(target)
+    return days.select(F.col("day").cast("string").alias("day"), "tweet_count")
+
+
+def stream_distinct_posts(spark, sf_dir):
+    """Posts of a feed that sends some of them again, at once and after a restart."""
+    feed, target = scratch_dir(spark, "feed"), scratch_dir(spark, "distinct")
+    checkpoint = scratch_dir(spark, "distinct-checkpoint")
+    posts = tables.timed_posts(spark, sf_dir)
+    again = posts.where(F.col("number") % EVERY == 0)
+    for run in (posts.unionByName(again), again):
+        run.select("value").write.mode("append").text(feed)
+        once = event_time.distinct_posts(_timed_feed(spark, feed), delay="60 days")
+        event_time.append(once, target, checkpoint).awaitTermination()
+    remove(spark, feed)
+    return spark.read.schema(once.schema).parquet(target).select(
+        "data.id", F.col("data.text").alias("text")
+    )
+
+
+def search_page_cursor_stream(spark, sf_dir):
+    """Cursors kept as state while the pages of a key arrive in two runs."""
+    feed, target = scratch_dir(spark, "feed"), scratch_dir(spark, "cursors")
+    checkpoint = scratch_dir(spark, "cursor-checkpoint")
+    pages = tables.page_lines(spark, sf_dir)
+    keyed = F.to_json(F.struct("username", "value"))
+    for run in range(2):
+        own = pages.where(F.pmod(F.xxhash64("value"), F.lit(2)) == run)
+        own.select(keyed.alias("value")).write.mode("append").text(feed)
+        landed = feed_stream(spark, feed, "username STRING, value STRING")
+        parsed = paging.parse_pages(landed.select("username", "value"), schemas.CURSOR_PAGE)
+        changes = cursors.cursor_changes(parsed)
+        cursors.follow(changes, target, checkpoint).awaitTermination()
+    remove(spark, feed)
+    return cursors.latest(spark.read.schema(changes.schema).parquet(f"{target}/batch=*"))
+
+
 def report_csv(spark, sf_dir):
     """Write the language shares as a single headerless CSV file and read that back."""
     target = scratch_dir(spark, "report")
@@ -326,4 +426,11 @@ QUERIES: dict[str, Query] = {
     "json_to_parquet": json_to_parquet,
     "stream_land": stream_landing,
     "report_csv": report_csv,
+    "feed_fields": feed_fields,
+    "json_to_parquet_discovered": json_to_parquet_discovered,
+    "stream_rotate": stream_rotate,
+    "stream_rotate_posts": stream_rotate_posts,
+    "stream_daily_counts": stream_daily_counts,
+    "stream_distinct_posts": stream_distinct_posts,
+    "search_page_cursor_stream": search_page_cursor_stream,
 }

@@ -33,7 +33,9 @@ SCHEMAS = {
         "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, "
         "l_quantity DOUBLE, l_extendedprice DOUBLE, l_returnflag STRING, l_linestatus STRING"
     ),
-    "events": "event_id BIGINT, user_id BIGINT, event_type STRING, value DOUBLE",
+    "events": (
+        "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE"
+    ),
     "customer": "c_custkey BIGINT, c_name STRING, c_acctbal DOUBLE",
     "conversations": "conv_id BIGINT, turn BIGINT, role STRING, text STRING",
 }
@@ -165,6 +167,22 @@ def page_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def timed_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events`` as lines of a feed: a post each, written at the time of the event.
+
+    ``number`` is that of the event.
+    """
+    written = F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z"))
+    post = F.struct(
+        F.col("event_id").cast("string").alias("id"),
+        written.alias("created_at"),
+        F.col("event_type").alias("text"),
+    )
+    return table(spark, sf_dir, "events").select(
+        F.col("event_id").alias("number"), F.to_json(F.struct(post.alias("data"))).alias("value")
+    )
+
+
 def _broken(key: Column, prefix: str) -> Column:
     """A line that ends in the middle of its JSON."""
     return F.concat(F.lit(prefix), key.cast("string"))
