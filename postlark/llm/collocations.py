@@ -14,11 +14,12 @@ all longer phrases that may drop them. The threshold starts at the score of the
 frontier can be among them, ties included, and the language is settled. Otherwise its frontier
 grows by a factor of four, until it holds everything.
 
-Counting: a task gives words numbers, adds up numbered phrases exactly, and sends on its sums, which
-Spark adds up by phrase. Which phrases a task counts at all is read from bitmaps of hashed keys, whose
-size follows the number of keys up to ``MAX_BITS``; what passes by chance is counted in full, so it
-does no harm. Nothing but these bitmaps reaches the driver. Products of counts are decimals of 38
-digits.
+Counting: words are counted as they are written. Each gets a key, a hash of its language and itself,
+and the table of words is checked to have no key twice; else other keys are taken. Longer phrases are
+counted as rows of keys, added up in the task before they are shuffled, and only the best meet the
+table of words again. Which phrases a task counts is read from bitmaps of hashed keys, whose size
+follows the number of keys up to ``MAX_BITS``; what passes by chance is counted in full, so it does no
+harm. Nothing but these bitmaps reaches the driver. Products of counts are decimals of 38 digits.
 
 Edge cases: a null text has no words, a null language is ``und``. Equal rows count each. An empty table
 gives an empty result, other columns are ignored. A text of any length is taken whole.
@@ -34,6 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from postlark.llm.rows import small_batches
 from postlark.llm.sieve import passes, sieve
 from postlark.llm.words import LOWER, chunks, mix, span_hashes
 from postlark.session import discard, stored
@@ -57,11 +59,12 @@ _WORD_ENDS = _PIECE_ENDS.copy()
 _WORD_ENDS[[0x09, 0x20]] = True
 
 _LANG = "und"
-_KEYS = ("lang", "w1", "w2", "w3")
 
-# Bounds of what a task holds: phrases before they are added up, sums and words before they are
-# sent on.
-_HELD, _KEPT, _WORDS = 1 << 22, 1 << 20, 1 << 19
+# Phrases that a task holds before it adds them up, the number of sums sent at a time, and the bytes of
+# text taken at a time.
+_HELD, _SENT, _CHUNK_BYTES = 1 << 19, 1 << 16, 1 << 20
+
+_STEP = np.uint64(0x9E3779B97F4A7C55)
 
 
 def _string_hashes(strings: pa.Array) -> np.ndarray:
@@ -72,84 +75,37 @@ def _string_hashes(strings: pa.Array) -> np.ndarray:
     return out
 
 
-def _phrase_keys(langs: np.ndarray, *words: np.ndarray) -> np.ndarray:
-    """One key of a language and some words, from their hashes."""
-    key = mix(langs)
-    for word in words:
-        key = mix(key * np.uint64(0x9E3779B97F4A7C55) + word)
-    return key.view(np.int64)
+def _word_keys(langs: np.ndarray, words: np.ndarray, seed: int) -> np.ndarray:
+    """Keys of words from the hashes of their language and themselves."""
+    return mix(mix(langs + np.uint64(seed)) * _STEP + words)
+
+
+def _pair_keys(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    return mix(first.view(np.uint64) * _STEP + second.view(np.uint64)).view(np.int64)
+
+
+def _added(columns: list[np.ndarray], n: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """Distinct rows of some columns with the sums of ``n``."""
+    order = np.lexsort(columns[::-1])
+    columns, n = [c[order] for c in columns], n[order]
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = np.any([c[1:] != c[:-1] for c in columns], axis=0)
+    first = np.flatnonzero(new)
+    return [c[first] for c in columns], np.add.reduceat(n, first) if len(first) else n
+
 
+def _bits(keys: DataFrame) -> int:
+    """The size of a bitmap: about sixteen bits a key, within limits."""
+    return min(max(keys.count().bit_length() + 4, MIN_BITS), MAX_BITS)
 
-def _bitmap(phrases: DataFrame, *columns: str) -> bytes:
-    """A bitmap of the phrases in the named columns."""
 
+def _pair_bitmap(pairs: DataFrame) -> bytes:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            parts = [_string_hashes(batch.column(i)) for i in range(batch.num_columns)]
-            yield pa.RecordBatch.from_arrays([pa.array(_phrase_keys(*parts))], names=["key"])
-
-    # About sixteen bits a key.
-    bits = min(max(phrases.count().bit_length() + 4, MIN_BITS), MAX_BITS)
-    return sieve(phrases.select("lang", *columns).mapInArrow(run, "key bigint"), bits)
-
-
-class _Sums:
-    """Adds up phrases in a task: languages and words as numbers, phrases as pairs of numbers."""
-
-    def __init__(self, size: int):
-        self.size = size
-        self.clear()
-
-    def clear(self) -> None:
-        self.words: dict[bytes, int] = {}
-        self.langs: dict[str, int] = {}
-        self.held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        self.n = 0
-
-    def numbers(self, known: dict, values: list) -> np.ndarray:
-        return np.array([known.setdefault(v, len(known)) for v in values], dtype=np.int64)
-
-    def add(self, langs: np.ndarray, words: list[np.ndarray]) -> None:
-        """Phrases with the numbers of their language and words."""
-        high = langs << 32 | words[0]
-        low = np.zeros_like(high)
-        for word, shift in zip(words[1:], (32, 0), strict=False):
-            low |= word << shift
-        self.held.append(_added(high, low, np.ones(len(high), dtype=np.int64)))
-        self.n += len(self.held[-1][0])
-        if self.n >= _HELD:
-            self.combine()
-
-    def combine(self) -> None:
-        self.held = [_added(*map(np.concatenate, zip(*self.held, strict=True)))]
-        self.n = len(self.held[0][0])
-
-    def full(self) -> bool:
-        return self.n >= _KEPT or len(self.words) >= _WORDS
-
-    def rows(self) -> Iterator[pa.RecordBatch]:
-        """The sums by language and words; nothing is held afterwards."""
-        if self.held:
-            self.combine()
-            high, low, n = self.held[0]
-            words = pa.array([w.decode() for w in self.words], pa.string())
-            langs = pa.array([*self.langs], pa.string())
-            numbers = [high & 0x7FFFFFFF, low >> 32, low & 0x7FFFFFFF][: self.size]
-            yield pa.RecordBatch.from_arrays(
-                [langs.take(pa.array(high >> 32)), *[words.take(pa.array(i)) for i in numbers],
-                 pa.array(n)],
-                names=[*_KEYS[: self.size + 1], "n"],
-            )
-        self.clear()
-
+            keys = _pair_keys(batch.column(0).to_numpy(), batch.column(1).to_numpy())
+            yield pa.RecordBatch.from_arrays([pa.array(keys)], names=["key"])
 
-def _added(high: np.ndarray, low: np.ndarray, n: np.ndarray) -> tuple:
-    order = np.lexsort((low, high))
-    high, low, n = high[order], low[order], n[order]
-    new = np.ones(len(high), dtype=bool)
-    new[1:] = (high[1:] != high[:-1]) | (low[1:] != low[:-1])
-    first = np.flatnonzero(new)
-    return high[first], low[first], np.add.reduceat(n, first) if len(first) else n
+    return sieve(pairs.select("k1", "k2").mapInArrow(run, "key bigint"), _bits(pairs))
 
 
 def _spans(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -168,74 +124,173 @@ def _spans(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     return starts, ends, rows, breaks[starts] + rows
 
 
-def _distinct(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.DictionaryArray:
-    """The words, each distinct one once."""
-    sizes = ends - starts
-    bounds = np.zeros(len(sizes) + 1, dtype=np.int64)
-    np.cumsum(sizes, out=bounds[1:])
-    packed = np.ascontiguousarray(buf[~_WORD_ENDS[buf]])
-    array = pa.LargeBinaryArray.from_buffers(
-        pa.large_binary(), len(sizes), [None, pa.py_buffer(bounds), pa.py_buffer(packed)]
+class _Chunk:
+    """The words of some texts."""
+
+    def __init__(self, langs: pa.Array, buf: np.ndarray, offsets: np.ndarray):
+        self.buf = LOWER[buf]
+        self.starts, self.ends, self.rows, self.pieces = _spans(self.buf, offsets)
+        self.langs = langs.dictionary_encode()
+        self.lang_of = self.langs.indices.to_numpy()[self.rows]
+
+    def within_pieces(self, size: int) -> np.ndarray:
+        """Whether a phrase of some words starts at each word but the last ones."""
+        n = max(len(self.starts) - size + 1, 0)
+        return self.pieces[:n] == self.pieces[len(self.pieces) - n :]
+
+    def words(self) -> pa.DictionaryArray:
+        sizes = self.ends - self.starts
+        bounds = np.zeros(len(sizes) + 1, dtype=np.int64)
+        np.cumsum(sizes, out=bounds[1:])
+        packed = np.ascontiguousarray(self.buf[~_WORD_ENDS[self.buf]])
+        array = pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(sizes), [None, pa.py_buffer(bounds), pa.py_buffer(packed)]
+        )
+        return array.dictionary_encode()
+
+    def keys(self, seed: int) -> np.ndarray:
+        """The key of every word."""
+        langs = _string_hashes(self.langs.dictionary)[self.lang_of]
+        words = span_hashes(self.buf, self.starts, self.ends)
+        return _word_keys(langs, words, seed).view(np.int64)
+
+
+def _with_lang(docs: DataFrame) -> DataFrame:
+    return docs.select(F.coalesce("lang", F.lit(_LANG)).alias("lang"), "text")
+
+
+def _chunked(batches: Iterator[pa.RecordBatch]) -> Iterator[_Chunk]:
+    for batch in batches:
+        for first, buf, offsets in chunks(batch.column(1), _CHUNK_BYTES):
+            yield _Chunk(batch.column(0).slice(first, len(offsets) - 1), buf, offsets)
+
+
+def _sent(names: list[str], columns: list[pa.Array]) -> Iterator[pa.RecordBatch]:
+    """Rows a part at a time, so that they take little room on their way."""
+    batch = pa.RecordBatch.from_arrays(columns, names=names)
+    for first in range(0, batch.num_rows, _SENT):
+        yield batch.slice(first, _SENT)
+
+
+def word_counts(docs: DataFrame) -> DataFrame:
+    """``lang``, ``word``, ``n`` of all words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []
+
+        def combined() -> pa.Table:
+            sums = pa.concat_tables(held).group_by(["lang", "word"]).aggregate([("n", "sum")])
+            return sums.rename_columns(["lang", "word", "n"])
+
+        for chunk in _chunked(batches):
+            coded = chunk.words()
+            (langs, codes), n = _added(
+                [chunk.lang_of.astype(np.int64), coded.indices.to_numpy().astype(np.int64)],
+                np.ones(len(coded), dtype=np.int64),
+            )
+            columns = [
+                chunk.langs.dictionary.take(pa.array(langs)),
+                coded.dictionary.cast(pa.large_string()).take(pa.array(codes)).cast(pa.string()),
+                pa.array(n),
+            ]
+            held.append(pa.table(columns, names=["lang", "word", "n"]))
+            if sum(table.num_rows for table in held) >= _HELD:
+                held = [combined()]
+                if held[0].num_rows >= _HELD // 2:
+                    yield from held.pop().to_batches(max_chunksize=_SENT)
+        if held:
+            yield from combined().to_batches(max_chunksize=_SENT)
+
+    partial = _with_lang(docs).mapInArrow(run, "lang string, word string, n bigint")
+    return _summed(partial, "lang", "word")
+
+
+def _summed(partial: DataFrame, *keys: str) -> DataFrame:
+    """Sums by key. Tasks have added up already, so rows are dealt by key before they are added."""
+    return partial.repartition(*keys).groupBy(*keys).agg(F.sum("n").alias("n"))
+
+
+def keyed(words: DataFrame, seed: int = 0) -> DataFrame:
+    """Add the key of each word in ``k``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts = [_string_hashes(batch.column(i)) for i in range(2)]
+            keys = pa.array(_word_keys(*parts, seed).view(np.int64))
+            yield pa.RecordBatch.from_arrays([*batch.columns, keys], names=["lang", "word", "n", "k"])
+
+    return words.select("lang", "word", "n").mapInArrow(
+        run, "lang string, word string, n bigint, k bigint"
     )
-    return array.dictionary_encode()
+
+
+def _key_table(docs: DataFrame) -> tuple[DataFrame, int]:
+    """All words with keys of their own, and the seed of the keys."""
+    counted = stored(word_counts(docs), "phrase-words")
+    seed = 0
+    while True:
+        words = stored(keyed(counted, seed), "phrase-keys")
+        if words.groupBy("k").count().where("count > 1").isEmpty():
+            discard(counted)
+            return words, seed
+        discard(words)
+        seed += 1
 
 
 def phrase_counts(
-    docs: DataFrame, size: int, words: bytes | None = None, pairs: tuple[bytes, ...] = ()
+    docs: DataFrame, size: int, seed: int, words: bytes | None = None, pairs: tuple[bytes, ...] = ()
 ) -> DataFrame:
-    """``lang``, the words of each phrase of ``size`` words, and its count ``n``.
+    """The keys of each phrase of ``size`` words, ``k1`` and so on, and its count ``n``.
 
     With ``words``, only phrases of words in that bitmap are counted. With ``pairs``, three
-    bitmaps, only phrases of three words: both pairs are in the first bitmap, and the first pair
-    is in the second or the last pair in the third.
+    bitmaps, only phrases of three words: both pairs are in the first one, and the first pair in the
+    second or the last pair in the third.
     """
-    docs = docs.select(F.coalesce("lang", F.lit(_LANG)).alias("lang"), "text")
-    spark = docs.sparkSession
     # Bitmaps of at most ``2 ** MAX_BITS`` bits each.
-    shared = spark.sparkContext.broadcast((words, pairs))
-
-    def phrases(sums: _Sums, langs: pa.Array, buf: np.ndarray, offsets: np.ndarray) -> None:
-        own, pair_maps = shared.value
-        buf = LOWER[buf]
-        starts, ends, rows, pieces = _spans(buf, offsets)
-        if len(starts) < size:
-            return
-        coded = _distinct(buf, starts, ends)
-        codes = coded.indices.to_numpy().astype(np.int64)
-        coded_langs = langs.dictionary_encode()
-        lang_of = coded_langs.indices.to_numpy()[rows]
-        n = len(codes) - size + 1
-        whole = pieces[:n] == pieces[size - 1 :]
-        if own or pair_maps:
-            word_hash = _string_hashes(coded.dictionary.cast(pa.large_string()))[codes]
-            lang_hash = _string_hashes(coded_langs.dictionary)[lang_of]
-        if own:
-            known = passes(_phrase_keys(lang_hash, word_hash), own)
+    shared = docs.sparkSession.sparkContext.broadcast((words, pairs))
+    names = [f"k{i + 1}" for i in range(size)]
+
+    def found(chunk: _Chunk) -> list[np.ndarray]:
+        words, pairs = shared.value
+        keys = chunk.keys(seed)
+        whole = chunk.within_pieces(size)
+        if words:
+            known = passes(keys, words)
             for i in range(size):
-                whole &= known[i : i + n]
-        if pair_maps:
-            keys = _phrase_keys(lang_hash[:-1], word_hash[:-1], word_hash[1:])
-            common = passes(keys, pair_maps[0])
+                whole &= known[i : i + len(whole)]
+        if pairs and len(whole):
+            of_two = _pair_keys(keys[:-1], keys[1:])
+            common = passes(of_two, pairs[0])
             whole &= common[:-1] & common[1:]
             at = np.flatnonzero(whole)
-            whole[at] = passes(keys[at], pair_maps[1]) | passes(keys[at + 1], pair_maps[2])
+            whole[at] = passes(of_two[at], pairs[1]) | passes(of_two[at + 1], pairs[2])
         at = np.flatnonzero(whole)
-        numbers = sums.numbers(sums.words, coded.dictionary.to_pylist())[codes]
-        lang_numbers = sums.numbers(sums.langs, coded_langs.dictionary.to_pylist())
-        sums.add(lang_numbers[lang_of[at]], [numbers[at + i] for i in range(size)])
+        return [keys[at + i] for i in range(size)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = _Sums(size)
-        for batch in batches:
-            for first, buf, offsets in chunks(batch.column(1)):
-                phrases(sums, batch.column(0).slice(first, len(offsets) - 1), buf, offsets)
-                if sums.full():
-                    yield from sums.rows()
-        yield from sums.rows()
-
-    names = _KEYS[: size + 1]
-    partial = docs.mapInArrow(run, ", ".join(f"{name} string" for name in names) + ", n bigint")
-    return partial.groupBy(*names).agg(F.sum("n").alias("n"))
+        held: list[tuple[list[np.ndarray], np.ndarray]] = []
+        n = 0
+
+        def combined() -> tuple[list[np.ndarray], np.ndarray]:
+            columns = [np.concatenate([c[i] for c, _ in held]) for i in range(size)]
+            return _added(columns, np.concatenate([sums for _, sums in held]))
+
+        for chunk in _chunked(batches):
+            own = found(chunk)
+            held.append(_added(own, np.ones(len(own[0]), dtype=np.int64)))
+            n += len(held[-1][1])
+            if n >= _HELD:
+                held = [combined()]
+                n = len(held[0][1])
+                if n >= _HELD // 2:
+                    yield from _sent([*names, "n"], [*map(pa.array, held[0][0]), pa.array(held[0][1])])
+                    held, n = [], 0
+        if held:
+            columns, sums = combined()
+            yield from _sent([*names, "n"], [*map(pa.array, columns), pa.array(sums)])
+
+    schema = ", ".join(f"{name} bigint" for name in [*names, "n"])
+    return _summed(_with_lang(docs).mapInArrow(run, schema), *names)
 
 
 def _score(a: Column, left: Column, right: Column) -> Column:
@@ -247,13 +302,12 @@ def _score(a: Column, left: Column, right: Column) -> Column:
 
 
 def _with_count(phrases: DataFrame, counts: DataFrame, columns: list[str], name: str) -> DataFrame:
-    """Add the count of the words in ``columns``."""
-    own = [c for c in counts.columns if c.startswith("w")]
+    """Add the count of the words whose keys are in ``columns``."""
+    own = [c for c in counts.columns if c.startswith("k")]
     renamed = counts.select(
-        "lang", *[F.col(a).alias(b) for a, b in zip(own, columns, strict=True)],
-        F.col("n").alias(name),
+        *[F.col(a).alias(b) for a, b in zip(own, columns, strict=True)], F.col("n").alias(name)
     )
-    return phrases.join(renamed, ["lang", *columns])
+    return phrases.join(renamed, columns)
 
 
 def _thresholds(nodes: DataFrame, k: int) -> DataFrame:
@@ -273,47 +327,48 @@ def _thresholds(nodes: DataFrame, k: int) -> DataFrame:
 
 def _scored_triples(triples: DataFrame, words: DataFrame, pairs: DataFrame) -> DataFrame:
     """Candidates of three words with the parts of their lowest cut and the score."""
-    found = _with_count(triples.withColumnRenamed("n", "a"), words, ["w1"], "l1")
-    found = _with_count(found, pairs, ["w2", "w3"], "r1")
-    found = _with_count(found, pairs, ["w1", "w2"], "l2")
-    found = _with_count(found, words, ["w3"], "r2")
-    one, two = _score(F.col("a"), F.col("l1"), F.col("r1")), _score(
-        F.col("a"), F.col("l2"), F.col("r2")
+    found = triples.withColumnRenamed("n", "a").join(
+        words.select(F.col("k").alias("k1"), "lang", F.col("n").alias("l1")), "k1"
     )
+    found = _with_count(found, pairs, ["k2", "k3"], "r1")
+    found = _with_count(found, pairs, ["k1", "k2"], "l2")
+    found = _with_count(found, words.select("k", "n"), ["k3"], "r2")
     first = F.col("s1") <= F.col("s2")
-    return (
-        found.withColumns({"s1": one, "s2": two})
-        .select(
-            "lang",
-            F.concat_ws(" ", "w1", "w2", "w3").alias("phrase"),
-            "a",
-            F.when(first, F.col("l1")).otherwise(F.col("l2")).alias("l"),
-            F.when(first, F.col("r1")).otherwise(F.col("r2")).alias("r"),
-            F.least("s1", "s2").alias("score"),
-        )
+    return found.withColumns(
+        {
+            "s1": _score(F.col("a"), F.col("l1"), F.col("r1")),
+            "s2": _score(F.col("a"), F.col("l2"), F.col("r2")),
+        }
+    ).select(
+        "lang", "k1", "k2", "k3", "a",
+        F.when(first, F.col("l1")).otherwise(F.col("l2")).alias("l"),
+        F.when(first, F.col("r1")).otherwise(F.col("r2")).alias("r"),
+        F.least("s1", "s2").alias("score"),
     )
 
 
-def _surviving_pairs(
-    resolved: DataFrame, triples: DataFrame, drop_percent: int
-) -> DataFrame:
+def _surviving_pairs(resolved: DataFrame, triples: DataFrame, drop_percent: int) -> DataFrame:
     """Pairs without a longer candidate around them that is frequent enough."""
-    around = triples.select(
-        "lang",
-        F.inline(
-            F.array(
-                F.struct(F.col("w1").alias("w1"), F.col("w2").alias("w2")),
-                F.struct(F.col("w2").alias("w1"), F.col("w3").alias("w2")),
-            )
-        ),
-        "n",
-    )
-    longest = around.groupBy("lang", "w1", "w2").agg(F.max("n").alias("longer"))
+    parts = [
+        F.struct(F.col(a).alias("k1"), F.col(b).alias("k2")) for a, b in (("k1", "k2"), ("k2", "k3"))
+    ]
+    around = triples.select(F.inline(F.array(*parts)), "n")
+    longest = around.groupBy("k1", "k2").agg(F.max("n").alias("longer"))
     kept = F.col("longer").isNull() | (F.col("longer") * 100 < F.col("a") * drop_percent)
     return (
-        resolved.join(longest, ["lang", "w1", "w2"], "left")
+        resolved.join(longest, ["k1", "k2"], "left")
         .where(kept)
-        .select("lang", F.concat_ws(" ", "w1", "w2").alias("phrase"), "a", "l", "r", "score")
+        .select("lang", "k1", "k2", F.lit(None).cast("bigint").alias("k3"), "a", "l", "r", "score")
+    )
+
+
+def _written(phrases: DataFrame, words: DataFrame) -> DataFrame:
+    """Add the words of phrases, joined by spaces."""
+    for i in range(1, 4):
+        own = words.select(F.col("k").alias(f"k{i}"), F.col("word").alias(f"w{i}"))
+        phrases = phrases.join(own, f"k{i}", "left" if i == 3 else "inner")
+    return phrases.select(
+        "lang", F.concat_ws(" ", "w1", "w2", "w3").alias("phrase"), "a", "l", "r", "score"
     )
 
 
@@ -329,39 +384,47 @@ def collocations(
     ``n`` is the number of words of the language. Phrases are ordered by score and count, greater
     first, then by the bytes of the phrase.
     """
+    with small_batches(docs.sparkSession):
+        return _collocations(docs, min_count, drop_percent, limit, growth)
+
+
+def _collocations(
+    docs: DataFrame, min_count: int, drop_percent: int, limit: int, growth: int
+) -> DataFrame:
     spark = docs.sparkSession
-    every_word = stored(phrase_counts(docs, 1), "phrases-1")
+    every_word, seed = _key_table(docs)
     totals = every_word.groupBy("lang").agg(F.sum("n").alias("n"))
     words = every_word.where(F.col("n") >= min_count)
+    known = sieve(words.select("k"), _bits(words))
     pairs = stored(
-        phrase_counts(docs, 2, words=_bitmap(words, "w1")).where(F.col("n") >= min_count),
-        "phrases-2",
+        phrase_counts(docs, 2, seed, words=known).where(F.col("n") >= min_count), "phrases-2"
     )
     # A node of the frontier: a pair, as a candidate and as a prefix.
-    scored = _with_count(pairs.withColumnRenamed("n", "a"), words, ["w1"], "l")
-    scored = _with_count(scored, words, ["w2"], "r")
-    bound = _score(F.col("a"), F.col("a"), F.col("l"))
+    scored = pairs.withColumnRenamed("n", "a").join(
+        words.select(F.col("k").alias("k1"), "lang", F.col("n").alias("l")), "k1"
+    )
+    scored = _with_count(scored, words.select("k", "n"), ["k2"], "r")
     nodes = stored(
-        scored.select(
-            "lang", "w1", "w2", "a", "l", "r",
-            _score(F.col("a"), F.col("l"), F.col("r")).alias("score"),
-            bound.alias("bound"),
+        scored.withColumns(
+            {
+                "score": _score(F.col("a"), F.col("l"), F.col("r")),
+                "bound": _score(F.col("a"), F.col("a"), F.col("l")),
+            }
         ),
         "phrase-nodes",
     )
-    common = _bitmap(nodes, "w1", "w2")
+    common = _pair_bitmap(nodes)
     best, left, k = [], nodes, limit * growth
     while not left.isEmpty():
         least = stored(_thresholds(left, k), "phrase-thresholds")
         open_nodes = left.join(least, "lang")
         expanded = open_nodes.where(F.col("bound") >= F.col("least"))
         resolved = open_nodes.where(F.col("score") >= F.col("least"))
-        maps = (common, _bitmap(expanded, "w1", "w2"), _bitmap(resolved, "w1", "w2"))
-        of_open = docs.select(F.coalesce("lang", F.lit(_LANG)).alias("lang"), "text").join(
-            least.select("lang"), "lang", "left_semi"
-        )
+        maps = (common, _pair_bitmap(expanded), _pair_bitmap(resolved))
+        # Later rounds read the languages that are still open.
+        unsettled = _with_lang(docs).join(least.select("lang"), "lang", "left_semi")
         triples = stored(
-            phrase_counts(of_open if best else docs, 3, pairs=maps).where(
+            phrase_counts(unsettled if best else docs, 3, seed, pairs=maps).where(
                 F.col("n") >= min_count
             ),
             "phrases-3",
@@ -383,7 +446,7 @@ def collocations(
         order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
         best.append(
             stored(
-                surviving.join(settled, "lang", "left_semi")
+                _written(surviving.join(settled, "lang", "left_semi"), words)
                 .withColumn("rank", F.row_number().over(order).cast("bigint"))
                 .where(F.col("rank") <= limit),
                 "phrases-best",

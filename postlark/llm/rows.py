@@ -1,10 +1,15 @@
-"""Rows as single values, so that an operator's own columns cannot clash with theirs."""
+"""Rows as single values, so that an operator's own columns cannot clash with theirs; small batches."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 
 def whole_row(df: DataFrame) -> Column:
     """All columns of a row in one struct."""
@@ -25,3 +30,14 @@ def with_text(rows: DataFrame, like: DataFrame) -> DataFrame:
     return rows.select(
         *[new.get(name, F.col("_row")[name]).alias(name) for name in like.columns]
     )
+
+
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1_000) -> Iterator[None]:
+    """What runs inside hands texts to Python a few at a time, so that a batch takes little room."""
+    before = spark.conf.get(_BATCH_CONF)
+    spark.conf.set(_BATCH_CONF, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(_BATCH_CONF, before)

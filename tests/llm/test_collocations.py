@@ -102,27 +102,30 @@ def test_large_counts_are_exact(spark):
 
 def test_tasks_send_on_what_they_cannot_hold(spark, monkeypatch):
     """Sums are right when a task forgets its words after every chunk."""
-    for name in ("_HELD", "_KEPT", "_WORDS"):
-        monkeypatch.setattr(collocations, name, 20)
+    monkeypatch.setattr(collocations, "_HELD", 20)
+    monkeypatch.setattr(collocations, "_CHUNK_BYTES", 100)
+    monkeypatch.setattr(collocations, "_SENT", 3)
     rows = text_rows(8, 200)
-    sums = collocations._Sums(2)
-    total = Counter()
-    for lang in ("en", "fr"):
-        for word in ("a", "b", "c"):
-            ids = sums.numbers(sums.words, [word.encode(), b"z"])
-            langs = sums.numbers(sums.langs, [lang])
-            sums.add(langs[[0] * 30], [ids[[0] * 30], ids[[1] * 30]])
-            for batch in sums.rows():
-                for row in batch.to_pylist():
-                    total[row["lang"], row["w1"], row["w2"]] += row["n"]
-            assert not sums.words and not sums.full()
-    sums.add(np.arange(20), [np.arange(20), np.zeros(20, dtype=np.int64)])
-    assert sums.full()
-    assert total == {(lang, w, "z"): 30 for lang in ("en", "fr") for w in "abc"}
     found = collocations.collocations(frame(spark, rows), min_count=4, limit=50)
     assert collected(found) == brute(rows, min_count=4, limit=50)
 
 
+def test_equal_keys_are_noticed(spark, monkeypatch):
+    """Words whose keys are equal get other keys."""
+    hashed = collocations._word_keys
+
+    def equal_at_first(langs, words, seed):
+        keys = hashed(langs, words, seed)
+        return keys % np.uint64(7) if seed == 0 else keys
+
+    monkeypatch.setattr(collocations, "_word_keys", equal_at_first)
+    rows = text_rows(9, 100)
+    _, seed = collocations._key_table(frame(spark, rows))
+    assert seed == 1
+    found = collocations.collocations(frame(spark, rows), min_count=3)
+    assert collected(found) == brute(rows, min_count=3)
+
+
 def test_odd_input(spark):
     rows = [(row[1], "en") for row in odd_rows()]
     plain = collocations.collocations(odd_documents(spark))
