@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postlark.functions.measures import percent, ratio, total
-from postlark.operators.joins import ROWS_PER_SHARE, hot_key_join
+from postlark.operators.joins import hot_key_join
 from postlark.operators.paging import page_fields
 
 METRICS = {
@@ -70,15 +70,20 @@ def post_metrics_by_user(
     profiles: DataFrame,
     timeline_pages: DataFrame,
     ignore_case: bool = False,
-    rows_per_share: int = ROWS_PER_SHARE,
+    rows_per_share: int | None = None,
 ) -> DataFrame:
     """One row per timeline post with its account and metrics.
 
     Accounts without posts drop out, and so do names that differ in case unless
-    ``ignore_case`` is set. Whole pages are joined and then expanded.
+    ``ignore_case`` is set. Whole pages are joined and then expanded. Adaptive execution splits
+    an account with very many pages; with ``rows_per_share`` such accounts are cut by number.
     """
     lookup = _profile_lookup(profiles, ignore_case)
-    joined = hot_key_join(_timeline(timeline_pages, ignore_case), lookup, "_user", rows_per_share)
+    timeline = _timeline(timeline_pages, ignore_case)
+    if rows_per_share is None:
+        joined = timeline.join(lookup, "_user")
+    else:
+        joined = hot_key_join(timeline, lookup, "_user", rows_per_share)
     return _post_metrics(joined, "Name", "username", "Followers_Millions")
 
 

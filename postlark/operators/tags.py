@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postlark.functions.text import content_word_count, rating_words, word_list_rating
-from postlark.operators.joins import ROWS_PER_SHARE, hot_key_join
 
 
 def _tagged(posts: DataFrame, lang: str) -> DataFrame:
@@ -52,9 +51,7 @@ def avg_length_by_tag(base: DataFrame, min_count: int = 100) -> DataFrame:
     )
 
 
-def rate_text(
-    base: DataFrame, lexicon: DataFrame | dict[str, int], rows_per_share: int = ROWS_PER_SHARE
-) -> DataFrame:
+def rate_text(base: DataFrame, lexicon: DataFrame | dict[str, int]) -> DataFrame:
     """Add ``rating``: positive minus negative words of ``text``, NULL for a NULL text.
 
     ``lexicon`` is a word-to-polarity dictionary, which becomes hash sets inside the plan and
@@ -63,7 +60,7 @@ def rate_text(
     is positive.
     """
     if isinstance(lexicon, DataFrame):
-        return _rate_text_by_join(base, lexicon, rows_per_share)
+        return _rate_text_by_join(base, lexicon)
     positive = [word for word, polarity in lexicon.items() if polarity > 0]
     negative = [word for word, polarity in lexicon.items() if polarity < 0]
     rating = word_list_rating("_words", positive, negative)
@@ -71,37 +68,35 @@ def rate_text(
     return listed.withColumn("rating", rating).drop("_words")
 
 
-def _rate_text_by_join(base: DataFrame, lexicon: DataFrame, rows_per_share: int) -> DataFrame:
-    """Ratings through a join of word counts with the list.
+def _rate_text_by_join(base: DataFrame, lexicon: DataFrame) -> DataFrame:
+    """Ratings through a join of the words with the list.
 
-    Equal texts have equal ratings, so each text digest is rated once. Word counts are
-    summed per digest before they meet the list, where a word of most texts is a hot key. A
-    text with very many copies is a hot digest when the ratings return to the rows; rows
-    without a text stay out of that join.
+    Equal texts have equal ratings, so each text digest is rated once: its words meet the list
+    and are summed per digest, which is unique when it returns to the rows. Both joins carry no
+    hint: a list that is small enough is broadcast and the words stay where they are, and
+    adaptive execution splits a word or a text that is hot in a longer one. Rows without a text
+    have digests of their own, so that they do not meet in one task.
     """
     signs = (
         lexicon.filter("word IS NOT NULL AND polarity <> 0")
         .groupBy("word")
         .agg(F.max(F.signum("polarity").cast("int")).alias("_sign"))
     )
-    keyed = base.withColumn("_digest", F.sha2("text", 256))
-    with_text = keyed.filter(F.col("text").isNotNull())
-    uses = (
-        with_text.select("_digest", "text")
-        .dropDuplicates(["_digest"])
-        .select("_digest", F.explode(rating_words(F.col("text"))).alias("word"))
-        .groupBy("_digest", "word")
-        .agg(F.count("*").alias("uses"))
-    )
+    others = [F.col(f"`{name}`") for name in base.columns]
+    none = F.concat(F.lit("-"), F.xxhash64(*others).cast("string"))
+    keyed = base.withColumn("_digest", F.coalesce(F.sha2("text", 256), none))
     rated = (
-        hot_key_join(uses, signs, "word", rows_per_share)
+        base.filter(F.col("text").isNotNull())
+        .groupBy(F.sha2("text", 256).alias("_digest"))
+        .agg(F.any_value("text").alias("text"))
+        .select("_digest", F.explode(rating_words(F.col("text"))).alias("word"))
+        .join(signs, "word")
         .groupBy("_digest")
-        .agg(F.sum(F.col("uses") * F.col("_sign")).alias("_sum"))
+        .agg(F.sum("_sign").alias("_sum"))
     )
-    joined = hot_key_join(with_text, rated, "_digest", rows_per_share, how="left")
-    found = joined.withColumn("rating", F.coalesce(F.col("_sum"), F.lit(0)).cast("int"))
-    without = keyed.filter(F.col("text").isNull()).withColumn("rating", F.lit(None).cast("int"))
-    return found.drop("_digest", "_sum").unionByName(without.drop("_digest"))
+    found = keyed.join(rated, "_digest", "left")
+    rating = F.when(F.col("text").isNotNull(), F.coalesce("_sum", F.lit(0))).cast("int")
+    return found.withColumn("rating", rating).drop("_digest", "_sum")
 
 
 def mean_ratings(base: DataFrame, lexicon: DataFrame | dict[str, int]) -> DataFrame:
@@ -184,7 +179,8 @@ def popular_account_tags(
         F.col("data.author_id").alias("author_id"),
         F.col("data.entities.hashtags.tag").alias("hashtags"),
     )
-    by_popular = hot_key_join(tagged, authors, "author_id")
+    # At most ``top_n`` authors.
+    by_popular = tagged.join(F.broadcast(authors), "author_id")
     uses: Column = F.sum("factor").alias("count")
     return (
         by_popular.select(F.explode("hashtags").alias("singleTags"), "factor")

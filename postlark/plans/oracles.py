@@ -299,18 +299,28 @@ WITH feed AS (
 )
 SELECT DISTINCT ON (event_id) cast(event_id AS varchar) AS id, event_type AS text FROM feed"""
 
-ORACLES: dict[str, str] = {
-    "hashtag_base": f"""
-WITH {_POSTS}
-SELECT text, array_to_string(tags, ' ') AS hashtag FROM posts WHERE lang = 'en'""",
-    "frequent_tags": f"""
+_FREQUENT_TAGS = f"""
 WITH {_TAG_ROWS}
 SELECT tag AS hashtag2, count(*) AS count FROM tag_rows
-GROUP BY tag HAVING count(*) > {MIN_TAG_COUNT}""",
-    "avg_tweet_length_by_tag": f"""
+GROUP BY tag HAVING count(*) > {MIN_TAG_COUNT}"""
+
+_AVG_LENGTH = f"""
 WITH {_TAG_ROWS}, lengths AS (SELECT tag, {_LENGTH} AS length FROM tag_rows)
 SELECT tag AS hashtag, {_round("avg(length)", 2)} AS "avgLength" FROM lengths
-GROUP BY tag HAVING count(*) > {MIN_TAG_COUNT}""",
+GROUP BY tag HAVING count(*) > {MIN_TAG_COUNT}"""
+
+_DAY_WORD_COUNTS = f"""
+WITH {_DAY_WORDS},
+per_day AS (SELECT day, count(*) AS n FROM posts WHERE text IS NOT NULL GROUP BY day),
+counts AS (SELECT day, word, count(*) AS count FROM day_words GROUP BY ALL)
+SELECT day, word, count, count * 100 / n AS "(% format)" FROM counts JOIN per_day USING (day)"""
+
+ORACLES: dict[str, str] = {
+    "hashtag_base": f"""
+WITH {_POSTS}
+SELECT text, array_to_string(tags, ' ') AS hashtag FROM posts WHERE lang = 'en'""",
+    "frequent_tags": _FREQUENT_TAGS,
+    "avg_tweet_length_by_tag": _AVG_LENGTH,
     "tag_sentiment_desc": _SENTIMENT,
     "tag_sentiment_asc": _SENTIMENT,
     "tag_sentiment_joined": _SENTIMENT,
@@ -386,11 +396,7 @@ SELECT name, username, followers AS "Followers_Millions" FROM profiles""",
     "day_tweet_count": f"""
 WITH {_POSTS}
 SELECT day, count(*) AS tweet_count FROM posts WHERE text IS NOT NULL GROUP BY day""",
-    "day_word_counts": f"""
-WITH {_DAY_WORDS},
-per_day AS (SELECT day, count(*) AS n FROM posts WHERE text IS NOT NULL GROUP BY day),
-counts AS (SELECT day, word, count(*) AS count FROM day_words GROUP BY ALL)
-SELECT day, word, count, count * 100 / n AS "(% format)" FROM counts JOIN per_day USING (day)""",
+    "day_word_counts": _DAY_WORD_COUNTS,
     "day_tag_matches": _DAY_MATCHES,
     "day_tag_matches_frame": _DAY_MATCHES,
     "search_page_cursor": _CURSOR,
@@ -400,6 +406,10 @@ SELECT day, word, count, count * 100 / n AS "(% format)" FROM counts JOIN per_da
     "json_to_parquet": _FLAT_POSTS,
     "stream_land": _FLAT_POSTS,
     "report_csv": _context_percent("legacy", "LIMIT 50"),
+    "frequent_tags_sketched": _FREQUENT_TAGS,
+    "avg_tweet_length_by_tag_sql": _AVG_LENGTH,
+    "tag_sentiment_sql": _SENTIMENT,
+    "day_word_counts_sql": _DAY_WORD_COUNTS,
     "feed_fields": _FEED_FIELDS,
     "json_to_parquet_discovered": _FLAT_POSTS,
     "stream_rotate": _ROTATED,

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postlark import schemas
-from postlark.operators import engagement, paging, tags, topics, weekday
+from postlark.functions import sql
+from postlark.operators import engagement, heavy, paging, tags, topics, weekday
 from postlark.plans import tables
 from postlark.session import remove, scratch_dir
 from postlark.sources import discovery, readers, writers
@@ -39,6 +40,48 @@ def avg_tweet_length_by_tag(spark, sf_dir):
     return tags.avg_length_by_tag(_base(spark, sf_dir), MIN_TAG_COUNT)
 
 
+def frequent_tags_sketched(spark, sf_dir):
+    """Candidates from bucket counts, then exact counts of these."""
+    uses = _base(spark, sf_dir).select(F.explode("hashtag").alias("hashtag2"))
+    return heavy.frequent_values(uses, "hashtag2", MIN_TAG_COUNT)
+
+
+def avg_tweet_length_by_tag_sql(spark, sf_dir):
+    """``avg_tweet_length_by_tag`` in SQL alone, with the functions for words and tags."""
+    sql.register(spark)
+    posts = tables.stream_posts(spark, sf_dir, "lang", "text", "entities")
+    query = """
+        WITH tagged AS (
+            SELECT content_words(data.text) AS length, data.entities.hashtags.tag AS tags
+            FROM {posts} WHERE data.lang = :lang AND data.entities.hashtags IS NOT NULL),
+        means AS (
+            SELECT tag AS hashtag, avg(length) AS mean
+            FROM tagged, LATERAL tags_of(tags)
+            WHERE tag IS NOT NULL GROUP BY tag HAVING count(*) > :min_count)
+        SELECT hashtag, round(mean, 2) AS avgLength FROM means ORDER BY mean DESC, hashtag"""
+    return spark.sql(query, args={"lang": "en", "min_count": MIN_TAG_COUNT}, posts=posts)
+
+
+def tag_sentiment_sql(spark, sf_dir):
+    """``tag_sentiment_desc`` in SQL alone."""
+    sql.register(spark)
+    posts = tables.stream_posts(spark, sf_dir, "lang", "text", "entities")
+    query = """
+        WITH tagged AS (
+            SELECT list_rating(rating_words(data.text), :positive, :negative) AS rating,
+                   data.entities.hashtags.tag AS tags
+            FROM {posts} WHERE data.lang = 'en' AND data.entities.hashtags IS NOT NULL),
+        means AS (
+            SELECT tag AS hashtag, avg(rating) AS mean
+            FROM tagged, LATERAL tags_of(tags) GROUP BY tag)
+        SELECT hashtag, round(mean, 2) AS rating FROM means ORDER BY mean DESC, hashtag"""
+    listed = {
+        name: F.array(*map(F.lit, words))
+        for name, words in (("positive", POSITIVE_WORDS), ("negative", NEGATIVE_WORDS))
+    }
+    return spark.sql(query, args=listed, posts=posts)
+
+
 def tag_sentiment_desc(spark, sf_dir):
     return tags.tag_sentiment(_base(spark, sf_dir), DEFAULT_LEXICON)
 
@@ -199,6 +242,20 @@ def day_word_counts(spark, sf_dir):
     return weekday.day_word_counts(_day_posts(spark, sf_dir))
 
 
+def day_word_counts_sql(spark, sf_dir):
+    """``day_word_counts`` in SQL alone."""
+    sql.register(spark)
+    query = """
+        WITH texts AS (SELECT day, data.text AS text FROM {posts} WHERE data.text IS NOT NULL),
+        per_day AS (SELECT day, count(*) AS posts FROM texts GROUP BY day),
+        counts AS (SELECT day, word, count(*) AS count
+                   FROM texts, LATERAL words_of(text) GROUP BY day, word)
+        SELECT counts.day, word, count, count * 100 / posts AS `(% format)`
+        FROM counts JOIN per_day ON counts.day <=> per_day.day
+        ORDER BY count DESC, counts.day, word"""
+    return spark.sql(query, posts=_day_posts(spark, sf_dir))
+
+
 def day_tag_matches(spark, sf_dir):
     return weekday.day_tag_matches_sql(_day_posts(spark, sf_dir), tables.WORD_PATTERNS)
 
@@ -426,6 +483,10 @@ QUERIES: dict[str, Query] = {
     "json_to_parquet": json_to_parquet,
     "stream_land": stream_landing,
     "report_csv": report_csv,
+    "frequent_tags_sketched": frequent_tags_sketched,
+    "avg_tweet_length_by_tag_sql": avg_tweet_length_by_tag_sql,
+    "tag_sentiment_sql": tag_sentiment_sql,
+    "day_word_counts_sql": day_word_counts_sql,
     "feed_fields": feed_fields,
     "json_to_parquet_discovered": json_to_parquet_discovered,
     "stream_rotate": stream_rotate,

@@ -100,7 +100,7 @@ def test_long_word_lists_are_joined_with_the_same_result(spark):
     df = base(spark, [(text, ["t"]) for text in [*texts, *texts[:40], None, "", "   "]])
     lexicon = spark.createDataFrame(list(DEFAULT_LEXICON.items()), "word STRING, polarity INT")
     inline = tags.rate_text(df, DEFAULT_LEXICON)
-    joined = tags.rate_text(df, lexicon, rows_per_share=50)
+    joined = tags.rate_text(df, lexicon)
     assert joined.columns == inline.columns
     key = str
     assert sorted(rows(inline), key=key) == sorted(rows(joined), key=key)
@@ -129,8 +129,8 @@ def test_a_common_word_is_spread_over_tasks(spark):
         sizes = joined.filter("word = 'the'").groupBy(F.spark_partition_id().alias("p")).count()
         counts = [count for _, count in rows(sizes)]
         assert sum(counts) == 2000 and max(counts) < 1000
-        rated = tags.rate_text(df, lexicon, rows_per_share=100)
-        assert "_share" in plan(rated)
+        rated = tags.rate_text(df, lexicon)
+        assert "SortMergeJoin [word" in plan(rated)
         assert rated.agg(F.sum("rating")).first()[0] == 1999
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
