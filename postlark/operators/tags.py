@@ -155,25 +155,38 @@ def multi_tag_counts(posts: DataFrame, lang: str = "en") -> DataFrame:
     )
 
 
+def leading_posts(posts: DataFrame, lang: str = "en", top_n: int = 200) -> DataFrame:
+    """``author_id``, ``likes``, ``id`` of the most liked posts in one language, ties by id."""
+    return ranked_posts(
+        posts.filter(F.col("data.lang") == lang).select(
+            F.col("data.author_id").alias("author_id"),
+            F.col("data.public_metrics.like_count").alias("likes"),
+            F.col("data.id").alias("id"),
+        ),
+        top_n,
+    )
+
+
+def ranked_posts(posts: DataFrame, top_n: int) -> DataFrame:
+    return posts.orderBy(F.desc("likes"), "id", "author_id").limit(top_n)
+
+
 def popular_account_tags(
-    posts: DataFrame, lang: str = "en", top_n: int = 200, distinct_authors: bool = False
+    posts: DataFrame,
+    lang: str = "en",
+    top_n: int = 200,
+    distinct_authors: bool = False,
+    leading: DataFrame | None = None,
 ) -> DataFrame:
     """``singleTags``, ``count`` of tags used by the authors of the most liked posts.
 
     An author with k posts among the ``top_n`` counts each of their tags k times, unless
     ``distinct_authors`` is set. The factor is carried as a number instead of repeated rows.
+    ``leading`` may hold the leading posts, as a stream keeps them; otherwise they are found here.
     """
-    authors = (
-        posts.filter(F.col("data.lang") == lang)
-        .select(
-            F.col("data.author_id").alias("author_id"),
-            F.col("data.public_metrics.like_count").alias("likes"),
-            F.col("data.id").alias("id"),
-        )
-        .orderBy(F.desc("likes"), "id", "author_id")
-        .limit(top_n)
-        .groupBy("author_id")
-        .agg((F.lit(1) if distinct_authors else F.count("*")).alias("factor"))
+    leading = leading_posts(posts, lang, top_n) if leading is None else leading.limit(top_n)
+    authors = leading.groupBy("author_id").agg(
+        (F.lit(1) if distinct_authors else F.count("*")).alias("factor")
     )
     tagged = _tagged(posts, lang).select(
         F.col("data.author_id").alias("author_id"),

@@ -50,18 +50,43 @@ def day_word_counts(posts: DataFrame) -> DataFrame:
     without a day belongs to the day NULL, as in ``day_post_count``. ``uses`` keeps the NULL
     word apart after the aggregate, where no filter can move below it.
     """
+    return word_counts_of(word_states(posts))
+
+
+def word_states(posts: DataFrame) -> DataFrame:
+    """``day``, ``word``, ``count``, ``uses``: sums of a day's posts, which can be added up.
+
+    The NULL word has the number of posts.
+    """
     with_marker = F.array_append(words(F.col("text"), ONE_SPACE), F.lit(None).cast("string"))
-    counts = (
+    return (
         _texts(posts)
         .select("day", F.explode(with_marker).alias("word"))
         .groupBy("day", "word")
         .agg(F.count("*").alias("count"), F.count("word").alias("uses"))
     )
-    posts_per_day = counts.groupBy(F.col("day").alias("_day")).agg(
+
+
+def merged_states(states: DataFrame) -> DataFrame:
+    """The sums of several captures of a day as one."""
+    return states.groupBy("day", "word").agg(
+        F.sum("count").alias("count"), F.sum("uses").alias("uses")
+    )
+
+
+def post_count_of(states: DataFrame) -> DataFrame:
+    """``day_post_count`` from the sums of ``word_states``, one row a day and word."""
+    marked = states.filter(F.col("word").isNull())
+    return marked.groupBy("day").agg(F.sum("count").alias("tweet_count"))
+
+
+def word_counts_of(states: DataFrame) -> DataFrame:
+    """``day_word_counts`` from the sums of ``word_states``, one row a day and word."""
+    posts_per_day = states.groupBy(F.col("day").alias("_day")).agg(
         F.max(F.when(F.col("uses") == 0, F.col("count"))).alias("posts")
     )
     return (
-        counts.join(posts_per_day, F.col("day").eqNullSafe(F.col("_day")))
+        states.join(posts_per_day, F.col("day").eqNullSafe(F.col("_day")))
         .filter(F.col("uses") > 0)
         .select("day", "word", "count", (F.col("count") * 100 / F.col("posts")).alias("(% format)"))
         .orderBy(F.desc("count"), "day", "word")
@@ -112,3 +137,36 @@ def day_tag_matches_sql(
         ORDER BY count DESC, day, hashtag
     """
     return posts.sparkSession.sql(query, args=args, words=day_words(posts))
+
+
+def day_tag_matches_indexed(posts: DataFrame, patterns: DataFrame) -> DataFrame:
+    """``day_tag_matches`` with a table of patterns of any length: ``day``, ``pattern``, ``exact``.
+
+    A word is looked up by its beginnings of the lengths that the day's prefixes have, and as a
+    whole, so a join on equal keys takes the place of a test for each pattern, and the plan does not
+    grow with the table. Words are counted first, so each one is looked up once a day. A word that
+    matches several patterns counts once.
+    """
+    length = F.when(F.col("exact"), F.lit(-1)).otherwise(F.length("pattern"))
+    keys = (
+        patterns.filter("day IS NOT NULL AND pattern IS NOT NULL AND exact IS NOT NULL")
+        .select("day", length.alias("length"), F.col("pattern").alias("start"))
+        .distinct()
+    )
+    # As many lengths as a pattern has characters at most.
+    lengths = keys.groupBy("day").agg(F.collect_set("length").alias("lengths"))
+    counts = day_words(posts).groupBy("day", "word").agg(F.count("*").alias("count"))
+    fitting = F.filter("lengths", lambda n: n <= F.length("word"))
+    probes = counts.join(lengths, "day").select(
+        "day", "word", "count", F.explode(fitting).alias("length")
+    )
+    start = F.when(F.col("length") < 0, F.col("word")).otherwise(
+        F.substring(F.col("word"), F.lit(1), F.col("length"))
+    )
+    return (
+        probes.withColumn("start", start)
+        .join(keys, ["day", "length", "start"], "left_semi")
+        .groupBy("day", F.col("word").alias("hashtag"))
+        .agg(F.max("count").alias("count"))
+        .orderBy(F.desc("count"), "day", "hashtag")
+    )

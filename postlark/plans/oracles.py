@@ -315,6 +315,32 @@ per_day AS (SELECT day, count(*) AS n FROM posts WHERE text IS NOT NULL GROUP BY
 counts AS (SELECT day, word, count(*) AS count FROM day_words GROUP BY ALL)
 SELECT day, word, count, count * 100 / n AS "(% format)" FROM counts JOIN per_day USING (day)"""
 
+_INDEXED_MATCHES = f"""
+WITH {_DAY_WORDS},
+pattern_words AS (
+    SELECT day, unnest(string_split(text, ' ')) AS word FROM posts
+    WHERE cast(id AS bigint) % 3 = 0
+),
+patterns AS (
+    SELECT DISTINCT day, length(word) % 2 = 0 AS exact,
+           CASE WHEN length(word) % 2 = 0 THEN word
+                ELSE left(word, length(word) % 3 + 3) END AS pattern
+    FROM pattern_words WHERE length(word) >= 6
+),
+counts AS (SELECT day, word, count(*) AS count FROM day_words GROUP BY ALL)
+SELECT day, word AS hashtag, count FROM counts
+WHERE EXISTS (SELECT 1 FROM patterns p WHERE p.exact AND p.day = counts.day AND p.pattern = word)
+   OR EXISTS (SELECT 1 FROM patterns p WHERE NOT p.exact AND p.day = counts.day
+              AND p.pattern = left(word, 3))
+   OR EXISTS (SELECT 1 FROM patterns p WHERE NOT p.exact AND p.day = counts.day
+              AND p.pattern = left(word, 4))
+   OR EXISTS (SELECT 1 FROM patterns p WHERE NOT p.exact AND p.day = counts.day
+              AND p.pattern = left(word, 5))"""
+
+_DAY_TWEET_COUNT = f"""
+WITH {_POSTS}
+SELECT day, count(*) AS tweet_count FROM posts WHERE text IS NOT NULL GROUP BY day"""
+
 ORACLES: dict[str, str] = {
     "hashtag_base": f"""
 WITH {_POSTS}
@@ -393,9 +419,7 @@ SELECT name, username, followers AS "Followers_Millions" FROM profiles""",
         "Average_Engagement_Per_Thous_Followers", "Like_Percent", "Quote_Percent",
         "Retweet_Percent", "Reply_Percent" """
     ),
-    "day_tweet_count": f"""
-WITH {_POSTS}
-SELECT day, count(*) AS tweet_count FROM posts WHERE text IS NOT NULL GROUP BY day""",
+    "day_tweet_count": _DAY_TWEET_COUNT,
     "day_word_counts": _DAY_WORD_COUNTS,
     "day_tag_matches": _DAY_MATCHES,
     "day_tag_matches_frame": _DAY_MATCHES,
@@ -410,6 +434,12 @@ SELECT day, count(*) AS tweet_count FROM posts WHERE text IS NOT NULL GROUP BY d
     "avg_tweet_length_by_tag_sql": _AVG_LENGTH,
     "tag_sentiment_sql": _SENTIMENT,
     "day_word_counts_sql": _DAY_WORD_COUNTS,
+    "day_tweet_count_stored": _DAY_TWEET_COUNT,
+    "day_word_counts_stored": _DAY_WORD_COUNTS,
+    "day_tag_matches_indexed": _INDEXED_MATCHES,
+    "popular_account_tags_stream": _popular_account_tags("count(*)"),
+    "user_engagement_bucketed": _engagement("*"),
+    "tweet_metrics_by_user_bucketed": f"WITH {_USER_POSTS} SELECT * FROM user_posts",
     "feed_fields": _FEED_FIELDS,
     "json_to_parquet_discovered": _FLAT_POSTS,
     "stream_rotate": _ROTATED,

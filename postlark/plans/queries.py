@@ -12,9 +12,10 @@ from postlark.functions import sql
 from postlark.operators import engagement, heavy, paging, tags, topics, weekday
 from postlark.plans import tables
 from postlark.session import remove, scratch_dir
-from postlark.sources import discovery, readers, writers
+from postlark.sources import bucketed, discovery, readers, writers
+from postlark.sources.day_store import DayStore
 from postlark.sources.lexicon import DEFAULT_LEXICON, NEGATIVE_WORDS, POSITIVE_WORDS
-from postlark.streaming import cursors, event_time
+from postlark.streaming import cursors, event_time, top_k
 from postlark.streaming.landing import feed_stream, stream_land
 from postlark.streaming.rotation import Rotation, rotate
 
@@ -433,6 +434,66 @@ def search_page_cursor_stream(spark, sf_dir):
     return cursors.latest(spark.read.schema(changes.schema).parquet(f"{target}/batch=*"))
 
 
+def _stored_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sums of each day, stored day by day; the first capture of one day was not whole."""
+    store = DayStore(spark, scratch_dir(spark, "days"), weekday.word_states)
+    posts = _day_posts(spark, sf_dir)
+    part = posts.where((F.col("day") == tables.DAYS[2]) & (F.length("data.text") % 2 == 0))
+    store.put(tables.DAYS[2], part)
+    for day in tables.DAYS:
+        store.put(day, posts.where(F.col("day") == day))
+    return store.read()
+
+
+def day_tweet_count_stored(spark, sf_dir):
+    return weekday.post_count_of(_stored_days(spark, sf_dir))
+
+
+def day_word_counts_stored(spark, sf_dir):
+    return weekday.word_counts_of(_stored_days(spark, sf_dir))
+
+
+def day_tag_matches_indexed(spark, sf_dir):
+    """Tens of thousands of patterns: beginnings and words of some texts of the same tables."""
+    return weekday.day_tag_matches_indexed(
+        _day_posts(spark, sf_dir), tables.long_patterns(spark, sf_dir)
+    )
+
+
+def popular_account_tags_stream(spark, sf_dir):
+    """The leading posts from a feed that arrives in three runs, then the tags of their authors."""
+    feed, checkpoint = scratch_dir(spark, "feed"), scratch_dir(spark, "top-checkpoint")
+    top = top_k.RunningTop(spark, scratch_dir(spark, "top"))
+    lines = tables.feed_text(spark, sf_dir).toDF("value")
+    for run in range(3):
+        own = lines.where(F.pmod(F.xxhash64("value"), F.lit(3)) == run)
+        own.write.mode("append").text(feed)
+        posts = feed_stream(spark, feed, schemas.STREAM_POST)
+        top_k.follow(posts, top, checkpoint).awaitTermination()
+    remove(spark, feed)
+    return tags.popular_account_tags(_ranked_posts(spark, sf_dir), leading=top.posts())
+
+
+def _bucketed(df: DataFrame, purpose: str) -> DataFrame:
+    path = scratch_dir(df.sparkSession, purpose)
+    return bucketed.write_bucketed(df, path.rsplit("/", 1)[1].replace("-", "_"), path, "username", 8)
+
+
+def user_engagement_bucketed(spark, sf_dir):
+    """Profiles and timelines dealt by account once; neither the sums nor the join move them."""
+    return engagement.user_engagement(
+        _bucketed(_profiles(spark, sf_dir), "bucketed-profiles"),
+        _bucketed(tables.timeline_pages(spark, sf_dir), "bucketed-timelines"),
+    )
+
+
+def tweet_metrics_by_user_bucketed(spark, sf_dir):
+    return engagement.post_metrics_by_user(
+        _bucketed(_profiles(spark, sf_dir), "bucketed-profiles"),
+        _bucketed(tables.timeline_pages(spark, sf_dir), "bucketed-timelines"),
+    )
+
+
 def report_csv(spark, sf_dir):
     """Write the language shares as a single headerless CSV file and read that back."""
     target = scratch_dir(spark, "report")
@@ -487,6 +548,12 @@ QUERIES: dict[str, Query] = {
     "avg_tweet_length_by_tag_sql": avg_tweet_length_by_tag_sql,
     "tag_sentiment_sql": tag_sentiment_sql,
     "day_word_counts_sql": day_word_counts_sql,
+    "day_tweet_count_stored": day_tweet_count_stored,
+    "day_word_counts_stored": day_word_counts_stored,
+    "day_tag_matches_indexed": day_tag_matches_indexed,
+    "popular_account_tags_stream": popular_account_tags_stream,
+    "user_engagement_bucketed": user_engagement_bucketed,
+    "tweet_metrics_by_user_bucketed": tweet_metrics_by_user_bucketed,
     "feed_fields": feed_fields,
     "json_to_parquet_discovered": json_to_parquet_discovered,
     "stream_rotate": stream_rotate,

@@ -99,6 +99,22 @@ def stream_posts(spark: SparkSession, sf_dir: str, *fields: str) -> DataFrame:
     return docs.select(data.alias("data"), day.alias("day"))
 
 
+def long_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Patterns for each day: three to five first letters, or whole words, of one text in three."""
+    docs = table(spark, sf_dir, "documents").where("doc_id % 3 = 0")
+    day = F.get(F.array(*[F.lit(name) for name in DAYS]), (F.col("doc_id") % 5).cast("int"))
+    words = docs.select(day.alias("day"), F.explode(F.split("text", " ")).alias("word"))
+    length = F.length("word") % 3 + 3
+    exact = F.length("word") % 2 == 0
+    start = F.substring(F.col("word"), F.lit(1), length)
+    return (
+        words.where(F.length("word") >= 6)
+        .select("day", F.when(exact, F.col("word")).otherwise(start).alias("pattern"),
+                exact.alias("exact"))
+        .distinct()
+    )
+
+
 def search_pages(spark: SparkSession, sf_dir: str, *fields: str) -> DataFrame:
     """``lineitem`` as search pages of two posts: an order post and a delivery post."""
     lines = table(spark, sf_dir, "lineitem")

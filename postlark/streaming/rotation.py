@@ -19,7 +19,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.window import Window
 
-from postlark.session import discard, exists, folders, remove, stored
+from postlark.session import discard, folders, stored
+from postlark.streaming.commits import BatchTable
 from postlark.streaming.landing import RECORDS_PER_FILE
 
 _OPEN = "number BIGINT, value STRING"
@@ -43,31 +44,17 @@ class Rotation:
             raise ValueError("a file has at least one line, and the first not more than others")
         self.spark = spark
         self.target = target
-        self.state = f"{checkpoint.rstrip('/')}/rotation"
+        # The waiting lines, and a row without text that has the number of the last line.
+        self.open = BatchTable(spark, f"{checkpoint.rstrip('/')}/rotation", _OPEN)
         self.lines_per_file = lines_per_file
         self.skipped = lines_per_file - (first_file_lines or lines_per_file)
 
     def _file(self, number: Column) -> Column:
         return F.call_function("div", number - 1 + self.skipped, F.lit(self.lines_per_file))
 
-    def _table(self, batch: int) -> str:
-        return f"{self.state}/batch={batch}"
-
-    def committed(self) -> int | None:
-        """The last batch that has landed."""
-        ids = [int(name.partition("=")[2]) for name in folders(self.spark, self.state)]
-        whole = [i for i in ids if exists(self.spark, f"{self._table(i)}/_SUCCESS")]
-        return max(whole, default=None)
-
-    def _open(self, batch: int | None) -> DataFrame:
-        """The waiting lines, and a row without text that has the number of the last line."""
-        if batch is None:
-            return self.spark.sql("SELECT 0L AS number, CAST(NULL AS STRING) AS value")
-        return self.spark.read.schema(_OPEN).parquet(self._table(batch))
-
     def open_lines(self) -> DataFrame:
         """``number``, ``value`` of the lines that wait for their file to fill."""
-        return self._open(self.committed()).where("value IS NOT NULL")
+        return self.open.read().where("value IS NOT NULL")
 
     def files(self) -> DataFrame:
         """``file``, ``value`` of the lines in full files."""
@@ -78,11 +65,10 @@ class Rotation:
 
     def add(self, lines: DataFrame, batch: int) -> None:
         """Land the lines in ``value`` of one batch."""
-        before = self.committed()
-        if before is not None and batch <= before:
+        if self.open.done(batch):
             return
-        waiting = self._open(before)
-        last = waiting.agg(F.max("number")).first()[0]
+        waiting = self.open.read()
+        last = waiting.agg(F.max("number")).first()[0] or 0
         new = stored(
             lines.where(F.col("value").isNotNull()).select(
                 "value", F.monotonically_increasing_id().alias("id")
@@ -107,9 +93,7 @@ class Rotation:
         self._write(placed.where(F.col("file") < full))
         left = placed.where(F.col("file") >= full).select("number", "value")
         end = self.spark.createDataFrame([(last, None)], T._parse_datatype_string(_OPEN))
-        left.unionByName(end).write.mode("overwrite").parquet(self._table(batch))
-        if before is not None:
-            remove(self.spark, self._table(before))
+        self.open.replace(left.unionByName(end), batch)
         discard(new)
 
     def _write(self, placed: DataFrame) -> None:

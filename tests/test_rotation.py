@@ -61,7 +61,7 @@ def test_repeated_batch_lands_once(spark, tmp_path):
     rotation.add(feed(spark, 0, 25), 0)
     rotation.add(feed(spark, 0, 25), 0)
     assert every_line(rotation) == list(range(25))
-    assert rotation.committed() == 0
+    assert rotation.open.committed() == 0
 
 
 def test_killed_batch_lands_once(spark, tmp_path, monkeypatch):
@@ -81,7 +81,7 @@ def test_killed_batch_lands_once(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(Rotation, "_write", dies)
     with pytest.raises(Exception, match="killed"):
         rotate(feed_stream(spark, str(source)), rotation, checkpoint).awaitTermination()
-    assert rotation.committed() == 0
+    assert rotation.open.committed() == 0
     monkeypatch.setattr(Rotation, "_write", write)
     rotate(feed_stream(spark, str(source)), rotation, checkpoint).awaitTermination()
     assert sizes(rotation) == {0: 10, 1: 10, 2: 10, 3: 10}
@@ -99,7 +99,7 @@ def test_state_does_not_grow(spark, tmp_path):
         add_file(source, f"f{n}", n * 7, n * 7 + 7)
         stream = feed_stream(spark, str(source), archive=str(archive))
         rotate(stream, rotation, checkpoint).awaitTermination()
-        assert len(folders(spark, rotation.state)) == 1
+        assert len(folders(spark, rotation.open.folder)) == 1
         assert rotation.open_lines().count() < 5
     assert every_line(rotation) == list(range(28))
     assert len(list(source.iterdir())) < 4
