@@ -1,0 +1,200 @@
+"""States that are stored and merged: sums by day, leading posts, bucket counts, dealt tables."""
+
+import random
+
+import pytest
+from helpers import plan, post, rows, stream
+from pyspark.sql import functions as F
+
+from postlark.functions import sql
+from postlark.functions.text import content_word_count, rating_words, words
+from postlark.operators import engagement, heavy, tags, weekday
+from postlark.session import folders
+from postlark.sources import bucketed
+from postlark.sources.day_store import DayStore
+from postlark.streaming import top_k
+from postlark.streaming.commits import BatchTable
+
+TEXTS = ["a b a", "", "  ", None, "b\nc d", "x " * 3]
+
+
+def captures(spark):
+    rng = random.Random(2)
+    days = {}
+    for day in ("mon", "tue", "wed"):
+        posts = [post(str(n), text=rng.choice(TEXTS)) for n in range(20)]
+        days[day] = stream(spark, posts)
+    return days
+
+
+def together(days):
+    every = [posts.withColumn("day", F.lit(day)) for day, posts in days.items()]
+    out = every[0]
+    for other in every[1:]:
+        out = out.unionByName(other)
+    return out
+
+
+def test_replaced_day_gives_what_a_new_start_gives(spark, tmp_path):
+    days = captures(spark)
+    read = []
+
+    def summarise(posts):
+        read.append(1)
+        return weekday.word_states(posts)
+
+    store = DayStore(spark, str(tmp_path / "store"), summarise)
+    assert store.read() is None
+    for day, posts in days.items():
+        store.put(day, posts)
+    days["tue"] = stream(spark, [post("1", text="new text"), post("2", text=None)])
+    store.put("tue", days["tue"])
+    # Only the new capture is summed up.
+    assert len(read) == 4
+    scratch = together(days)
+    assert sorted(rows(weekday.post_count_of(store.read()))) == sorted(
+        rows(weekday.day_post_count(scratch))
+    )
+    assert rows(weekday.word_counts_of(store.read())) == rows(weekday.day_word_counts(scratch))
+    assert len(folders(spark, f"{store.root}/days")) == 3
+    assert len(folders(spark, store.manifest.folder)) == 1
+
+
+def test_failed_writer_changes_no_day(spark, tmp_path, monkeypatch):
+    days = captures(spark)
+    store = DayStore(spark, str(tmp_path / "store"), weekday.word_states)
+    store.put("mon", days["mon"])
+    before = rows(weekday.word_counts_of(store.read()))
+    with monkeypatch.context() as m:
+        m.setattr(BatchTable, "replace", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            store.put("mon", days["tue"])
+    assert rows(weekday.word_counts_of(store.read())) == before
+    assert store.clean() == 1 and store.clean() == 0
+    with pytest.raises(ValueError, match="day"):
+        store.put(None, days["tue"])
+
+
+def test_several_captures_of_a_day_add_up(spark):
+    days = captures(spark)
+    one, two = (p.withColumn("day", F.lit("mon")) for p in (days["mon"], days["tue"]))
+    parts = weekday.word_states(one).unionByName(weekday.word_states(two))
+    merged = weekday.word_counts_of(weekday.merged_states(parts))
+    assert rows(merged) == rows(weekday.day_word_counts(one.unionByName(two)))
+
+
+def liked(n, seed=1):
+    rng = random.Random(seed)
+    return [
+        post(str(i), author=f"a{rng.randrange(9)}", metrics=(rng.randrange(6), 0, 0, 0),
+             lang=rng.choice(["en", "en", "fr"]))
+        for i in range(n)
+    ]
+
+
+@pytest.mark.parametrize("parts", [1, 2, 7])
+def test_running_top_equals_the_batch_top(spark, tmp_path, parts):
+    posts = liked(60)
+    top = top_k.RunningTop(spark, str(tmp_path / "top"), top_n=11)
+    assert rows(top.posts()) == []
+    for n in range(parts):
+        top.add(stream(spark, posts[n::parts]), n)
+        top.add(stream(spark, liked(30, seed=n + 50)), n)  # a repeated batch does nothing
+    expected = tags.leading_posts(stream(spark, posts), top_n=11)
+    assert sorted(rows(top.posts())) == sorted(rows(expected))
+    assert len(folders(spark, top.table.folder)) == 1
+
+
+def test_tops_of_files_merge(spark):
+    posts = liked(50)
+    parts = [tags.leading_posts(stream(spark, posts[n::3]), top_n=8) for n in range(3)]
+    merged = top_k.merged_top(parts, 8)
+    assert rows(merged) == rows(tags.leading_posts(stream(spark, posts), top_n=8))
+
+
+@pytest.mark.parametrize("buckets", [1, 7, 1 << 20])
+@pytest.mark.parametrize("min_count", [0, 3, 10_000])
+def test_frequent_values_are_exact(spark, buckets, min_count):
+    values = spark.range(3000).selectExpr(
+        "CASE WHEN id % 100 = 0 THEN NULL WHEN id % 3 = 0 THEN 'hot' ELSE CAST(id % 211 AS STRING) END v"
+    )
+    expected = values.groupBy("v").count().where(F.col("count") > min_count)
+    found = heavy.frequent_values(values, "v", min_count, buckets=buckets)
+    assert sorted(rows(found), key=str) == sorted(rows(expected), key=str)
+    parts = [heavy.bucket_counts(values.where(test), "v", buckets) for test in ("v > '1'", "NOT v > '1' OR v IS NULL")]
+    merged = heavy.merged_buckets(*parts)
+    assert sorted(rows(merged)) == sorted(rows(heavy.bucket_counts(values, "v", buckets)))
+    again = heavy.frequent_values(values, "v", min_count, merged, buckets)
+    assert sorted(rows(again), key=str) == sorted(rows(expected), key=str)
+
+
+def test_bucketed_tables_are_not_moved(spark, tmp_path):
+    names = ["bucketed_profiles", "bucketed_pages"]
+    profiles = spark.range(50).selectExpr(
+        "CONCAT('n', id) AS name", "CAST(id AS STRING) AS username", "1.0D AS Followers_Millions"
+    )
+    pages = spark.range(500).selectExpr(
+        "CAST(id % 60 AS STRING) AS username",
+        "array(named_struct('public_metrics', named_struct('like_count', id, 'quote_count', 1L, "
+        "'reply_count', 2L, 'retweet_count', 3L))) AS data",
+    )
+    expected = sorted(rows(engagement.user_engagement(profiles, pages)))
+    metrics = sorted(rows(engagement.post_metrics_by_user(profiles, pages)))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        tables = [
+            bucketed.write_bucketed(df, name, str(tmp_path / name), "username", 4)
+            for df, name in zip((profiles, pages), names, strict=True)
+        ]
+        joined = engagement.post_metrics_by_user(*tables)
+        assert sorted(rows(joined)) == metrics
+        assert "Exchange" not in plan(joined)
+        totals = engagement.user_engagement(*tables)
+        assert sorted(rows(totals)) == expected
+        # What moves is one row an account, after the sums and the join.
+        final = plan(totals).split("== Initial Plan ==")[0]
+        assert final.count("Exchange hashpartitioning") == 1
+        assert "Exchange hashpartitioning(Name" in final
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        for name in names:
+            bucketed.drop(spark, name)
+
+
+def test_sql_functions_equal_the_columns(spark):
+    sql.register(spark)
+    frame = spark.createDataFrame([(t,) for t in [*TEXTS, "A @b #c d!? e|f", " x"]], "text STRING")
+    pairs = (
+        ("content_words(text)", content_word_count(F.col("text"))),
+        ("rating_words(text)", rating_words(F.col("text"))),
+        ("post_words(text)", words(F.col("text"))),
+    )
+    for query, column in pairs:
+        assert rows(frame.selectExpr(query)) == rows(frame.select(column))
+    split = spark.sql("SELECT word FROM {frame}, LATERAL words_of(text)", frame=frame)
+    assert sorted(rows(split)) == sorted(
+        rows(frame.where("text IS NOT NULL").select(F.explode(words(F.col("text"), " "))))
+    )
+    assert "Python" not in plan(split)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_indexed_patterns_equal_single_tests(spark, seed):
+    rng = random.Random(seed)
+    letters = "abé"
+    texts = [" ".join("".join(rng.choice(letters) for _ in range(rng.randint(0, 5))) for _ in range(6))
+             for _ in range(40)]
+    posts = together({day: stream(spark, [post(text=t) for t in texts[n::2]])
+                      for n, day in enumerate(("mon", "tue"))})
+    listed = {}
+    for day in ("mon", "tue"):
+        made = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 4))) for _ in range(8)]
+        listed[day] = (made[:4], made[4:])
+    table = spark.createDataFrame(
+        [(day, p, exact) for day, own in listed.items() for exact, ps in enumerate(own) for p in ps]
+        + [("mon", None, 0), (None, "a", 1), ("wed", "a", 0)],
+        "day STRING, pattern STRING, exact INT",
+    ).withColumn("exact", F.col("exact") == 1)
+    assert rows(weekday.day_tag_matches_indexed(posts, table)) == rows(
+        weekday.day_tag_matches(posts, listed)
+    )
