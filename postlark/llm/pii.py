@@ -19,7 +19,9 @@ all of them:
 The same patterns run on what the transducers return. A span that they add is not within a base span
 of its kind; base spans stay as they are.
 
-Patterns are searched in time linear in the text, however long its runs are. Texts are taken whole.
+Patterns are searched in time linear in the text, however long its runs are. Texts are taken whole. Arrow
+first marks, for all texts of a batch at once, which searches cannot find anything in which text; its
+patterns let pass whatever the searches may find.
 
 Edge cases: a null or empty text has no spans, an empty string of them, and the hash of that string.
 Equal rows have equal spans. A null id is passed on, other columns are ignored, an empty table gives
@@ -33,10 +35,12 @@ import re
 import sys
 import unicodedata
 from bisect import bisect_right
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 from functools import cache
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 KINDS = ("email", "ip", "card", "phone")
@@ -113,14 +117,12 @@ def _phones(text: str) -> list[Span]:
     return out
 
 
-def plain_spans(text: str) -> Spans:
-    """Spans of each kind, as code points."""
-    return {
-        "email": _emails(text),
-        "ip": _addresses(text),
-        "card": _cards(text),
-        "phone": _phones(text),
-    }
+_SEARCHES = {"email": _emails, "ip": _addresses, "card": _cards, "phone": _phones}
+
+
+def plain_spans(text: str, kinds: Collection[str] = KINDS) -> Spans:
+    """Spans of each kind, as code points; none of kinds that are not asked for."""
+    return {kind: _SEARCHES[kind](text) if kind in kinds else [] for kind in KINDS}
 
 
 class Rewritten:
@@ -411,11 +413,20 @@ def _whole_word(text: str, span: Span) -> bool:
     )
 
 
-def added_spans(text: str, base: Spans) -> Spans:
-    """Spans that only the transducers show."""
-    first = plain_characters(text)
+def added_spans(text: str, base: Spans, searches: Collection[str] | None = None) -> Spans:
+    """Spans that only the transducers show.
+
+    ``searches`` are those of ``SEARCHES`` that may find something in the text as it is; a text
+    whose characters are rewritten is searched for everything.
+    """
+    known = SEARCHES if searches is None else searches
+    first = plain_characters(text) if "characters" in known else None
     plain = first.text if first else text
-    found = [*_number_spans(plain), *_email_spans(plain)]
+    found = []
+    if first or "numbers" in known:
+        found += _number_spans(plain)
+    if first or "addresses" in known:
+        found += _email_spans(plain)
     if first:
         found += [
             (kind, span)
@@ -433,10 +444,65 @@ def added_spans(text: str, base: Spans) -> Spans:
     return out
 
 
-def all_spans(text: str | None) -> tuple[Spans, Spans]:
+# Patterns for Arrow, without look-around: each finds something wherever its search does.
+_ANY_TOKEN = rf"(?:{_BRACKETED_DOT}|{_WORD}|[0-9]+|[+.()])"
+_ANY_WORD = rf"(?:{_BRACKETED_DOT}|(?:^|[^A-Za-z])(?:{_WORD}))"
+_BETWEEN = r"[ ,\-]{0,2}"
+_ANY_DOT = (
+    rf"(?:[ \t]{{0,3}}(?:{_BRACKETED_DOT}|&#46;|&period;)[ \t]{{0,3}}"
+    rf"|[ \t_]{{1,3}}(?:{_DOT}|\.)[ \t_]{{1,3}}|\.)"
+)
+
+
+def _ranges(characters: Collection[str]) -> str:
+    """A character class of Arrow's patterns."""
+    codes = sorted(map(ord, characters))
+    starts = [c for i, c in enumerate(codes) if not i or codes[i - 1] != c - 1]
+    ends = [c for i, c in enumerate(codes) if i + 1 == len(codes) or codes[i + 1] != c + 1]
+    pairs = zip(starts, ends, strict=True)
+    return "[" + "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in pairs) + "]"
+
+
+@cache
+def _marks() -> dict[str, str]:
+    return {
+        "email": "@",
+        "ip": r"[0-9]\.[0-9]+\.[0-9]+\.[0-9]",
+        "card": r"[0-9](?:[ \-]?[0-9]){12}",
+        "phone": r"\+[0-9][ ().0-9\-]",
+        "characters": _ranges(_characters()[0]),
+        "numbers": (
+            rf"(?i){_ANY_WORD}{_BETWEEN}{_ANY_TOKEN}{_BETWEEN}{_ANY_TOKEN}"
+            rf"|{_ANY_TOKEN}{_BETWEEN}{_ANY_WORD}{_BETWEEN}{_ANY_TOKEN}"
+            rf"|{_ANY_TOKEN}{_BETWEEN}{_ANY_TOKEN}{_BETWEEN}{_ANY_WORD}"
+        ),
+        "addresses": (
+            r"(?i)@|&#64;|&#x40;|&commat;|%40|(?:^|[^A-Za-z0-9])(?:at|arroba)"
+            rf"[ \t_\])}}>]{{1,8}}[A-Za-z0-9\-]+{_ANY_DOT}[A-Za-z0-9\-]"
+        ),
+    }
+
+
+SEARCHES = (*KINDS, "characters", "numbers", "addresses")
+
+
+def marked(texts: pa.Array) -> list[tuple[str, ...]]:
+    """The searches that may find something in each text."""
+    found = [
+        pc.fill_null(pc.match_substring_regex(texts, _marks()[name]), False).to_numpy(False)
+        for name in SEARCHES
+    ]
+    out: list[tuple[str, ...]] = [()] * len(texts)
+    every = np.array(found, dtype=bool)
+    for row in np.flatnonzero(every.any(axis=0)).tolist():
+        out[row] = tuple(name for name, own in zip(SEARCHES, every[:, row], strict=True) if own)
+    return out
+
+
+def all_spans(text: str | None, searches: Collection[str] = SEARCHES) -> tuple[Spans, Spans]:
     """Base and added spans of a text."""
-    base = plain_spans(text or "")
-    return base, added_spans(text or "", base)
+    base = plain_spans(text or "", searches)
+    return base, added_spans(text or "", base, searches)
 
 
 def written(spans: Spans) -> str:
@@ -459,7 +525,11 @@ def personal_data(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             # A text at a time, as Python strings take several times the room of Arrow ones.
-            rows = [_row(text.as_py()) for text in batch.column(1)]
+            texts = batch.column(1)
+            rows = [
+                _row(text.as_py(), searches) if searches else _NONE
+                for text, searches in zip(texts, marked(texts), strict=True)
+            ]
             columns = zip(*rows, strict=True) if rows else [[]] * (len(KINDS) + 3)
             kinds = [*[pa.int64()] * len(KINDS), pa.string(), pa.string(), pa.int64()]
             arrays = [pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)]
@@ -472,8 +542,8 @@ def personal_data(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, f"doc_id {kind}, {_RESULT}")
 
 
-def _row(text: str | None) -> tuple:
-    base, added = all_spans(text)
+def _row(text: str | None, searches: Collection[str] = SEARCHES) -> tuple:
+    base, added = all_spans(text, searches)
     every = {kind: base[kind] + added[kind] for kind in KINDS}
     return (
         *[len(base[kind]) for kind in KINDS],
@@ -481,3 +551,6 @@ def _row(text: str | None) -> tuple:
         written(every),
         sum(map(len, added.values())),
     )
+
+
+_NONE = _row("")

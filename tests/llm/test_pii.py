@@ -5,6 +5,7 @@ import random
 import re
 import time
 
+import pyarrow as pa
 import pytest
 from corpus import collected, documents, empty, odd_documents, odd_rows, with_clashes
 from hypothesis import given, settings
@@ -60,6 +61,23 @@ def test_base_spans_of_numbers():
         assert pii.plain_spans(text) == stated(text), text
 
 
+@settings(max_examples=600, deadline=None)
+@given(
+    st.lists(
+        st.sampled_from(
+            "one two zéro ONE dot DOT (dot) [.] at AT (at) @ arroba _at_ _dot_ 1 12 255 a b.c com + plus "
+            "double &#64; &#46; . , - é ß х １ ( ) x_".split()
+            + [" ", "  ", "\t", "\n", ", "]
+        ),
+        max_size=14,
+    ).map("".join)
+)
+def test_marks_let_pass_what_is_found(text):
+    base, added = pii.all_spans(text)
+    (searches,) = pii.marked(pa.array([text]))
+    assert pii.all_spans(text, searches) == (base, added)
+
+
 WORDS = "zero one two three four five six seven eight nine".split()
 GERMAN = "null eins zwei drei vier fünf sechs sieben acht neun".split()
 
@@ -115,6 +133,7 @@ def test_disguises_are_found_at_their_place():
         text = f"{before}: {own}{after}"
         base, added = pii.all_spans(text)
         assert base == stated(text)
+        assert pii.all_spans(text, pii.marked(pa.array([text]))[0]) == (base, added)
         start = len(before) + 2
         assert (start, start + len(own)) in added[kind], (text, added)
         assert sum(map(len, added.values())) == 1, (text, added)
