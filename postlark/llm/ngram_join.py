@@ -1,32 +1,35 @@
 """Documents linked by the Jaccard similarity of their five-word shingles, exactly.
 
-A token-group matrix: similar documents are put in groups, and of each group the union of its
-tokens (shingle hashes) is kept. A document that is similar to a member shares at least a known
-number of tokens with the group's union, so only groups that reach this number are opened and
-compared member by member.
+A token-group matrix: similar documents are put in groups, and a group is known by the union of its
+tokens (shingle hashes). A document that is similar to a member shares at least a known number of
+tokens with the group's union, so only groups that reach this number are opened and compared member
+by member.
 
 1. Documents with equal shingle sets make one class; its smallest id stands for it.
 2. Classes that agree in a pair of minimum hashes, out of eight pairs, are compared with the
-   smallest class that agrees with them. The similar ones are linked, and what is connected so is
-   cut into groups of bounded size. A large family of near copies costs one comparison for each
-   member here, and its members need no further comparison with each other.
-3. Links between families: by the pigeonhole principle two similar sets share a token among the
-   first n - ceil(0.75 n) + 1 tokens of each, in any one order of all tokens. The order puts rare
-   tokens first, by counts of all tokens in a table of fixed size. Tokens of those prefixes that
-   two families have are the matrix's columns; a class becomes a query for each group of another
-   family with which it shares one.
-   A query that asks a large family is first compared with a few members of it; one link is enough
-   to join it to the family, and spares the rest.
-4. A group qualifies if the query shares at least ceil(0.75 n) tokens with its union. The members
-   of qualifying groups are compared with the query exactly.
+   smallest class that agrees with them. The similar ones are linked: they are a family. Whether
+   linked or not, classes connected by such agreement are cut into groups of about ``GROUP_TOKENS``
+   tokens; a class that agrees with no other is a group of its own.
+3. The matrix: by the pigeonhole principle two similar sets share a token among the first
+   n - ceil(0.75 n) + 1 tokens of each, in any one order of all tokens. The order puts rare tokens
+   first, by counts of all tokens in a table of fixed size. Of each group and prefix token one row
+   is kept. Two groups with a token in common are a pair, unless all their members with that token
+   are of one family, their sizes differ too much, or too few tokens follow in either set.
+4. A pair of groups is one unit of work: all sets of both meet in one task, once. Members that do
+   not share enough tokens with the union of the other group are left out, the overlaps of the rest
+   come from one product of matrices over the tokens that both groups have, and as many links as
+   connect the families leave the task.
 5. All links together give the connected components.
 
-Counts, bitmaps and minimum hashes only steer the search; every link is found, and none is taken
-without the exact comparison of both sets. Tokens are 64-bit hashes of the words.
+Counts, bitmaps and minimum hashes only steer the search; every two documents that are similar are
+connected by links, and none is taken without the exact comparison of both sets. Tokens are 64-bit
+hashes of the words.
 
-Scale: no step lists the pairs of a family. What is broadcast has a fixed size: the table of token
-counts and the bitmaps, of ids and of tokens, that keep texts and tokens without a partner out of
-the shuffles. Unions have at most about ``GROUP_SIZE`` members.
+Scale: copies of one text are one family after step 2 and cause no pairs. Copies that hardly reach
+each other make pairs of groups, of which there are some ten thousand times fewer than pairs of
+texts of a few hundred words. What is broadcast has a fixed size: the table of token counts and the
+bitmaps, of ids and of tokens, that keep texts and tokens without a partner out of the shuffles.
+Python tasks take texts a few megabytes at a time.
 
 Edge cases: a null or empty text, or one without words, has no shingles and is linked with nothing.
 A text of fewer than five words has one shingle, all its words. Rows with the same id are one
@@ -41,21 +44,21 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postlark.llm import sieve, words
 from postlark.llm.graph import components
+from postlark.llm.rows import small_batches
 from postlark.session import discard, stored
 
 SHINGLE = 5
 PERCENT = 75
 BANDS = 8
-GROUP_SIZE = 32
+GROUP_TOKENS = 1 << 16
 COUNT_BITS = 22
-# Families of this many groups are first tried with a few members.
-LARGE_FAMILY = 4
-TRIES = 16
+# Numbers in a matrix of a pair of groups, of which the columns are taken in parts.
+MATRIX = 1 << 21
 
 _MULTIPLIERS = words.mix(np.arange(1, 2 * BANDS + 1, dtype=np.uint64)) | np.uint64(1)
 
@@ -86,6 +89,13 @@ def shingle_sets(texts: pa.Array, k: int = SHINGLE) -> Iterator[np.ndarray]:
             yield np.unique(found[a:b])
 
 
+def _few(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of (id, text) a few megabytes of text at a time."""
+    for batch in batches:
+        for first, _, offsets in words.chunks(batch.column(1)):
+            yield batch.slice(first, len(offsets) - 1)
+
+
 def similar(a: np.ndarray, b: np.ndarray) -> bool:
     shared = _shared(a, b)
     return 100 * shared >= PERCENT * (len(a) + len(b) - shared) and shared > 0
@@ -125,7 +135,7 @@ def described(docs: DataFrame, count_bits: int = COUNT_BITS) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells = np.zeros(1 << count_bits, dtype=np.uint32)
         shift = np.uint64(64 - count_bits)
-        for batch in batches:
+        for batch in _few(batches):
             sizes, sigs, bands, every = [], [], [], [np.empty(0, dtype=np.uint64)]
             for tokens in shingle_sets(batch.column(1)):
                 sizes.append(len(tokens))
@@ -188,22 +198,31 @@ def prefix(tokens: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 def prefix_tokens(docs: DataFrame, counts, bitmap=None) -> DataFrame:
-    """``doc_id`` and ``token`` of every prefix, or of those tokens that a bitmap lets pass."""
+    """``doc_id``, ``token`` and ``follow`` of every prefix, or of tokens that a bitmap lets pass.
+
+    ``follow`` is the number of tokens of the set from this one on.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            picked = [prefix(tokens, counts.value) for tokens in shingle_sets(batch.column(1))]
+        none = np.empty(0, dtype=np.uint64)
+        for batch in _few(batches):
+            sets = list(shingle_sets(batch.column(1)))
+            picked = [prefix(tokens, counts.value) for tokens in sets]
             sizes = [len(tokens) for tokens in picked]
-            tokens = np.concatenate([np.empty(0, dtype=np.uint64), *picked]).view(np.int64)
+            follow = [len(a) - np.arange(len(b)) for a, b in zip(sets, picked, strict=True)]
+            follow = np.concatenate([np.empty(0, dtype=np.int64), *follow])
+            tokens = np.concatenate([none, *picked]).view(np.int64)
             at = np.repeat(np.arange(len(sizes)), sizes)
             if bitmap is not None:
                 passed = sieve.passes(tokens, bitmap.value)
-                tokens, at = tokens[passed], at[passed]
+                tokens, at, follow = tokens[passed], at[passed], follow[passed]
             ids = batch.column(0).take(pa.array(at))
-            yield pa.RecordBatch.from_arrays([ids, pa.array(tokens)], names=["doc_id", "token"])
+            yield pa.RecordBatch.from_arrays(
+                [ids, pa.array(tokens), pa.array(follow)], names=["doc_id", "token", "follow"]
+            )
 
     texts = docs.select(F.col("doc_id").cast("bigint"), "text").where("doc_id IS NOT NULL")
-    return texts.mapInArrow(run, "doc_id bigint, token bigint")
+    return texts.mapInArrow(run, "doc_id bigint, token bigint, follow bigint")
 
 
 def sets_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -214,7 +233,7 @@ def sets_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
     bitmap = docs.sparkSession.sparkContext.broadcast(sieve.sieve(ids))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _few(batches):
             passed = sieve.passes(batch.column(0).to_numpy(), bitmap.value)
             batch = batch.filter(pa.array(passed))
             packed = [tokens.tobytes() for tokens in shingle_sets(batch.column(1))]
@@ -254,8 +273,8 @@ def _near_in_size(a: str, b: str) -> Column:
     return (100 * F.col(a) >= PERCENT * F.col(b)) & (100 * F.col(b) >= PERCENT * F.col(a))
 
 
-def family_links(docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Links of classes with the smallest class that has the same key in some band."""
+def agreeing(classes: DataFrame) -> DataFrame:
+    """Pairs ``a``-``b`` of classes with the smallest class that has the same key in some band."""
     keys = classes.select(
         F.col("rep").alias("a"), "n_shingles", F.posexplode("bands").alias("band", "key")
     )
@@ -270,9 +289,15 @@ def family_links(docs: DataFrame, classes: DataFrame) -> DataFrame:
     pairs = keys.join(leaders, ["band", "key"]).where("a <> b")
     pairs = pairs.where(_near_in_size("n_shingles", "_n")).select("a", "b").distinct()
     pairs = stored(pairs, "band-pairs")
+    discard(leaders)
+    return pairs
+
+
+def family_links(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs that are similar."""
     sets = sets_of(docs, _ids(pairs, "a", "b"))
     links = stored(_compared(pairs, sets, sets, similar), "family-links")
-    discard(leaders, pairs, sets)
+    discard(sets)
     return links
 
 
@@ -284,31 +309,34 @@ def _ids(df: DataFrame, *names: str) -> DataFrame:
     return out.distinct()
 
 
-def grouped(classes: DataFrame, families: DataFrame) -> DataFrame:
-    """``rep``, its size, its family, and its group: families cut to about ``GROUP_SIZE``.
-
-    ``parts`` is the number of groups of the family.
-    """
-    sizes = families.groupBy("component").count()
-    sized = families.join(sizes, "component")
-    parts = F.ceil(F.col("count") / GROUP_SIZE)
-    group = F.xxhash64("component", F.pmod(F.xxhash64("node"), parts))
-    placed = sized.select(
-        F.col("node").alias("rep"), "component", group.alias("grp"), parts.alias("_parts")
-    )
-    return classes.select("rep", "n_shingles").join(placed, "rep", "left").select(
-        "rep",
-        "n_shingles",
-        F.coalesce("component", "rep").alias("family"),
-        F.coalesce("grp", F.xxhash64("rep", F.lit(0))).alias("grp"),
-        F.coalesce("_parts", F.lit(1).cast("bigint")).alias("parts"),
+def grouped(classes: DataFrame, families: DataFrame, clusters: DataFrame) -> DataFrame:
+    """``rep``, its size, its family, and its group: clusters cut to about ``GROUP_TOKENS``."""
+    sized = clusters.join(
+        classes.select(F.col("rep").alias("node"), "n_shingles"), "node"
+    ).withColumnRenamed("component", "cluster")
+    totals = sized.groupBy("cluster").agg(F.sum("n_shingles").alias("tokens"))
+    parts = F.ceil(F.col("tokens") / GROUP_TOKENS)
+    group = F.xxhash64("cluster", F.pmod(F.xxhash64("node"), parts))
+    placed = sized.join(totals, "cluster").select(F.col("node").alias("rep"), group.alias("grp"))
+    known = families.select(F.col("node").alias("rep"), F.col("component").alias("family"))
+    return (
+        classes.select("rep", "n_shingles")
+        .join(placed, "rep", "left")
+        .join(known, "rep", "left")
+        .select(
+            "rep",
+            "n_shingles",
+            F.coalesce("family", "rep").alias("family"),
+            F.coalesce("grp", F.xxhash64("rep", F.lit(0))).alias("grp"),
+        )
     )
 
 
-def candidates(docs: DataFrame, rows: DataFrame, groups: DataFrame) -> DataFrame:
-    """``a``, a class, and ``grp``, a group of a smaller family that shares a prefix token.
+def token_matrix(docs: DataFrame, rows: DataFrame, groups: DataFrame) -> DataFrame:
+    """One row for each group and prefix token that two families have.
 
-    ``other`` is that family and ``parts`` the number of its groups.
+    It has the least and most of the families and sizes of the members with the token, and of the
+    tokens that follow it.
     """
     context = docs.sparkSession.sparkContext
     counts = context.broadcast(token_counts(rows))
@@ -316,118 +344,166 @@ def candidates(docs: DataFrame, rows: DataFrame, groups: DataFrame) -> DataFrame
     repeated = stored(repeated.select("token"), "repeated-tokens")
     bitmap = context.broadcast(sieve.sieve(repeated))
     own = prefix_tokens(docs, counts, bitmap).withColumnRenamed("doc_id", "rep")
-    own = stored(own.join(groups, "rep"), "prefix-tokens")
-    discard(repeated)
-    between = stored(
-        own.groupBy("token")
-        .agg(F.min("family").alias("_first"), F.max("family").alias("_last"))
-        .where("_first <> _last")
-        .select("token"),
-        "family-tokens",
+    matrix = stored(
+        own.join(groups, "rep")
+        .groupBy("token", "grp")
+        .agg(
+            F.min("family").alias("first"),
+            F.max("family").alias("last"),
+            F.min("n_shingles").alias("least"),
+            F.max("n_shingles").alias("most"),
+            F.max("follow").alias("follow"),
+        ),
+        "token-groups",
     )
-    matrix = stored(own.join(between, "token"), "token-groups")
-    discard(own, between)
-    columns = matrix.groupBy("token", "grp", "family", "parts").agg(
-        F.min("n_shingles").alias("_least"), F.max("n_shingles").alias("_most")
+    between = matrix.groupBy("token").agg(F.min("first").alias("_a"), F.max("last").alias("_b"))
+    between = stored(between.where("_a <> _b").select("token"), "family-tokens")
+    out = stored(matrix.join(between, "token"), "token-matrix")
+    discard(repeated, matrix, between)
+    return out
+
+
+def group_pairs(matrix: DataFrame) -> DataFrame:
+    """Pairs ``a`` <= ``b`` of groups that may have similar members of two families."""
+    other = matrix.select("token", *[F.col(n).alias(f"_{n}") for n in matrix.columns[1:]])
+    families = (F.col("first") != F.col("last")) | (
+        (F.col("grp") != F.col("_grp"))
+        & ((F.col("_first") != F.col("_last")) | (F.col("first") != F.col("_first")))
     )
-    columns = stored(columns.withColumnRenamed("family", "other"), "token-columns")
-    fits = (100 * F.col("_most") >= PERCENT * F.col("n_shingles")) & (
-        PERCENT * F.col("_least") <= 100 * F.col("n_shingles")
+    sizes = (100 * F.col("most") >= PERCENT * F.col("_least")) & (
+        100 * F.col("_most") >= PERCENT * F.col("least")
     )
-    pairs = matrix.drop("grp", "parts").join(columns, "token").where(
-        (F.col("family") > F.col("other")) & fits
+    # Of two similar sets, so many tokens follow from the first one that they share on, itself
+    # included: their overlap is p / (100 + p) of both sizes.
+    share = F.ceil((F.col("least") + F.col("_least")) * PERCENT / (100 + PERCENT))
+    follow = F.least("follow", "_follow") >= share
+    found = matrix.join(other, "token").where(
+        (F.col("grp") <= F.col("_grp")) & families & sizes & follow
     )
-    asked = pairs.select(F.col("rep").alias("a"), "grp", "other", "parts").distinct()
-    asked = stored(asked, "queries")
-    discard(matrix, columns)
-    return asked
-
+    return found.select(F.col("grp").alias("a"), F.col("_grp").alias("b")).distinct()
+
+
+class Block:
+    """The sets of a group."""
+
+    def __init__(self, members: list[dict]):
+        self.reps = np.array([m["rep"] for m in members], dtype=np.int64)
+        self.families = np.array([m["family"] for m in members], dtype=np.int64)
+        self.sets = [_unpack(m["tokens"]) for m in members]
+        self.sizes = np.array([len(tokens) for tokens in self.sets], dtype=np.int64)
+
+    def places(self, union: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Row and column of every token that is in a sorted union."""
+        rows, columns = [], []
+        for row, tokens in enumerate(self.sets):
+            at = np.searchsorted(union, tokens)
+            at[at == len(union)] = 0
+            at = at[union[at] == tokens] if len(union) else at[:0]
+            rows.append(np.full(len(at), row))
+            columns.append(at)
+        return np.concatenate(rows), np.concatenate(columns)
+
+    def tokens(self) -> np.ndarray:
+        return np.concatenate(self.sets)
+
+
+def _overlaps(n: int, m: int, own, other, width: int) -> np.ndarray:
+    """Shared tokens of every two sets, by products of parts of two matrices of ones."""
+    out = np.zeros((n, m), dtype=np.int64)
+    step = max(MATRIX // max(n, m, 1), 1)
+    for first in range(0, width, step):
+        parts = []
+        for size, (rows, columns) in ((n, own), (m, other)):
+            within = (columns >= first) & (columns < first + step)
+            part = np.zeros((size, min(step, width - first)), dtype=np.float32)
+            part[rows[within], columns[within] - first] = 1
+            parts.append(part)
+        out += (parts[0] @ parts[1].T).astype(np.int64)
+    return out
 
-def tried(docs: DataFrame, groups: DataFrame, asked: DataFrame) -> DataFrame:
-    """Links of queries with a few members of each large family that they ask.
 
-    One link joins the query to the family, and then its other members need not be compared. A
-    near copy of a large family nearly always finds one among ``TRIES`` members.
-    """
-    large = asked.where(F.col("parts") >= LARGE_FAMILY).select("a", "other").distinct()
-    members = groups.where(F.col("parts") >= LARGE_FAMILY)
-    turn = Window.partitionBy("family").orderBy(F.xxhash64("rep", F.lit(1)), "rep")
-    # A few members of each large family, spread over it by the query's hash.
-    numbered = members.withColumn("_at", F.row_number().over(turn) - 1)
-    sizes = members.groupBy(F.col("family").alias("other")).agg(F.count("*").alias("_size"))
-    step = F.explode(F.sequence(F.lit(0), F.lit(TRIES - 1)))
-    picks = large.join(sizes, "other").withColumn("_step", step)
-    at = F.pmod(F.xxhash64("a", "_step"), F.col("_size")).cast("int")
-    picks = picks.select("a", "other", at.alias("_at"))
-    found = numbered.select(F.col("family").alias("other"), "_at", F.col("rep").alias("b"))
-    pairs = stored(picks.join(found, ["other", "_at"]).select("a", "b").distinct(), "tries")
-    sets = sets_of(docs, _ids(pairs, "a", "b"))
-    links = stored(_compared(pairs, sets, sets, similar), "tried-links")
-    discard(pairs, sets)
-    return links
+def block_links(a: Block, b: Block | None) -> list[tuple[int, int]]:
+    """Links that connect the families with similar members in two groups, or within one."""
+    other = a if b is None else b
+    if b is None:
+        union, times = np.unique(a.tokens(), return_counts=True)
+        union = union[times > 1]
+    else:
+        union = np.intersect1d(a.tokens(), b.tokens())
+    own_places, other_places = a.places(union), other.places(union)
+    # Members that share too little with the union of the other group are not compared.
+    kept = [
+        np.flatnonzero(
+            100 * np.bincount(places[0], minlength=len(block.sets)) >= PERCENT * block.sizes
+        )
+        for block, places in ((a, own_places), (other, other_places))
+    ]
+    if not len(kept[0]) or not len(kept[1]):
+        return []
+    parts = []
+    for block, places, stay in ((a, own_places, kept[0]), (other, other_places, kept[1])):
+        row = np.full(len(block.sets), -1)
+        row[stay] = np.arange(len(stay))
+        within = row[places[0]] >= 0
+        parts.append((row[places[0][within]], places[1][within]))
+    shared = _overlaps(len(kept[0]), len(kept[1]), *parts, len(union))
+    sizes = a.sizes[kept[0]][:, None] + other.sizes[kept[1]][None, :]
+    close = (100 * shared >= PERCENT * (sizes - shared)) & (shared > 0)
+    close &= a.families[kept[0]][:, None] != other.families[kept[1]][None, :]
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    out = []
+    for i, j in zip(*(x.tolist() for x in np.nonzero(close)), strict=True):
+        i, j = kept[0][i], kept[1][j]
+        x, y = root(int(a.families[i])), root(int(other.families[j]))
+        if x != y:
+            parent[y] = x
+            out.append((int(a.reps[i]), int(other.reps[j])))
+    return out
 
 
-def shortened(sets: DataFrame) -> DataFrame:
-    """The sets with half of each token's bits, which can only make two sets share more."""
+def cross_links(docs: DataFrame, rows: DataFrame, groups: DataFrame) -> DataFrame:
+    """Links between classes of different families."""
+    matrix = token_matrix(docs, rows, groups)
+    pairs = stored(group_pairs(matrix), "group-pairs")
+    discard(matrix)
+    asked = _ids(pairs, "a", "b").withColumnRenamed("doc_id", "grp")
+    members = stored(groups.join(asked, "grp").select("grp", "rep", "family"), "group-members")
+    sets = sets_of(docs, _ids(members, "rep"))
+    # About ``GROUP_TOKENS`` tokens a group.
+    blocks = stored(
+        members.join(sets.withColumnRenamed("doc_id", "rep"), "rep")
+        .groupBy("grp")
+        .agg(F.collect_list(F.struct("rep", "family", "tokens")).alias("members")),
+        "blocks",
+    )
+    discard(members, sets)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            packed = [_short(_unpack(data.as_py())).tobytes() for data in batch.column(1)]
+            links: list[tuple[int, int]] = []
+            for row in range(batch.num_rows):
+                left, right = (batch.column(i)[row].as_py() for i in (2, 3))
+                same = batch.column(0)[row].as_py() == batch.column(1)[row].as_py()
+                links += block_links(Block(left), None if same else Block(right))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(packed, pa.binary())], names=["doc_id", "tokens"]
+                [pa.array([link[i] for link in links], pa.int64()) for i in (0, 1)],
+                names=["a", "b"],
             )
 
-    return sets.mapInArrow(run, "doc_id bigint, tokens binary")
-
-
-def _short(tokens: np.ndarray) -> np.ndarray:
-    """Sorted, as the top bits of sorted tokens; equal ones stay, so that no set gets smaller."""
-    return (tokens >> np.uint64(32)).astype(np.uint32)
-
-
-def group_unions(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """The union of the shortened tokens of each group, as ``doc_id`` (the group) and ``tokens``."""
-
-    def run(table: pa.Table) -> pa.Table:
-        packed = [np.frombuffer(data, dtype=np.uint32) for data in table["tokens"].to_pylist()]
-        union = np.unique(np.concatenate(packed))
-        return pa.table({"doc_id": table["grp"].slice(0, 1), "tokens": [union.tobytes()]})
-
-    named = members.join(sets.withColumnRenamed("doc_id", "rep"), "rep").select("grp", "tokens")
-    return named.groupBy("grp").applyInArrow(run, "doc_id bigint, tokens binary")
-
-
-def cross_links(docs: DataFrame, rows: DataFrame, groups: DataFrame) -> DataFrame:
-    """Links between classes of different families."""
-    asked = candidates(docs, rows, groups)
-    links = tried(docs, groups, asked)
-    known = links.join(groups.select(F.col("rep").alias("b"), F.col("family").alias("other")), "b")
-    known = stored(known.select("a", "other").distinct(), "tried-families")
-    asked = asked.join(known, ["a", "other"], "left_anti").select("a", "grp")
-    asked = stored(asked, "open-queries")
-    members = stored(
-        groups.join(asked.select("grp").distinct(), "grp").select("grp", "rep", "n_shingles"),
-        "members",
-    )
-    sets = sets_of(docs, _ids(asked, "a").unionByName(_ids(members, "rep")))
-    short = stored(shortened(sets), "short-sets")
-    unions = stored(group_unions(members, short), "unions")
-    opened = _compared(
-        asked.withColumnRenamed("grp", "b"),
-        short,
-        unions,
-        lambda query, union: _shared(query, union, within=True) >= _needed(len(query)),
-        lambda data: np.frombuffer(data, dtype=np.uint32),
-    )
-    opened = stored(opened.withColumnRenamed("b", "grp"), "open-groups")
-    discard(asked, known, short, unions)
-    sizes = groups.select(F.col("rep").alias("a"), F.col("n_shingles").alias("_n"))
-    pairs = opened.join(members.withColumnRenamed("rep", "b"), "grp").join(sizes, "a")
-    pairs = pairs.where(_near_in_size("n_shingles", "_n")).select("a", "b")
-    pairs = stored(pairs, "open-pairs")
-    more = stored(_compared(pairs, sets, sets, similar), "cross-links")
-    discard(opened, pairs, members, sets)
-    return links.unionByName(more)
+    both = pairs.join(blocks.select(F.col("grp").alias("a"), F.col("members").alias("_a")), "a")
+    both = both.join(blocks.select(F.col("grp").alias("b"), F.col("members").alias("_b")), "b")
+    with small_batches(docs.sparkSession, 64):
+        links = stored(
+            both.select("a", "b", "_a", "_b").mapInArrow(run, "a bigint, b bigint"), "cross-links"
+        )
+    discard(pairs, blocks)
+    return links
 
 
 def linked(docs: DataFrame) -> DataFrame:
@@ -446,9 +522,10 @@ def linked(docs: DataFrame) -> DataFrame:
         .agg(F.max_by("bands", "n_shingles").alias("bands"), F.max("n_shingles").alias("n_shingles")),
         "class-rows",
     )
-    family = family_links(docs, classes)
-    families = components(family)
-    groups = stored(grouped(classes, families), "groups")
+    pairs = agreeing(classes)
+    family = family_links(docs, pairs)
+    families, clusters = components(family), components(pairs)
+    groups = stored(grouped(classes, families, clusters), "groups")
     across = cross_links(docs, rows, groups)
     same_id = members.select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     found = components(family.unionByName(across).unionByName(same_id))
@@ -461,7 +538,7 @@ def linked(docs: DataFrame) -> DataFrame:
         ),
         "linked",
     )
-    discard(rows, firsts, members, classes, family, groups)
+    discard(rows, firsts, members, classes, pairs, family, groups, across)
     return out
 
 
