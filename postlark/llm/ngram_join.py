@@ -13,8 +13,9 @@ by member.
 3. The matrix: by the pigeonhole principle two similar sets share a token among the first
    n - ceil(0.75 n) + 1 tokens of each, in any one order of all tokens. The order puts rare tokens
    first, by counts of all tokens in a table of fixed size. Of each group and prefix token one row
-   is kept. Two groups with a token in common are a pair, unless all their members with that token
-   are of one family, their sizes differ too much, or too few tokens follow in either set.
+   is kept. Two groups with tokens in common are a pair, unless all their members with these tokens
+   are of one family, their sizes differ too much, too few tokens follow the first one in either
+   set, or too few are common: what two similar sets share beyond their prefixes is limited.
 4. A pair of groups is one unit of work: all sets of both meet in one task, once. Members that do
    not share enough tokens with the union of the other group are left out, the overlaps of the rest
    come from one product of matrices over the tokens that both groups have, and as many links as
@@ -225,10 +226,10 @@ def prefix_tokens(docs: DataFrame, counts, bitmap=None) -> DataFrame:
     return texts.mapInArrow(run, "doc_id bigint, token bigint, follow bigint")
 
 
-def sets_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """``doc_id`` and its packed ``tokens``, for the documents of a table of ids.
+def some_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``doc_id`` and its packed ``tokens``, for documents of a table of ids and few others.
 
-    A bitmap of the ids keeps nearly all other texts out of the join.
+    A bitmap of the ids keeps nearly all other texts out; a join with the ids drops the rest.
     """
     bitmap = docs.sparkSession.sparkContext.broadcast(sieve.sieve(ids))
 
@@ -242,8 +243,12 @@ def sets_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
             )
 
     texts = docs.select(F.col("doc_id").cast("bigint"), "text").where("doc_id IS NOT NULL")
-    sets = texts.mapInArrow(run, "doc_id bigint, tokens binary").where(F.length("tokens") > 0)
-    return stored(sets.join(ids.distinct(), "doc_id"), "shingle-sets")
+    return texts.mapInArrow(run, "doc_id bigint, tokens binary").where(F.length("tokens") > 0)
+
+
+def sets_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``doc_id`` and its packed ``tokens``, for the documents of a table of ids."""
+    return stored(some_sets(docs, ids).join(ids.distinct(), "doc_id"), "shingle-sets")
 
 
 def _unpack(data: bytes) -> np.ndarray:
@@ -310,14 +315,21 @@ def _ids(df: DataFrame, *names: str) -> DataFrame:
 
 
 def grouped(classes: DataFrame, families: DataFrame, clusters: DataFrame) -> DataFrame:
-    """``rep``, its size, its family, and its group: clusters cut to about ``GROUP_TOKENS``."""
+    """``rep``, its size, its family, and its group: clusters cut to about ``GROUP_TOKENS``.
+
+    ``compared`` tells that a cluster has two members at most, which were compared as they agree.
+    """
     sized = clusters.join(
         classes.select(F.col("rep").alias("node"), "n_shingles"), "node"
     ).withColumnRenamed("component", "cluster")
-    totals = sized.groupBy("cluster").agg(F.sum("n_shingles").alias("tokens"))
+    totals = sized.groupBy("cluster").agg(
+        F.sum("n_shingles").alias("tokens"), (F.count("*") <= 2).alias("compared")
+    )
     parts = F.ceil(F.col("tokens") / GROUP_TOKENS)
     group = F.xxhash64("cluster", F.pmod(F.xxhash64("node"), parts))
-    placed = sized.join(totals, "cluster").select(F.col("node").alias("rep"), group.alias("grp"))
+    placed = sized.join(totals, "cluster").select(
+        F.col("node").alias("rep"), group.alias("grp"), "compared"
+    )
     known = families.select(F.col("node").alias("rep"), F.col("component").alias("family"))
     return (
         classes.select("rep", "n_shingles")
@@ -328,6 +340,7 @@ def grouped(classes: DataFrame, families: DataFrame, clusters: DataFrame) -> Dat
             "n_shingles",
             F.coalesce("family", "rep").alias("family"),
             F.coalesce("grp", F.xxhash64("rep", F.lit(0))).alias("grp"),
+            F.coalesce("compared", F.lit(True)).alias("compared"),
         )
     )
 
@@ -353,6 +366,7 @@ def token_matrix(docs: DataFrame, rows: DataFrame, groups: DataFrame) -> DataFra
             F.min("n_shingles").alias("least"),
             F.max("n_shingles").alias("most"),
             F.max("follow").alias("follow"),
+            F.max("compared").alias("compared"),
         ),
         "token-groups",
     )
@@ -366,21 +380,32 @@ def token_matrix(docs: DataFrame, rows: DataFrame, groups: DataFrame) -> DataFra
 def group_pairs(matrix: DataFrame) -> DataFrame:
     """Pairs ``a`` <= ``b`` of groups that may have similar members of two families."""
     other = matrix.select("token", *[F.col(n).alias(f"_{n}") for n in matrix.columns[1:]])
-    families = (F.col("first") != F.col("last")) | (
-        (F.col("grp") != F.col("_grp"))
-        & ((F.col("_first") != F.col("_last")) | (F.col("first") != F.col("_first")))
+    two = (F.col("first") != F.col("last")) | (F.col("_first") != F.col("_last"))
+    families = F.when(F.col("grp") == F.col("_grp"), two & ~F.col("compared")).otherwise(
+        two | (F.col("first") != F.col("_first"))
     )
     sizes = (100 * F.col("most") >= PERCENT * F.col("_least")) & (
         100 * F.col("_most") >= PERCENT * F.col("least")
     )
     # Of two similar sets, so many tokens follow from the first one that they share on, itself
     # included: their overlap is p / (100 + p) of both sizes.
-    share = F.ceil((F.col("least") + F.col("_least")) * PERCENT / (100 + PERCENT))
-    follow = F.least("follow", "_follow") >= share
-    found = matrix.join(other, "token").where(
-        (F.col("grp") <= F.col("_grp")) & families & sizes & follow
+    overlap = F.ceil((F.col("least") + F.col("_least")) * PERCENT / (100 + PERCENT))
+    found = (
+        matrix.join(other, "token")
+        .where((F.col("grp") <= F.col("_grp")) & families & sizes)
+        .groupBy(F.col("grp").alias("a"), F.col("_grp").alias("b"))
+        .agg(
+            F.count("*").alias("shared"),
+            F.max(F.least("follow", "_follow") >= overlap).alias("enough"),
+            F.min(F.least("least", "_least")).alias("lo"),
+            F.max(F.greatest("most", "_most")).alias("hi"),
+        )
     )
-    return found.select(F.col("grp").alias("a"), F.col("_grp").alias("b")).distinct()
+    # What two sets share beyond their common prefix tokens is at most the rest of the one whose
+    # prefix ends first, less than p / 100 of its size. The remainder is in both prefixes.
+    p = PERCENT
+    needed = 100 * (100 + p) * F.col("shared") >= 100 * p * F.col("lo") - p * p * F.col("hi")
+    return found.where(F.col("enough") & needed).select("a", "b")
 
 
 class Block:
@@ -474,7 +499,7 @@ def cross_links(docs: DataFrame, rows: DataFrame, groups: DataFrame) -> DataFram
     discard(matrix)
     asked = _ids(pairs, "a", "b").withColumnRenamed("doc_id", "grp")
     members = stored(groups.join(asked, "grp").select("grp", "rep", "family"), "group-members")
-    sets = sets_of(docs, _ids(members, "rep"))
+    sets = some_sets(docs, members.select(F.col("rep").alias("doc_id")))
     # About ``GROUP_TOKENS`` tokens a group.
     blocks = stored(
         members.join(sets.withColumnRenamed("doc_id", "rep"), "rep")
@@ -482,7 +507,7 @@ def cross_links(docs: DataFrame, rows: DataFrame, groups: DataFrame) -> DataFram
         .agg(F.collect_list(F.struct("rep", "family", "tokens")).alias("members")),
         "blocks",
     )
-    discard(members, sets)
+    discard(members)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
