@@ -28,13 +28,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from postlark.llm.rows import whole_row, with_text
-from postlark.session import stored
+from postlark.session import discard, stored
 
 WEIGHTS = (5, 2, 1)
 MOST_REPEATS = 3
 BLOCK_WORDS = 128
 SHARD_SLOTS = 4096
 ROWS_PER_CHUNK = 8192
+SHARDS_PER_SPAN = 1024
+SLOTS_PER_TASK = 1 << 16
 WORD = r"[^\x20\x09-\x0D]+"
 SEED = 20_240_601
 
@@ -149,9 +151,10 @@ def slots(spark, sources: DataFrame, shard_slots: int = SHARD_SLOTS) -> DataFram
         total,
     )
     draws = stored(drawn.groupBy("shard", "sid").agg(F.count("*").alias("_n")), "mixing-draws")
-    # The draws of a source in shard order; what goes beyond its target is handed over.
-    before = F.sum("_n").over(Window.partitionBy("sid").orderBy("shard")) - F.col("_n")
-    numbered = draws.withColumn("_before", before).withColumn(
+    # The draws of a source in shard order; what goes beyond its target is handed over. Slots are
+    # made of the draws after these have been dealt out again, as one task may hold a whole source's.
+    numbered = numbered_draws(draws).repartition(-(-total // SLOTS_PER_TASK) or 1, "shard", "sid")
+    numbered = numbered.withColumn(
         "_i", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_n") - 1))
     )
     numbered = numbered.select("shard", "sid", (F.col("_before") + F.col("_i")).alias("ordinal"))
@@ -183,6 +186,22 @@ def slots(spark, sources: DataFrame, shard_slots: int = SHARD_SLOTS) -> DataFram
     return regular.unionByName(taken)
 
 
+def numbered_draws(draws: DataFrame) -> DataFrame:
+    """Each draw with ``_before``, what its source is drawn in earlier shards.
+
+    Sums in two steps, within spans of shards and then over spans, keep a source out of one task.
+    """
+    span = F.floor(F.col("shard") / SHARDS_PER_SPAN).alias("_span")
+    spanned = draws.select("shard", "sid", "_n", span)
+    spans = spanned.groupBy("sid", "_span").agg(F.sum("_n").alias("_of_span"))
+    over_spans = Window.partitionBy("sid").orderBy("_span")
+    starts = (F.sum("_of_span").over(over_spans) - F.col("_of_span")).alias("_start")
+    in_span = Window.partitionBy("sid", "_span").orderBy("shard")
+    within = spanned.withColumn("_within", F.sum("_n").over(in_span) - F.col("_n"))
+    joined = within.join(spans.select("sid", "_span", starts), ["sid", "_span"])
+    return joined.select("shard", "sid", "_n", (F.col("_start") + F.col("_within")).alias("_before"))
+
+
 def permuted(index: Column, n: Column, *key: Column) -> Column:
     """A pseudorandom permutation of 0 … n-1, chosen by ``key``.
 
@@ -238,6 +257,7 @@ def mix(
     sources = stored(targets(sized, block_words), "mixing-sources")
     laid = stored(laid_out(sized, sources, rows_per_chunk), "mixing-offsets")
     blocks = stored(drawn_blocks(sources, slots(spark, sources, shard_slots)), "mixing-slots")
+    discard(sized, sources)
     return laid, blocks
 
 

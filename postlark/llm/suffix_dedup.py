@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postlark.llm import induced, sieve, words
-from postlark.session import stored
+from postlark.session import discard, stored
 
 LENGTH = 200
 GRAM = 64
@@ -280,13 +280,15 @@ def covered(docs: DataFrame, max_variants: int = MAX_VARIANTS) -> DataFrame:
     )
     hot = variants.groupBy("anchor").count().where(F.col("count") > max_variants).select("anchor")
     hot = stored(hot, "hot-anchors")
-    sorted_out = stored(_by_shards(docs, variants.join(hot, "anchor", "left_anti")), "stretches")
+    sorted_out = _by_shards(docs, variants.join(hot, "anchor", "left_anti"))
+    discard(anchors, variants)
     own = found.select("doc_id", "hash", "at", "anchor", "sig").join(sorted_out, ["anchor", "sig"])
     own = own.select("doc_id", "hash", "at", "starts", "ends")
     if not hot.isEmpty():
         own = own.unionByName(_by_strings(docs, hot))
+    # Rows equal in id and text have the same stretches, and share one list of them.
     return own.groupBy("doc_id", "hash").agg(
-        F.collect_list(F.struct("at", "starts", "ends")).alias("found")
+        F.collect_set(F.struct("at", "starts", "ends")).alias("found")
     )
 
 
@@ -300,9 +302,12 @@ def _by_shards(docs: DataFrame, variants: DataFrame) -> DataFrame:
     shard = F.pmod(F.xxhash64("anchor"), F.lit(shards)).alias("shard")
     numbers = variants.select("anchor", "sig", "n", shard).groupBy("shard")
     texts = data.select("*", shard).groupBy("shard")
-    return numbers.cogroup(texts).applyInArrow(
+    out = numbers.cogroup(texts).applyInArrow(
         _sorted_shard, "anchor bigint, sig bigint, starts array<bigint>, ends array<bigint>"
-    ).where(F.size("starts") > 0)
+    )
+    out = stored(out.where(F.size("starts") > 0), "stretches")
+    discard(variants)
+    return out
 
 
 def _by_strings(docs: DataFrame, hot: DataFrame) -> DataFrame:

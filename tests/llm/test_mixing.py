@@ -140,3 +140,27 @@ def test_odd_input(spark):
     )
     assert mixing.taken_words(empty(spark)).collect() == []
     assert mixing.mixed_documents(empty(spark)).collect() == []
+
+
+def test_draws_are_numbered_over_spans_of_shards(spark):
+    rng = random.Random(8)
+    rows = [(i, sid, rng.randint(1, 9)) for i in range(2500) for sid in (0, 1) if rng.random() < 0.7]
+    found = mixing.numbered_draws(spark.createDataFrame(rows, "shard BIGINT, sid INT, _n BIGINT"))
+    before, expected = Counter(), set()
+    for shard, sid, n in rows:
+        expected.add((shard, sid, n, before[sid]))
+        before[sid] += n
+    assert {tuple(row) for row in found.collect()} == expected
+
+
+def test_taken_words_follow_from_the_blocks_drawn(spark):
+    docs = corpus(spark, {"a": 20, "b": 80, "c": 7})
+    laid, blocks = mixing.mix(docs, 16, 100)
+    times = Counter((row.sid, row.block) for row in blocks.collect())
+    expected = sorted(
+        (row.doc_id, sum(times[row.sid, at // 16] for at in range(row.offset, row.offset + row["size"])))
+        for row in laid.collect()
+    )
+    taken = mixing.pieces(laid, blocks, 16).groupBy("doc_id")
+    taken = taken.agg(F.sum(F.col("times") * F.col("_words")).alias("taken")).collect()
+    assert sorted(map(tuple, taken)) == expected

@@ -98,3 +98,14 @@ def test_order_to_a_depth_puts_equal_strings_side_by_side():
         for k in range(1, len(array)):
             if len(cut[k]) == depth:
                 assert (shared[array[k]] >= depth) == (cut[k] == cut[k - 1])
+
+
+def test_equal_rows_share_one_list_of_stretches(spark):
+    text = "".join(chr(97 + n * n % 26) + str(n) for n in range(400))
+    docs = documents(spark, [(None, text)] * 60 + [(7, text[100:900])])
+    found = suffix_dedup.covered(docs).selectExpr("doc_id", "size(found) AS n").collect()
+    sizes = {row.doc_id: row.n for row in found}
+    once = suffix_dedup.covered(documents(spark, [(None, text), (7, text), (8, text[100:900])]))
+    single = once.where("doc_id IS NULL").selectExpr("size(found) AS n").first().n
+    assert sizes[None] == single
+    assert collected(suffix_dedup.digest(docs)) == brute([(None, text)] * 60 + [(7, text[100:900])])
