@@ -55,15 +55,19 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
 
 
 def discard(*tables: DataFrame) -> None:
-    """Delete tables made by ``stored`` that nothing reads any more.
-
-    Spark drops the shuffle files of finished queries when the driver's JVM collects garbage,
-    which may take long on a quiet driver, so that is asked for as well.
-    """
+    """Delete tables made by ``stored`` that nothing reads any more, and old shuffle files."""
     for table in tables:
         remove(table.sparkSession, table.scratch_path)
     if tables:
-        tables[0].sparkSession.sparkContext._jvm.System.gc()
+        drop_shuffles(tables[0].sparkSession)
+
+
+def drop_shuffles(spark: SparkSession) -> None:
+    """Have the shuffle files of finished queries deleted.
+
+    Spark drops them when the driver's JVM collects garbage, which may take long on a quiet driver.
+    """
+    spark.sparkContext._jvm.System.gc()
 
 
 def _located(spark: SparkSession, path: str):

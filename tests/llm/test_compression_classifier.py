@@ -62,3 +62,19 @@ def test_odd_input(spark):
     repeated = labels(spark, [(n % 5, n % 2, None) for n in range(50)] + [(None, 1, 1)])
     assert classifier.verdicts(odd, repeated).count() == odd.count()
     assert classifier.verdicts(empty(spark), known).collect() == []
+
+
+def test_dictionaries_are_trained_on_all_shards(spark):
+    docs, known = corpus(spark, 600)
+    rows, shards = classifier.labelled(docs, known, "quality", "doc_id", 8_000)
+    assert shards > classifier.MERGED
+    assert rows.count() == sum(not held(n) for n in range(600))
+    sizes, kept = classifier.class_sizes(rows)
+    assert sizes.sum() == rows.count() and (kept * classifier.TURNS >= sizes).all()
+    model = classifier.fit(docs, known, shard_bytes=8_000)
+    quality = {row.doc_id: row.quality for row in known.collect()}
+    unseen = [row for row in docs.collect() if held(row.doc_id)]
+    scores = model.scores([row.text.encode() for row in unseen])
+    right = sum((z >= 0.3) == quality[row.doc_id] for z, row in zip(scores, unseen, strict=True))
+    assert right / len(unseen) > 0.95
+    assert model == classifier.fit(docs.repartition(5), known, shard_bytes=8_000)

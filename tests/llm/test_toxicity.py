@@ -5,6 +5,9 @@ import numpy as np
 import pyarrow as pa
 from corpus import collected, documents, empty, labels, odd_documents, prose, with_clashes
 
+from pyspark.sql import functions as F
+
+from postlark.llm import compression_classifier as classifier
 from postlark.llm import toxicity
 
 
@@ -84,3 +87,27 @@ def test_odd_input(spark):
     assert found == collected(toxicity.verdicts(with_clashes(both), known))
     assert toxicity.verdicts(empty(spark), known).collect() == []
     assert {row.score for row in toxicity.verdicts(odd, labels(spark, [])).collect()} == {0.5}
+
+
+def test_all_labelled_rows_are_learnt_from(spark):
+    """A word that is toxic in one shard only, behind the beginning of a long text, is known."""
+    docs, known = corpus(spark, 600)
+    end = docs.where("doc_id >= 300").withColumn(
+        "text", F.concat(F.repeat(F.lit("plain filling text "), 800), "text")
+    )
+    docs = docs.where("doc_id < 300").unionByName(end)
+    rows, shards = classifier.labelled(docs, known, "toxic", "doc_id", 300_000)
+    assert shards > 5 and rows.count() == sum(not held(n) for n in range(600))
+    assert rows.select("shard", "label", "turn").distinct().count() == rows.count()
+    seen = toxicity._word_texts(rows)
+    assert seen[:, toxicity._hash("filling") % toxicity.BUCKETS].sum() == sum(
+        not held(n) for n in range(300, 600)
+    )
+    network = toxicity.fit(docs, known, shard_bytes=300_000)
+    toxic = {row.doc_id: row.toxic for row in known.collect()}
+    unseen = [row for row in docs.collect() if held(row.doc_id)]
+    scores = network.scores(pa.array([row.text for row in unseen]))
+    right = sum((z >= 0.5) == toxic[row.doc_id] for z, row in zip(scores, unseen, strict=True))
+    assert right / len(unseen) > 0.9
+    again = toxicity.fit(docs.repartition(5), known.repartition(2), shard_bytes=300_000)
+    assert np.array_equal(network.parameters(), again.parameters())
