@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from postlark.llm.rows import small_batches
+from postlark.llm.rows import release, small_batches
 from postlark.llm.sieve import passes, sieve
 from postlark.llm.words import LOWER, chunks, mix, span_hashes
 from postlark.session import discard, stored
@@ -62,7 +62,7 @@ _LANG = "und"
 
 # Phrases that a task holds before it adds them up, the number of sums sent at a time, and the bytes of
 # text taken at a time.
-_HELD, _SENT, _CHUNK_BYTES = 1 << 19, 1 << 16, 1 << 20
+_HELD, _SENT, _CHUNK_BYTES = 1 << 18, 1 << 15, 1 << 19
 
 _STEP = np.uint64(0x9E3779B97F4A7C55)
 
@@ -100,12 +100,11 @@ def _bits(keys: DataFrame) -> int:
 
 
 def _pair_bitmap(pairs: DataFrame) -> bytes:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys = _pair_keys(batch.column(0).to_numpy(), batch.column(1).to_numpy())
-            yield pa.RecordBatch.from_arrays([pa.array(keys)], names=["key"])
-
-    return sieve(pairs.select("k1", "k2").mapInArrow(run, "key bigint"), _bits(pairs))
+    return sieve(
+        pairs.select("k1", "k2"),
+        _bits(pairs),
+        lambda batch: _pair_keys(batch.column(0).to_numpy(), batch.column(1).to_numpy()),
+    )
 
 
 def _spans(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -200,6 +199,8 @@ def word_counts(docs: DataFrame) -> DataFrame:
                     yield from held.pop().to_batches(max_chunksize=_SENT)
         if held:
             yield from combined().to_batches(max_chunksize=_SENT)
+        held.clear()
+        release()
 
     partial = _with_lang(docs).mapInArrow(run, "lang string, word string, n bigint")
     return _summed(partial, "lang", "word")
@@ -288,6 +289,9 @@ def phrase_counts(
         if held:
             columns, sums = combined()
             yield from _sent([*names, "n"], [*map(pa.array, columns), pa.array(sums)])
+            del columns, sums
+        held.clear()
+        release()
 
     schema = ", ".join(f"{name} bigint" for name in [*names, "n"])
     return _summed(_with_lang(docs).mapInArrow(run, schema), *names)

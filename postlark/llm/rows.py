@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,6 +34,14 @@ def with_text(rows: DataFrame, like: DataFrame) -> DataFrame:
     )
 
 
+def release() -> None:
+    """Give back the memory that a worker has freed, before it waits for its next task."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 @contextmanager
 def small_batches(spark: SparkSession, rows: int = 1_000) -> Iterator[None]:
     """What runs inside hands texts to Python a few at a time, so that a batch takes little room."""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -21,16 +21,26 @@ def _places(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     return word, np.uint64(1) << (spread & np.uint64(63))
 
 
-def sieve(keys: DataFrame, bits: int = BITS) -> bytes:
+def _first_column(batch: pa.RecordBatch) -> np.ndarray:
+    return batch.column(0).drop_null().to_numpy()
+
+
+def sieve(
+    keys: DataFrame,
+    bits: int = BITS,
+    key_of: Callable[[pa.RecordBatch], np.ndarray] = _first_column,
+) -> bytes:
     """The bitmap of the values of one bigint column: ``2 ** bits`` bits for any number of rows.
 
+    ``key_of`` makes the keys of other rows, in the same worker.
+
     Its words are combined before they are shuffled, so at most ``2 ** (bits - 6)`` rows of two
     numbers reach the driver. The more keys, the more others pass too; a join drops those.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            word, bit = _places(batch.column(0).drop_null().to_numpy(), bits)
+            word, bit = _places(key_of(batch), bits)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(word), pa.array(bit.view(np.int64))], names=["word", "bit"]
             )

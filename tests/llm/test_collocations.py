@@ -134,3 +134,18 @@ def test_odd_input(spark):
     assert collected(clashing) == brute(rows)
     assert collected(collocations.collocations(empty(spark))) == []
     assert collected(collocations.collocations(documents(spark, [(1, None), (2, "one")]))) == []
+
+
+def test_a_bitmap_of_pairs_takes_one_worker(spark):
+    import numpy as np
+
+    rows = [(n, n * 7) for n in range(500)]
+    pairs = spark.createDataFrame(rows, "k1 bigint, k2 bigint")
+    bitmap = collocations._pair_bitmap(pairs)
+    first, second = (np.array(column) for column in zip(*rows, strict=True))
+    assert collocations.passes(collocations._pair_keys(first, second), bitmap).all()
+    found = collocations.sieve(
+        pairs, 16, lambda batch: collocations._pair_keys(*[c.to_numpy() for c in batch.columns])
+    )
+    assert collocations.passes(collocations._pair_keys(first, second), found).all()
+    assert collocations.passes(np.arange(10_000), found).mean() < 0.05
