@@ -40,14 +40,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postlark.llm import induced, sieve, words
+from postlark.llm.rows import release, small_batches
 from postlark.session import discard, stored
 
 LENGTH = 200
 GRAM = 64
-SHARD_BYTES = 1 << 20
+SHARD_BYTES = 1 << 19
 MAX_VARIANTS = 4096
 # Small enough for a processor's cache.
 CHUNK_BYTES = 1 << 17
+# Rows that a task sends at a time, and strings that it cuts at a time.
+SENT_BYTES, SENT_STRINGS = 1 << 21, 1 << 14
 
 
 def _sliding_least(keys: np.ndarray, width: int) -> np.ndarray:
@@ -105,16 +108,16 @@ def _texts(docs: DataFrame) -> DataFrame:
 
 
 def _scan(docs: DataFrame, schema: str, make, bitmap=None, by_place: bool = False) -> DataFrame:
-    """``make`` on the segments of every chunk, or on those that a bitmap lets pass.
+    """What ``make`` yields for the segments of every chunk, or for those that a bitmap lets pass.
 
-    The bitmap is of anchors, or of places.
+    The bitmap is of anchors, or of places. About ``SENT_BYTES`` of rows are held at a time.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).cast(pa.int64()).fill_null(-1).to_numpy()
             hashes = batch.column(1).to_numpy()
-            made = []
+            made, size = [], 0
             for first, buf, offsets in words.chunks(batch.column(2), CHUNK_BYTES):
                 rows, starts, sizes, anchors = segments(buf, offsets)
                 at = starts - offsets[rows]
@@ -132,25 +135,31 @@ def _scan(docs: DataFrame, schema: str, make, bitmap=None, by_place: bool = Fals
                     "key": keys,
                     "anchor": anchors.view(np.int64),
                 }
-                made.append(make(batch, buf, found))
+                for part in make(batch, buf, found):
+                    made.append(part)
+                    size += part.nbytes
+                    if size >= SENT_BYTES:
+                        yield from pa.Table.from_batches(made).combine_chunks().to_batches()
+                        made, size = [], 0
             if made:
                 yield from pa.Table.from_batches(made).combine_chunks().to_batches()
+        release()
 
     return _texts(docs).mapInArrow(run, schema)
 
 
-def _counted(batch, buf, found) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(found["anchor"])], names=["anchor"])
+def _counted(batch, buf, found) -> Iterator[pa.RecordBatch]:
+    yield pa.RecordBatch.from_arrays([pa.array(found["anchor"])], names=["anchor"])
 
 
-def _occurrence(batch, buf, found) -> pa.RecordBatch:
+def _occurrence(batch, buf, found) -> Iterator[pa.RecordBatch]:
     data = buf.tobytes()
     sigs = [
         _sig(data[a : a + n])
         for a, n in zip(found["start"].tolist(), found["size"].tolist(), strict=True)
     ]
     rows = pa.array(found["row"])
-    return pa.RecordBatch.from_arrays(
+    yield pa.RecordBatch.from_arrays(
         [
             batch.column(0).take(rows),
             batch.column(1).take(rows),
@@ -164,13 +173,13 @@ def _occurrence(batch, buf, found) -> pa.RecordBatch:
     )
 
 
-def _bytes(batch, buf, found) -> pa.RecordBatch:
+def _bytes(batch, buf, found) -> Iterator[pa.RecordBatch]:
     data = buf.tobytes()
     own = [
         data[a : a + n]
         for a, n in zip(found["start"].tolist(), found["size"].tolist(), strict=True)
     ]
-    return pa.RecordBatch.from_arrays(
+    yield pa.RecordBatch.from_arrays(
         [
             pa.array(found["anchor"]),
             pa.array([_sig(d) for d in own], pa.int64()),
@@ -180,27 +189,31 @@ def _bytes(batch, buf, found) -> pa.RecordBatch:
     )
 
 
-def _strings(batch, buf, found) -> pa.RecordBatch:
-    """Each string of the segments by itself."""
+def _strings(batch, buf, found) -> Iterator[pa.RecordBatch]:
+    """Each string of the segments by itself, a part at a time."""
     data = buf.tobytes()
     counts = found["size"] - LENGTH + 1
-    which = np.repeat(np.arange(len(counts)), counts)
-    step = np.arange(len(which)) - np.repeat(np.cumsum(counts) - counts, counts)
-    digests = [
-        hashlib.md5(data[a : a + LENGTH], usedforsecurity=False).digest()
-        for a in (found["start"][which] + step).tolist()
-    ]
-    rows = pa.array(found["row"][which])
-    return pa.RecordBatch.from_arrays(
-        [
-            batch.column(0).take(rows),
-            batch.column(1).take(rows),
-            pa.array(found["at"][which] + step),
-            pa.array(found["anchor"][which]),
-            pa.array(digests, pa.binary()),
-        ],
-        names=["doc_id", "hash", "at", "anchor", "string"],
-    )
+    ends = np.cumsum(counts)
+    total = int(ends[-1]) if len(ends) else 0
+    for first in range(0, total, SENT_STRINGS):
+        place = np.arange(first, min(first + SENT_STRINGS, total))
+        which = np.searchsorted(ends, place, side="right")
+        step = place - (ends - counts)[which]
+        digests = [
+            hashlib.md5(data[a : a + LENGTH], usedforsecurity=False).digest()
+            for a in (found["start"][which] + step).tolist()
+        ]
+        rows = pa.array(found["row"][which])
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch.column(0).take(rows),
+                batch.column(1).take(rows),
+                pa.array(found["at"][which] + step),
+                pa.array(found["anchor"][which]),
+                pa.array(digests, pa.binary()),
+            ],
+            names=["doc_id", "hash", "at", "anchor", "string"],
+        )
 
 
 def _id(docs: DataFrame) -> str:
@@ -253,6 +266,7 @@ def _sorted_shard(variants: pa.Table, data: pa.Table) -> pa.Table:
     own = {(a, s): d for a, s, d in zip(*columns, strict=True) if (a, s) in counts}
     keys = sorted(own)
     found = repeated_stretches([own[key] for key in keys], [counts[key] for key in keys])
+    release()
     return pa.table(
         {
             "anchor": pa.array([key[0] for key in keys], pa.int64()),
@@ -265,6 +279,11 @@ def _sorted_shard(variants: pa.Table, data: pa.Table) -> pa.Table:
 
 def covered(docs: DataFrame, max_variants: int = MAX_VARIANTS) -> DataFrame:
     """``doc_id``, ``hash`` of the text, and the lists ``at``, ``starts`` and ``ends`` of stretches."""
+    with small_batches(docs.sparkSession):
+        return _covered(docs, max_variants)
+
+
+def _covered(docs: DataFrame, max_variants: int) -> DataFrame:
     context = docs.sparkSession.sparkContext
     anchors = _scan(docs, "anchor bigint", _counted).groupBy("anchor").count().where("count > 1")
     anchors = stored(anchors.select("anchor"), "repeated-anchors")
@@ -375,4 +394,5 @@ def digest(docs: DataFrame, max_variants: int = MAX_VARIANTS) -> DataFrame:
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
-    return removals(docs, max_variants).mapInArrow(run, schema)
+    with small_batches(docs.sparkSession):
+        return stored(removals(docs, max_variants).mapInArrow(run, schema), "digests")

@@ -109,3 +109,27 @@ def test_equal_rows_share_one_list_of_stretches(spark):
     single = once.where("doc_id IS NULL").selectExpr("size(found) AS n").first().n
     assert sizes[None] == single
     assert collected(suffix_dedup.digest(docs)) == brute([(None, text)] * 60 + [(7, text[100:900])])
+
+
+def test_strings_of_a_hot_anchor_are_cut_a_part_at_a_time():
+    import numpy as np
+    import pyarrow as pa
+
+    data = np.arange(60_000, dtype=np.uint32).view(np.uint8)
+    sizes = np.array([100_000, 200, 100_000])
+    found = {
+        "row": np.array([0, 1, 1]),
+        "start": np.array([0, 100_000, 100_300]),
+        "size": sizes,
+        "at": np.array([0, 0, 300]),
+        "anchor": np.array([5, 6, 7]),
+    }
+    batch = pa.RecordBatch.from_arrays([pa.array([8, 9]), pa.array([1, 2])], names=["doc_id", "hash"])
+    parts = list(suffix_dedup._strings(batch, data, found))
+    assert len(parts) > 10
+    assert max(part.num_rows for part in parts) <= suffix_dedup.SENT_STRINGS
+    rows = pa.Table.from_batches(parts).to_pylist()
+    assert len(rows) == int((sizes - suffix_dedup.LENGTH + 1).sum())
+    places = [(8, 5, n) for n in range(100_000 - 199)] + [(9, 6, 0)]
+    places += [(9, 7, 300 + n) for n in range(100_000 - 199)]
+    assert [(row["doc_id"], row["anchor"], row["at"]) for row in rows] == places
