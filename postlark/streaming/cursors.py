@@ -5,16 +5,15 @@ each key has its number of hits and its smallest id as state, a page changes tha
 and each batch gives the cursors that changed. A timer of the key tells when no page has come for a
 while: the key is stalled, and its request may be sent again.
 
-State is two numbers a key, in RocksDB; pages are added up in the task that keeps their key, a
-batch of rows at a time.
+State is two numbers a key, in RocksDB; pages are added up in the task that keeps their key. A batch
+of a key costs a few calls of the state, so rows go to the task and back in batches of many keys.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
@@ -33,27 +32,28 @@ class _Cursor(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.cursor = handle.getValueState("cursor", _STATE)
+        self.row = Row(self.key, "hits", "until_id", "stalled")
 
-    def _row(self, key, hits, until, stalled: bool) -> pd.DataFrame:
-        until = None if until is None else str(until)
-        columns = {self.key: [key[0]], "hits": [hits], "until_id": [until], "stalled": [stalled]}
-        return pd.DataFrame(columns)
+    def _row(self, key, hits, until, stalled: bool) -> Row:
+        return self.row(key[0], hits, None if until is None else str(until), stalled)
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        hits, until = self.cursor.get() if self.cursor.exists() else (0, None)
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        before = self.cursor.get()
+        hits, until = before or (0, None)
         for page in rows:
-            hits += int(page["hit"].sum())
-            oldest = page["oldest"].dropna()
-            if len(oldest):
-                own = int(oldest.min())
+            hits += page["hit"]
+            if page["oldest"] is not None:
+                own = int(page["oldest"])
                 until = own if until is None else min(until, own)
         self.cursor.update((hits, until))
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
+        # Only a key that has been seen before has a timer.
+        if before is not None:
+            for timer in list(self.handle.listTimers()):
+                self.handle.deleteTimer(timer)
         self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.stall)
         yield self._row(key, hits, until, False)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         hits, until = self.cursor.get()
         yield self._row(key, hits, until, True)
 
@@ -73,10 +73,9 @@ def cursor_changes(
     own = pages.select(
         F.coalesce(key, F.lit("")).alias(key),
         hit.cast("int").alias("hit"),
-        # Arrow gives a whole number with gaps as a double, so ids stay text up to here.
-        oldest.cast("decimal(20,0)").alias("oldest"),
+        oldest.alias("oldest"),
     )
-    return own.groupBy(key).transformWithStateInPandas(
+    return own.groupBy(key).transformWithState(
         _Cursor(key, stall_seconds), _CURSOR.format(key=key), "Update", "ProcessingTime"
     )
 

@@ -198,3 +198,53 @@ def test_indexed_patterns_equal_single_tests(spark, seed):
     assert rows(weekday.day_tag_matches_indexed(posts, table)) == rows(
         weekday.day_tag_matches(posts, listed)
     )
+
+
+def test_cursors_of_many_keys_come_in_few_batches(spark, tmp_path):
+    """A row of Python for each key, not a frame of pandas, which took longer than the state."""
+    import inspect
+
+    from pyspark.sql import Row
+
+    from postlark.streaming import cursors
+
+    class Handle:
+        def __init__(self):
+            self.state, self.calls, self.timers = None, [], []
+
+        def getValueState(self, name, schema):
+            return self
+
+        def get(self):
+            self.calls.append("get")
+            return self.state
+
+        def update(self, state):
+            self.calls.append("update")
+            self.state = state
+
+        def listTimers(self):
+            self.calls.append("list")
+            return list(self.timers)
+
+        def deleteTimer(self, timer):
+            self.timers.remove(timer)
+
+        def registerTimer(self, timer):
+            self.calls.append("register")
+            self.timers.append(timer)
+
+    class Clock:
+        def getCurrentProcessingTimeInMs(self):
+            return 1000
+
+    handle, cursor = Handle(), cursors._Cursor("username", 60)
+    cursor.init(handle)
+    pages = [{"hit": 1, "oldest": 9}, {"hit": 0, "oldest": None}, {"hit": 1, "oldest": 2**62}]
+    assert inspect.isgeneratorfunction(cursor.handleInputRows)
+    first = list(cursor.handleInputRows(("a",), iter(pages), Clock()))
+    assert first == [Row(username="a", hits=2, until_id="9", stalled=False)]
+    assert handle.calls == ["get", "update", "register"] and handle.timers == [61_000]
+    again = list(cursor.handleInputRows(("a",), iter([{"hit": 1, "oldest": 4}]), Clock()))
+    assert again == [Row(username="a", hits=3, until_id="4", stalled=False)]
+    assert handle.timers == [61_000]
