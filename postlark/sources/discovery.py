@@ -96,9 +96,28 @@ def read_schema(spark: SparkSession, path: str | list[str]) -> str:
 _PLAIN_NAME = re.compile(r"[^'?\\]+")
 
 
+class _Stages:
+    """Columns that others are made from, one projection after the other, so each is made once."""
+
+    def __init__(self):
+        self.levels: list[list[Column]] = []
+
+    def add(self, column: Column, level: int) -> Column:
+        while len(self.levels) <= level:
+            self.levels.append([])
+        name = f"_values_{level}_{len(self.levels[level])}"
+        self.levels[level].append(column.alias(name))
+        return F.col(name)
+
+    def applied(self, df: DataFrame) -> DataFrame:
+        for columns in self.levels:
+            df = df.select("*", *columns)
+        return df
+
+
 def _occurrences(
-    kind: T.DataType, base: Column, path: str, field: str
-) -> list[tuple[str, Column]]:
+    kind: T.DataType, base: Column, path: str, field: str, stages: _Stages, level: int = 0
+) -> list[tuple[str, T.DataType, Column]]:
     """Every field at or below one, with all its values in a document as an array of variants.
 
     ``base`` is an array of variants, and ``path`` leads from each of them to the field.
@@ -106,19 +125,21 @@ def _occurrences(
     values = base
     if path:
         values = F.transform(base, lambda x: F.try_variant_get(x, "$" + path, "variant"))
-    out = [(field, F.filter(values, lambda x: x.isNotNull()))]
+    out = [(field, kind, F.filter(values, lambda x: x.isNotNull()))]
     if isinstance(kind, T.StructType):
         for child in kind.fields:
             name = child.name if field == ROOT else f"{field}.{child.name}"
             if _PLAIN_NAME.fullmatch(child.name):
-                out += _occurrences(child.dataType, base, f"{path}['{child.name}']", name)
+                below = f"{path}['{child.name}']"
+                out += _occurrences(child.dataType, base, below, name, stages, level)
             else:
-                own = F.transform(values, _by_name(child.name))
-                out += _occurrences(child.dataType, own, "", name)
+                own = stages.add(F.transform(values, _by_name(child.name)), level)
+                out += _occurrences(child.dataType, own, "", name, stages, level + 1)
     elif isinstance(kind, T.ArrayType):
         none = F.array().cast("array<variant>")
         lists = F.transform(values, lambda x: F.coalesce(x.try_cast("array<variant>"), none))
-        out += _occurrences(kind.elementType, F.flatten(lists), "", f"{field}[]")
+        own = stages.add(F.flatten(lists), level)
+        out += _occurrences(kind.elementType, own, "", f"{field}[]", stages, level + 1)
     return out
 
 
@@ -128,6 +149,15 @@ def _by_name(name: str) -> Callable[[Column], Column]:
 
 _NAMES = {"VOID": "null"}
 
+# If all values of a field have one of these types, each that is not null has it.
+_ONLY = {
+    T.StructType: "object",
+    T.ArrayType: "array",
+    T.StringType: "string",
+    T.LongType: "bigint",
+    T.BooleanType: "boolean",
+}
+
 
 def field_counts(lines: DataFrame) -> DataFrame:
     """``field``, ``type``, ``documents``, ``values``: how often each field has which type.
@@ -145,8 +175,16 @@ def field_counts(lines: DataFrame) -> DataFrame:
         plain = F.regexp_extract(F.schema_of_variant(x), "^[A-Z]+", 0)
         return F.coalesce(names[plain], F.lower(plain))
 
-    def counted(field: str, values: Column) -> Column:
-        kinds = F.transform(values, kind_of)
+    def kinds_of(field: str, kind: T.DataType, values: Column) -> Column:
+        only = _ONLY.get(type(kind))
+        # Documents that are no objects are not in the schema.
+        if only is None or field == ROOT:
+            return F.transform(values, kind_of)
+        return F.transform(
+            values, lambda x: F.when(F.is_variant_null(x), "null").otherwise(F.lit(only))
+        )
+
+    def counted(field: str, kinds: Column) -> Column:
         return F.transform(
             F.array_distinct(kinds),
             lambda kind: F.struct(
@@ -156,8 +194,12 @@ def field_counts(lines: DataFrame) -> DataFrame:
             ),
         )
 
+    stages = _Stages()
+    fields = _occurrences(schema, F.array(json), "", ROOT, stages)
+    kinds = [kinds_of(*field).alias(f"_kinds_{i}") for i, field in enumerate(fields)]
+    staged = stages.applied(_variants(lines)).select("json", *kinds)
     found = F.concat(
-        *[counted(field, values) for field, values in _occurrences(schema, F.array(json), "", ROOT)]
+        *[counted(field, F.col(f"_kinds_{i}")) for i, (field, _, _) in enumerate(fields)]
     )
     broken = F.array(
         F.struct(
@@ -165,7 +207,7 @@ def field_counts(lines: DataFrame) -> DataFrame:
             F.lit(1).cast("bigint").alias("values"),
         )
     )
-    rows = _variants(lines).select(F.inline(F.when(json.isNull(), broken).otherwise(found)))
+    rows = staged.select(F.inline(F.when(json.isNull(), broken).otherwise(found)))
     return merged_counts(rows.withColumn("documents", F.lit(1).cast("bigint")))
 
 

@@ -89,3 +89,23 @@ def test_conversion_with_the_found_schema(spark, tmp_path):
     ]
     assert read.where(f"{schemas.CORRUPT_RECORD} = 'broken'").count() == 3
     assert readers.read_documents(spark, str(source), schema).count() == 6
+
+
+def test_elements_of_an_array_are_made_once_for_all_fields(spark):
+    lines = ['{"a": [{"b": 1, "c": "x", "d": null}, {"b": 2}]}', '{"a": null}', "[1]", "3", "{", "null"]
+    counts = discovery.field_counts(spark.createDataFrame([(x,) for x in lines], "value STRING"))
+    plan = counts._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("flatten(") == 1
+    assert sorted(map(tuple, counts.collect())) == [
+        ("$", "array", 1, 1),
+        ("$", "bigint", 1, 1),
+        ("$", "broken", 1, 1),
+        ("$", "null", 1, 1),
+        ("$", "object", 2, 2),
+        ("a", "array", 1, 1),
+        ("a", "null", 1, 1),
+        ("a[]", "object", 1, 2),
+        ("a[].b", "bigint", 1, 2),
+        ("a[].c", "string", 1, 1),
+        ("a[].d", "null", 1, 1),
+    ]
