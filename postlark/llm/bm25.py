@@ -1,21 +1,26 @@
 """Exact BM25 top-k search of texts, with block-max dynamic pruning in each index shard.
 
 Terms are the words of a text, A-Z lower-cased, as 64-bit hashes. The index has a row for each
-shard: postings sorted by term, and for each term and block of ``BLOCK_DOCS`` documents the largest
-term frequency part of the score. Documents of a shard are ordered by their commonest word and
-length, so that those of a block are alike and the bounds of the others are low.
+shard: postings sorted by term. Documents of a shard are ordered by their commonest word and
+length, so that those of a block of ``BLOCK_DOCS`` are alike and block maxima are low.
 
-A search sums the block maxima of the query's terms to a bound for each block, scores the blocks
-with the highest bounds first, and skips every block whose bound is below the k-th score so far.
-Bounds and scores are sums over the same terms in the same order, so rounding cannot put a score
-above its bound.
+A search scores some queries against a shard at once: the terms of many documents as a product of
+matrices, the postings of the others as sums by query and document, both in single precision.
+Documents that may reach the score that a query needs are then scored exactly, in the order of
+their terms. Queries that need a high score for their words leave out the terms with most postings;
+block maxima bound what these can add, and only blocks that may still reach the score are looked at.
+
+The score that a query needs is its k-th best so far. One of ``FIRST`` files of the index is
+searched first; its k-th best scores are sent along with the search of the others, and each
+task raises them from shard to shard.
 
 Scores use the statistics of the whole corpus: number of documents, mean length, and document
 frequencies, which the shards' postings add up to. The shards' best k are merged by score and id.
 The result is the exact top k.
 
-Queries come in blocks of at most ``QUERY_BLOCK``: one block is broadcast at a time, and each runs
-over all shards. A query counts each of its words once.
+Queries come in blocks of about ``QUERY_BLOCK``: one block is broadcast at a time, and each runs
+over all shards. A query counts each of its words once. Each query meets each shard, so the work
+grows with queries times documents; memory does not, as one block meets one shard at a time.
 
 Edge cases: a text without words is in no result, and a query without words has none. Ties go to
 the smaller id. Rows with the same id and text are separate results. Rows with a null id take no part. An empty table gives an empty result.
@@ -23,14 +28,17 @@ the smaller id. Rows with the same id and text are separate results. Rows with a
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from postlark.llm import words
+from postlark.llm.rows import release, small_batches
 from postlark.session import stored
 
 K1 = 1.2
@@ -39,7 +47,18 @@ TOP = 10
 EVERY = 50
 SHARD_DOCS = 8192
 BLOCK_DOCS = 128
-QUERY_BLOCK = 1024
+QUERY_BLOCK = 4096
+# At most so many terms of a shard are a row of its matrix, each in one of so many documents or more.
+DENSE_TERMS, DENSE_SHARE = 512, 32
+# Queries that are scored together, and candidates.
+TOGETHER, SCORED = 64, 4096
+# One of so many files of the index is searched before the others.
+FIRST = 8
+# A term with fewer postings in a shard is never left out.
+MIDDLE_DOCS = 64
+LEFT_OUT = 0.25
+# Sums of single precision are off by less than 1 in 60,000.
+SLACK = 1 - 1e-4
 
 _INDEX = "n_docs bigint, n_words bigint, ids binary, lengths binary, terms binary, " \
     "bounds binary, docs binary, tfs binary"
@@ -57,29 +76,25 @@ def term_hashes(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]
 
 def _shard(ids: list[int], texts: list[np.ndarray]) -> pa.RecordBatch:
     """The postings of some documents."""
-    commonest = []
-    for own in texts:
-        terms, seen = np.unique(own, return_counts=True)
-        commonest.append(terms[seen.argmax()] if len(terms) else np.uint64(0))
+    counted = [np.unique(own, return_counts=True) for own in texts]
+    commonest = [terms[tfs.argmax()] if len(terms) else np.uint64(0) for terms, tfs in counted]
     lengths = np.array([len(own) for own in texts], dtype=np.int64)
     order = np.lexsort((np.array(ids), lengths, np.array(commonest, dtype=np.uint64)))
-    lengths = lengths[order]
-    every = np.concatenate([np.empty(0, dtype=np.uint64), *[texts[i] for i in order]])
-    docs = np.repeat(np.arange(len(order)), lengths)
+    sizes = np.array([len(terms) for terms, _ in counted], dtype=np.int64)[order]
+    tfs = np.concatenate([np.empty(0, np.int32), *[counted[i][1].astype(np.int32) for i in order]])
+    every = np.concatenate([np.empty(0, dtype=np.uint64), *[counted[i][0] for i in order]])
+    del counted
     by_term = np.argsort(every, kind="stable")
-    every, docs = every[by_term], docs[by_term]
-    first = np.flatnonzero(
-        np.append(True, (every[1:] != every[:-1]) | (docs[1:] != docs[:-1]))[: len(every)]
-    )
-    tfs = np.diff(np.append(first, len(every)))
-    terms, bounds = np.unique(every[first], return_index=True)
+    every, tfs = every[by_term], tfs[by_term]
+    docs = np.repeat(np.arange(len(order), dtype=np.uint16), sizes)[by_term]
+    bounds = np.flatnonzero(np.append(True, every[1:] != every[:-1])[: len(every)])
     arrays = (
         np.array(ids, dtype=np.int64)[order],
-        lengths,
-        terms,
-        np.append(bounds, len(first)).astype(np.int64),
-        docs[first].astype(np.uint16),
-        tfs.astype(np.int32),
+        lengths[order],
+        every[bounds],
+        np.append(bounds, len(every)).astype(np.int64),
+        docs,
+        tfs,
     )
     return pa.RecordBatch.from_arrays(
         [pa.array([len(ids)], pa.int64()), pa.array([int(lengths.sum())], pa.int64())]
@@ -101,13 +116,20 @@ def build_index(docs: DataFrame) -> DataFrame:
                     ids.append(own[first + i])
                     texts.append(hashes[a:b])
                     if len(ids) == SHARD_DOCS:
-                        yield _shard(ids, texts)
+                        shard = _shard(ids, texts)
                         ids, texts = [], []
+                        release()
+                        yield shard
         if ids:
-            yield _shard(ids, texts)
+            shard = _shard(ids, texts)
+            del ids, texts
+            yield shard
+            del shard
+        release()
 
     known = docs.select(F.col("doc_id").cast("bigint"), "text").where("doc_id IS NOT NULL")
-    return stored(known.mapInArrow(run, _INDEX), "bm25-index")
+    with small_batches(docs.sparkSession):
+        return stored(known.mapInArrow(run, _INDEX), "bm25-index")
 
 
 def document_frequencies(index: DataFrame) -> DataFrame:
@@ -149,59 +171,195 @@ class Shard:
 
     def __init__(self, row: dict, mean_length: float):
         read = np.frombuffer
-        self.ids, self.lengths = read(row["ids"], np.int64), read(row["lengths"], np.int64)
-        self.terms, self.bounds = read(row["terms"], np.int64), read(row["bounds"], np.int64)
-        self.terms = self.terms.view(np.uint64)
-        self.docs = read(row["docs"], np.uint16).astype(np.int64)
-        tfs = read(row["tfs"], np.int32).astype(np.float64)
-        scale = K1 * (1 - B + B * self.lengths / mean_length)
-        self.parts = tfs * (K1 + 1) / (tfs + scale[self.docs])
-        # An entry is the stretch of one term's postings in one block.
-        blocks = self.docs // BLOCK_DOCS
-        new = np.ones(len(blocks), dtype=bool)
-        new[1:] = blocks[1:] != blocks[:-1]
-        new[self.bounds[:-1]] = True
-        first = np.flatnonzero(new)
-        self.entry_block = blocks[first]
-        self.entry_bounds = np.append(first, len(blocks))
-        self.entry_most = (
-            np.maximum.reduceat(self.parts, first) if len(first) else np.empty(0)
+        self.ids, lengths = read(row["ids"], np.int64), read(row["lengths"], np.int64)
+        self.terms = read(row["terms"], np.int64).view(np.uint64)
+        self.bounds, self.docs = read(row["bounds"], np.int64), read(row["docs"], np.uint16)
+        self.sizes = np.diff(self.bounds)
+        # Exact parts of the scores, by document and term, and the same by term in single precision.
+        tfs = read(row["tfs"], np.int32)
+        scale = K1 * (1 - B + B * lengths / mean_length)
+        by_doc = np.argsort(self.docs, kind="stable")
+        self.keys = np.repeat(np.arange(len(self.terms)), self.sizes)[by_doc]
+        docs = self.docs[by_doc]
+        self.keys += docs * np.int64(len(self.terms))
+        self.doc_parts = tfs[by_doc] * (K1 + 1)
+        self.doc_parts /= tfs[by_doc] + scale[docs]
+        self.parts = np.empty(len(docs), dtype=np.float32)
+        self.parts[by_doc] = self.doc_parts
+        del by_doc, docs
+        # Terms of many documents, as rows of a matrix; of those between, only the block maxima.
+        common = np.argsort(-self.sizes, kind="stable")[:DENSE_TERMS]
+        common = common[self.sizes[common] * DENSE_SHARE >= len(self.ids)]
+        self.row = np.full(len(self.terms), -1, dtype=np.int32)
+        self.row[common] = np.arange(len(common))
+        postings, which = _ranges(self.bounds[common], self.bounds[common + 1])
+        self.dense = np.zeros((len(common), len(self.ids)), dtype=np.float32)
+        self.dense[which, self.docs[postings]] = self.parts[postings]
+        middle = np.flatnonzero((self.row < 0) & (self.sizes >= MIDDLE_DOCS))
+        self.middle = np.full(len(self.terms), -1, dtype=np.int32)
+        self.middle[middle] = np.arange(len(middle))
+        postings, which = _ranges(self.bounds[middle], self.bounds[middle + 1])
+        n_blocks = -(-len(self.ids) // BLOCK_DOCS)
+        self.most = np.zeros((len(middle), n_blocks), dtype=np.float32)
+        np.maximum.at(
+            self.most.reshape(-1),
+            which * n_blocks + self.docs[postings] // BLOCK_DOCS,
+            self.parts[postings],
         )
-        self.term_entries = np.searchsorted(first, self.bounds)
-        self.n_blocks = -(-len(self.ids) // BLOCK_DOCS)
+        self.most_of_all = self.most.max(axis=1, initial=0)
 
-    def search(self, terms: np.ndarray, weights: np.ndarray, k: int) -> tuple[list, list]:
-        """Ids and scores of the best ``k`` documents that share a term with the query."""
+    def places(self, terms: np.ndarray) -> np.ndarray:
+        """The numbers of terms in this shard, -1 if not in it."""
+        if not len(self.terms):
+            return np.full(len(terms), -1, dtype=np.int64)
         at = np.searchsorted(self.terms, terms)
         at[at == len(self.terms)] = 0
-        found = self.terms[at] == terms if len(self.terms) else np.zeros(len(terms), dtype=bool)
-        at, weights = at[found], weights[found]
+        return np.where(self.terms[at] == terms, at, -1)
+
+    def search(self, terms: np.ndarray, weights: np.ndarray, k: int) -> tuple[list, list]:
+        """Ids and scores of the best ``k`` documents that share a term with the query."""
+        queries = Queries([(0, terms, weights)])
+        (_, ids, scores), = self.search_all(queries, np.zeros(1), k)
+        return ids.tolist(), scores.tolist()
+
+    def search_all(
+        self, queries: Queries, least: np.ndarray, k: int
+    ) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """For each query its number, and ids and scores of its best ``k`` documents.
+
+        Only documents that share a term with it, and score at least its value in ``least``.
+        """
+        places = self.places(queries.terms)
+        for first in range(0, len(queries), TOGETHER):
+            end = min(first + TOGETHER, len(queries))
+            own = slice(queries.bounds[first], queries.bounds[end])
+            at, weights = places[queries.which[own]], queries.weights[own]
+            of = np.repeat(np.arange(end - first), np.diff(queries.bounds[first : end + 1]))
+            at, weights, of = _where(at >= 0, at, weights, of)
+            found, ids, scores = self._best(at, weights, of, least[first:end], k)
+            bounds = np.searchsorted(found, np.arange(end - first + 1)).tolist()
+            for i, (a, b) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
+                yield first + i, ids[a:b], scores[a:b]
+
+    def _best(
+        self, at: np.ndarray, weights: np.ndarray, of: np.ndarray, least: np.ndarray, k: int
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Query, id and score of the best documents of some queries, given all their terms."""
         if not len(at):
-            return [], []
-        entries, owner = _ranges(self.term_entries[at], self.term_entries[at + 1])
-        blocks, weights = self.entry_block[entries], weights[owner]
-        limits = np.bincount(blocks, weights * self.entry_most[entries], minlength=self.n_blocks)
-        order = np.argsort(-limits, kind="stable")
-        scores = np.zeros(len(self.ids))
-        least, done, step = 0.0, 0, 2
-        while done < len(order) and limits[order[done]] >= least and limits[order[done]] > 0:
-            chosen = np.zeros(self.n_blocks, dtype=bool)
-            batch = order[done : done + step]
-            chosen[batch[limits[batch] >= least]] = True
-            used = chosen[blocks]
-            own = entries[used]
-            postings, which = _ranges(self.entry_bounds[own], self.entry_bounds[own + 1])
-            scores += np.bincount(
-                self.docs[postings],
-                weights[used][which] * self.parts[postings],
-                minlength=len(scores),
-            )
-            done, step = done + step, step * 2
-            if len(scores) > k:
-                least = np.partition(scores, len(scores) - k)[len(scores) - k]
-        best = np.lexsort((self.ids, -scores))[:k]
-        best = best[scores[best] > 0]
-        return self.ids[best].tolist(), scores[best].tolist()
+            return of, at, weights
+        common, n = self.row[at] >= 0, len(self.ids)
+        used, limits = ~common, self._leave_out(at, weights, of, least)
+        for query, (left, _) in limits.items():
+            used[left] = False
+        matrix = np.zeros((len(least), len(self.dense)), dtype=np.float32)
+        matrix[of[common], self.row[at[common]]] = weights[common]
+        rows = np.flatnonzero(matrix.any(axis=0))
+        known = self._sums(at[used], weights[used], of[used], len(least))
+        known += matrix[:, rows] @ self.dense[rows]
+        for query, (_, most) in limits.items():
+            known[query] += np.repeat(most, BLOCK_DOCS)[:n]
+        need = np.maximum(least * SLACK, np.finfo(np.float64).tiny)
+        for query in np.flatnonzero((known >= need[:, None]).sum(axis=1) > 4 * k).tolist():
+            if query not in limits:
+                # What is known of the scores so far raises the score that is needed.
+                best = np.partition(known[query], n - k)[n - k]
+                need[query] = max(need[query], best * SLACK)
+        query, docs = np.nonzero(known >= need[:, None])
+        if len(docs) > 4 * k * len(least):
+            # Many documents with the same words: score one of each kind.
+            pairs = np.stack([query.astype(np.uint64), self.kinds[docs]])
+            _, one, kind = np.unique(pairs, axis=1, return_index=True, return_inverse=True)
+        else:
+            one = kind = np.arange(len(docs))
+        scores = self._scores(docs[one], query[one], at, weights, of, len(least))[kind.reshape(-1)]
+        ids = self.ids[docs]
+        query, ids, scores = _where((scores > 0) & (scores >= least[query]), query, ids, scores)
+        order = np.lexsort((ids, -scores, query))
+        query, ids, scores = query[order], ids[order], scores[order]
+        rank = np.arange(len(query)) - np.searchsorted(query, query)
+        return tuple(_where(rank < k, query, ids, scores))
+
+    def _leave_out(
+        self, at: np.ndarray, weights: np.ndarray, of: np.ndarray, least: np.ndarray
+    ) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+        """By query, which terms to leave out, and the most they add in each block.
+
+        Where only documents much like the query can score so high, those with most postings are
+        left out, as far as all of them cannot lift a document by what is to spare.
+        """
+        out = {}
+        spare = least - LEFT_OUT * (K1 + 1) * np.bincount(of, weights, minlength=len(least))
+        for query in np.flatnonzero(spare > 0).tolist():
+            first, end = np.searchsorted(of, [query, query + 1])
+            middle = self.middle[at[first:end]]
+            left = np.flatnonzero(middle >= 0)
+            left = left[np.argsort(-self.sizes[at[first + left]], kind="stable")]
+            gains = np.cumsum(weights[first + left] * self.most_of_all[middle[left]])
+            left = left[: np.searchsorted(gains, spare[query], side="right")]
+            if len(left):
+                out[query] = first + left, weights[first + left] @ self.most[middle[left]]
+        return out
+
+    def _sums(
+        self, at: np.ndarray, weights: np.ndarray, of: np.ndarray, queries: int
+    ) -> np.ndarray:
+        """Sums over some terms, by query and document, in single precision."""
+        sizes = self.sizes[at]
+        postings = np.repeat(self.bounds[at] - (np.cumsum(sizes) - sizes), sizes)
+        postings += np.arange(len(postings))
+        cells = np.repeat(of * len(self.ids), sizes)
+        cells += self.docs[postings]
+        parts = np.repeat(weights.astype(np.float32), sizes)
+        parts *= self.parts[postings]
+        sums = np.bincount(cells, parts, minlength=queries * len(self.ids))
+        return sums.astype(np.float64, copy=False).reshape(queries, len(self.ids))
+
+    def _scores(
+        self, docs: np.ndarray, query: np.ndarray, at: np.ndarray, weights: np.ndarray,
+        of: np.ndarray, queries: int,
+    ) -> np.ndarray:
+        """Exact scores of documents for queries, each summed in the order of its terms."""
+        bounds, out = np.searchsorted(of, np.arange(queries + 1)), [np.empty(0)]
+        for first in range(0, len(docs), SCORED):
+            own, asked = docs[first : first + SCORED], query[first : first + SCORED]
+            terms, which = _ranges(bounds[asked], bounds[asked + 1])
+            keys = own[which] * np.int64(len(self.terms)) + at[terms]
+            places = np.searchsorted(self.keys, keys)
+            places[places == len(self.keys)] = 0
+            has = self.keys[places] == keys
+            terms, which, places = _where(has, terms, which, places)
+            out.append(np.bincount(which, weights[terms] * self.doc_parts[places], len(own)))
+        return np.concatenate(out)
+
+    @functools.cached_property
+    def kinds(self) -> np.ndarray:
+        """A number for each document, the same for those with the same words, as often."""
+        docs, terms = np.divmod(self.keys, len(self.terms))
+        kinds = words.mix(words.mix(self.terms)[terms] + self.doc_parts.view(np.uint64))
+        sums = np.append(np.uint64(0), np.cumsum(kinds))
+        bounds = np.searchsorted(docs, np.arange(len(self.ids) + 1))
+        return sums[bounds[1:]] - sums[bounds[:-1]]
+
+
+class Queries:
+    """Some queries: their ids, all distinct terms, and of each query its terms and weights."""
+
+    def __init__(self, rows: list[tuple[int, np.ndarray, np.ndarray]]):
+        # Queries with the same commonest word come together: they share the most other words.
+        rows = sorted(rows, key=lambda row: int(row[1][row[2].argmin()]) if len(row[1]) else -1)
+        self.ids = np.array([query for query, _, _ in rows], dtype=np.int64)
+        self.bounds = np.append(0, np.cumsum([len(terms) for _, terms, _ in rows])).astype(np.int64)
+        terms = np.concatenate([np.empty(0, dtype=np.uint64), *[terms for _, terms, _ in rows]])
+        self.terms, which = np.unique(terms, return_inverse=True)
+        self.which = which.astype(np.int32)
+        self.weights = np.concatenate([np.empty(0), *[weights for _, _, weights in rows]])
+
+    def __len__(self) -> int:
+        return len(self.ids)
+
+
+def _where(chosen: np.ndarray, *arrays: np.ndarray) -> list[np.ndarray]:
+    return [array[chosen] for array in arrays]
 
 
 def _ranges(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -224,48 +382,97 @@ def top_documents(
     asked = asked.withColumn("weight", idf).groupBy("query_id").agg(
         F.array_sort(F.collect_list(F.struct("term", "weight"))).alias("terms")
     )
-    asked = stored(asked.select("query_id", "terms"), "bm25-queries")
+    with small_batches(docs.sparkSession, 100):
+        asked = stored(asked.select("query_id", "terms"), "bm25-queries")
     blocks = max(1, -(-asked.count() // query_block))
     placed = asked.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)))
+    first, others = _parts(index)
     found = None
     for block in range(blocks):
         # About ``query_block`` queries.
-        shared = context.broadcast(_packed(placed.where(F.col("block") == block)))
-        own = stored(_searched(index, shared, mean_length, k), "bm25-found")
-        found = own if found is None else found.unionByName(own)
+        queries = _packed(placed.where(F.col("block") == block))
+        shared, least = context.broadcast(queries), np.zeros(len(queries))
+        for part in (first, others):
+            if part is None:
+                continue
+            with small_batches(docs.sparkSession, 1):
+                own = stored(_searched(part, shared, least, mean_length, k), "bm25-found")
+            found = own if found is None else found.unionByName(own)
+            if part is first:
+                least = _least(own, queries, k)
     by_query = Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id")
     return found.withColumn("rank", F.row_number().over(by_query)).where(F.col("rank") <= k)
 
 
-def _packed(queries: DataFrame) -> list[tuple[int, bytes, bytes]]:
-    rows = queries.select("query_id", "terms.term", "terms.weight").toArrow().to_pylist()
-    return [
-        (
-            row["query_id"],
-            np.array(row["term"], dtype=np.int64).tobytes(),
-            np.array(row["weight"], dtype=np.float64).tobytes(),
-        )
-        for row in rows
-    ]
+def _parts(index: DataFrame) -> tuple[DataFrame | None, DataFrame]:
+    """One of ``FIRST`` files of the index, to be searched first, and the others."""
+    files = sorted(index.inputFiles())
+    if len(files) < FIRST:
+        return None, index
+    read = index.sparkSession.read.schema(index.schema)
+    return read.parquet(*files[::FIRST]), read.parquet(
+        *[file for i, file in enumerate(files) if i % FIRST]
+    )
 
 
-def _searched(index: DataFrame, shared, mean_length: float, k: int) -> DataFrame:
+def _least(found: DataFrame, queries: Queries, k: int) -> np.ndarray:
+    """For each query the ``k``-th best score so far, 0 if there is none."""
+    scores = F.sort_array(F.collect_list("score"), asc=False)
+    best = found.groupBy("query_id").agg(scores.alias("scores")).where(F.size("scores") >= k)
+    rows = best.select("query_id", F.col("scores")[k - 1].alias("least")).toArrow()
+    least = np.zeros(len(queries))
+    order = np.argsort(queries.ids)
+    places = np.searchsorted(queries.ids, rows["query_id"].to_numpy(), sorter=order)
+    least[order[places]] = rows["least"].to_numpy()
+    return least
+
+
+def _packed(queries: DataFrame) -> Queries:
+    rows = queries.select(
+        "query_id", F.col("terms.term").alias("terms"), F.col("terms.weight").alias("weights")
+    ).toArrow()
+    out = []
+    for batch in rows.to_batches():
+        ids, terms, weights = batch.columns
+        bounds = np.append(0, np.cumsum(pc.list_value_length(terms).to_numpy()))
+        terms = terms.flatten().to_numpy().view(np.uint64)
+        weights = weights.flatten().to_numpy()
+        out += [
+            (query, terms[a:b], weights[a:b])
+            for query, a, b in zip(ids.to_pylist(), bounds[:-1], bounds[1:], strict=True)
+        ]
+    return Queries(out)
+
+
+def _searched(
+    index: DataFrame, shared, least: np.ndarray, mean_length: float, k: int
+) -> DataFrame:
+    """Documents of the index that may be among the best ``k`` of all, with their scores.
+
+    A task raises the score that a query needs from shard to shard.
+    """
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        queries, need = shared.value, least.copy()
+        best = np.zeros((len(queries), k))
         for batch in batches:
-            for row in batch.to_pylist():
-                shard = Shard(row, mean_length)
-                out: list[tuple] = []
-                for query, terms, weights in shared.value:
-                    ids, scores = shard.search(
-                        np.frombuffer(terms, dtype=np.uint64), np.frombuffer(weights), k
+            for at in range(len(batch)):
+                shard = Shard(batch.slice(at, 1).to_pylist()[0], mean_length)
+                found = []
+                for query, ids, scores in shard.search_all(queries, need, k):
+                    if len(ids):
+                        found.append((np.full(len(ids), queries.ids[query]), ids, scores))
+                        best[query] = np.sort(np.append(best[query], scores))[-k:]
+                        need[query] = max(need[query], best[query, 0])
+                if found:
+                    columns = [np.concatenate(column) for column in zip(*found, strict=True)]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(column) for column in columns],
+                        names=["query_id", "doc_id", "score"],
                     )
-                    out += [(query, i, s) for i, s in zip(ids, scores, strict=True)]
-                columns = list(zip(*out, strict=True)) or [[], [], []]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()),
-                     pa.array(columns[2], pa.float64())],
-                    names=["query_id", "doc_id", "score"],
-                )
+                del shard, found
+            del batch
+            release()
 
     return index.mapInArrow(run, "query_id bigint, doc_id bigint, score double")
 

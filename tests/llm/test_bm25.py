@@ -72,3 +72,83 @@ def test_odd_input(spark):
     assert collected(again) == collected(found)
     assert bm25.top_documents(empty(spark), empty(spark)).collect() == []
     assert bm25.top_documents(docs, empty(spark)).collect() == []
+
+
+def test_shards_share_the_score_that_is_needed(spark, monkeypatch):
+    monkeypatch.setattr(bm25, "SHARD_DOCS", 20)
+    monkeypatch.setattr(bm25, "FIRST", 2, raising=False)
+    rng = random.Random(8)
+    rows = [(n, prose(rng, rng.randint(20, 40), 40)) for n in range(400)]
+    # Each query has copies in all shards; without them the best score would not tell much.
+    rows = [(n, rows[n % 10 * 40][1] if n % 4 == 0 else text) for n, text in rows]
+    kept, stored = [], bm25.stored
+
+    def spy(df, purpose):
+        out = stored(df, purpose)
+        if purpose == "bm25-found":
+            kept.append(out.count())
+        return out
+
+    monkeypatch.setattr(bm25, "stored", spy)
+    docs = documents(spark, rows).repartition(4)
+    found = bm25.top_documents(docs, bm25.every_nth(docs), k=3)
+    compare(found.collect(), brute(rows, 3))
+    queries, shards = 8, 20
+    assert sum(kept) < queries * shards * 3 / 2
+
+
+@pytest.mark.parametrize("left_out", [0, 0.25])
+def test_needed_scores_leave_out_terms_and_no_document(monkeypatch, left_out):
+    import numpy as np
+
+    monkeypatch.setattr(bm25, "BLOCK_DOCS", 4)
+    monkeypatch.setattr(bm25, "DENSE_TERMS", 3)
+    monkeypatch.setattr(bm25, "MIDDLE_DOCS", 2)
+    monkeypatch.setattr(bm25, "LEFT_OUT", left_out)
+    rng = np.random.default_rng(4)
+    texts = [rng.zipf(1.4, rng.integers(1, 60)).astype(np.uint64) % 300 for _ in range(200)]
+    texts += [texts[7]] * 60 + [np.append(texts[7], n).astype(np.uint64) for n in range(500, 520)]
+    shard = bm25.Shard(bm25._shard(list(range(len(texts))), texts).to_pylist()[0], 30.0)
+    rows = []
+    for n in range(0, len(texts), 9):
+        terms = np.unique(texts[n])
+        rows.append((n, terms, 1 + rng.random(len(terms)) * (terms != 1)))
+    queries = bm25.Queries(rows)
+    asked = {number: (terms, weights) for number, terms, weights in rows}
+
+    def scores(terms, weights):
+        out = []
+        for own in texts:
+            counts = collections.Counter(own.tolist())
+            scale = bm25.K1 * (1 - bm25.B + bm25.B * len(own) / 30.0)
+            out.append(sum(
+                w * counts[t] * (bm25.K1 + 1) / (counts[t] + scale)
+                for t, w in zip(terms.tolist(), weights, strict=True)
+            ))
+        return np.array(out)
+
+    every = [scores(*asked[number]) for number in queries.ids.tolist()]
+    for rank in (1, 5, 30):
+        least = np.array([np.sort(own)[-rank] for own in every]) * (1 - 1e-12)
+        for query, ids, found in shard.search_all(queries, least, 10):
+            own = np.round(every[query], 9)
+            best = [n for n in np.lexsort((np.arange(len(own)), -own))[:10] if own[n] > 0]
+            best = [n for n in best if every[query][n] >= least[query]]
+            assert ids.tolist() == best
+            assert found.tolist() == pytest.approx(every[query][best].tolist(), rel=1e-9)
+
+
+def test_copies_are_scored_once(monkeypatch):
+    import numpy as np
+
+    texts = [np.array([1, 2, 3], dtype=np.uint64)] * 500 + [np.array([4], dtype=np.uint64)] * 500
+    shard = bm25.Shard(bm25._shard(list(range(1000)), texts).to_pylist()[0], 3.0)
+    scored, scores = [], shard._scores
+
+    def spy(docs, *rest):
+        scored.append(len(docs))
+        return scores(docs, *rest)
+
+    monkeypatch.setattr(shard, "_scores", spy)
+    ids, _ = shard.search(np.array([1, 2, 3], dtype=np.uint64), np.ones(3), 10)
+    assert ids == list(range(10)) and scored == [1]
