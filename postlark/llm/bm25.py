@@ -4,15 +4,17 @@ Terms are the words of a text, A-Z lower-cased, as 64-bit hashes. The index has
 shard: postings sorted by term. Documents of a shard are ordered by their commonest word and
 length, so that those of a block of ``BLOCK_DOCS`` are alike and block maxima are low.
 
-A search scores some queries against a shard at once: the terms of many documents as a product of
-matrices, the postings of the others as sums by query and document, both in single precision.
+A search scores some queries against a shard at once, in single precision. A term that many of
+these queries and many documents have is a row of a product of matrices; the postings of the others
+are added query by query. Which is chosen for these queries and this shard by what takes less time;
+queries alike in words and length come together, so that they ask for the same rows.
 Documents that may reach the score that a query needs are then scored exactly, in the order of
 their terms. Queries that need a high score for their words leave out the terms with most postings;
 block maxima bound what these can add, and only blocks that may still reach the score are looked at.
 
 The score that a query needs is its k-th best so far. One of ``FIRST`` files of the index is
-searched first; its k-th best scores are sent along with the search of the others, and each
-task raises them from shard to shard.
+searched first, and of these one of ``AT_FIRST`` before that; the k-th best scores are sent along
+with the search of the others, and each task raises them from shard to shard.
 
 Scores use the statistics of the whole corpus: number of documents, mean length, and document
 frequencies, which the shards' postings add up to. The shards' best k are merged by score and id.
@@ -47,18 +49,23 @@ TOP = 10
 EVERY = 50
 SHARD_DOCS = 8192
 BLOCK_DOCS = 128
-QUERY_BLOCK = 4096
-# At most so many terms of a shard are a row of its matrix, each in one of so many documents or more.
-DENSE_TERMS, DENSE_SHARE = 512, 32
-# Queries that are scored together, and candidates.
-TOGETHER, SCORED = 64, 4096
-# One of so many files of the index is searched before the others.
-FIRST = 8
+QUERY_BLOCK = 8192
+# Postings of terms in so many documents of a shard, or more, are added so many at a time.
+MANY_DOCS, WIDE = 8, 4
+# At most so many terms are rows of a product. To add a posting takes as long as 1 / DENSE_SHARE of
+# its cells.
+DENSE_TERMS, DENSE_SHARE = 1024, 1 / 300
+# Queries that are looked at together; postings that are added, and candidates scored, at once.
+TOGETHER, ADDED, SCORED = 512, 16384, 64
+# Queries are split in halves so often, each time by one of so many terms, to bring like ones together.
+SPLITS, SPLIT_TERMS = 3, 1024
+# One of so many files of the index is searched before the others, and of these one of so many.
+FIRST, AT_FIRST = 8, 4
 # A term with fewer postings in a shard is never left out.
 MIDDLE_DOCS = 64
 LEFT_OUT = 0.25
-# Sums of single precision are off by less than 1 in 60,000.
-SLACK = 1 - 1e-4
+# Sums of single precision are off by less than 1 in 60,000, those of many terms by this for each.
+SLACK, ROUNDING = 1 - 1e-4, 2.0**-22
 
 _INDEX = "n_docs bigint, n_words bigint, ids binary, lengths binary, terms binary, " \
     "bounds binary, docs binary, tfs binary"
@@ -175,38 +182,51 @@ class Shard:
         self.terms = read(row["terms"], np.int64).view(np.uint64)
         self.bounds, self.docs = read(row["bounds"], np.int64), read(row["docs"], np.uint16)
         self.sizes = np.diff(self.bounds)
-        # Exact parts of the scores, by document and term, and the same by term in single precision.
+        # Exact parts of the scores, by term and document.
         tfs = read(row["tfs"], np.int32)
         scale = K1 * (1 - B + B * lengths / mean_length)
-        by_doc = np.argsort(self.docs, kind="stable")
-        self.keys = np.repeat(np.arange(len(self.terms)), self.sizes)[by_doc]
-        docs = self.docs[by_doc]
-        self.keys += docs * np.int64(len(self.terms))
-        self.doc_parts = tfs[by_doc] * (K1 + 1)
-        self.doc_parts /= tfs[by_doc] + scale[docs]
-        self.parts = np.empty(len(docs), dtype=np.float32)
-        self.parts[by_doc] = self.doc_parts
-        del by_doc, docs
-        # Terms of many documents, as rows of a matrix; of those between, only the block maxima.
-        common = np.argsort(-self.sizes, kind="stable")[:DENSE_TERMS]
-        common = common[self.sizes[common] * DENSE_SHARE >= len(self.ids)]
-        self.row = np.full(len(self.terms), -1, dtype=np.int32)
-        self.row[common] = np.arange(len(common))
-        postings, which = _ranges(self.bounds[common], self.bounds[common + 1])
-        self.dense = np.zeros((len(common), len(self.ids)), dtype=np.float32)
-        self.dense[which, self.docs[postings]] = self.parts[postings]
-        middle = np.flatnonzero((self.row < 0) & (self.sizes >= MIDDLE_DOCS))
-        self.middle = np.full(len(self.terms), -1, dtype=np.int32)
-        self.middle[middle] = np.arange(len(middle))
-        postings, which = _ranges(self.bounds[middle], self.bounds[middle + 1])
-        n_blocks = -(-len(self.ids) // BLOCK_DOCS)
-        self.most = np.zeros((len(middle), n_blocks), dtype=np.float32)
-        np.maximum.at(
-            self.most.reshape(-1),
-            which * n_blocks + self.docs[postings] // BLOCK_DOCS,
-            self.parts[postings],
-        )
-        self.most_of_all = self.most.max(axis=1, initial=0)
+        self.parts, scale = tfs * (K1 + 1), scale.take(self.docs)
+        scale += tfs
+        self.parts /= scale
+        del scale
+        # Postings of terms of many documents in single precision, WIDE at a time: document, part.
+        many = np.flatnonzero(self.sizes >= MANY_DOCS)
+        sizes = self.sizes[many]
+        self.wide_sizes = np.zeros(len(self.terms), dtype=np.int64)
+        self.wide_sizes[many] = -(-sizes // WIDE)
+        self.wide_starts = np.cumsum(self.wide_sizes) - self.wide_sizes
+        places = np.repeat(self.wide_starts[many] * WIDE - (np.cumsum(sizes) - sizes), sizes)
+        places += np.arange(len(places))
+        own = np.repeat(self.sizes >= MANY_DOCS, self.sizes)
+        wide = np.zeros((int(self.wide_sizes.sum()) * WIDE, 2), dtype=np.int32)
+        wide[places, 0] = self.docs[own]
+        wide.view(np.float32)[places, 1] = self.parts[own]
+        self.wide = wide.view(np.int64).reshape(-1, WIDE)
+
+    @functools.cached_property
+    def most(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The most that terms with many postings add in each block, by weight, and in all.
+
+        First the rows of the terms, -1 for others.
+        """
+        blocks = -(-len(self.ids) // BLOCK_DOCS)
+        terms = np.flatnonzero(self.sizes >= MIDDLE_DOCS)
+        rows = np.full(len(self.terms), -1, dtype=np.int32)
+        rows[terms] = np.arange(len(terms))
+        postings, which = _ranges(self.bounds[terms], self.bounds[terms + 1])
+        most = np.zeros((len(terms), blocks), dtype=np.float32)
+        which *= blocks
+        which += self.docs[postings] // BLOCK_DOCS
+        np.maximum.at(most.reshape(-1), which, self.parts[postings].astype(np.float32))
+        return rows, most, most.max(axis=1, initial=0)
+
+    @functools.cached_property
+    def by_doc(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Postings by document and term: their terms, their places, and each document's first."""
+        order = np.argsort(self.docs, kind="stable").astype(np.int32)
+        terms = np.repeat(np.arange(len(self.terms), dtype=np.int32), self.sizes)[order]
+        counts = np.bincount(self.docs, minlength=len(self.ids))
+        return terms, order, np.append(0, np.cumsum(counts))
 
     def places(self, terms: np.ndarray) -> np.ndarray:
         """The numbers of terms in this shard, -1 if not in it."""
@@ -247,24 +267,24 @@ class Shard:
         """Query, id and score of the best documents of some queries, given all their terms."""
         if not len(at):
             return of, at, weights
-        common, n = self.row[at] >= 0, len(self.ids)
-        used, limits = ~common, self._leave_out(at, weights, of, least)
-        for query, (left, _) in limits.items():
+        limits = self._leave_out(at, weights, of, least)
+        used = np.ones(len(at), dtype=bool)
+        for left, _ in limits.values():
             used[left] = False
-        matrix = np.zeros((len(least), len(self.dense)), dtype=np.float32)
-        matrix[of[common], self.row[at[common]]] = weights[common]
-        rows = np.flatnonzero(matrix.any(axis=0))
-        known = self._sums(at[used], weights[used], of[used], len(least))
-        known += matrix[:, rows] @ self.dense[rows]
+        own = _taken(np.flatnonzero(used), at, weights.astype(np.float32), of)
+        known = self._sums(*own, len(least))
         for query, (_, most) in limits.items():
-            known[query] += np.repeat(most, BLOCK_DOCS)[:n]
-        need = np.maximum(least * SLACK, np.finfo(np.float64).tiny)
-        for query in np.flatnonzero((known >= need[:, None]).sum(axis=1) > 4 * k).tolist():
+            known[query] += np.repeat(most, BLOCK_DOCS)[: len(self.ids)]
+        slack = 1 - np.maximum(1 - SLACK, np.bincount(of, minlength=len(least)) * ROUNDING)
+        need = np.maximum(least * slack, np.finfo(np.float32).tiny).astype(np.float32)
+        may = known >= need[:, None]
+        for query in np.flatnonzero(np.count_nonzero(may, axis=1) > 4 * k).tolist():
             if query not in limits:
                 # What is known of the scores so far raises the score that is needed.
-                best = np.partition(known[query], n - k)[n - k]
-                need[query] = max(need[query], best * SLACK)
-        query, docs = np.nonzero(known >= need[:, None])
+                best = np.partition(known[query], len(self.ids) - k)[len(self.ids) - k]
+                may[query] = known[query] >= max(need[query], best * slack[query])
+        query, docs = np.divmod(np.flatnonzero(may), len(self.ids))
+        del known, may
         if len(docs) > 4 * k * len(least):
             # Many documents with the same words: score one of each kind.
             pairs = np.stack([query.astype(np.uint64), self.kinds[docs]])
@@ -289,64 +309,131 @@ class Shard:
         """
         out = {}
         spare = least - LEFT_OUT * (K1 + 1) * np.bincount(of, weights, minlength=len(least))
+        bounds = np.searchsorted(of, np.arange(len(least) + 1))
         for query in np.flatnonzero(spare > 0).tolist():
-            first, end = np.searchsorted(of, [query, query + 1])
-            middle = self.middle[at[first:end]]
-            left = np.flatnonzero(middle >= 0)
-            left = left[np.argsort(-self.sizes[at[first + left]], kind="stable")]
-            gains = np.cumsum(weights[first + left] * self.most_of_all[middle[left]])
-            left = left[: np.searchsorted(gains, spare[query], side="right")]
-            if len(left):
-                out[query] = first + left, weights[first + left] @ self.most[middle[left]]
+            rows, most, most_of_all = self.most
+            terms = at[bounds[query] : bounds[query + 1]]
+            left = np.flatnonzero(rows.take(terms) >= 0)
+            left = left[np.argsort(-self.sizes.take(terms[left]), kind="stable")]
+            own, row = left + bounds[query], rows.take(terms[left])
+            gains = np.cumsum(weights[own] * most_of_all[row])
+            end = int(np.searchsorted(gains, spare[query], side="right"))
+            if end:
+                out[query] = own[:end], weights[own[:end]] @ most[row[:end]]
         return out
 
     def _sums(
         self, at: np.ndarray, weights: np.ndarray, of: np.ndarray, queries: int
     ) -> np.ndarray:
-        """Sums over some terms, by query and document, in single precision."""
-        sizes = self.sizes[at]
-        postings = np.repeat(self.bounds[at] - (np.cumsum(sizes) - sizes), sizes)
-        postings += np.arange(len(postings))
-        cells = np.repeat(of * len(self.ids), sizes)
-        cells += self.docs[postings]
-        parts = np.repeat(weights.astype(np.float32), sizes)
-        parts *= self.parts[postings]
-        sums = np.bincount(cells, parts, minlength=queries * len(self.ids))
-        return sums.astype(np.float64, copy=False).reshape(queries, len(self.ids))
+        """Sums over some terms in single precision, by query and document."""
+        known = np.zeros((queries, len(self.ids)), dtype=np.float32)
+        # A term is a row of the product where that takes less time than its postings do.
+        asked = np.bincount(at, minlength=len(self.terms))
+        gain = asked * self.wide_sizes
+        gain -= int(queries * len(self.ids) * DENSE_SHARE) // WIDE
+        dense = np.flatnonzero(gain > 0)
+        if len(dense) > DENSE_TERMS:
+            dense = dense[np.argpartition(-gain[dense], DENSE_TERMS)[:DENSE_TERMS]]
+        row = np.full(len(self.terms), -1, dtype=np.int32)
+        row[dense] = np.arange(len(dense))
+        row = row.take(at)
+        if len(dense):
+            some = np.flatnonzero(row >= 0)
+            matrix = np.zeros((queries, len(dense)), dtype=np.float32)
+            matrix[of.take(some), row.take(some)] = weights.take(some)
+            self._multiply(matrix, dense, known)
+        at, weights, of = _taken(np.flatnonzero(row < 0), at, weights, of)
+        sizes = self.wide_sizes.take(at)
+        self._add(*_taken(np.flatnonzero(sizes), at, weights, of, sizes), known)
+        at, weights, of = _taken(np.flatnonzero(sizes == 0), at, weights, of)
+        postings, which = _ranges(self.bounds.take(at), self.bounds.take(at + 1))
+        cells = (of * len(self.ids)).take(which)
+        cells += self.docs.take(postings)
+        parts = self.parts.take(postings).astype(np.float32)
+        parts *= weights.take(which)
+        np.add.at(known.reshape(-1), cells, parts)
+        return known
+
+    def _multiply(self, matrix: np.ndarray, dense: np.ndarray, known: np.ndarray) -> None:
+        """The product of the queries' weights with the postings of some terms."""
+        postings, which = _ranges(self.bounds[dense], self.bounds[dense + 1])
+        which *= len(self.ids)
+        which += self.docs.take(postings)
+        parts = np.zeros((len(dense), len(self.ids)), dtype=np.float32)
+        parts.reshape(-1)[which] = self.parts.take(postings)
+        own = np.flatnonzero(matrix.any(axis=1))
+        if 2 * len(own) > len(known):
+            np.matmul(matrix, parts, out=known)
+        else:
+            known[own] = matrix[own] @ parts
+
+    def _add(
+        self, at: np.ndarray, weights: np.ndarray, of: np.ndarray, sizes: np.ndarray,
+        known: np.ndarray,
+    ) -> None:
+        """Add the postings of terms of many documents, some queries at a time."""
+        n, flat, first = len(self.ids), known.reshape(-1), 0
+        before = np.append(0, np.cumsum(sizes))
+        starts = self.wide_starts.take(at)
+        starts -= before[:-1]
+        bounds = np.searchsorted(of, np.arange(len(known) + 1))
+        ends = before[bounds]
+        while first < len(known):
+            end = int(np.searchsorted(ends, ends[first] + ADDED // WIDE, side="right")) - 1
+            end = max(first + 1, end)
+            a, b = bounds[first], bounds[end]
+            if a < b:
+                own = sizes[a:b]
+                places = np.repeat(starts[a:b], own)
+                places += np.arange(before[a], before[b])
+                own = own * WIDE
+                cells = self.wide.take(places, axis=0).reshape(-1)
+                parts = np.repeat(weights[a:b], own)
+                parts *= cells.view(np.float32)[1::2]
+                cells &= 0xFFFF
+                if end > first + 1:
+                    cells += np.repeat((of[a:b] - first) * n, own)
+                np.add.at(flat[first * n : end * n], cells, parts)
+            first = end
 
     def _scores(
         self, docs: np.ndarray, query: np.ndarray, at: np.ndarray, weights: np.ndarray,
         of: np.ndarray, queries: int,
     ) -> np.ndarray:
         """Exact scores of documents for queries, each summed in the order of its terms."""
-        bounds, out = np.searchsorted(of, np.arange(queries + 1)), [np.empty(0)]
-        for first in range(0, len(docs), SCORED):
-            own, asked = docs[first : first + SCORED], query[first : first + SCORED]
-            terms, which = _ranges(bounds[asked], bounds[asked + 1])
-            keys = own[which] * np.int64(len(self.terms)) + at[terms]
-            places = np.searchsorted(self.keys, keys)
-            places[places == len(self.keys)] = 0
-            has = self.keys[places] == keys
-            terms, which, places = _where(has, terms, which, places)
-            out.append(np.bincount(which, weights[terms] * self.doc_parts[places], len(own)))
-        return np.concatenate(out)
+        bounds, out = np.searchsorted(of, np.arange(queries + 1)), np.empty(len(docs))
+        if not len(docs):
+            return out
+        terms, postings, firsts = self.by_doc
+        by_doc = np.argsort(docs, kind="stable")
+        runs = np.append(np.flatnonzero(np.diff(docs[by_doc], prepend=-1)), len(docs)).tolist()
+        parts = np.zeros(len(self.terms))
+        for a, b in zip(runs[:-1], runs[1:], strict=True):
+            doc = docs[by_doc[a]]
+            own = slice(firsts[doc], firsts[doc + 1])
+            parts[terms[own]] = self.parts[postings[own]]
+            for first in range(a, b, SCORED):
+                some = by_doc[first : min(first + SCORED, b)]
+                asked, which = _ranges(bounds[query[some]], bounds[query[some] + 1])
+                # Terms that the document does not have add 0.
+                out[some] = np.bincount(which, weights[asked] * parts[at[asked]], len(some))
+            parts[terms[own]] = 0
+        return out
 
     @functools.cached_property
     def kinds(self) -> np.ndarray:
         """A number for each document, the same for those with the same words, as often."""
-        docs, terms = np.divmod(self.keys, len(self.terms))
-        kinds = words.mix(words.mix(self.terms)[terms] + self.doc_parts.view(np.uint64))
+        terms, postings, firsts = self.by_doc
+        kinds = words.mix(words.mix(self.terms)[terms] + self.parts[postings].view(np.uint64))
         sums = np.append(np.uint64(0), np.cumsum(kinds))
-        bounds = np.searchsorted(docs, np.arange(len(self.ids) + 1))
-        return sums[bounds[1:]] - sums[bounds[:-1]]
+        return sums[firsts[1:]] - sums[firsts[:-1]]
 
 
 class Queries:
     """Some queries: their ids, all distinct terms, and of each query its terms and weights."""
 
     def __init__(self, rows: list[tuple[int, np.ndarray, np.ndarray]]):
-        # Queries with the same commonest word come together: they share the most other words.
-        rows = sorted(rows, key=lambda row: int(row[1][row[2].argmin()]) if len(row[1]) else -1)
+        rows = [rows[i] for i in _alike([terms for _, terms, _ in rows])]
         self.ids = np.array([query for query, _, _ in rows], dtype=np.int64)
         self.bounds = np.append(0, np.cumsum([len(terms) for _, terms, _ in rows])).astype(np.int64)
         terms = np.concatenate([np.empty(0, dtype=np.uint64), *[terms for _, terms, _ in rows]])
@@ -358,10 +445,45 @@ class Queries:
         return len(self.ids)
 
 
+def _alike(rows: list[np.ndarray]) -> np.ndarray:
+    """An order of sets of terms in which those of like words and like size come together.
+
+    All are split by the term that is nearest to being in half of them, and each half again.
+    """
+    sizes = np.array([len(terms) for terms in rows], dtype=np.int64)
+    every = np.concatenate([np.empty(0, dtype=np.uint64), *rows])
+    terms, which, counts = np.unique(every, return_inverse=True, return_counts=True)
+    common = np.argsort(-counts, kind="stable")[:SPLIT_TERMS]
+    number = np.full(len(terms), -1)
+    number[common] = np.arange(len(common))
+    number, of = number[which], np.repeat(np.arange(len(rows)), sizes)
+    has = np.zeros((len(common), len(rows)), dtype=bool)
+    has[number[number >= 0], of[number >= 0]] = True
+    parts = [np.arange(len(rows))]
+    for _ in range(SPLITS):
+        parts = [half for own in parts for half in _halves(has, own) if len(half)]
+    group = np.empty(len(rows), dtype=np.int64)
+    for i, own in enumerate(parts):
+        group[own] = i
+    return np.lexsort((sizes, group))
+
+
+def _halves(has: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, ...]:
+    if len(own) < TOGETHER or not len(has):
+        return (own,)
+    shares = has[:, own].mean(axis=1)
+    split = has[np.abs(shares - 0.5).argmin(), own]
+    return own[split], own[~split]
+
+
 def _where(chosen: np.ndarray, *arrays: np.ndarray) -> list[np.ndarray]:
     return [array[chosen] for array in arrays]
 
 
+def _taken(places: np.ndarray, *arrays: np.ndarray) -> list[np.ndarray]:
+    return [array.take(places) for array in arrays]
+
+
 def _ranges(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The numbers of all ranges, one after the other, and the range of each."""
     sizes = ends - starts
@@ -386,33 +508,40 @@ def top_documents(
         asked = stored(asked.select("query_id", "terms"), "bm25-queries")
     blocks = max(1, -(-asked.count() // query_block))
     placed = asked.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)))
-    first, others = _parts(index)
+    parts = _parts(index)
     found = None
     for block in range(blocks):
         # About ``query_block`` queries.
         queries = _packed(placed.where(F.col("block") == block))
-        shared, least = context.broadcast(queries), np.zeros(len(queries))
-        for part in (first, others):
-            if part is None:
-                continue
+        least, so_far = np.zeros(len(queries)), None
+        shared = context.broadcast(queries)
+        for part in parts:
             with small_batches(docs.sparkSession, 1):
                 own = stored(_searched(part, shared, least, mean_length, k), "bm25-found")
-            found = own if found is None else found.unionByName(own)
-            if part is first:
-                least = _least(own, queries, k)
+            so_far = own if so_far is None else so_far.unionByName(own)
+            if part is not parts[-1]:
+                least = _least(so_far, queries, k)
+        found = so_far if found is None else found.unionByName(so_far)
     by_query = Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id")
     return found.withColumn("rank", F.row_number().over(by_query)).where(F.col("rank") <= k)
 
 
-def _parts(index: DataFrame) -> tuple[DataFrame | None, DataFrame]:
-    """One of ``FIRST`` files of the index, to be searched first, and the others."""
+def _parts(index: DataFrame) -> list[DataFrame]:
+    """The index in parts to be searched one after the other.
+
+    One of ``FIRST`` files comes before the others, and of these files one of ``AT_FIRST``.
+    """
     files = sorted(index.inputFiles())
     if len(files) < FIRST:
-        return None, index
-    read = index.sparkSession.read.schema(index.schema)
-    return read.parquet(*files[::FIRST]), read.parquet(
-        *[file for i, file in enumerate(files) if i % FIRST]
+        return [index]
+    earliest, first = files[:: FIRST * AT_FIRST], files[::FIRST]
+    parts = (
+        earliest,
+        [file for file in first if file not in earliest],
+        [file for i, file in enumerate(files) if i % FIRST],
     )
+    read = index.sparkSession.read.schema(index.schema)
+    return [read.parquet(*part) for part in parts if part]
 
 
 def _least(found: DataFrame, queries: Queries, k: int) -> np.ndarray:

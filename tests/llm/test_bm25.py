@@ -152,3 +152,84 @@ def test_copies_are_scored_once(monkeypatch):
     monkeypatch.setattr(shard, "_scores", spy)
     ids, _ = shard.search(np.array([1, 2, 3], dtype=np.uint64), np.ones(3), 10)
     assert ids == list(range(10)) and scored == [1]
+
+
+def test_terms_are_rows_or_postings_by_what_takes_less_time(monkeypatch):
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    # Terms up to 20 are in most documents and queries, 20 to 400 in some, the others in few.
+    kinds = (range(20), range(20, 400), range(400, 40_000))
+    texts = [
+        np.concatenate([rng.choice(kind, 15) for kind in kinds]).astype(np.uint64)
+        for _ in range(3000)
+    ]
+    shard = bm25.Shard(bm25._shard(list(range(3000)), texts).to_pylist()[0], 45.0)
+    terms = [np.unique(own) for own in texts[:200]]
+    queries = bm25.Queries([(n, own, np.ones(len(own))) for n, own in enumerate(terms)])
+    cells, postings, multiply, add = [], [], shard._multiply, shard._add
+
+    def multiplied(matrix, dense, known):
+        cells.append(len(matrix) * len(dense) * known.shape[1])
+        multiply(matrix, dense, known)
+
+    def added(at, weights, of, sizes, known):
+        postings.append(int(sizes.sum()) * bm25.WIDE)
+        add(at, weights, of, sizes, known)
+
+    monkeypatch.setattr(shard, "_multiply", multiplied)
+    monkeypatch.setattr(shard, "_add", added)
+    found = {int(queries.ids[n]): ids for n, ids, _ in shard.search_all(queries, np.zeros(200), 1)}
+    assert all(ids.tolist() == [n] for n, ids in found.items()) and len(found) == 200
+    have = collections.Counter(t for own in texts for t in set(own.tolist()))
+    asked = collections.Counter(t for own in terms for t in own.tolist())
+    by_posting = sum(asked[t] * have[t] for t in asked)
+    by_cell = len(asked) * len(queries) * len(texts) * bm25.DENSE_SHARE
+    took = sum(cells) * bm25.DENSE_SHARE + sum(postings)
+    assert cells and postings and took < min(by_posting, by_cell) / 2
+
+
+def test_queries_alike_come_together(monkeypatch):
+    import numpy as np
+
+    monkeypatch.setattr(bm25, "TOGETHER", 8)
+    rng = np.random.default_rng(6)
+    rows = []
+    for n in range(64):
+        # Two languages by turns, each with a word that nearly all texts have.
+        own = rng.choice(np.arange(1, 50), rng.integers(5, 30), replace=False) + 100 * (n % 2)
+        own = np.unique(np.append(own, 100 * (n % 2))).astype(np.uint64)
+        rows.append((n, own, np.ones(len(own))))
+    queries = bm25.Queries(rows)
+    assert sorted(queries.ids.tolist()) == list(range(64))
+    assert np.count_nonzero(np.diff(queries.ids % 2)) == 1
+    for n, a, b in zip(queries.ids.tolist(), queries.bounds[:-1], queries.bounds[1:], strict=True):
+        assert queries.terms[queries.which[a:b]].tolist() == rows[n][1].tolist()
+
+
+def test_files_are_searched_in_three_parts(spark, tmp_path):
+    path = str(tmp_path / "index")
+    spark.range(70).repartition(70).write.parquet(path)
+    index = spark.read.parquet(path)
+    files = sorted(index.inputFiles())
+    parts = [sorted(part.inputFiles()) for part in bm25._parts(index)]
+    n = len(files)
+    assert n > bm25.FIRST * bm25.AT_FIRST
+    assert [len(part) for part in parts[:2]] == [-(-n // 32), -(-n // 8) - -(-n // 32)]
+    assert sorted(sum(parts, [])) == files
+
+
+def test_queries_of_many_words_lose_no_document():
+    import numpy as np
+
+    rng = np.random.default_rng(7)
+    texts = [rng.choice(40_000, 9_000, replace=False).astype(np.uint64) for _ in range(60)]
+    shard = bm25.Shard(bm25._shard(list(range(60)), texts).to_pylist()[0], 9_000.0)
+    terms, weights = np.arange(40_000, dtype=np.uint64), 1e-3 + rng.random(40_000)
+    every, part = weights[np.stack(texts).astype(np.int64)].sum(axis=1), (bm25.K1 + 1) / (1 + bm25.K1)
+    best = np.argsort(-every)[:10]
+    least = np.array([every[best[-1]] * part * (1 - 1e-12)])
+    queries = bm25.Queries([(0, terms, weights)])
+    ((_, ids, scores),) = shard.search_all(queries, least, 10)
+    assert ids.tolist() == best.tolist()
+    assert scores.tolist() == pytest.approx((every[best] * part).tolist(), rel=1e-9)
