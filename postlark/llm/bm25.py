@@ -521,6 +521,7 @@ def top_documents(
             so_far = own if so_far is None else so_far.unionByName(own)
             if part is not parts[-1]:
                 least = _least(so_far, queries, k)
+        shared.unpersist()
         found = so_far if found is None else found.unionByName(so_far)
     by_query = Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id")
     return found.withColumn("rank", F.row_number().over(by_query)).where(F.col("rank") <= k)
@@ -586,7 +587,9 @@ def _searched(
         best = np.zeros((len(queries), k))
         for batch in batches:
             for at in range(len(batch)):
-                shard = Shard(batch.slice(at, 1).to_pylist()[0], mean_length)
+                # The columns are read where they lie, which saves a copy of the shard.
+                row = {name: batch[name][at].as_buffer() for name in batch.schema.names[2:]}
+                shard = Shard(row, mean_length)
                 found = []
                 for query, ids, scores in shard.search_all(queries, need, k):
                     if len(ids):
@@ -599,7 +602,7 @@ def _searched(
                         [pa.array(column) for column in columns],
                         names=["query_id", "doc_id", "score"],
                     )
-                del shard, found
+                del shard, found, row
             del batch
             release()
 
